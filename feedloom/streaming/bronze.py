@@ -1,0 +1,48 @@
+"""Messages to hour folders of flat posts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
+
+from feedloom.functions.times import hour_key
+from feedloom.operators.feed import dead_letters, flatten_posts, keep_posts
+from feedloom.schemas import FLUSH_SECONDS
+
+
+def triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
+    """Run every so often, or with ``None`` once over all that is there."""
+    return writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
+
+
+def start_bronze(
+    messages: DataFrame, path: str, checkpoint: str, every: str | None = f"{FLUSH_SECONDS} seconds"
+) -> StreamingQuery:
+    """Append each post to the folder of its event hour, late ones included.
+
+    No shuffle: a task writes the hours it meets. A micro-batch becomes visible as a whole, and its
+    offsets are kept after its files, so a stop loses nothing and repeats nothing.
+    """
+    posts = flatten_posts(keep_posts(messages)).withColumn("hour", hour_key(F.col("time_us")))
+    writer = (
+        posts.writeStream.format("json")
+        .partitionBy("hour")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    return triggered(writer, every).start()
+
+
+def start_dead_letters(
+    messages: DataFrame, path: str, checkpoint: str, every: str | None = f"{FLUSH_SECONDS} seconds"
+) -> StreamingQuery:
+    """Append unreadable messages with their defects."""
+    writer = (
+        dead_letters(messages)
+        .writeStream.format("json")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    return triggered(writer, every).start()
