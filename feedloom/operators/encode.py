@@ -7,7 +7,6 @@ A sentence model fits in here; ``hashed_words`` needs no model and compares word
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,31 +18,33 @@ from feedloom.schemas import EMBEDDING_DIMS, ENCODE_BATCH
 
 Encoder = Callable[[list[str]], np.ndarray]
 
-# --- fixed values: a word is a run of anything but these blanks ---
-WORD = r"[^ \t\n\r\f\v]+"
+class _Buckets(dict):
+    """Bucket of a word, remembered for the first 200,000 words to bound a task's memory."""
+
+    def __init__(self, dims: int):
+        self.dims = dims
+
+    def __missing__(self, word: bytes) -> int:
+        bucket = int(hashlib.md5(word).hexdigest()[:8], 16) % self.dims
+        if len(self) < 200_000:
+            self[word] = bucket
+        return bucket
 
 
 def hashed_words(dims: int = EMBEDDING_DIMS) -> Encoder:
     """Word counts in ``dims`` buckets, scaled to length one; a text without words is all zero.
 
-    The bucket is the first 8 hexadecimal digits of the word's md5, modulo ``dims``.
+    Words are lower-cased and divided by ASCII white space. The bucket is the first 8 hexadecimal
+    digits of the word's md5, modulo ``dims``.
     """
-    word = re.compile(WORD)
-    buckets: dict[str, int] = {}
-
-    def bucket(token: str) -> int:
-        found = buckets.get(token)
-        if found is None:
-            found = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dims
-            if len(buckets) < 200_000:  # bounds the memory of a task, not the vocabulary
-                buckets[token] = found
-        return found
+    buckets = _Buckets(dims)
 
     def encode(texts: list[str]) -> np.ndarray:
         counts = np.zeros((len(texts), dims))
         for row, text in enumerate(texts):
-            places = [bucket(token) for token in word.findall(text.lower())]
-            counts[row] = np.bincount(places, minlength=dims) if places else 0
+            words = text.lower().encode().split()
+            places = np.fromiter(map(buckets.__getitem__, words), np.intp, len(words))
+            counts[row] = np.bincount(places, minlength=dims)
         norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
         return (counts / np.where(norms == 0, 1, norms)).astype(np.float32)
 

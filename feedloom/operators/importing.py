@@ -14,7 +14,9 @@ REQUIRED = ("uri", "did", "rkey", "created_at", "time_us")
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Add the fields of a flat post and ``outcome``: ``post``, ``ignored`` or the failed field."""
-    get = lambda name, kind="string": F.try_variant_get("msg", f"$.{name}", kind)
+    def get(name: str, kind: str = "string") -> Column:
+        return F.try_variant_get("msg", f"$.{name}", kind)
+
     raw_langs = get("langs", "variant")
     langs = F.when(get("langs") == "", F.array().cast("array<string>")).otherwise(
         variant_langs(raw_langs)
@@ -51,7 +53,10 @@ def valid_posts(
 
     ``arrival`` orders the rows of one post; ``indexed_at`` is one value per import of a file.
     """
-    no = lambda kind: F.lit(None).cast(kind)
+
+    def no(kind: str) -> Column:
+        return F.lit(None).cast(kind)
+
     return parsed.where(F.col("outcome") == "post").select(
         file_day.alias("file_day"),
         "uri",
@@ -87,8 +92,12 @@ def derived_columns() -> list[Column]:
     ]
 
 
+def is_reject() -> Column:
+    return ~F.col("outcome").isin("post", "ignored")
+
+
 def rejected_lines(parsed: DataFrame, column: str = "value") -> DataFrame:
     """Lines that claim to be posts but lack a required field, and lines that are no JSON."""
-    return parsed.where(~F.col("outcome").isin("post", "ignored")).select(
+    return parsed.where(is_reject()).select(
         F.col(column).alias("value"), F.col("outcome").alias("reason")
     )

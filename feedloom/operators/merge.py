@@ -31,8 +31,9 @@ def merge_posts(
     A merged row can stand for its arrivals in a later merge, so batches may be merged on
     their own first, and the same batches may be merged again without effect.
     """
-    # Equal positions are replays of one line; content settles any other tie the same way each time.
-    place = F.struct(arrival, "cid", "text")
+    # Equal positions are replays of one line; a digest settles any other tie the same way each
+    # time. The place goes through the shuffle four times per row, so it must stay small.
+    place = F.struct(arrival, F.xxhash64("cid", "text"))
     when_set = lambda name: F.max_by(name, F.when(F.col(name).isNotNull(), place))
     merged = rows.groupBy(*keys).agg(
         F.min_by(

@@ -26,7 +26,10 @@ def _digest_order(key: Column) -> list[Column]:
 def number_rows(
     df: DataFrame, groups: Sequence[str], key: str, name: str = "position"
 ) -> DataFrame:
-    """Add the 0-based position of each row in its group, in the order of ``md5(key), key``."""
+    """Add the 0-based position of each row in its group, in the order of ``md5(key), key``.
+
+    Group columns are expected to be filled; a row with a null there gets a null position.
+    """
     rows = df.withColumn("_bucket", _bucket(F.col(key)))
     before = F.sum("_n").over(
         Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -42,10 +45,9 @@ def number_rows(
     )
     in_bucket = Window.partitionBy(*groups, "_bucket").orderBy(*_digest_order(F.col(key)))
     ranked = rows.withColumn("_rank", F.row_number().over(in_bucket))
-    same = F.col("_bucket") == F.col("_b")
-    for group in groups:
-        same = same & F.col(group).eqNullSafe(F.col(f"_{group}"))
-    return ranked.join(offsets, same).select(
+    # Plain equality keeps the partitioning of the window above: rows move once.
+    same = [F.col(group) == F.col(f"_{group}") for group in groups]
+    return ranked.join(offsets, [*same, F.col("_bucket") == F.col("_b")], "left").select(
         *df.columns, (F.col("_before") + F.col("_rank") - 1).alias(name)
     )
 

@@ -21,10 +21,9 @@ from feedloom.schemas import SEARCH_K
 
 # Distances are compared to 9 decimals, so equal vectors tie and the key decides.
 DISTANCE_DIGITS = 9
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-BLOCK_QUERIES = 1_024
-SHARD_ROWS = 50_000
-MATRIX_ROWS = 2_048
+MAX_QUERIES = 16_384  # query vectors a task holds: 50 MB at 384 dimensions
+SHARD_ROWS = 100_000
+MATRIX_CELLS = 4_000_000  # distances a task holds at a time
 
 
 def squared_distance(vector: Column, query: Sequence[float]) -> Column:
@@ -54,6 +53,7 @@ def _top_k(
     keys: pa.Array, vectors: np.ndarray, queries: np.ndarray, best: pd.DataFrame | None, k: int
 ) -> pd.DataFrame:
     """Best ``k`` keys per query among ``best`` and the given vectors, ties by key."""
+    queries = queries.astype(np.float64)
     norms = (queries * queries).sum(axis=1)[:, None]
     found = [] if best is None else [best]
     bound = np.full(len(queries), np.inf)
@@ -61,8 +61,9 @@ def _top_k(
         worst = best.groupby("query")["distance"].agg(["max", "size"])
         full = worst[worst["size"] >= k]
         bound[full.index.to_numpy()] = full["max"].to_numpy()
-    for start in range(0, len(vectors), MATRIX_ROWS):
-        part = vectors[start : start + MATRIX_ROWS]
+    step = max(256, MATRIX_CELLS // len(queries))
+    for start in range(0, len(vectors), step):
+        part = vectors[start : start + step].astype(np.float64)
         table = norms + (part * part).sum(axis=1)[None, :] - 2.0 * (queries @ part.T)
         table = np.round(np.maximum(table, 0.0), DISTANCE_DIGITS)
         if table.shape[1] > k:
@@ -82,7 +83,9 @@ def _top_k(
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:
-    values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    if len(lists) and len(values) % len(lists):
+        raise ValueError("vectors of different dimensions")
     return values.reshape(len(lists), -1)
 
 
@@ -97,22 +100,20 @@ def nearest(
     key: str = "uri",
     query_key: str = "query_id",
     vector: str = "embedding",
-    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    max_queries: int = MAX_QUERIES,
 ) -> DataFrame:
     """The ``k`` nearest corpus rows of every query: ``query_key, key, distance, rank``.
 
-    Runs small jobs to learn the size of the query set. Up to ``max_broadcast_bytes`` it is sent
-    to all tasks and the corpus is not shuffled; beyond that, see ``nearest_by_blocks``.
+    Runs a job that fetches at most ``max_queries + 1`` queries. If that is all of them, they are
+    sent to all tasks and the corpus is not shuffled; otherwise see ``nearest_by_blocks``.
+    Corpus vectors of another dimension than the queries are no neighbours of them.
     """
-    size = queries.agg(F.count("*"), F.max(F.size(vector))).first()
-    count, dims = size[0], size[1] or 0
-    corpus = corpus.where(F.size(vector) == dims)
-    if count * dims * 8 > max_broadcast_bytes:
+    sent = _columns(queries, query_key, vector).limit(max_queries + 1).toArrow()
+    if sent.num_rows > max_queries:
         return nearest_by_blocks(corpus, queries, k, key, query_key, vector)
-
-    sent = _columns(queries, query_key, vector).toArrow()
     names = sent.column(query_key).combine_chunks()
-    targets = _matrix(sent.column(vector).combine_chunks()) if count else np.zeros((0, 1))
+    targets = _matrix(sent.column(vector).combine_chunks()) if sent.num_rows else np.zeros((0, 0))
+    corpus = corpus.where(F.size(vector) == targets.shape[1])
     held = corpus.sparkSession.sparkContext.broadcast((names, targets))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,12 +136,13 @@ def nearest_by_blocks(
     key: str = "uri",
     query_key: str = "query_id",
     vector: str = "embedding",
-    block_queries: int = BLOCK_QUERIES,
+    block_queries: int = MAX_QUERIES,
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """The same for a query set of any size: blocks of queries meet shards of the corpus.
 
-    Both keys must be unique, so blocks and shards are even. A task holds one block and one shard.
+    Both keys must be unique, so blocks and shards are even; all vectors have one dimension.
+    A task holds one block and one shard.
     """
     blocks = -(-queries.count() // block_queries) or 1
     shards = -(-corpus.count() // shard_rows) or 1

@@ -20,6 +20,7 @@ from feedloom.operators.feed import (
 )
 from feedloom.operators.importing import parse_lines, valid_posts
 from feedloom.operators.merge import write_vectors
+from feedloom.session import spread
 
 # One row per message, in SQL that Spark and DuckDB read alike.
 FEED_SQL = """
@@ -59,6 +60,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(FEED_SQL, documents=documents(spark, sf_dir))
+
+
 def _json(value: Column) -> Column:
     """JSON spelling of a text."""
     wrapped = F.to_json(F.struct(value.alias("v")))
@@ -76,7 +85,6 @@ def _object(*fields: Column) -> Column:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, lang, value``: the feed as JSON texts."""
-    feed = spark.sql(FEED_SQL.format(documents=f"parquet.`{sf_dir}/documents.parquet`"))
     langs = (
         F.when(F.col("langs_form") == "string", _json(F.col("lang")))
         .when(F.col("langs_form") == "null", "null")
@@ -124,7 +132,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _field("kind", _json(F.col("kind"))),
         _field("commit", commit),
     )
-    return feed.select("doc_id", "lang", value.alias("value"))
+    return feed(spark, sf_dir).select("doc_id", "lang", value.alias("value"))
 
 
 def flat_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,9 +191,9 @@ def import_runs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``uri`` and the vector of the same number, for documents that have one."""
-    feed = spark.sql(FEED_SQL.format(documents=f"parquet.`{sf_dir}/documents.parquet`"))
     vectors = table(spark, sf_dir, "embeddings")
-    return feed.join(vectors, feed.doc_id == vectors.vec_id).select("uri", "text", "embedding")
+    posts = feed(spark, sf_dir)
+    return posts.join(vectors, posts.doc_id == vectors.vec_id).select("uri", "text", "embedding")
 
 
 def posts_with_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

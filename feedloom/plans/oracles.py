@@ -5,7 +5,6 @@ None of these reads JSON, merges rows or numbers batches as the Spark side does.
 
 from __future__ import annotations
 
-from feedloom.operators.encode import WORD
 from feedloom.plans.fixtures import FEED_SQL, INDEXED
 from feedloom.plans.registry import (
     AS_OF_HOUR,
@@ -17,6 +16,8 @@ from feedloom.plans.registry import (
 )
 from feedloom.schemas import EMBEDDING_DIMS, QUEUE_LIMIT
 
+# A word is a run of anything but these blanks.
+WORD = r"[^ \t\n\r\f\v]+"
 FEED = f"feed AS ({FEED_SQL.format(documents='documents')})"
 KEPT_ANY_TIME = """kind = 'commit' AND operation = 'create'
   AND collection = 'app.bsky.feed.post' AND record_empty = 0"""

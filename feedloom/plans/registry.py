@@ -301,7 +301,7 @@ def pending_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embed_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the encoder is given of every document: its first 300 characters."""
-    documents = fx.table(spark, sf_dir, "documents")
+    documents = fx.documents(spark, sf_dir)
     return documents.select("doc_id", embed_text(F.col("text")).alias("text"))
 
 
@@ -346,7 +346,7 @@ def consolidate_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events exported in chunks, consolidated by day and read back."""
     folder = run_folder(spark, "export")
     rows = fx.event_posts(spark, sf_dir).withColumn("post_url", F.lit(None).cast("string"))
-    write_chunks(rows, f"{folder}/chunks", CHUNK_ROWS)
+    write_chunks(rows, f"{folder}/chunks")
     consolidate(spark, f"{folder}/chunks", f"{folder}/daily", GRID_END, 31)
     return read_export(spark, f"{folder}/daily").select(
         "uri", "created_at", "created_date", "created_hour", "text",
@@ -359,7 +359,7 @@ def consolidate_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hash_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents encoded: filled buckets and a weighted sum over the vector."""
-    documents = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = fx.documents(spark, sf_dir).select("doc_id", "text")
     weighted = F.aggregate(
         F.transform("embedding", lambda x, i: x.cast("double") * (i + 1)),
         F.lit(0.0),
@@ -375,7 +375,7 @@ def hash_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_search_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five documents nearest in wording to each benchmark text."""
-    documents = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = fx.documents(spark, sf_dir).select("doc_id", "text")
     items = fx.table(spark, sf_dir, "benchmark").select("item_id", "text")
     found = nearest(encode_texts(documents), encode_texts(items), 5, "doc_id", "item_id")
     return _rounded(found, "distance")
@@ -385,7 +385,7 @@ SEARCH_WORDS = "  the of and in that  "
 
 
 def text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = fx.table(spark, sf_dir, "documents").select(
+    documents = fx.documents(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("uri"), "text"
     )
     return search_text(encode_texts(documents), SEARCH_WORDS, hashed_words())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -30,6 +30,15 @@ def build_session(app: str = "feedloom", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a table that lies in fewer pieces than there are cores.
+
+    Meant before costly work per row. A table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -22,10 +22,11 @@ from feedloom.sources.hour_files import HOUR_FILE, HOUR_FOLDER, day_of_name, hou
 RANGE_BYTES = 64 * 1024 * 1024
 READ_BYTES = 4 * 1024 * 1024
 TAIL_BYTES = 64 * 1024
+OPEN_BYTES = 1024 * 1024
 
 
 @dataclass
-class ByteRange(InputPartition):
+class ByteRange:
     """Lines of a file that start in ``[start, stop)``; ``end`` is where complete lines end."""
 
     path: str
@@ -34,15 +35,22 @@ class ByteRange(InputPartition):
     end: int
 
 
+@dataclass
+class Ranges(InputPartition):
+    """What one task reads."""
+
+    ranges: list[ByteRange]
+
+
 class GrowingFiles(DataSource):
-    """Options: ``path``, and ``range_bytes`` for the most a task reads of one file."""
+    """Options: ``path``, and ``range_bytes`` for the most a task reads."""
 
     @classmethod
     def name(cls) -> str:
         return "growing_files"
 
     def schema(self) -> str:
-        return "value STRING, file_path STRING, position BIGINT"
+        return "value STRING, file_path STRING, file_time BIGINT, position BIGINT"
 
     def streamReader(self, schema) -> DataSourceStreamReader:
         return GrowingFilesReader(
@@ -74,18 +82,31 @@ class GrowingFilesReader(DataSourceStreamReader):
         ]
         return {info.path: _last_line_end(files, info.path, info.size) for info in chosen}
 
-    def partitions(self, start: dict, end: dict) -> Sequence[ByteRange]:
-        ranges = []
+    def partitions(self, start: dict, end: dict) -> Sequence[Ranges]:
+        tasks: list[Ranges] = []
+        room = 0
         for path, stop in sorted(end.items()):
             begin = start.get(path, 0)
             if stop < begin:  # a shorter file under the same name is a new file
                 begin = 0
-            for at in range(begin, stop, self.range_bytes):
-                ranges.append(ByteRange(path, at, min(at + self.range_bytes, stop), stop))
-        return ranges
-
-    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
+            while begin < stop:
+                if room <= 0:
+                    tasks.append(Ranges([]))
+                    room = self.range_bytes
+                upto = min(begin + room, stop)
+                tasks[-1].ranges.append(ByteRange(path, begin, upto, stop))
+                # Opening a file costs about as much as reading some of it.
+                room -= max(upto - begin, OPEN_BYTES)
+                begin = upto
+        return tasks
+
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         files, _ = self._files()
+        for part in partition.ranges:
+            yield from self._read_range(files, part)
+
+    def _read_range(self, files: fs.FileSystem, partition: ByteRange) -> Iterator[pa.RecordBatch]:
+        changed = files.get_file_info(partition.path).mtime_ns // 1_000
         with files.open_input_file(partition.path) as stream:
             position = partition.start
             if position:
@@ -111,9 +132,10 @@ class GrowingFilesReader(DataSourceStreamReader):
                         [
                             pa.array(values, pa.string()),
                             pa.array([partition.path] * len(values), pa.string()),
+                            pa.array([changed] * len(values), pa.int64()),
                             pa.array(places, pa.int64()),
                         ],
-                        ["value", "file_path", "position"],
+                        ["value", "file_path", "file_time", "position"],
                     )
                 if not block:
                     break
@@ -157,6 +179,7 @@ def stream_growing_lines(spark: SparkSession, path: str, **options: str) -> Data
     return lines.select(
         "value",
         "file_path",
+        "file_time",
         hour.alias("hour"),
         F.col("position").alias("block_start"),
         F.unix_micros(F.current_timestamp()).alias("indexed_at"),

@@ -31,20 +31,24 @@ def hour_of(path: Column, name: Column) -> Column:
 
 def _lines(text: DataFrame, *extra: Column) -> DataFrame:
     path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
-    return text.select(
+    return text.where(hour_of(path, name).isNotNull()).select(
         "value",
         path.alias("file_path"),
+        F.unix_micros("_metadata.file_modification_time").alias("file_time"),
         hour_of(path, name).alias("hour"),
         F.col("_metadata.file_block_start").alias("block_start"),
         *extra,
-    ).where(F.col("hour").isNotNull())
+    )
 
 
 def read_lines(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
     """Lines of all hour files below ``path``, or of one day, with file and hour."""
     text = spark.read.option("recursiveFileLookup", "true").text(path)
-    lines = _lines(text).withColumn("file_day", day_of_name(F.col("hour")))
-    return lines if day is None else lines.where(F.col("file_day") == day)
+    if day is not None:
+        # A filter on file names alone: files of other days are not opened.
+        name = hour_of(F.col("_metadata.file_path"), F.col("_metadata.file_name"))
+        text = text.where(day_of_name(name) == day)
+    return _lines(text).withColumn("file_day", day_of_name(F.col("hour")))
 
 
 def stream_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
@@ -58,13 +62,19 @@ def stream_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 
 def arrival() -> Column:
-    """Order of a line: by hour, file, split and place in the split.
+    """Order of a line: by hour, open file after closed one, file time, split and place in the split.
 
     Only the relative order inside a split is taken from the running number, and a split
-    is always read front to back, so a repeated task gives the same order.
+    is always read front to back, so a repeated task gives the same order. All parts are numbers,
+    as a merge carries several of these per row.
     """
     return F.struct(
-        "hour", "file_path", "block_start", F.monotonically_increasing_id().alias("line")
+        F.translate("hour", "-T", "").cast("bigint").alias("hour"),
+        F.col("file_path").endswith(".part").alias("open"),
+        "file_time",
+        F.xxhash64("file_path").alias("file"),
+        "block_start",
+        F.monotonically_increasing_id().alias("line"),
     )
 
 

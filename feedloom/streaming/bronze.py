@@ -22,12 +22,14 @@ def start_bronze(
 ) -> StreamingQuery:
     """Append each post to the folder of its event hour, late ones included.
 
-    No shuffle: a task writes the hours it meets. A micro-batch becomes visible as a whole, and its
-    offsets are kept after its files, so a stop loses nothing and repeats nothing.
+    ``rebalance`` gives each hour of a micro-batch few files, and a crowded hour several tasks.
+    A micro-batch becomes visible as a whole, and its offsets are kept after its files, so a stop
+    loses nothing and repeats nothing.
     """
     posts = flatten_posts(keep_posts(messages)).withColumn("hour", hour_key(F.col("time_us")))
     writer = (
-        posts.writeStream.format("json")
+        posts.hint("rebalance", "hour")
+        .writeStream.format("json")
         .partitionBy("hour")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

@@ -15,7 +15,7 @@ from feedloom.operators.merge import merge_posts
 from feedloom.operators.pending import pending_posts, without_vector
 from feedloom.schemas import MAX_EMBED_CHARS, VECTORS
 from feedloom.streaming.bronze import triggered
-from feedloom.streaming.posts import _read, _write, import_lines
+from feedloom.streaming.posts import _read, _write, imported, imported_posts
 
 
 def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
@@ -59,7 +59,7 @@ def start_embedding(
 
     def encode_batch(batch: DataFrame, number: int) -> None:
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        posts = legacy_view(merge_posts(import_lines(batch)[0], ("uri",)))
+        posts = legacy_view(merge_posts(imported_posts(imported(batch)), ("uri",)))
         embed_batch(posts, path, run, number, make_encoder)
 
     writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(encode_batch)

@@ -9,11 +9,11 @@ layer may still lie there after its rows are in the base.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feedloom.operators.importing import parse_lines, rejected_lines, valid_posts
+from feedloom.operators.importing import is_reject, parse_lines, rejected_lines, valid_posts
 from feedloom.operators.merge import merge_posts
 from feedloom.schemas import POSTS
 from feedloom.sources.hour_files import arrival
@@ -23,11 +23,13 @@ LAYERS = "layers"
 REJECTS = "rejects"
 
 
-def import_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Post rows with their arrival, and rejected lines."""
-    parsed = parse_lines(lines.withColumn("arrival", arrival()))
-    rows = valid_posts(parsed, F.col("indexed_at"), F.col("file_day"), F.col("arrival"))
-    return rows, rejected_lines(parsed)
+def imported(lines: DataFrame) -> DataFrame:
+    """Parsed lines with their order of arrival."""
+    return parse_lines(lines.withColumn("arrival", arrival()))
+
+
+def imported_posts(parsed: DataFrame) -> DataFrame:
+    return valid_posts(parsed, F.col("indexed_at"), F.col("file_day"), F.col("arrival"))
 
 
 def _write(df: DataFrame, path: str, *parts: str) -> None:
@@ -39,9 +41,14 @@ def _write(df: DataFrame, path: str, *parts: str) -> None:
 def append_layer(lines: DataFrame, path: str, run: str, batch: int) -> None:
     """Write the merged posts and the rejects of one batch below ``path``."""
     folder = f"run={run}/batch={batch:012d}"
-    rows, rejects = import_lines(lines)
-    _write(merge_posts(rows).hint("rebalance", "file_day"), f"{path}/{LAYERS}/{folder}", "file_day")
-    _write(rejects, f"{path}/{REJECTS}/{folder}")
+    parsed = imported(lines)
+    # Rejects are counted on the way; most batches have none and are read only once.
+    seen = Observation()
+    posts = imported_posts(parsed.observe(seen, F.count_if(is_reject()).alias("rejects")))
+    merged = merge_posts(posts).hint("rebalance", "file_day")
+    _write(merged, f"{path}/{LAYERS}/{folder}", "file_day")
+    if seen.get["rejects"]:
+        _write(rejected_lines(parsed), f"{path}/{REJECTS}/{folder}")
 
 
 def start_posts(
