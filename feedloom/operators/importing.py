@@ -12,38 +12,39 @@ from feedloom.operators.feed import parse_messages
 REQUIRED = ("uri", "did", "rkey", "created_at", "time_us")
 
 
+def _get(name: str, kind: str = "string") -> Column:
+    return F.try_variant_get("msg", f"$.{name}", kind)
+
+
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Add the fields of a flat post and ``outcome``: ``post``, ``ignored`` or the failed field."""
-    def get(name: str, kind: str = "string") -> Column:
-        return F.try_variant_get("msg", f"$.{name}", kind)
-
-    raw_langs = get("langs", "variant")
-    langs = F.when(get("langs") == "", F.array().cast("array<string>")).otherwise(
-        variant_langs(raw_langs)
+    langs = F.when(_get("langs") == "", F.array().cast("array<string>")).otherwise(
+        variant_langs(_get("langs", "variant"))
     )
     texts = (
         "kind", "uri", "cid", "did", "repo", "rkey", "created_at", "text",
         "reply_parent", "reply_root", "quote_uri",
     )
-    fields = parse_messages(lines, column).select(
+    return parse_messages(lines, column).select(
         *lines.columns,
-        F.col("msg").isNotNull().alias("readable"),
-        get("uri", "variant").isNotNull().alias("named"),
-        *[get(name).alias(name) for name in texts],
-        get("time_us", "bigint").alias("time_us"),
+        *[_get(name).alias(name) for name in texts],
+        _get("time_us", "bigint").alias("time_us"),
         langs.alias("langs"),
+        _outcome().alias("outcome"),
     )
-    return fields.withColumn("outcome", _outcome())
 
 
 def _outcome() -> Column:
-    is_post = F.coalesce(F.col("kind") == "post", F.lit(False)) & F.col("named")
-    outcome = F.when(~F.col("readable"), "json").when(~is_post, "ignored")
+    named = _get("uri", "variant").isNotNull()
+    is_post = F.coalesce(_get("kind") == "post", F.lit(False)) & named
+    outcome = F.when(F.col("msg").isNull(), "json").when(~is_post, "ignored")
     for name in REQUIRED:
-        # Zero counts as missing, in text as well as in numbers.
-        empty = F.col(name).isNull() | F.col(name).cast("string").isin("", "0")
-        outcome = outcome.when(empty, name)
-    return outcome.otherwise("post")
+        text = _get(name)
+        # The number zero counts as missing, the text "0" does not.
+        zero = F.schema_of_variant(_get(name, "variant")) != "STRING"
+        missing = F.when(text.isin("0", "0.0", "false"), zero).otherwise(text.isNull() | (text == ""))
+        outcome = outcome.when(missing, name)
+    return outcome.when(_get("time_us", "bigint").isNull(), "time_us").otherwise("post")
 
 
 def valid_posts(

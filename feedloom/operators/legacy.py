@@ -9,7 +9,7 @@ from feedloom.functions.codec import pack_vector
 from feedloom.functions.times import written_date, written_hour
 
 
-def legacy_view(posts: DataFrame) -> DataFrame:
+def legacy_view(posts: DataFrame, *keep: str) -> DataFrame:
     """Older columns: comma-joined languages, date and hour as written, vector as bytes."""
     langs = F.from_json("langs_json", "array<string>")
     return posts.select(
@@ -24,4 +24,5 @@ def legacy_view(posts: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("raw_json"),
         F.when(F.col("emb_vec").isNotNull(), "y").alias("embedding"),
         pack_vector(F.col("emb_vec")).alias("embedding_blob"),
+        *keep,
     )

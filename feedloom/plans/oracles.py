@@ -244,6 +244,8 @@ ORACLES: dict[str, str] = {
     "stream_upsert": LANDED,
     "stream_replay": LANDED,
     "tail_source": LANDED,
+    "stream_older": f"""WITH {FEED}, {OLDER} SELECT uri, repo, rkey, created_at, created_date,
+        created_hour, text, langs FROM older""",
     "stream_embedding": f"""WITH {FEED}, {FLAT} SELECT uri, substr(text, 1, 300) AS text,
         {EMBEDDING_DIMS} AS dims FROM flat
         WHERE created_at <> '' AND array_to_string(langs, ',') = 'en' AND length(text) > 10""",

@@ -49,6 +49,7 @@ from feedloom.sources.hour_files import (
 from feedloom.sources.tables import count_by_date, describe, query_file, read_export
 from feedloom.streaming.bronze import start_bronze, start_dead_letters
 from feedloom.streaming.embedding import read_embeddings, start_embedding
+from feedloom.streaming.older import read_older, start_older
 from feedloom.streaming.posts import compact_posts, read_posts, start_posts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -476,7 +477,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         start_posts(lines, posts, f"{folder}/state/{state}", every=None).awaitTermination()
         if state == "first":
             compact_posts(spark, posts, base)
-    return read_posts(spark, posts, base).select(*POST_COLUMNS)
+    return read_posts(spark, posts, [base]).select(*POST_COLUMNS)
 
 
 def tail_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -487,6 +488,19 @@ def tail_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_posts(spark, f"{folder}/posts").select(*POST_COLUMNS)
 
 
+def stream_older(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed, its English part twice, stored in the older shape."""
+    folder = run_folder(spark, "older")
+    feed = fx.messages(spark, sf_dir)
+    for drop in (feed.where("lang = 'en'"), feed):
+        _write_messages(drop, f"{folder}/messages")
+        stream = stream_messages(spark, f"{folder}/messages", start_us=1)
+        start_older(stream, f"{folder}/posts", f"{folder}/state", every=None).awaitTermination()
+    return read_older(spark, f"{folder}/posts").select(
+        "uri", "repo", "rkey", "created_at", "created_date", "created_hour", "text", "langs"
+    )
+
+
 def stream_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English posts among the landed ones, encoded by a stream."""
     folder = run_folder(spark, "embedding")
@@ -509,6 +523,6 @@ QUERIES: dict[str, Query] = {
         embed_input, embedding_writeback, export_posts, export_chunks, export_grid,
         consolidation_stale, consolidate_union, hash_encode, text_search_batch, text_search,
         row_count, sql_where, count_by_day, sample_limit, describe_events, stream_bronze,
-        stream_dead, stream_upsert, stream_replay, tail_source, stream_embedding,
+        stream_dead, stream_upsert, stream_replay, tail_source, stream_older, stream_embedding,
     )
 }

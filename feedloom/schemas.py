@@ -33,6 +33,12 @@ POSTS = """
     emb_model STRING, emb_dims INT, emb_vec ARRAY<FLOAT>
 """
 
+# One post in the older shape.
+OLDER_POSTS = """
+    uri STRING, repo STRING, rkey STRING, created_at STRING, created_date STRING, created_hour INT,
+    text STRING, langs STRING, raw_json STRING, embedding STRING, embedding_blob BINARY
+"""
+
 # One exported post.
 EXPORT_COLUMNS = (
     "uri", "created_at", "created_date", "created_hour", "text", "embedding", "post_url",

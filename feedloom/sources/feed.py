@@ -1,8 +1,8 @@
 """The feed as a stream: recorded messages, resumed at an event-time cursor.
 
 The recorder of the live feed puts messages into files; this reader takes every new file up
-once. Inside one run Spark's checkpoint knows what was read. A run without one
-resumes at the cursor of the table it wrote, or, without a table, at the present.
+once. Spark's checkpoint knows what was read. A stream without a checkpoint resumes at the cursor
+of the table it wrote, or, without a table, at the present.
 """
 
 from __future__ import annotations
@@ -21,10 +21,21 @@ def saved_cursor(bronze: DataFrame) -> int | None:
     return cursor(bronze).first().time_us or None
 
 
+def kept_start(spark: SparkSession, folder: str, start_us: int | None = None) -> int:
+    """The start of a stream, settled once: ``start_us``, or the present without it.
+
+    Later runs with the same ``folder`` get the first answer, whatever they pass. So a stream that
+    goes on with its checkpoint leaves out nothing that came late or while it was down.
+    """
+    now = int(time.time() * 1_000_000)
+    spark.createDataFrame([(start_us or now,)], "time_us BIGINT").write.mode("ignore").json(folder)
+    return spark.read.schema("time_us BIGINT").json(folder).first().time_us
+
+
 def stream_messages(
     spark: SparkSession, path: str, start_us: int | None = None, **options: str
 ) -> DataFrame:
-    """Decoded messages from ``start_us`` on; without it, from now on.
+    """Decoded messages from ``start_us`` on; without it, from now on (see ``kept_start``).
 
     Messages without a readable event time pass, so that the dead letters get them.
     """

@@ -15,14 +15,15 @@ from feedloom.operators.merge import merge_posts
 from feedloom.operators.pending import pending_posts, without_vector
 from feedloom.schemas import MAX_EMBED_CHARS, VECTORS
 from feedloom.streaming.bronze import triggered
-from feedloom.streaming.posts import _read, _write, imported, imported_posts
+from feedloom.streaming.posts import _days, _read, _write, imported, imported_posts
+
+
+SCHEMA = f"{VECTORS}, run STRING, batch STRING, file_day STRING"
 
 
 def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
     """``uri, text, embedding`` written by all runs."""
-    return _read(spark, path, f"{VECTORS}, run STRING, batch STRING").select(
-        "uri", "text", "embedding"
-    )
+    return _read(spark, path, SCHEMA).select("uri", "text", "embedding")
 
 
 def embed_batch(
@@ -35,17 +36,18 @@ def embed_batch(
 ) -> None:
     """Encode the pending posts that have no vector below ``path`` and append their vectors.
 
-    The batch's own folder is not asked, so a repeated batch writes the same rows again.
+    Only vectors of the days of the batch are looked up. The batch's own folder is not, so a
+    repeated batch writes the same rows again.
     """
-    spark = posts.sparkSession
-    done = _read(spark, path, f"{VECTORS}, run STRING, batch STRING").where(
-        ~((F.col("run") == run) & (F.col("batch") == f"{batch:012d}"))
+    queue = pending_posts(posts).select(
+        "uri", embed_text(F.col("text"), max_chars).alias("text"), "file_day"
     )
-    queue = without_vector(pending_posts(posts), done).select(
-        "uri", embed_text(F.col("text"), max_chars).alias("text")
+    own = (F.col("run") == run) & (F.col("batch") == f"{batch:012d}")
+    done = _read(posts.sparkSession, path, SCHEMA).where(
+        F.col("file_day").isin(_days(queue)) & ~own
     )
-    encoded = encode_texts(queue, "text", make_encoder)
-    _write(encoded, f"{path}/run={run}/batch={batch:012d}")
+    encoded = encode_texts(without_vector(queue, done), "text", make_encoder)
+    _write(encoded, f"{path}/run={run}/batch={batch:012d}", "file_day")
 
 
 def start_embedding(
@@ -59,7 +61,7 @@ def start_embedding(
 
     def encode_batch(batch: DataFrame, number: int) -> None:
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        posts = legacy_view(merge_posts(imported_posts(imported(batch)), ("uri",)))
+        posts = legacy_view(merge_posts(imported_posts(imported(batch))), "file_day")
         embed_batch(posts, path, run, number, make_encoder)
 
     writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(encode_batch)

@@ -2,12 +2,15 @@
 
 Each micro-batch is merged on its own and appended as one more layer; readers merge the layers.
 The cost of a batch thus follows its own size, not that of the days it touches. ``compact_posts``
-folds the layers into a base table. Merging a layer twice changes nothing, so a
-layer may still lie there after its rows are in the base.
+folds the layers into a table with one folder per day, for the days they touch. Later layers
+go on top of such tables, and days without a later layer are read as they lie. Merging a layer
+twice changes nothing, so a layer may stay after it was folded in.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -74,21 +77,47 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def read_posts(spark: SparkSession, path: str, base: str | None = None) -> DataFrame:
-    """Merged posts from the layers below ``path``, on top of the table ``base`` if there is one.
+def _days(df: DataFrame) -> list[str]:
+    """The days of a table, as named by its folders: a list as long as the calendar."""
+    return sorted(r.file_day for r in df.select("file_day").distinct().collect())
 
-    A filter on ``file_day`` reaches the folders, as it is a key of the merge.
-    """
+
+def _layers(spark: SparkSession, path: str) -> DataFrame:
     layers = _read(spark, f"{path}/{LAYERS}", f"{POSTS}, run STRING, batch STRING")
-    rows = layers.withColumn(
-        "arrival", F.struct(F.lit(1).alias("layer"), "indexed_last", "run", "batch")
-    ).drop("run", "batch")
-    if base is not None:
-        oldest = F.struct(
-            F.lit(0).alias("layer"), "indexed_last", F.lit("").alias("run"), F.lit("").alias("batch")
-        )
-        rows = _read(spark, base, POSTS).withColumn("arrival", oldest).unionByName(rows)
-    return merge_posts(rows)
+    place = F.struct(F.lit(1).alias("layer"), "indexed_last", "run", "batch")
+    return layers.withColumn("arrival", place).drop("run", "batch")
+
+
+def _base(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
+    """Each day from the first table that has it."""
+    rows = spark.createDataFrame([], POSTS)
+    found: set[str] = set()
+    for table in tables:
+        posts = _read(spark, table, POSTS)
+        days = [d for d in _days(posts) if d not in found] if len(tables) > 1 else None
+        rows = rows.unionByName(posts if days is None else posts.where(F.col("file_day").isin(days)))
+        found.update(days or ())
+    return rows
+
+
+def _on_base(layers: DataFrame, base: DataFrame) -> DataFrame:
+    oldest = F.struct(
+        F.lit(0).alias("layer"), "indexed_last", F.lit("").alias("run"), F.lit("").alias("batch")
+    )
+    return merge_posts(base.withColumn("arrival", oldest).unionByName(layers))
+
+
+def read_posts(spark: SparkSession, path: str, base: Sequence[str] = ()) -> DataFrame:
+    """Merged posts from the layers below ``path`` on top of compacted tables, newest first.
+
+    Only the days that have layers are merged. A filter on ``file_day`` reaches the folders.
+    """
+    layers = _layers(spark, path)
+    if not base:
+        return merge_posts(layers)
+    posts = _base(spark, base)
+    touched = F.col("file_day").isin(_days(layers))
+    return _on_base(layers, posts.where(touched)).unionByName(posts.where(~touched))
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
@@ -99,8 +128,13 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact_posts(
-    spark: SparkSession, path: str, target: str, base: str | None = None
+    spark: SparkSession, path: str, target: str, base: Sequence[str] = ()
 ) -> None:
-    """Write (runs a job) the merged posts to the new table ``target``, one folder per day."""
-    merged = read_posts(spark, path, base)
-    _write(merged.hint("rebalance", "file_day"), target, "file_day")
+    """Write (runs a job) the days that have layers, merged, to the new table ``target``.
+
+    ``target`` then goes to the front of ``base``. Nothing is overwritten, so a run that
+    fails leaves all data as it was. New layers should go to a new ``path``.
+    """
+    layers = _layers(spark, path)
+    posts = _base(spark, base).where(F.col("file_day").isin(_days(layers)))
+    _write(_on_base(layers, posts).hint("rebalance", "file_day"), target, "file_day")

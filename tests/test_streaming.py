@@ -9,7 +9,7 @@ from feedloom.operators.encode import hashed_words
 from feedloom.operators.feed import flatten_posts, keep_posts, parse_messages
 from feedloom.operators.search import search_text
 from feedloom.session import run_folder, shared_folder, spread
-from feedloom.sources.feed import saved_cursor, stream_messages
+from feedloom.sources.feed import kept_start, saved_cursor, stream_messages
 from feedloom.sources.growing_files import GrowingFilesReader, stream_growing_lines
 from feedloom.sources.hour_files import (
     files_by_day,
@@ -21,6 +21,7 @@ from feedloom.sources.hour_files import (
 from feedloom.sources.tables import read_posts_table
 from feedloom.streaming.bronze import start_bronze, start_dead_letters
 from feedloom.streaming.embedding import read_embeddings, start_embedding
+from feedloom.streaming.older import read_older, start_older
 from feedloom.streaming.posts import compact_posts, read_posts, read_rejects, start_posts
 
 HOUR = 3_600_000_000
@@ -173,11 +174,49 @@ def test_a_second_import_and_compaction_change_nothing(spark, tmp_path):
     compact_posts(spark, str(tmp_path / "posts"), str(tmp_path / "base"))
     again = import_from(spark, stream_lines(spark, str(tmp_path / "h")), tmp_path, "other")
     assert content(again) == once
-    on_base = read_posts(spark, str(tmp_path / "posts"), str(tmp_path / "base"))
+    on_base = read_posts(spark, str(tmp_path / "posts"), [str(tmp_path / "base")])
     assert content(on_base) == once
     assert read_posts_table(spark, str(tmp_path / "base")).count() == 20
 
 
+def test_compacted_days_are_read_as_they_lie(spark, tmp_path):
+    put(tmp_path / "h/2024-01-01T00.ndjson", [post(1), post(2)])
+    put(tmp_path / "h/2024-01-02T00.ndjson", [post(3, START + DAY)])
+    import_from(spark, stream_lines(spark, str(tmp_path / "h")), tmp_path)
+    first, second, layers = (str(tmp_path / n) for n in ("t1", "t2", "posts2"))
+    compact_posts(spark, str(tmp_path / "posts"), first)
+
+    put(tmp_path / "g/2024-01-02T01.ndjson", [post(3, START + DAY, text=None), post(4, START + DAY)])
+    lines = stream_lines(spark, str(tmp_path / "g"))
+    start_posts(lines, layers, str(tmp_path / "ck2"), every=None).awaitTermination()
+    expected = {("2024-01-01", "k1", True), ("2024-01-01", "k2", True), ("2024-01-02", "k3", False),
+                ("2024-01-02", "k4", True)}
+    seen = lambda df: {(r.file_day, r.rkey, r.text is not None) for r in df.collect()}
+    assert seen(read_posts(spark, layers, [first])) == expected
+    compact_posts(spark, layers, second, [first])
+    assert seen(read_posts_table(spark, second)) == {e for e in expected if e[0] == "2024-01-02"}
+    assert seen(read_posts(spark, str(tmp_path / "none"), [second, first])) == expected
+
+
+def test_the_start_of_a_stream_is_settled_once(spark, tmp_path):
+    folder = str(tmp_path / "start")
+    assert kept_start(spark, folder, 5) == 5
+    assert kept_start(spark, folder, 9) == kept_start(spark, folder) == 5
+    assert abs(kept_start(spark, str(tmp_path / "now")) - time.time() * 1e6) < 60e6
+
+
+def test_the_older_table_keeps_first_arrivals(spark, tmp_path):
+    def run():
+        stream = stream_messages(spark, str(tmp_path / "in"), 1)
+        start_older(stream, str(tmp_path / "old"), str(tmp_path / "cko"), every=None).awaitTermination()
+        return {r.rkey: r.text for r in read_older(spark, str(tmp_path / "old")).collect()}
+
+    put(tmp_path / "in/1.json", [message(1, START, "first"), message(1, START + 5, "second")])
+    assert run() == {"k1": "first"}
+    put(tmp_path / "in/2.json", [message(1, START - 9, "late"), message(2, "odd", "other")])
+    assert run() == {"k1": "first", "k2": "other"}
+
+
 def test_a_day_is_read_from_its_folders(spark, tmp_path):
     put(tmp_path / "h/2024-01-01T00.ndjson", [post(1)])
     put(tmp_path / "h/2024-01-02T00.ndjson", [post(2, START + DAY)])
