@@ -7,7 +7,7 @@ A sentence model fits in here; ``hashed_words`` needs no model and compares word
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +56,14 @@ def encode_texts(
     text: str = "text",
     make_encoder: Callable[[], Encoder] = hashed_words,
     batch: int = ENCODE_BATCH,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add ``embedding`` to every row; no shuffle. The encoder sees ``batch`` texts at a time."""
+    """Add ``embedding`` to the columns in ``keep``, by default all; no shuffle.
+
+    The encoder sees ``batch`` texts at a time. It runs in ``mapInArrow``, as a filter on the
+    result of a column function would have the function run once more.
+    """
+    kept = list(posts.columns if keep is None else keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = make_encoder()
@@ -69,8 +75,9 @@ def encode_texts(
                 ends = np.arange(len(texts) + 1, dtype=np.int32) * matrix.shape[1]
                 vectors = pa.ListArray.from_arrays(pa.array(ends), pa.array(matrix.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, vectors], [*part.schema.names, "embedding"]
+                    [*[part.column(name) for name in kept], vectors], [*kept, "embedding"]
                 )
 
-    shape = StructType([*posts.schema.fields, StructField("embedding", ArrayType(FloatType()))])
-    return posts.mapInArrow(run, shape)
+    fields = [posts.schema[name] for name in kept]
+    shape = StructType([*fields, StructField("embedding", ArrayType(FloatType()))])
+    return posts.select(*dict.fromkeys([*kept, text])).mapInArrow(run, shape)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_DIGITS = 3  # hexadecimal: 4,096 buckets per group
+MAX_BROADCAST_HOURS = 100_000
 
 
 def _bucket(key: Column) -> Column:
@@ -62,6 +63,8 @@ def newest_rows(
     the oldest of them; only those rows are sorted.
     """
     newest = [F.col(date).desc(), F.col(hour).desc()]
+    # One row per hour: broadcast only while the limit keeps them few.
+    held = F.broadcast if limit <= MAX_BROADCAST_HOURS else lambda hours: hours
     run = lambda *order: Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     # At most `limit` hours can be needed, as no counted hour is empty.
     hours = (
@@ -75,14 +78,14 @@ def newest_rows(
     )
     # The one hour that is needed in part, cut into buckets (at most 4,096).
     buckets = (
-        df.join(F.broadcast(hours.where("_partial").drop("_n", "_partial")), [date, hour])
+        df.join(held(hours.where("_partial").drop("_n", "_partial")), [date, hour])
         .groupBy("_before", _bucket(F.col(key)).alias("_b"))
         .agg(F.count("*").alias("_n"))
         .withColumn("_skip", F.col("_before") + F.coalesce(F.sum("_n").over(run("_b")), F.lit(0)))
         .where(F.col("_skip") < limit)
         .select("_b")
     )
-    rows = df.join(F.broadcast(hours.select(date, hour, "_partial")), [date, hour])
+    rows = df.join(held(hours.select(date, hour, "_partial")), [date, hour])
     needed = rows.join(F.broadcast(buckets), _bucket(F.col(key)) == F.col("_b"), "left").where(
         ~F.col("_partial") | F.col("_b").isNotNull()
     )

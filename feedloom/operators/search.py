@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +54,8 @@ def _top_k(
     keys: pa.Array, vectors: np.ndarray, queries: np.ndarray, best: pd.DataFrame | None, k: int
 ) -> pd.DataFrame:
     """Best ``k`` keys per query among ``best`` and the given vectors, ties by key."""
+    order = pc.sort_indices(keys)
+    keys, vectors = keys.take(order), vectors[order.to_numpy()]
     queries = queries.astype(np.float64)
     norms = (queries * queries).sum(axis=1)[:, None]
     found = [] if best is None else [best]
@@ -68,7 +71,12 @@ def _top_k(
         table = np.round(np.maximum(table, 0.0), DISTANCE_DIGITS)
         if table.shape[1] > k:
             bound = np.minimum(bound, np.partition(table, k - 1, axis=1)[:, k - 1])
-        query, row = np.nonzero(table <= bound[:, None])
+        near = table <= bound[:, None]
+        if np.count_nonzero(near) > 4 * k * len(queries):
+            # Many copies at the bound: rows are in key order, so the first k of them suffice.
+            ties = table == bound[:, None]
+            near &= ~ties | (np.cumsum(ties, axis=1, dtype=np.int32) <= k)
+        query, row = np.nonzero(near)
         found.append(
             pd.DataFrame(
                 {

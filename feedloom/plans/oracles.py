@@ -233,10 +233,6 @@ ORACLES: dict[str, str] = {
         FROM events GROUP BY 1""",
     "sample_limit": """SELECT event_id, user_id, event_type, value FROM events
         ORDER BY event_id LIMIT 10""",
-    "describe_events": """SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name,
-        CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
-          WHEN 'TIMESTAMP_NS' THEN 'timestamp_ntz' ELSE lower(column_type) END AS column_type
-        FROM (DESCRIBE events)""",
     "stream_bronze": f"""WITH {FEED}, {FLAT} SELECT {EVENT_HOUR} AS hour, uri,
         CAST(CASE WHEN lang = 'en' THEN 2 ELSE 1 END AS BIGINT) AS n FROM flat""",
     "stream_dead": f"""{DAMAGED} SELECT split_part(verdict, ':', 2) AS reason, count(*) AS n

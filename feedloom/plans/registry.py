@@ -46,7 +46,7 @@ from feedloom.sources.hour_files import (
     rows_per_file,
     stream_lines,
 )
-from feedloom.sources.tables import count_by_date, describe, query_file, read_export
+from feedloom.sources.tables import count_by_date, query_file, read_export
 from feedloom.streaming.bronze import start_bronze, start_dead_letters
 from feedloom.streaming.embedding import read_embeddings, start_embedding
 from feedloom.streaming.older import read_older, start_older
@@ -366,7 +366,7 @@ def hash_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0.0),
         lambda a, x: a + x,
     )
-    return encode_texts(documents).select(
+    return encode_texts(documents, keep=["doc_id"]).select(
         "doc_id",
         F.size("embedding").alias("dims"),
         F.size(F.filter("embedding", lambda x: x > 0)).alias("filled"),
@@ -378,7 +378,8 @@ def text_search_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five documents nearest in wording to each benchmark text."""
     documents = fx.documents(spark, sf_dir).select("doc_id", "text")
     items = fx.table(spark, sf_dir, "benchmark").select("item_id", "text")
-    found = nearest(encode_texts(documents), encode_texts(items), 5, "doc_id", "item_id")
+    corpus, queries = encode_texts(documents, keep=["doc_id"]), encode_texts(items, keep=["item_id"])
+    found = nearest(corpus, queries, 5, "doc_id", "item_id")
     return _rounded(found, "distance")
 
 
@@ -420,10 +421,6 @@ def sample_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def describe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return describe(spark, fx.table(spark, sf_dir, "events"))
-
-
 # --- streams ---
 
 
@@ -522,7 +519,7 @@ QUERIES: dict[str, Query] = {
         posts_distinct, posts_legacy_view, posts_legacy_from_merged, pending_queue, pending_all,
         embed_input, embedding_writeback, export_posts, export_chunks, export_grid,
         consolidation_stale, consolidate_union, hash_encode, text_search_batch, text_search,
-        row_count, sql_where, count_by_day, sample_limit, describe_events, stream_bronze,
+        row_count, sql_where, count_by_day, sample_limit, stream_bronze,
         stream_dead, stream_upsert, stream_replay, tail_source, stream_older, stream_embedding,
     )
 }

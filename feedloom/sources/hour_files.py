@@ -31,7 +31,7 @@ def hour_of(path: Column, name: Column) -> Column:
 
 def _lines(text: DataFrame, *extra: Column) -> DataFrame:
     path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
-    return text.where(hour_of(path, name).isNotNull()).select(
+    return text.where(hour_of(path, name).isNotNull() & (F.col("value") != "")).select(
         "value",
         path.alias("file_path"),
         F.unix_micros("_metadata.file_modification_time").alias("file_time"),

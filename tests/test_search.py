@@ -77,6 +77,19 @@ def test_copies_tie_by_key(spark):
     assert found(batch) == got
 
 
+def test_many_copies_for_many_queries(spark):
+    matrix, asked = vectors(900), vectors(40, seed=2)
+    matrix[::3] = matrix[0]
+    asked[::2] = matrix[0]
+    df, q = corpus(spark, matrix), queries(spark, asked)
+    wanted = {i: expected(matrix, v, 4) for i, v in enumerate(asked)}
+    for got in (nearest(df, q, 4), nearest_by_blocks(df, q, 4, block_queries=9, shard_rows=100)):
+        answers = {}
+        for r in got.orderBy("query_id", "rank").collect():
+            answers.setdefault(r.query_id, []).append((r.uri, round(r.distance, 6)))
+        assert answers == wanted
+
+
 def test_fewer_rows_than_asked_for(spark):
     matrix = vectors(3)
     assert len(found(search_vector(corpus(spark, matrix), matrix[0].tolist(), 5))) == 3
@@ -137,6 +150,7 @@ def test_encoder_sees_whole_texts_in_batches(spark):
     df = spark.createDataFrame(rows, "n INT, text STRING")
     got = {r.n: list(r.embedding) for r in encode_texts(df, "text", lengths, 8).collect()}
     assert got == {i: [float(i if i != 5 else 0), 1.0] for i in range(300)}
+    assert encode_texts(df, "text", lengths, 8, keep=["n"]).columns == ["n", "embedding"]
 
 
 def test_text_search(spark):
