@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +41,11 @@ def hashed_words(dims: int = EMBEDDING_DIMS) -> Encoder:
     buckets = _Buckets(dims)
 
     def encode(texts: list[str]) -> np.ndarray:
-        counts = np.zeros((len(texts), dims))
-        for row, text in enumerate(texts):
-            words = text.lower().encode().split()
-            places = np.fromiter(map(buckets.__getitem__, words), np.intp, len(words))
-            counts[row] = np.bincount(places, minlength=dims)
+        words = [text.lower().encode().split() for text in texts]
+        sizes = [len(w) for w in words]
+        places = np.fromiter(map(buckets.__getitem__, chain.from_iterable(words)), np.intp, sum(sizes))
+        places += np.repeat(np.arange(len(texts)) * dims, sizes)
+        counts = np.bincount(places, minlength=len(texts) * dims).reshape(-1, dims).astype(np.float64)
         norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
         return (counts / np.where(norms == 0, 1, norms)).astype(np.float32)
 

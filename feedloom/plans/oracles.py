@@ -135,6 +135,8 @@ ORACLES: dict[str, str] = {
     "knn_top5": f"""SELECT c.vec_id, c.label, round({PAIR_DISTANCE}, 4) AS distance
         FROM embeddings c, embeddings q WHERE q.vec_id = 0
         ORDER BY round({PAIR_DISTANCE}, 9), c.vec_id LIMIT 5""",
+    "vector_distances": f"""SELECT c.vec_id, round({PAIR_DISTANCE}, 4) AS distance
+        FROM embeddings c, embeddings q WHERE q.vec_id = 0""",
     "knn_batch_top5": KNN_ALL,
     "knn_blocked_top5": KNN_ALL,
     "vector_shapes": """SELECT CAST(len(embedding) AS INTEGER) AS dims, count(*) AS vectors

@@ -31,6 +31,7 @@ from feedloom.operators.search import (
     nearest_by_blocks,
     search_text,
     search_vector,
+    squared_distance,
     vector_shape,
     vector_table,
 )
@@ -84,6 +85,14 @@ def knn_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(found, "distance")
 
 
+def vector_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance of every vector to the first one."""
+    corpus = fx.table(spark, sf_dir, "embeddings")
+    query = corpus.where("vec_id = 0").select("embedding").first().embedding
+    distance = squared_distance(F.col("embedding"), query)
+    return corpus.select("vec_id", F.round(distance, 4).alias("distance"))
+
+
 def _self_queries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     corpus = fx.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return corpus, corpus.select(F.col("vec_id").alias("query_id"), "embedding")
@@ -512,7 +521,7 @@ def stream_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        knn_top5, knn_batch_top5, knn_blocked_top5, vector_shapes, vector_blob_roundtrip,
+        knn_top5, vector_distances, knn_batch_top5, knn_blocked_top5, vector_shapes, vector_blob_roundtrip,
         vector_table_build, feed_filter, feed_filter_legacy, feed_flatten, feed_verdicts,
         feed_from_cursor, hour_key_counts, cursor_max, hour_closed, import_valid, import_rejects,
         file_groups, file_rows, posts_upsert, posts_upsert_layers, posts_first_wins,

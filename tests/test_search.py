@@ -108,7 +108,8 @@ def test_nothing_to_search(spark):
 def test_single_search_sorts_no_more_than_k(spark, folder):
     write_vectors_table(corpus(spark, vectors(10)), folder + "/v")
     plan = search_vector(read_vectors(spark, folder + "/v"), [0.0] * 8, 5)
-    assert "TakeOrderedAndProject(limit=5" in plan._jdf.queryExecution().executedPlan().toString()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=5" in text and "Exchange" not in text
 
 
 def test_batch_search_does_not_shuffle_the_corpus(spark):
