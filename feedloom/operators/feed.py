@@ -1,52 +1,49 @@
-"""Feed messages: decode, select new posts, flatten, classify the rest.
-
-A message is decoded once. ``inline`` keeps the decoded value out of reach of filter
-push-down, which would otherwise decode the text again for every condition.
-"""
+"""Feed messages: decode, select new posts, flatten, classify the rest."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions.json import again, broken, decode, field, mistyped
 from feedloom.functions.text import first_filled, post_uri, variant_langs
 from feedloom.functions.times import written_date, written_hour
-from feedloom.schemas import POST_COLLECTION, QUOTE_TYPES
+from feedloom.schemas import MESSAGE, POST_COLLECTION, QUOTE_TYPES
 
 
 def parse_messages(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Add ``msg``, the decoded JSON text; null where the text is not valid JSON."""
-    decoded = F.struct(F.try_parse_json(F.col(column)).alias("msg"))
-    return lines.select("*", F.inline(F.array(decoded)))
+    """Add ``msg``, the decoded message."""
+    return decode(lines, column, MESSAGE)
 
 
-def _get(path: str, kind: str = "string") -> Column:
-    return F.try_variant_get("msg", path, kind)
+def event_time() -> Column:
+    """Event time as a number, whatever way it was written."""
+    return F.try_variant_get(field("time_us"), "$", "bigint")
 
 
-def _is_object(path: str) -> Column:
-    return _get(path, "map<string,variant>").isNotNull()
+def _is_commit() -> Column:
+    return F.coalesce(field("kind") == "commit", F.lit(False))
 
 
 def _is_new_post() -> Column:
     return F.coalesce(
-        (_get("$.commit.operation") == "create")
-        & (_get("$.commit.collection") == POST_COLLECTION),
+        (field("commit.operation") == "create") & (field("commit.collection") == POST_COLLECTION),
         F.lit(False),
     )
 
 
 def _filled_record() -> Column:
     # A record with a date is not empty; only the others need the full look.
-    shape = F.schema_of_variant(_get("$.commit.record", "variant"))
-    return F.when(_get("$.commit.record.createdAt").isNotNull(), True).otherwise(
-        F.coalesce(shape.startswith("OBJECT<") & (shape != "OBJECT<>"), F.lit(False))
+    return (
+        F.when(field("commit.record.createdAt").isNotNull(), True)
+        .when(field("commit.record").isNull(), False)
+        .otherwise(F.schema_of_variant(again("commit.record")) != "OBJECT<>")
     )
 
 
 def _empty_record() -> Column:
     """Missing, null, or an empty or zero value of any kind."""
-    text = _get("$.commit.record")
+    text = again("commit.record", "string")
     return text.isNull() | text.isin("{}", "[]", "", "0", "0.0", "false")
 
 
@@ -55,23 +52,17 @@ def verdict() -> Column:
 
     Skipped messages are other kinds of events. Dead ones cannot be read as what they claim to be.
     """
-    integer_time = F.coalesce(
-        F.schema_of_variant(_get("$.time_us", "variant")) == "BIGINT", F.lit(False)
-    )
-    commit = _get("$.commit", "variant")
+    integer_time = F.coalesce(F.schema_of_variant(field("time_us")) == "BIGINT", F.lit(False))
+    is_object = ~mistyped() | again("", "map<string,variant>").isNotNull()
+    no_commit = field("commit").isNotNull() | again("commit").isNull()
+    no_rkey = F.when(field("commit.rkey").isNull(), again("commit.rkey").isNull()).otherwise(False)
     return (
-        F.when(F.col("msg").isNull(), "dead:json")
-        .when(~integer_time, F.when(_is_object("$"), "skip").otherwise("dead:message"))
-        .when(~F.coalesce(_get("$.kind") == "commit", F.lit(False)), "skip")
-        .when(
-            ~_is_new_post(),
-            F.when(commit.isNull() | _is_object("$.commit"), "skip").otherwise("dead:commit"),
-        )
-        .when(
-            ~_filled_record(),
-            F.when(_empty_record(), "skip").otherwise("dead:record"),
-        )
-        .when(_get("$.commit.rkey", "variant").isNull(), "dead:rkey")
+        F.when(broken(), "dead:json")
+        .when(~integer_time, F.when(is_object, "skip").otherwise("dead:message"))
+        .when(~_is_commit(), "skip")
+        .when(~_is_new_post(), F.when(no_commit, "skip").otherwise("dead:commit"))
+        .when(~_filled_record(), F.when(_empty_record(), "skip").otherwise("dead:record"))
+        .when(no_rkey, "dead:rkey")
         .otherwise("post")
     )
 
@@ -83,9 +74,7 @@ def keep_posts(messages: DataFrame) -> DataFrame:
 
 def keep_posts_legacy(messages: DataFrame) -> DataFrame:
     """The older selection: the same without a look at the event time."""
-    return messages.where(
-        (_get("$.kind") == "commit") & _is_new_post() & _filled_record()
-    )
+    return messages.where(_is_commit() & _is_new_post() & _filled_record() & ~broken())
 
 
 def dead_letters(messages: DataFrame, column: str = "value") -> DataFrame:
@@ -98,37 +87,37 @@ def dead_letters(messages: DataFrame, column: str = "value") -> DataFrame:
 
 def flatten_posts(messages: DataFrame, *keep: str) -> DataFrame:
     """The 12 fields of a post, and the columns named in ``keep``."""
-    did = first_filled(_get("$.did"), _get("$.repo"))
-    rkey = _get("$.commit.rkey")
-    quoted = _get("$.commit.record.embed['$type']").isin(*QUOTE_TYPES)
+    did = first_filled(field("did"), field("repo"))
+    rkey = field("commit.rkey")
+    quoted = field("commit.record.embed.`$type`").isin(*QUOTE_TYPES)
     return messages.select(
         F.lit("post").alias("kind"),
         post_uri(did, rkey).alias("uri"),
-        _get("$.commit.cid").alias("cid"),
+        field("commit.cid").alias("cid"),
         did.alias("did"),
         rkey.alias("rkey"),
-        _text_or_empty("$.commit.record.createdAt").alias("created_at"),
-        _get("$.time_us", "bigint").alias("time_us"),
-        _text_or_empty("$.commit.record.text").alias("text"),
-        _get("$.commit.record.reply.parent.uri").alias("reply_parent"),
-        _get("$.commit.record.reply.root.uri").alias("reply_root"),
-        F.when(quoted, _get("$.commit.record.embed.record.uri")).alias("quote_uri"),
-        variant_langs(_get("$.commit.record.langs", "variant")).alias("langs"),
+        _text_or_empty("commit.record.createdAt").alias("created_at"),
+        event_time().alias("time_us"),
+        _text_or_empty("commit.record.text").alias("text"),
+        field("commit.record.reply.parent.uri").alias("reply_parent"),
+        field("commit.record.reply.root.uri").alias("reply_root"),
+        F.when(quoted, field("commit.record.embed.record.uri")).alias("quote_uri"),
+        variant_langs(field("commit.record.langs")).alias("langs"),
         *keep,
     )
 
 
 def _text_or_empty(path: str) -> Column:
     """A missing field is the empty text; an explicit null stays null."""
-    return F.when(_get(path, "variant").isNull(), "").otherwise(_get(path))
+    return F.when(field(path).isNotNull(), field(path)).when(again(path).isNull(), "")
 
 
 def legacy_posts(messages: DataFrame, *keep: str) -> DataFrame:
     """Posts in the older table shape. Posts without a readable date are left out."""
-    did = _get("$.did")
-    rkey = _get("$.commit.rkey")
-    created_at = _text_or_empty("$.commit.record.createdAt")
-    langs = _get("$.commit.record.langs", "variant")
+    did = field("did")
+    rkey = field("commit.rkey")
+    created_at = _text_or_empty("commit.record.createdAt")
+    langs = field("commit.record.langs")
     return (
         messages.select(
             post_uri(did, rkey).alias("uri"),
@@ -137,7 +126,7 @@ def legacy_posts(messages: DataFrame, *keep: str) -> DataFrame:
             created_at.alias("created_at"),
             written_date(created_at).alias("created_date"),
             written_hour(created_at).alias("created_hour"),
-            _text_or_empty("$.commit.record.text").alias("text"),
+            _text_or_empty("commit.record.text").alias("text"),
             F.when(langs.isNotNull(), F.array_join(variant_langs(langs), ",")).alias("langs"),
             F.lit(None).cast("string").alias("raw_json"),
             F.lit(None).cast("string").alias("embedding"),

@@ -5,46 +5,60 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions.json import again, broken, decode, field, mistyped
 from feedloom.functions.text import first_filled, has_english, langs_json, variant_langs
 from feedloom.functions.times import created_day, created_hour
-from feedloom.operators.feed import parse_messages
+from feedloom.schemas import POST_LINE
 
 REQUIRED = ("uri", "did", "rkey", "created_at", "time_us")
 
 
-def _get(name: str, kind: str = "string") -> Column:
-    return F.try_variant_get("msg", f"$.{name}", kind)
+TEXTS = (
+    "kind", "uri", "cid", "did", "repo", "rkey", "created_at", "text",
+    "reply_parent", "reply_root", "quote_uri",
+)
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Add the fields of a flat post and ``outcome``: ``post``, ``ignored`` or the failed field."""
-    langs = F.when(_get("langs") == "", F.array().cast("array<string>")).otherwise(
-        variant_langs(_get("langs", "variant"))
-    )
-    texts = (
-        "kind", "uri", "cid", "did", "repo", "rkey", "created_at", "text",
-        "reply_parent", "reply_root", "quote_uri",
-    )
-    return parse_messages(lines, column).select(
+    langs = field("langs")
+    no_langs = F.try_variant_get(langs, "$", "string") == ""
+    return decode(lines, column, POST_LINE).select(
         *lines.columns,
-        *[_get(name).alias(name) for name in texts],
-        _get("time_us", "bigint").alias("time_us"),
-        langs.alias("langs"),
+        *[field(name).alias(name) for name in TEXTS],
+        _time_us().alias("time_us"),
+        F.when(no_langs, F.array().cast("array<string>")).otherwise(variant_langs(langs)).alias("langs"),
         _outcome().alias("outcome"),
     )
 
 
+def _time_us() -> Column:
+    return F.try_variant_get(field("time_us"), "$", "bigint")
+
+
 def _outcome() -> Column:
-    named = _get("uri", "variant").isNotNull()
-    is_post = F.coalesce(_get("kind") == "post", F.lit(False)) & named
-    outcome = F.when(F.col("msg").isNull(), "json").when(~is_post, "ignored")
+    named = field("uri").isNotNull() | again("uri").isNotNull()
+    is_post = F.coalesce(field("kind") == "post", F.lit(False)) & named
+    return (
+        F.when(mistyped() | broken(), "json")
+        .when(~is_post, "ignored")
+        .otherwise(F.coalesce(_first_missing(), F.lit("post")))
+    )
+
+
+def _first_missing() -> Column:
+    # A list, not a chain of conditions: its code is split up, where a chain grows into one method
+    # too long for the JVM to compile.
+    missing = []
     for name in REQUIRED:
-        text = _get(name)
+        text = F.try_variant_get(field(name), "$", "string") if name == "time_us" else field(name)
         # The number zero counts as missing, the text "0" does not.
-        zero = F.schema_of_variant(_get(name, "variant")) != "STRING"
-        missing = F.when(text.isin("0", "0.0", "false"), zero).otherwise(text.isNull() | (text == ""))
-        outcome = outcome.when(missing, name)
-    return outcome.when(_get("time_us", "bigint").isNull(), "time_us").otherwise("post")
+        zero = F.schema_of_variant(again(name)) != "STRING"
+        empty = F.when(text.isin("0", "0.0", "false"), zero).otherwise(text.isNull() | (text == ""))
+        if name == "time_us":
+            empty = empty | _time_us().isNull()
+        missing.append(F.when(empty, name))
+    return F.get(F.array_compact(F.array(*missing)), F.lit(0))
 
 
 def valid_posts(

@@ -18,10 +18,24 @@ EXPORT_DAYS = 3
 SEARCH_K = 5
 FLUSH_SECONDS = 3
 
+# One feed message. A variant is a field whose type is looked at.
+MESSAGE = """
+    did STRING, repo STRING, time_us VARIANT, kind STRING,
+    commit STRUCT<
+        operation STRING, collection STRING, rkey STRING, cid STRING,
+        record STRUCT<
+            text STRING, createdAt STRING, langs VARIANT,
+            reply STRUCT<parent STRUCT<uri STRING>, root STRUCT<uri STRING>>,
+            embed STRUCT<`$type` STRING, record STRUCT<uri STRING>>
+        >
+    >
+"""
+
 # One post as it lies in an hour file.
-FLAT_POST = """
-    kind STRING, uri STRING, cid STRING, did STRING, rkey STRING, created_at STRING, time_us BIGINT,
-    text STRING, reply_parent STRING, reply_root STRING, quote_uri STRING, langs ARRAY<STRING>
+POST_LINE = """
+    kind STRING, uri STRING, cid STRING, did STRING, repo STRING, rkey STRING, created_at STRING,
+    time_us VARIANT, text STRING, reply_parent STRING, reply_root STRING, quote_uri STRING,
+    langs VARIANT
 """
 
 # One merged post of a day.

@@ -10,9 +10,8 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from feedloom.operators.feed import parse_messages
+from feedloom.operators.feed import event_time, parse_messages
 from feedloom.sources.hour_files import cursor
 
 
@@ -45,5 +44,4 @@ def stream_messages(
 
 
 def from_cursor(messages: DataFrame, start_us: int) -> DataFrame:
-    time_us = F.try_variant_get("msg", "$.time_us", "bigint")
-    return messages.where(time_us.isNull() | (time_us >= start_us))
+    return messages.where(event_time().isNull() | (event_time() >= start_us))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-from feedloom.sources.hour_files import HOUR_FILE, HOUR_FOLDER, day_of_name, hour_of
+from feedloom.sources.hour_files import HOUR_PATH, day_of_name, hour_of
 
 RANGE_BYTES = 64 * 1024 * 1024
 READ_BYTES = 4 * 1024 * 1024
@@ -78,7 +78,7 @@ class GrowingFilesReader(DataSourceStreamReader):
             for info in files.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
             if info.type == fs.FileType.File
             and not info.base_name.startswith(("_", "."))
-            and (re.match(HOUR_FILE, info.base_name) or re.search(HOUR_FOLDER, info.path))
+            and re.search(HOUR_PATH, info.path)
         ]
         return {info.path: _last_line_end(files, info.path, info.size) for info in chosen}
 
@@ -174,8 +174,7 @@ def stream_growing_lines(spark: SparkSession, path: str, **options: str) -> Data
     """Lines of growing hour files, in the shape of ``hour_files.stream_lines``."""
     spark.dataSource.register(GrowingFiles)
     lines = spark.readStream.format("growing_files").options(path=path, **options).load()
-    name = F.element_at(F.split("file_path", "/"), -1)
-    hour = hour_of(F.col("file_path"), name)
+    hour = hour_of(F.col("file_path"))
     return lines.select(
         "value",
         "file_path",

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 # --- fixed values: name pattern of hour files ---
 HOUR_FILE = r"^\d{4}-\d{2}-\d{2}T\d{2}\.ndjson(\.part)?$"
-HOUR_FOLDER = r"/hour=(\d{4}-\d{2}-\d{2}T\d{2})/"
+# The hour in a path of either layout; looked for once per line, so in one pattern.
+HOUR_PATH = (
+    r"/(?:hour=(?=[^/]+/)|(?=[^/]+\.ndjson))(\d{4}-\d{2}-\d{2}T\d{2})(?:/[^/]+|\.ndjson(?:\.part)?)$"
+)
 
 
 def is_hour_file(name: Column) -> Column:
@@ -22,20 +25,18 @@ def day_of_name(name: Column) -> Column:
     return F.substring(name, 1, 10)
 
 
-def hour_of(path: Column, name: Column) -> Column:
-    """Hour of a file from its name or its folder; null for foreign files."""
-    folder = F.nullif(F.regexp_extract(path, HOUR_FOLDER, 1), F.lit(""))
-    # Names in folder URLs have their colon and the like escaped; an hour key has none.
-    return F.when(is_hour_file(name), F.substring(name, 1, 13)).otherwise(folder)
+def hour_of(path: Column) -> Column:
+    """Hour of a file from its name or its folder; empty for foreign files."""
+    return F.regexp_extract(path, HOUR_PATH, 1)
 
 
 def _lines(text: DataFrame, *extra: Column) -> DataFrame:
-    path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
-    return text.where(hour_of(path, name).isNotNull() & (F.col("value") != "")).select(
+    path = F.col("_metadata.file_path")
+    return text.where((hour_of(path) != "") & (F.col("value") != "")).select(
         "value",
         path.alias("file_path"),
         F.unix_micros("_metadata.file_modification_time").alias("file_time"),
-        hour_of(path, name).alias("hour"),
+        hour_of(path).alias("hour"),
         F.col("_metadata.file_block_start").alias("block_start"),
         *extra,
     )
@@ -45,9 +46,8 @@ def read_lines(spark: SparkSession, path: str, day: str | None = None) -> DataFr
     """Lines of all hour files below ``path``, or of one day, with file and hour."""
     text = spark.read.option("recursiveFileLookup", "true").text(path)
     if day is not None:
-        # A filter on file names alone: files of other days are not opened.
-        name = hour_of(F.col("_metadata.file_path"), F.col("_metadata.file_name"))
-        text = text.where(day_of_name(name) == day)
+        # A filter on paths alone: files of other days are not opened.
+        text = text.where(day_of_name(hour_of(F.col("_metadata.file_path"))) == day)
     return _lines(text).withColumn("file_day", day_of_name(F.col("hour")))
 
 

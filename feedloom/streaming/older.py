@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feedloom.operators.feed import keep_posts_legacy, legacy_posts
+from feedloom.operators.feed import event_time, keep_posts_legacy, legacy_posts
 from feedloom.operators.merge import first_per_key
 from feedloom.schemas import OLDER_POSTS
 from feedloom.streaming.bronze import triggered
@@ -29,7 +29,7 @@ def start_older(
         _write(first_per_key(posts, "uri", order).drop("arrival"), folder)
 
     taken_at = F.unix_micros(F.current_timestamp()).alias("taken_at")
-    arrival = F.coalesce(F.try_variant_get("msg", "$.time_us", "bigint"), F.lit(0))
+    arrival = F.coalesce(event_time(), F.lit(0))
     stamped = messages.select("msg", taken_at, arrival.alias("arrival"))
     writer = stamped.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store_batch)
     return triggered(writer, every).start()

@@ -77,13 +77,14 @@ def test_verdict_of_broken_messages(spark):
         "{bad", "", "[1]", '"text"', message()[:40],
         '{"time_us":5,"kind":"commit","commit":null}', '{"time_us":5,"kind":"commit","commit":"x"}',
         '{"time_us":5,"kind":"commit"}', message(commit={"rkey": DROP}),
+        message() + message(), message() + " " + message(), message() + " x",
     ]
     assert verdicts(spark, broken) == [
         "dead:json", "dead:json", "dead:message", "dead:message", "dead:json",
-        "dead:commit", "dead:commit", "skip", "dead:rkey",
+        "dead:commit", "dead:commit", "skip", "dead:rkey", "dead:json", "dead:json", "dead:json",
     ]
     letters = dead_letters(parsed(spark, broken))
-    assert letters.count() == 8
+    assert letters.count() == 11
     assert {r.reason for r in letters.collect()} == {"json", "message", "commit", "rkey"}
 
 
@@ -148,6 +149,17 @@ def test_quote_pointers(spark):
     assert [p["quote_uri"] for p in posts] == ["q", "q"] + [None] * 6
 
 
+def test_odd_but_valid_messages_are_kept(spark):
+    braces = message(record={"text": 'a }{ b } { "c" },{'})
+    spaced = message() + " \r"
+    unknown = message(record={"facets": [{"a": 1}, {"b": 2}], "reply": "x", "embed": [1]}, extra={"a": {}})
+    twice = message()[:-1] + ', "did": "did:2"}'
+    posts = flat(spark, braces, spaced, unknown, twice)
+    assert [p["text"] for p in posts] == ['a }{ b } { "c" },{'] + ["hello world"] * 3
+    assert [p["did"] for p in posts] == ["did:1"] * 3 + ["did:2"]
+    assert posts[2]["reply_parent"] is None and posts[2]["quote_uri"] is None
+
+
 def test_older_selection_does_not_look_at_the_time(spark):
     texts = [message(time_us="12"), message(time_us=DROP), message(commit={"record": {}}), message(kind="x")]
     kept = keep_posts_legacy(parsed(spark, texts)).select("i").collect()
@@ -177,4 +189,4 @@ def test_a_message_is_decoded_once(spark, folder):
     spark.createDataFrame([(message(),)], "value STRING").write.text(folder + "/m")
     df = flatten_posts(keep_posts(parse_messages(spark.read.text(folder + "/m"))))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("parseJson") == 1
+    assert plan.count("from_json(") == 1

@@ -31,10 +31,11 @@ def test_outcomes(spark):
         spark, line(), line(kind="like"), line(uri="DROP"), line(uri=None), line(uri=""), line(did=""),
         line(did="DROP", repo="r"), line(rkey=None), line(created_at=""), line(time_us=0),
         line(time_us="DROP"), line(time_us="abc"), line(time_us="12"), "{half", line(rkey=0),
-        line(rkey="0"), line(time_us="0"), line(created_at=False),
+        line(rkey="0"), line(time_us="0"), line(created_at=False), "[1]", line() + line(),
     ) == [
         "post", "ignored", "ignored", "uri", "uri", "did", "did", "rkey", "created_at", "time_us",
         "time_us", "time_us", "post", "json", "rkey", "post", "post", "created_at",
+        "json", "json",
     ]
 
 

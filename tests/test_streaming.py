@@ -236,7 +236,7 @@ def test_no_posts_yet(spark, tmp_path):
 def test_hour_files_by_name(spark, tmp_path):
     for name in (
         "2024-01-02T03.ndjson", "2024-01-01T10.ndjson", "2024-01-01T02.ndjson.part", "2024-01-01T02.ndjson",
-        "2024-01-0102.ndjson", "2024-01-01T02.ndjson.tmp", "x2024-01-01T02.ndjson",
+        "2024-01-0102.ndjson", "2024-01-01T02.ndjson.tmp", "x2024-01-01T02.ndjson", "2024-01-01T02/x.json",
     ):
         put(tmp_path / f"h/{name}", [post(1), post(2)])
     lines = read_lines(spark, str(tmp_path / "h"))
