@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,7 @@ def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
 
 def embed_batch(
     posts: DataFrame,
+    days: Sequence[str],
     path: str,
     run: str,
     batch: int,
@@ -36,15 +37,15 @@ def embed_batch(
 ) -> None:
     """Encode the pending posts that have no vector below ``path`` and append their vectors.
 
-    Only vectors of the days of the batch are looked up. The batch's own folder is not, so a
-    repeated batch writes the same rows again.
+    ``posts`` are of the given days, and only vectors of these days are looked up. The batch's own
+    folder is not, so a repeated batch writes the same rows again.
     """
     queue = pending_posts(posts).select(
         "uri", embed_text(F.col("text"), max_chars).alias("text"), "file_day"
     )
     own = (F.col("run") == run) & (F.col("batch") == f"{batch:012d}")
     done = _read(posts.sparkSession, path, SCHEMA).where(
-        F.col("file_day").isin(_days(queue)) & ~own
+        F.col("file_day").isin(list(days)) & ~own
     )
     encoded = encode_texts(without_vector(queue, done), "text", make_encoder)
     _write(encoded, f"{path}/run={run}/batch={batch:012d}", "file_day")
@@ -62,7 +63,11 @@ def start_embedding(
     def encode_batch(batch: DataFrame, number: int) -> None:
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         posts = legacy_view(merge_posts(imported_posts(imported(batch))), "file_day")
-        embed_batch(posts, path, run, number, make_encoder)
+        # Days come from file names; no line is decoded for them.
+        embed_batch(posts, _days(batch), path, run, number, make_encoder)
 
+    # An empty write makes the folder, so that the first batch finds a table to look into.
+    none = lines.sparkSession.createDataFrame([], SCHEMA)
+    none.write.mode("append").partitionBy("run", "batch", "file_day").parquet(path)
     writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(encode_batch)
     return triggered(writer, every).start()
