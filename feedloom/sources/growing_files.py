@@ -62,6 +62,7 @@ class GrowingFilesReader(DataSourceStreamReader):
     def __init__(self, path: str, range_bytes: int):
         self.path = path
         self.range_bytes = range_bytes
+        self.ends: dict[str, tuple[int, int]] = {}
 
     def _files(self) -> tuple[fs.FileSystem, str]:
         if "://" in self.path:
@@ -80,7 +81,11 @@ class GrowingFilesReader(DataSourceStreamReader):
             and not info.base_name.startswith(("_", "."))
             and re.search(HOUR_PATH, info.path)
         ]
-        return {info.path: _last_line_end(files, info.path, info.size) for info in chosen}
+        # Only files whose size changed since the last look are opened.
+        for info in chosen:
+            if self.ends.get(info.path, (-1, 0))[0] != info.size:
+                self.ends[info.path] = (info.size, _last_line_end(files, info.path, info.size))
+        return {info.path: self.ends[info.path][1] for info in chosen}
 
     def partitions(self, start: dict, end: dict) -> Sequence[Ranges]:
         tasks: list[Ranges] = []
