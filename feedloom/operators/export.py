@@ -25,12 +25,18 @@ def in_trailing_days(
     return df.where(F.col(column).between(first.isoformat(), last))
 
 
-def export_rows(posts: DataFrame, last: str, days: int = EXPORT_DAYS) -> DataFrame:
-    """Posts with a vector in the export shape; bytes that are no vector give null."""
-    chosen = in_trailing_days(posts, last, days).where(F.col("embedding_blob").isNotNull())
+def export_rows(
+    posts: DataFrame, last: str, days: int = EXPORT_DAYS, vector: str | None = None
+) -> DataFrame:
+    """Posts with a vector in the export shape; bytes that are no vector give null.
+
+    ``vector`` names a column that holds the vectors as lists; without it the bytes are unpacked.
+    """
+    chosen = in_trailing_days(posts, last, days).where(F.col(vector or "embedding_blob").isNotNull())
+    embedding = F.col(vector) if vector else unpack_vector(F.col("embedding_blob"))
     return chosen.select(
         "uri", "created_at", "created_date", "created_hour", "text",
-        unpack_vector(F.col("embedding_blob")).alias("embedding"),
+        embedding.alias("embedding"),
         public_link(F.col("uri")).alias("post_url"),
     ).select(*EXPORT_COLUMNS)
 

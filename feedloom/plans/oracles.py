@@ -204,6 +204,13 @@ ORACLES: dict[str, str] = {
         FROM older JOIN embeddings e ON vec_id = doc_id
         WHERE CAST(created_date AS DATE)
           BETWEEN DATE '{EXPORT_END}' - INTERVAL 2 DAY AND DATE '{EXPORT_END}'""",
+    "export_merged": f"""WITH {FEED}, {FLAT}
+        SELECT uri, substr(created_at, 1, 10) AS created_date,
+          CAST(substr(created_at, 12, 2) AS INTEGER) AS created_hour, {MERGED_TEXT} AS text,
+          CAST(flat.doc_id AS DOUBLE) AS first, {LINK} AS post_url
+        FROM flat JOIN labels l ON l.doc_id = flat.doc_id AND l.quality = 1
+        WHERE created_at <> '' AND CAST(substr(created_at, 1, 10) AS DATE)
+          BETWEEN DATE '{EXPORT_END}' - INTERVAL 2 DAY AND DATE '{EXPORT_END}'""",
     "export_chunks": f"""SELECT uri, created_date, created_hour, CAST((row_number() OVER (
           PARTITION BY created_date, created_hour ORDER BY md5(uri), uri) - 1) // {CHUNK_ROWS}
           AS INTEGER) AS chunk FROM ({EVENT_POST})""",

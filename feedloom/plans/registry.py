@@ -333,6 +333,16 @@ def export_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def export_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export of the merged table, whose vectors are lists already."""
+    merged = merge_posts(reduce(DataFrame.unionByName, fx.import_runs(spark, sf_dir)))
+    rows = export_rows(legacy_view(merged, "emb_vec"), EXPORT_END, vector="emb_vec")
+    return rows.select(
+        "uri", "created_date", "created_hour", "text",
+        F.get("embedding", F.lit(0)).cast("double").alias("first"), "post_url",
+    )
+
+
 def export_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunked = with_chunk(fx.event_posts(spark, sf_dir), CHUNK_ROWS)
     return chunked.select("uri", "created_date", "created_hour", "chunk")
@@ -526,7 +536,7 @@ QUERIES: dict[str, Query] = {
         feed_from_cursor, hour_key_counts, cursor_max, hour_closed, import_valid, import_rejects,
         file_groups, file_rows, posts_upsert, posts_upsert_layers, posts_first_wins,
         posts_distinct, posts_legacy_view, posts_legacy_from_merged, pending_queue, pending_all,
-        embed_input, embedding_writeback, export_posts, export_chunks, export_grid,
+        embed_input, embedding_writeback, export_posts, export_merged, export_chunks, export_grid,
         consolidation_stale, consolidate_union, hash_encode, text_search_batch, text_search,
         row_count, sql_where, count_by_day, sample_limit, stream_bronze,
         stream_dead, stream_upsert, stream_replay, tail_source, stream_older, stream_embedding,

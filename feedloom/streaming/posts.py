@@ -20,6 +20,7 @@ from feedloom.operators.importing import is_reject, parse_lines, rejected_lines,
 from feedloom.operators.merge import merge_posts
 from feedloom.schemas import POSTS
 from feedloom.sources.hour_files import arrival
+from feedloom.sources.tables import list_files
 from feedloom.streaming.bronze import triggered
 
 LAYERS = "layers"
@@ -78,10 +79,16 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def _days(df: DataFrame) -> list[str]:
-    """The days of a table, as named by its folders: a list as long as the calendar."""
+    """The days among the rows: a list as long as the calendar."""
     return sorted(r.file_day for r in df.select("file_day").distinct().collect())
 
 
+def _table_days(spark: SparkSession, path: str) -> list[str]:
+    """The days of a table, from the names of its files; no file is opened."""
+    day = F.regexp_extract("path", "/file_day=([^/]+)/", 1).alias("file_day")
+    return _days(list_files(spark, path, "*.parquet").select(day))
+
+
 def _layers(spark: SparkSession, path: str) -> DataFrame:
     layers = _read(spark, f"{path}/{LAYERS}", f"{POSTS}, run STRING, batch STRING")
     place = F.struct(F.lit(1).alias("layer"), "indexed_last", "run", "batch")
@@ -94,9 +101,11 @@ def _base(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
     found: set[str] = set()
     for table in tables:
         posts = _read(spark, table, POSTS)
-        days = [d for d in _days(posts) if d not in found] if len(tables) > 1 else None
-        rows = rows.unionByName(posts if days is None else posts.where(F.col("file_day").isin(days)))
-        found.update(days or ())
+        if len(tables) > 1:
+            days = [day for day in _table_days(spark, table) if day not in found]
+            found.update(days)
+            posts = posts.where(F.col("file_day").isin(days))
+        rows = rows.unionByName(posts)
     return rows
 
 
@@ -116,7 +125,7 @@ def read_posts(spark: SparkSession, path: str, base: Sequence[str] = ()) -> Data
     if not base:
         return merge_posts(layers)
     posts = _base(spark, base)
-    touched = F.col("file_day").isin(_days(layers))
+    touched = F.col("file_day").isin(_table_days(spark, f"{path}/{LAYERS}"))
     return _on_base(layers, posts.where(touched)).unionByName(posts.where(~touched))
 
 
@@ -136,5 +145,6 @@ def compact_posts(
     fails leaves all data as it was. New layers should go to a new ``path``.
     """
     layers = _layers(spark, path)
-    posts = _base(spark, base).where(F.col("file_day").isin(_days(layers)))
+    touched = F.col("file_day").isin(_table_days(spark, f"{path}/{LAYERS}"))
+    posts = _base(spark, base).where(touched)
     _write(_on_base(layers, posts).hint("rebalance", "file_day"), target, "file_day")
