@@ -91,14 +91,17 @@ def _top_k(
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:
+    sizes = pc.min_max(pc.list_value_length(lists)).as_py()
     values = lists.flatten().to_numpy(zero_copy_only=False)
-    if len(lists) and len(values) % len(lists):
+    if lists.null_count or sizes["min"] != sizes["max"]:
         raise ValueError("vectors of different dimensions")
-    return values.reshape(len(lists), -1)
+    return values.reshape(len(lists), sizes["max"] or 0)
 
 
 def _columns(df: DataFrame, key: str, vector: str) -> DataFrame:
-    return df.select(F.col(key).alias(key), F.col(vector).cast("array<float>").alias(vector))
+    return df.where(F.size(vector) > 0).select(
+        F.col(key).alias(key), F.col(vector).cast("array<float>").alias(vector)
+    )
 
 
 def nearest(
@@ -114,7 +117,8 @@ def nearest(
 
     Runs a job that fetches at most ``max_queries + 1`` queries. If that is all of them, they are
     sent to all tasks and the corpus is not shuffled; otherwise see ``nearest_by_blocks``.
-    Corpus vectors of another dimension than the queries are no neighbours of them.
+    All queries have one dimension; corpus vectors of another one are no neighbours of them, and a
+    query without a vector has none.
     """
     sent = _columns(queries, query_key, vector).limit(max_queries + 1).toArrow()
     if sent.num_rows > max_queries:
@@ -149,10 +153,11 @@ def nearest_by_blocks(
 ) -> DataFrame:
     """The same for a query set of any size: blocks of queries meet shards of the corpus.
 
-    Both keys must be unique, so blocks and shards are even; all vectors have one dimension.
-    A task holds one block and one shard.
+    Both keys must be unique, so blocks and shards are even. A task holds one block and one shard.
     """
-    blocks = -(-queries.count() // block_queries) or 1
+    asked = queries.where(F.size(vector) > 0).agg(F.count("*"), F.max(F.size(vector))).first()
+    corpus = corpus.where(F.size(vector) == (asked[1] or 0))
+    blocks = -(-asked[0] // block_queries) or 1
     shards = -(-corpus.count() // shard_rows) or 1
     number = lambda column, n: F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

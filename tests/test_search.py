@@ -105,6 +105,22 @@ def test_nothing_to_search(spark):
     assert search_vector(corpus(spark, matrix).limit(0), [0.0] * 8, 5).count() == 0
 
 
+def test_vectors_that_do_not_fit_are_no_neighbours(spark):
+    matrix = vectors(20)
+    odd = spark.createDataFrame([("x", "t", [0.0] * 4), ("y", "t", None), ("z", "t", [])], SCHEMA)
+    df = corpus(spark, matrix).unionByName(odd)
+    asked = queries(spark, matrix[:3]).unionByName(
+        spark.createDataFrame([(9, None), (8, [])], "query_id INT, embedding ARRAY<FLOAT>")
+    )
+    for got in (nearest(df, asked, 30), nearest_by_blocks(df, asked, 30, block_queries=2, shard_rows=8)):
+        counts = {r.query_id: r["count"] for r in got.groupBy("query_id").count().collect()}
+        assert counts == {0: 20, 1: 20, 2: 20}
+    assert search_vector(df, matrix[0].tolist(), 30).count() == 20
+    mixed = spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "query_id INT, embedding ARRAY<FLOAT>")
+    with pytest.raises(ValueError):
+        nearest(df, mixed, 2)
+
+
 def test_single_search_sorts_no_more_than_k(spark, folder):
     write_vectors_table(corpus(spark, vectors(10)), folder + "/v")
     plan = search_vector(read_vectors(spark, folder + "/v"), [0.0] * 8, 5)
