@@ -43,7 +43,17 @@ def embed_text(text: Column, max_chars: int | None = MAX_EMBED_CHARS) -> Column:
 
 
 def langs_json(langs: Column) -> Column:
-    return F.to_json(langs)
+    """Compact JSON list, with letters outside ASCII as ``\\u`` escapes."""
+    text = F.to_json(langs)
+
+    def escaped(letter: Column) -> Column:
+        units = F.lower(F.hex(F.encode(letter, "UTF-16BE")))
+        return F.when(F.octet_length(letter) == 1, letter).otherwise(
+            F.regexp_replace(units, "(.{4})", r"\\u$1")
+        )
+
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, text).otherwise(F.array_join(F.transform(F.split(text, ""), escaped), ""))
 
 
 def has_english(langs: Column) -> Column:

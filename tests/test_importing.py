@@ -59,6 +59,12 @@ def test_post_columns(spark):
     }
 
 
+def test_language_list_is_ascii(spark):
+    forms = [["é", "en"], ["日本"], ["😀"], ['a"b\\']]
+    rows = posts(spark, *[line(langs=f) for f in forms])
+    assert [r.langs_json for r in rows] == [json.dumps(f, separators=(",", ":")) for f in forms]
+
+
 def test_languages_of_lines(spark):
     forms = [["de", "en"], ["en-US"], [], "en", "", None, "DROP"]
     rows = posts(spark, *[line(langs=f) for f in forms])
