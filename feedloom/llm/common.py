@@ -16,6 +16,7 @@ from feedloom.session import run_folder
 # A word is a run of anything but blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = "[^\\x20\\x09-\\x0D]+"
 BROADCAST_BYTES = 32 << 20
+BATCH_ROWS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,7 +56,7 @@ def lower_words(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """Word to 64-bit hash, remembered up to a number of words."""
 
-    limit = 1 << 20
+    limit = 1 << 18
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
@@ -83,9 +84,16 @@ def windows_hash(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def run_batches(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` with a function from rows as dicts of lists to rows as dicts of lists."""
+    """``mapInArrow`` with a function from rows as dicts of lists to rows as dicts of lists.
+
+    Texts may be long, so the session's Arrow batches are held to 1,024 rows.
+    """
     from pyspark.sql.types import StructType
 
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
     target = StructType.fromDDL(schema)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

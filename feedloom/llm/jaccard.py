@@ -77,7 +77,7 @@ def _read_full_sets(words: int):
     def rows(batches):
         memory = WordHashes()
         for batch in batches:
-            out = {"c": batch["c"], "members": [], "more": []}
+            out = {"c": batch["c"], "members": [], "more": [], "alike": batch["alike"]}
             for text, lack in zip(batch["text"], batch["lack"]):
                 found = shingle_set(text, words, memory)
                 out["members"].append(found.tobytes())
@@ -108,13 +108,20 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Distinct (a, b) pairs that link; ``a`` is meant to be the class with the fewer different values."""
     left = sets.select(F.col("c").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("c").alias("b"), F.col("members").alias("y"))
-    met = pairs.select("a", "b").where("a <> b").distinct().join(right, "b").join(left, "a")
+    met = right.join(few(stored(pairs.select("a", "b").where("a <> b").distinct(), "pairs"), 24), "b").join(left, "a")
     return run_batches(met.select("a", "b", "x", "y"), _verify(percent), "a long, b long")
 
 
-def _fits(percent: int, n: str, m: str) -> str:
-    """Sizes that can reach the similarity at all."""
-    return f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m})"
+def _fits(percent: int) -> str:
+    """Sizes that can reach the similarity, with enough shingles left from the shared one on.
+
+    At the first shingle that two sets share, all others they share come later in both. So a pair that links passes
+    here at its first shared shingle.
+    """
+    return (
+        f"100 * least(n1, n) >= {percent} * greatest(n1, n)"
+        f" and (100 + {percent}) * (1 + least(n1 - at1, n - at)) >= {percent} * (n1 + n)"
+    )
 
 
 def link_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
@@ -148,30 +155,40 @@ def link_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> tuple[Da
         .withColumn("hits", F.coalesce("hits", F.lit(0)))
         .withColumn("want", F.expr(f"n - cast(ceil({percent} * n / 100) as int) + 1 - (counted - hits)"))
         .where("want > 0")
-        .select("c", "n", "want", F.expr("cast(greatest(want - hits, 0) as int)").alias("lack"))
+        .select("c", "n", "want", "counted", F.expr("counted - hits").alias("alone"),
+                F.expr("cast(greatest(want - hits, 0) as int)").alias("lack"))
     )
     left = stored(lengths, "left")
 
     # Full sets of the classes that are left, each read from one of its texts.
-    texts = rows.where("n > 0").groupBy("c").agg(F.min("text_key").alias("text_key"))
-    wanted = few(stored(texts.join(left, "c").select("c", "text_key", "lack"), "wanted"), 64)
+    texts = (
+        rows.where("n > 0").join(left.select("c"), "c", "left_semi")
+        .groupBy("c", "text_key").agg(F.count("*").alias("alike"))
+        .groupBy("c").agg(F.min_by(F.struct("text_key", "alike"), "text_key").alias("one"))
+    )
+    wanted = few(stored(texts.join(left, "c").select("c", "one.*", "lack"), "wanted"), 80)
     full = own.select("text", "text_key").join(wanted, "text_key")
     sets = stored(
-        run_batches(full.select("c", "text", "lack"), _read_full_sets(words),
-                    "c long, members binary, more array<bigint>"), "full")
-    sets_once = sets.dropDuplicates(["c"]).select("c", "members")
+        run_batches(full.select("c", "text", "lack", "alike"), _read_full_sets(words),
+                    "c long, members binary, more array<bigint>, alike long"), "full")
+    sets = sets.where("alike = 1").union(sets.where("alike > 1").dropDuplicates(["c"])).drop("alike")
 
+    # Prefix shingles with their 1-based places in the global order; those that nobody shares stand first.
     order = Window.partitionBy("c").orderBy("df", "s")
     counted = (
-        shared.join(left.select("c", "want"), "c")
-        .withColumn("at", F.row_number().over(order)).where("at <= want").select("c", "s")
+        shared.join(left.select("c", "n", "want", "alone"), "c")
+        .withColumn("at", F.row_number().over(order)).where("at <= want")
+        .select("c", "s", "n", (F.col("at") + F.col("alone")).alias("at"))
+    )
+    uncounted = (
+        sets.select("c", F.posexplode("more").alias("at", "s")).join(left.select("c", "n", "counted"), "c")
+        .select("c", "s", "n", (F.col("counted") + F.col("at") + 1).alias("at"))
     )
-    uncounted = sets.select("c", F.explode("more").alias("s"))
-    tokens = counted.union(uncounted).distinct()
-    groups = tokens.groupBy("c").agg(F.sort_array(F.collect_list("s")).alias("prefix")).join(left.select("c", "n"), "c")
+    tokens = stored(counted.union(uncounted), "tokens")
+    groups = tokens.groupBy("c", "n").agg(F.sort_array(F.collect_list("s")).alias("prefix"))
     members = stored(groups.select("c", "n", F.xxhash64("prefix", "n").alias("g")), "groups")
-    prefixes = stored(tokens.join(members, "c"), "prefixes")
-    full_sets = stored(sets_once.join(members.select("c"), "c", "left_semi"), "members")
+    prefixes = stored(tokens.join(members.select("c", "g"), "c"), "prefixes")
+    full_sets = sets.select("c", "members")
 
     # A first round of pairs in proportion to the rows.
     band = F.floor(F.log(F.col("n")) / F.lit(float(np.log(100 / percent))))
@@ -193,15 +210,15 @@ def link_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> tuple[Da
         prefixes.join(labels.withColumnRenamed("node", "c"), "c", "left")
         .withColumn("label", F.coalesce("label", "c"))
     )
-    blocks = known.groupBy("s", "g", "n", "label").agg(F.count("*").alias("k"))
+    blocks = known.groupBy("s", "g", "n", "at", "label").agg(F.count("*").alias("k"))
     weights = blocks.groupBy("s", "label").agg(F.sum("k").alias("k"))
     largest = weights.groupBy("s").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count("*").alias("sides"))
     mixed = largest.where("sides > 1").select("s", "main")
-    meeting = blocks.join(mixed, "s").select("s", "g", "n", "label", "main")
-    small = meeting.where("label <> main").select("s", *[F.col(x).alias(f"{x}1") for x in ("g", "n", "label")])
+    meeting = blocks.join(mixed, "s").select("s", "g", "n", "at", "label", "main")
+    small = meeting.where("label <> main").select("s", *[F.col(x).alias(f"{x}1") for x in ("g", "n", "at", "label")])
     pairs = (
         small.join(meeting.drop("main"), "s")
-        .where(f"label1 <> label and {_fits(percent, 'n1', 'n')}")
+        .where(f"label1 <> label and {_fits(percent)}")
         .select("g1", "label1", "g", "label").distinct()
     )
     whole = members.join(labels.withColumnRenamed("node", "c"), "c", "left").select(
