@@ -4,17 +4,18 @@ Two documents link when ``100 * intersection >= percent * union`` of their sets
 shingles. The result is the connected components of all links, without writing all pairs.
 
 1. Each text becomes a set of 64-bit shingle hashes. Documents with equal sets are one class.
-2. The shingles whose hash lies in the lowest quarter of the number range form the counted part of every set.
-   For them the exact number of classes that hold each shingle is counted over all classes. Ordering by
-   (counted part first, count, hash) is one global order, so any two linked sets share a shingle among
-   the first ``n - ceil(percent% of n) + 1`` of each. A class whose prefix is filled by shingles that no other
-   class holds has no link at all and leaves here; that is most of them.
+2. Shingles are ordered by the number of classes that hold them, counted over all classes, then by hash. Any
+   two linked sets share a shingle among the first ``n - ceil(percent% of n) + 1`` (the prefix) of each. A
+   class whose prefix is filled by shingles that no other class holds has no link at all and leaves. This
+   is done twice: first with counts for the shingles in the lowest quarter of the hash range, placed first in
+   the order, which lets most classes leave at a quarter of the cost; then for all shingles of the rest.
 3. Classes with the same size and the same prefix form a group. Groups that share a prefix shingle meet;
    the sizes filter them, and then the members are expanded and verified on their full sets.
    First every group meets one chosen group per shingle and size band, and every member the first member
-   of its group (a number of pairs in proportion to the rows). What is linked by then needs no further
-   pairs. Afterwards all remaining pairs of groups of different components meet, so no
-   link that matters to a component is lost. Per shingle, the largest component only meets the others.
+   of its group; outsiders then try further members of the largest component. These pairs grow with the rows.
+   What is linked by then needs no further pairs. Afterwards all remaining pairs of groups of different
+   components meet, so no link that matters to a component is lost. Per shingle, the largest component only
+   meets the others.
 
 Edge cases: a null or empty text has the empty set and links with nothing; fewer words than a shingle
 give one shingle of the whole sequence; repeated rows and equal texts share a class and so a component; a
@@ -26,6 +27,7 @@ Hashes have 64 bits: two different classes or shingles may be taken for one with
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +38,7 @@ from feedloom.llm.common import (
 
 COUNTED = np.uint64(1 << 62)  # a quarter of the number range
 EMPTY_CLASS = 0
+TURNS = 2  # rounds of single partners before the rest meets in full
 
 
 def shingle_set(text: str | None, words: int, memory: WordHashes) -> np.ndarray:
@@ -72,44 +75,45 @@ def _read_sets(words: int):
 
 
 def _read_full_sets(words: int):
-    """Row function: the full set, and as many of its uncounted shingles as the prefix still lacks."""
+    """Row function: the full set of each text."""
 
     def rows(batches):
         memory = WordHashes()
         for batch in batches:
-            out = {"c": batch["c"], "members": [], "more": [], "alike": batch["alike"]}
-            for text, lack in zip(batch["text"], batch["lack"]):
-                found = shingle_set(text, words, memory)
-                out["members"].append(found.tobytes())
-                out["more"].append(found[np.searchsorted(found, COUNTED) :][:lack].view(np.int64))
-            yield out
+            yield {
+                "c": batch["c"], "alike": batch["alike"],
+                "members": [shingle_set(text, words, memory).view(np.int64) for text in batch["text"]],
+            }
 
     return rows
 
 
 def _verify(percent: int):
-    """Row function: the pairs whose full sets link."""
+    """Arrow function: the pairs whose full sets link."""
 
     def rows(batches):
         for batch in batches:
-            out = {"a": [], "b": []}
-            for a, b, x, y in zip(batch["a"], batch["b"], batch["x"], batch["y"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    out["a"].append(a)
-                    out["b"].append(b)
-            yield out
+            sets = []
+            for name in ("x", "y"):
+                column = batch.column(name)
+                sets.append((column.values.to_numpy(), column.offsets.to_numpy()))
+            (x, i), (y, j) = sets
+            keep = []
+            for row in range(batch.num_rows):
+                one, other = x[i[row] : i[row + 1]], y[j[row] : j[row + 1]]
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                keep.append(100 * both >= percent * (len(one) + len(other) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return rows
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct (a, b) pairs that link; ``a`` is meant to be the class with the fewer different values."""
+    """The distinct (a, b) pairs that link, stored."""
     left = sets.select(F.col("c").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("c").alias("b"), F.col("members").alias("y"))
     met = right.join(few(stored(pairs.select("a", "b").where("a <> b").distinct(), "pairs"), 24), "b").join(left, "a")
-    return run_batches(met.select("a", "b", "x", "y"), _verify(percent), "a long, b long")
+    return stored(met.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
 
 
 def _fits(percent: int) -> str:
@@ -124,6 +128,24 @@ def _fits(percent: int) -> str:
     )
 
 
+def _shared(held: DataFrame, name: str) -> DataFrame:
+    """Rows ``c, s, df`` of the shingles that several classes hold, with their number of classes."""
+    counts = held.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    return stored(held.join(counts, "s").select("c", "s", "df"), name)
+
+
+def _left(sizes: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Classes whose prefix reaches a shared shingle: ``c, n``, how many unshared ones stand first
+    (``alone``) and how many shared ones the prefix takes (``want``)."""
+    hits = shared.groupBy("c").agg(F.count("*").alias("hits"))
+    return (
+        sizes.join(hits, "c", "left")
+        .withColumn("alone", F.expr("size - coalesce(hits, 0)"))
+        .withColumn("want", F.expr(f"n - cast(ceil({percent} * n / 100) as int) + 1 - alone"))
+        .where("want > 0").select("c", "n", "alone", "want")
+    )
+
+
 def link_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """Rows ``doc_id, text_key, n, c`` and components ``node, label`` of the classes that have links.
 
@@ -143,78 +165,67 @@ def link_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> tuple[Da
         .groupBy("c").agg(F.max("n").alias("n"), F.max("counted").alias("counted"))
     )
     classes = once.union(others)
-    held = classes.select("c", F.explode("counted").alias("s"))
-    counts = held.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
-    shared = stored(held.join(counts, "s"), "shared")
-
-    # Prefix length, less the shingles that nobody shares.
-    sizes = classes.select("c", "n", F.size("counted").alias("counted"))
-    seen = shared.groupBy("c").agg(F.count("*").alias("hits"))
-    lengths = (
-        sizes.join(seen, "c", "left")
-        .withColumn("hits", F.coalesce("hits", F.lit(0)))
-        .withColumn("want", F.expr(f"n - cast(ceil({percent} * n / 100) as int) + 1 - (counted - hits)"))
-        .where("want > 0")
-        .select("c", "n", "want", "counted", F.expr("counted - hits").alias("alone"),
-                F.expr("cast(greatest(want - hits, 0) as int)").alias("lack"))
-    )
-    left = stored(lengths, "left")
+    shared = _shared(classes.select("c", F.explode("counted").alias("s")), "counted")
+    near = stored(_left(classes.select("c", "n", F.size("counted").alias("size")), shared, percent), "near")
 
-    # Full sets of the classes that are left, each read from one of its texts.
+    # The same over the full sets of the classes that are left, each read from one of its texts.
     texts = (
-        rows.where("n > 0").join(left.select("c"), "c", "left_semi")
+        rows.where("n > 0").join(near.select("c"), "c", "left_semi")
         .groupBy("c", "text_key").agg(F.count("*").alias("alike"))
         .groupBy("c").agg(F.min_by(F.struct("text_key", "alike"), "text_key").alias("one"))
     )
-    wanted = few(stored(texts.join(left, "c").select("c", "one.*", "lack"), "wanted"), 80)
+    wanted = few(stored(texts.select("c", "one.*"), "wanted"), 80)
     full = own.select("text", "text_key").join(wanted, "text_key")
-    sets = stored(
-        run_batches(full.select("c", "text", "lack", "alike"), _read_full_sets(words),
-                    "c long, members binary, more array<bigint>, alike long"), "full")
-    sets = sets.where("alike = 1").union(sets.where("alike > 1").dropDuplicates(["c"])).drop("alike")
+    read_again = stored(
+        run_batches(full.select("c", "text", "alike"), _read_full_sets(words),
+                    "c long, members array<bigint>, alike long"), "full")
+    sets = read_again.where("alike = 1").union(
+        read_again.where("alike > 1").dropDuplicates(["c"])).select("c", "members")
+    shared = stored(_shared(sets.select("c", F.explode("members").alias("s")), "members"), "shared")
+    sizes = sets.select("c", F.size("members").cast("long").alias("n"), F.size("members").alias("size"))
+    left = stored(_left(sizes, shared, percent), "left")
 
     # Prefix shingles with their 1-based places in the global order; those that nobody shares stand first.
     order = Window.partitionBy("c").orderBy("df", "s")
-    counted = (
-        shared.join(left.select("c", "n", "want", "alone"), "c")
+    tokens = stored(
+        shared.join(left, "c")
         .withColumn("at", F.row_number().over(order)).where("at <= want")
-        .select("c", "s", "n", (F.col("at") + F.col("alone")).alias("at"))
-    )
-    uncounted = (
-        sets.select("c", F.posexplode("more").alias("at", "s")).join(left.select("c", "n", "counted"), "c")
-        .select("c", "s", "n", (F.col("counted") + F.col("at") + 1).alias("at"))
-    )
-    tokens = stored(counted.union(uncounted), "tokens")
+        .select("c", "s", "n", "alone", (F.col("at") + F.col("alone")).alias("at")), "tokens")
     groups = tokens.groupBy("c", "n").agg(F.sort_array(F.collect_list("s")).alias("prefix"))
     members = stored(groups.select("c", "n", F.xxhash64("prefix", "n").alias("g")), "groups")
     prefixes = stored(tokens.join(members.select("c", "g"), "c"), "prefixes")
-    full_sets = sets.select("c", "members")
+    full_sets = sets.join(few(members.select("c"), 16), "c", "left_semi")
 
-    # A first round of pairs in proportion to the rows.
-    band = F.floor(F.log(F.col("n")) / F.lit(float(np.log(100 / percent))))
+    # First pairs, in proportion to the rows: members with the first of their group, groups with one per shingle.
+    band = F.floor(F.log(F.col("n")) / F.lit(float(np.log(100 / percent)))).cast("long")
+    prefixes = prefixes.withColumn("band", band)
     first = members.groupBy("g").agg(F.min("c").alias("a"))
-    within = members.join(first, "g").select("a", F.col("c").alias("b"))
-    met = [within]
-    leaders = prefixes.groupBy("s", "g").agg(F.min("n").alias("n"), F.min("c").alias("c")).withColumn("band", band)
-    for turn in (1, 2):
-        chosen = leaders.groupBy("s", "band").agg(F.min_by("c", F.xxhash64("g", F.lit(turn))).alias("a"))
-        met.append(leaders.join(chosen, ["s", "band"]).select("a", F.col("c").alias("b")))
-    stars = met[0].union(met[1]).union(met[2]).where("a <> b").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = stored(_linked(stars, full_sets, percent), "stars")
+    leaders = prefixes.groupBy("s", "g", "band", "alone").agg(F.min("c").alias("b"))
+    # A text with few shingles of its own is likely the source of the others.
+    chosen = leaders.groupBy("s", "band").agg(F.min_by("b", F.struct("alone", F.xxhash64("g"))).alias("a"))
+    stars = members.join(first, "g").select("a", F.col("c").alias("b")).union(
+        leaders.join(chosen, ["s", "band"]).select("a", "b"))
+    edges = _linked(stars, full_sets, percent)
     labels = stored(components(edges), "labels")
 
-    # Whatever shares a prefix shingle and is not in one component yet. Rows of one group and component
-    # meet as one; per shingle the largest component is only met by the others.
-    known = (
-        prefixes.join(labels.withColumnRenamed("node", "c"), "c", "left")
-        .withColumn("label", F.coalesce("label", "c"))
-    )
-    blocks = known.groupBy("s", "g", "n", "at", "label").agg(F.count("*").alias("k"))
-    weights = blocks.groupBy("s", "label").agg(F.sum("k").alias("k"))
-    largest = weights.groupBy("s").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count("*").alias("sides"))
-    mixed = largest.where("sides > 1").select("s", "main")
-    meeting = blocks.join(mixed, "s").select("s", "g", "n", "at", "label", "main")
+    # Pairs of different components that still meet: per shingle, all but its largest component with all. While
+    # they are many, each outsider first tries other members of the largest component, again in proportion to the rows.
+    for turn in range(1, TURNS + 1):
+        meeting = _meeting(prefixes, labels)
+        outside, total = meeting.agg(
+            F.sum(F.expr("if(label <> main, k * held, 0)")), F.count("*")).first()
+        if not outside or outside <= 4 * total:
+            break
+        partner = meeting.where("label = main").groupBy("s", "band").agg(
+            F.min_by("c", F.struct("alone", F.xxhash64("g", F.lit(turn)))).alias("a"))
+        tries = meeting.where("label <> main").select(
+            "s", F.explode(F.expr("array(band - 1, band, band + 1)")).alias("band"), F.col("c").alias("b"))
+        edges = edges.union(_linked(tries.join(partner, ["s", "band"]), full_sets, percent))
+        labels = stored(components(edges), "labels")
+    else:
+        meeting = _meeting(prefixes, labels)
+
+    # All that is left, exactly: groups are filtered, then their members verified.
     small = meeting.where("label <> main").select("s", *[F.col(x).alias(f"{x}1") for x in ("g", "n", "at", "label")])
     pairs = (
         small.join(meeting.drop("main"), "s")
@@ -229,10 +240,23 @@ def link_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> tuple[Da
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
     # Members of one group whose component differs share their whole prefix and so are among the pairs.
-    rest = _linked(expanded, full_sets, percent)
-    more = stored(rest, "rest")
-    links = edges.union(more)
-    return rows, (stored(components(links), "final") if more.limit(1).count() else labels)
+    more = _linked(expanded, full_sets, percent)
+    return rows, (stored(components(edges.union(more)), "final") if more.limit(1).count() else labels)
+
+
+def _meeting(prefixes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Groups and components per prefix shingle that joins several components, with its largest one (``main``)
+    and its number of classes (``held``)."""
+    known = prefixes.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn(
+        "label", F.coalesce("label", "c"))
+    blocks = known.groupBy("s", "g", "n", "at", "band", "alone", "label").agg(F.count("*").alias("k"), F.min("c").alias("c"))
+    sides = blocks.groupBy("s", "label").agg(F.sum("k").alias("k"))
+    largest = (
+        sides.groupBy("s")
+        .agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("held"), F.count("*").alias("sides"))
+        .where("sides > 1").drop("sides")
+    )
+    return stored(blocks.join(largest, "s"), "meeting")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
