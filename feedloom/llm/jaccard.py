@@ -208,22 +208,17 @@ def link_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> tuple[Da
     edges = _linked(stars, full_sets, percent)
     labels = stored(components(edges), "labels")
 
-    # Pairs of different components that still meet: per shingle, all but its largest component with all. While
-    # they are many, each outsider first tries other members of the largest component, again in proportion to the rows.
+    # Pairs of different components that still meet. Each class outside the largest component of a shingle
+    # first tries other members of that component, again in proportion to the rows.
     for turn in range(1, TURNS + 1):
         meeting = _meeting(prefixes, labels)
-        outside, total = meeting.agg(
-            F.sum(F.expr("if(label <> main, k * held, 0)")), F.count("*")).first()
-        if not outside or outside <= 4 * total:
-            break
         partner = meeting.where("label = main").groupBy("s", "band").agg(
             F.min_by("c", F.struct("alone", F.xxhash64("g", F.lit(turn)))).alias("a"))
         tries = meeting.where("label <> main").select(
             "s", F.explode(F.expr("array(band - 1, band, band + 1)")).alias("band"), F.col("c").alias("b"))
         edges = edges.union(_linked(tries.join(partner, ["s", "band"]), full_sets, percent))
         labels = stored(components(edges), "labels")
-    else:
-        meeting = _meeting(prefixes, labels)
+    meeting = _meeting(prefixes, labels)
 
     # All that is left, exactly: groups are filtered, then their members verified.
     small = meeting.where("label <> main").select("s", *[F.col(x).alias(f"{x}1") for x in ("g", "n", "at", "label")])
@@ -245,15 +240,14 @@ def link_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> tuple[Da
 
 
 def _meeting(prefixes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Groups and components per prefix shingle that joins several components, with its largest one (``main``)
-    and its number of classes (``held``)."""
+    """Groups and components per prefix shingle that joins several components, with its largest one (``main``)."""
     known = prefixes.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn(
         "label", F.coalesce("label", "c"))
     blocks = known.groupBy("s", "g", "n", "at", "band", "alone", "label").agg(F.count("*").alias("k"), F.min("c").alias("c"))
     sides = blocks.groupBy("s", "label").agg(F.sum("k").alias("k"))
     largest = (
         sides.groupBy("s")
-        .agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("held"), F.count("*").alias("sides"))
+        .agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count("*").alias("sides"))
         .where("sides > 1").drop("sides")
     )
     return stored(blocks.join(largest, "s"), "meeting")
