@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -53,6 +54,22 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+def _count_words(batches):
+    for batch in batches:
+        found = [lower_words(text) for text in batch["text"]]
+        yield {**batch, "n_words": [len(x) for x in found],
+               "words_md5": [hashlib.md5(b" ".join(x)).hexdigest() for x in found]}
+
+
+def with_word_counts(docs: DataFrame) -> DataFrame:
+    """Rows ``doc_id, source, text_key, n_words, words_md5`` of documents.
+
+    ``words_md5`` is equal for texts with the same words but for the case of A-Z; ``text_key`` for equal id and text.
+    """
+    own = docs.select("doc_id", "source", F.xxhash64("doc_id", "text").alias("text_key"), "text")
+    return run_batches(own, _count_words, "doc_id long, source string, text_key long, n_words long, words_md5 string")
+
+
 class WordHashes(dict):
     """Word to 64-bit hash, remembered up to a number of words."""
 

@@ -1,3 +1,16 @@
 """DuckDB SQL of the queries that SQL can express on whole tables."""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_content_addressed_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n,
+                   min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+            FROM pages
+        )
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
+               CASE WHEN n >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+        FROM p
+    """,
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import jaccard
+from feedloom.llm import archive, budget, jaccard, packing
 from feedloom.llm.common import table
 
 
@@ -13,6 +13,24 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op5_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = budget.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = archive.write(table(spark, sf_dir, "pages"), least=100)
+    found = archive.parsed(archive.read(spark, folder))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
+
+
 QUERIES = {
+    "op5_subset_sum_mix": op5_subset_sum_mix,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_content_addressed_warc": op7_content_addressed_warc,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
