@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedloom.llm import archive, budget, jaccard, packing
-from feedloom.llm.common import table
+from feedloom.llm import (
+    archive, backoff, budget, jaccard, language, neighbours, novelty, outliers, packing, pages,
+)
+from feedloom.llm.common import remainder, table
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +16,17 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op3_chain_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(language.sample(docs, remainder("doc_id", 5) != 0))
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    return language.identify(docs, model).select("doc_id", held_out, "lang_pred", "score", "n_switches")
+
+
+def op4_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op5_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = budget.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -28,9 +42,32 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(table(spark, sf_dir, "documents")).drop("lang", "source")
+
+
+def op2_compression_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return novelty.scan(table(spark, sf_dir, "documents"))
+
+
+def op9_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
+def op10_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 7) == 2)
+    return backoff.score_texts(docs)
+
+
 QUERIES = {
+    "op1_robust_outliers": op1_robust_outliers,
+    "op2_compression_novelty": op2_compression_novelty,
+    "op3_chain_language": op3_chain_language,
+    "op4_projected_neighbours": op4_projected_neighbours,
     "op5_subset_sum_mix": op5_subset_sum_mix,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_content_addressed_warc": op7_content_addressed_warc,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_template_removal": op9_template_removal,
+    "op10_backoff_automaton": op10_backoff_automaton,
 }
