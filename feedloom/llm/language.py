@@ -29,8 +29,10 @@ WINDOW = 90
 FEATURES = 1 << 16
 LEXICON = 400
 EPOCHS = 6
-BATCH_WORDS = 1 << 18
-MEMORY = 1 << 18
+BATCH_WORDS = 1 << 17
+MEMORY = 1 << 19
+PIECE = 512
+MARGIN = 48
 
 
 def features(word: str, lexicon: dict[str, list[int]]) -> list[int]:
@@ -55,10 +57,44 @@ class Chain:
         """Plain values, which a broadcast can carry to workers that have not loaded this module yet."""
         return self.labels, self.lexicon, self.weights, self.steps, self.first
 
-    def emission(self, word: str) -> np.ndarray:
-        found = features(word, self.lexicon)
-        # Weights are averaged by the root of their number, so long words do not drown the chain.
-        return self.weights[found].sum(0) / np.sqrt(len(found)) if found else np.zeros(len(self.labels))
+    def emissions(self, words: list[str]) -> np.ndarray:
+        """One row per word: label scores, then 1 if the word has a letter.
+
+        Scores are divided by the root of the number of features, so long words do not drown the chain.
+        """
+        listed = [features(word, self.lexicon) for word in words]
+        out = np.zeros((len(words), len(self.labels) + 1))
+        rows = np.flatnonzero([bool(x) for x in listed])
+        if len(rows):
+            sizes = np.array([len(listed[i]) for i in rows])
+            flat = np.fromiter((x for i in rows for x in listed[i]), np.int64, int(sizes.sum()))
+            out[rows, :-1] = np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes) / np.sqrt(sizes)[:, None]
+            out[rows, -1] = 1
+        return out
+
+
+class Known(dict):
+    """Words to numbers, with the emissions of all words numbered so far."""
+
+    def __init__(self, model: Chain):
+        super().__init__()
+        self.model, self.new, self.table = model, [], np.zeros((0, len(model.labels) + 1))
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word.decode("utf-8", "replace"))
+        return number
+
+    def numbers(self, texts: list[str | None]) -> list[np.ndarray]:
+        if len(self) > MEMORY:
+            self.clear()
+            self.new, self.table = [], self.table[:0]
+        split = [ascii_words(text) for text in texts]
+        found = [np.fromiter(map(self.__getitem__, words), np.int64, len(words)) for words in split]
+        if self.new:
+            self.table = np.concatenate([self.table, self.model.emissions(self.new)])
+            self.new = []
+        return found
 
 
 def marginals(scores: np.ndarray, lengths: np.ndarray, steps: np.ndarray, first: np.ndarray):
@@ -168,44 +204,51 @@ def fit(sample: pd.DataFrame, epochs: int = EPOCHS, seed: int = 7) -> Chain | No
     return Chain(labels, lexicon, weights[:nothing], steps, first)
 
 
-def predict(model: Chain, texts: list[str | None], memory: dict[str, int], table: list[np.ndarray]) -> list[tuple[str, float, int]]:
-    """(label, share of the words with a letter, changes of label) of each text; texts are walked side by side."""
-    words = [ascii_words(text) for text in texts]
-    order = sorted((i for i in range(len(texts)) if words[i]), key=lambda i: -len(words[i]))
-    out: list[tuple[str, float, int]] = [("und", 0.0, 0)] * len(texts)
+def predict(known: Known, texts: list[str | None]) -> list[tuple[str, float, int]]:
+    """(label, share of the words with a letter, changes of label) of each text.
+
+    Texts are walked side by side in pieces of ``PIECE`` words. A piece of a longer text takes ``MARGIN`` words on
+    both sides along as context, which the chain has forgotten by then, and keeps the marginals of its own words.
+    """
+    model, numbers = known.model, known.numbers(texts)
+    pieces = []  # (text, first word with context, end with context, first own word, end of own words)
+    for i, words in enumerate(numbers):
+        for a in range(0, len(words), PIECE):
+            b = min(a + PIECE, len(words))
+            pieces.append((i, max(0, a - MARGIN), min(len(words), b + MARGIN), a, b))
+    order = sorted(range(len(pieces)), key=lambda p: pieces[p][1] - pieces[p][2])
+    shares = np.zeros((len(texts), len(model.labels)))
+    spoken_words = np.zeros(len(texts))
+    labels: list[np.ndarray] = [np.zeros(0, int)] * len(pieces)
     at = 0
     while at < len(order):
-        # Texts of similar length share a block; a block holds a bounded number of words.
-        longest = len(words[order[at]])
-        size = max(1, BATCH_WORDS // longest)
-        block = order[at : at + size]
-        while len(block) > 1 and len(words[block[-1]]) * 4 < longest:
-            block = block[: -max(1, len(block) // 8)]
+        longest = pieces[order[at]][2] - pieces[order[at]][1]
+        block = order[at : at + max(1, BATCH_WORDS // longest)]
         at += len(block)
-        if len(memory) > MEMORY:
-            memory.clear()
-            table.clear()
-        lengths = np.array([len(words[i]) for i in block])
+        spans = np.array([pieces[p] for p in block])
+        lengths = spans[:, 2] - spans[:, 1]
         index = np.zeros((len(block), longest), np.int64)
-        for row, i in enumerate(block):
-            for w in set(words[i]):
-                if w not in memory:
-                    memory[w] = len(table)
-                    text = w.decode("utf-8", "replace")
-                    letter = any(c.isalpha() for c in text)
-                    table.append(np.append(model.emission(text), 1.0 if letter else 0.0))
-            index[row, : len(words[i])] = [memory[w] for w in words[i]]
-        known = np.array(table)[index]
-        found, _, _ = marginals(known[:, :, :-1], lengths, model.steps, model.first)
-        spoken = known[:, :, -1] * (np.arange(longest)[None] < lengths[:, None])
-        shares = (found * spoken[:, :, None]).sum(1)
+        for row, (i, a, b, _, _) in enumerate(spans.tolist()):
+            index[row, : b - a] = numbers[i][a:b]
+        told = known.table[index]
+        found, _, _ = marginals(told[:, :, :-1], lengths, model.steps, model.first)
+        place = np.arange(longest)[None] + spans[:, 1:2]
+        own = (place >= spans[:, 3:4]) & (place < spans[:, 4:5]) & (told[:, :, -1] > 0)
+        np.add.at(shares, spans[:, 0], (found * own[:, :, None]).sum(1))
+        np.add.at(spoken_words, spans[:, 0], own.sum(1))
         best = found.argmax(2)
-        for row, i in enumerate(block):
-            total = spoken[row].sum()
-            if total:
-                label = int(shares[row].argmax())
-                own = best[row, : lengths[row]][spoken[row, : lengths[row]] > 0]
-                out[i] = (model.labels[label], min(1.0, float(shares[row, label] / total)), int((own[1:] != own[:-1]).sum()))
+        for row, p in enumerate(block):
+            labels[p] = best[row, own[row]]
+    walks: list[list[np.ndarray]] = [[] for _ in texts]
+    for piece, walk in zip(pieces, labels):
+        walks[piece[0]].append(walk)
+    out = []
+    for i, total in enumerate(spoken_words):
+        if not total:
+            out.append(("und", 0.0, 0))
+            continue
+        label, walk = int(shares[i].argmax()), np.concatenate(walks[i])
+        out.append((model.labels[label], min(1.0, float(shares[i, label] / total)), int((walk[1:] != walk[:-1]).sum())))
     return out
 
 
@@ -235,11 +278,10 @@ def identify(docs: DataFrame, model: Chain | None) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model.parts() if model else None)
 
     def rows(batches):
-        memory, table = {}, []
-        own = Chain(*sent.value) if sent.value else None
+        known = Known(Chain(*sent.value)) if sent.value else None
         for batch in batches:
             texts = batch["text"]
-            found = predict(own, texts, memory, table) if own else [("und", 0.0, 0)] * len(texts)
+            found = predict(known, texts) if known is not None else [("und", 0.0, 0)] * len(texts)
             yield {**{x: batch[x] for x in ("doc_id", "row_key")}, "lang_pred": [x[0] for x in found],
                    "score": [x[1] for x in found], "n_switches": [x[2] for x in found]}
 
@@ -255,11 +297,10 @@ def keep_spoken(docs: DataFrame, model: Chain | None, least: float = 0.3) -> Dat
     def rows(batches):
         import pyarrow as pa
 
-        memory, table = {}, []
-        own = Chain(*sent.value) if sent.value else None
+        known = Known(Chain(*sent.value)) if sent.value else None
         for batch in batches:
             texts = batch.column(place).to_pylist()
-            found = predict(own, texts, memory, table) if own else [("und", 0.0, 0)] * len(texts)
+            found = predict(known, texts) if known is not None else [("und", 0.0, 0)] * len(texts)
             yield batch.filter(pa.array([x[0] != "und" and x[1] >= least for x in found], pa.bool_()))
 
     return docs.mapInArrow(rows, schema)
