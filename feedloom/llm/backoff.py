@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import lower_words, mix, run_batches, stored
 
-LOT_WORDS = 1 << 21
-PART_WORDS = 1 << 22
+LOT_WORDS = 3 << 19
+PART_WORDS = 1 << 21
 ORDER = 2
 STRENGTH = 4.0  # k
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line feed
