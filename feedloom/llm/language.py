@@ -15,6 +15,7 @@ texts are ``und``; repeated rows and ties give equal rows, and of equal sums the
 
 from __future__ import annotations
 
+import pickle
 import zlib
 
 import numpy as np
@@ -22,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import ascii_words, run_batches
+from feedloom.llm.common import ascii_words, few, run_batches, stored
 
 SAMPLE = 1200
 WINDOW = 90
@@ -123,6 +124,7 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, steps: np.ndarray, first:
 
 def fit(sample: pd.DataFrame, epochs: int = EPOCHS, seed: int = 7) -> Chain | None:
     """Fit on rows ``text, lang`` by adaptive gradient steps on the log likelihood of the label sequences."""
+    sample = sample.sort_values(["lang", "text"])
     labels = sorted(sample["lang"].unique())
     if not labels:
         return None
@@ -153,21 +155,20 @@ def fit(sample: pd.DataFrame, epochs: int = EPOCHS, seed: int = 7) -> Chain | No
             at += n
     parts = [parts[i] for i in random.permutation(len(parts))]
     sequences, at = [], 0
+    known: dict[str, int] = {}
     while at < len(parts):
         n = int(random.integers(1, 4))
-        sequences.append([(w, label) for label, words in parts[at : at + n] for w in words])
+        own = [(known.setdefault(w, len(known)), label) for label, words in parts[at : at + n] for w in words]
+        sequences.append(np.array(own, np.int32))
         at += n
-    known: dict[str, int] = {}
-    for sequence in sequences:
-        for w, _ in sequence:
-            known.setdefault(w, len(known))
-    listed = [features(w, lexicon) for w in known]
+    listed = [np.array(features(w, lexicon), np.int32) for w in known]
     width = max((len(x) for x in listed), default=0)
     nothing = FEATURES + len(labels)
-    table = np.full((len(known), width), nothing)
+    table = np.full((len(known), width), nothing, np.int32)
     for i, x in enumerate(listed):
         table[i, : len(x)] = x
-    scale = np.array([1 / np.sqrt(len(x)) if x else 0.0 for x in listed])
+    scale = np.array([1 / np.sqrt(len(x)) if len(x) else 0.0 for x in listed])
+    del listed, parts, pieces
     k = len(labels)
     weights, steps, first = np.zeros((nothing + 1, k)), np.zeros((k, k)), np.zeros(k)
     sums = [np.full_like(x, 1e-8) for x in (weights, steps, first)]
@@ -178,8 +179,7 @@ def fit(sample: pd.DataFrame, epochs: int = EPOCHS, seed: int = 7) -> Chain | No
             lengths = np.array([len(x) for x in batch])
             words, truth = np.zeros((len(batch), lengths[0]), int), np.zeros((len(batch), lengths[0]), int)
             for i, x in enumerate(batch):
-                words[i, : len(x)] = [known[w] for w, _ in x]
-                truth[i, : len(x)] = [label for _, label in x]
+                words[i, : len(x)], truth[i, : len(x)] = x[:, 0], x[:, 1]
             mask = np.arange(lengths[0])[None] < lengths[:, None]
             scores = weights[table[words]].sum(2) * scale[words][:, :, None]
             found, ahead, back = marginals(scores, lengths, steps, first)
@@ -252,25 +252,37 @@ def predict(known: Known, texts: list[str | None]) -> list[tuple[str, float, int
     return out
 
 
-def sample(docs: DataFrame, learn: Column, size: int = SAMPLE, window: int = WINDOW) -> pd.DataFrame:
+def sample(docs: DataFrame, learn: Column, size: int = SAMPLE, window: int = WINDOW) -> DataFrame:
     """Windows of words from about ``size`` labelled documents per language, at most twice as many in all."""
     labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = stored(labelled.groupBy("lang").agg(F.count("*").alias("n")), "languages")
     drawn = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 30))
-    chosen = labelled.withColumn("drawn", drawn).join(F.broadcast(counts), "lang").where(F.col("drawn") * F.col("n") < F.lit(size << 30))
+    chosen = labelled.withColumn("drawn", drawn).join(few(counts, 64), "lang").where(F.col("drawn") * F.col("n") < F.lit(size << 30))
 
     def cut(batches):
         for batch in batches:
-            out = {"lang": batch["lang"], "text": []}
+            out = {"lang": batch["lang"], "drawn": batch["drawn"], "text": []}
             for text, drawn in zip(batch["text"], batch["drawn"]):
                 words = ascii_words(text)
                 start = drawn % max(1, len(words) - window)
                 out["text"].append(b" ".join(words[start : start + window]).decode("utf-8", "replace"))
             yield out
 
-    cuts = run_batches(chosen.select("lang", "text", "drawn"), cut, "lang string, text string").orderBy("lang", "text")
-    langs = counts.count()
-    return cuts.limit(2 * size * max(1, langs)).toPandas()
+    cuts = run_batches(chosen.select("lang", "text", "drawn"), cut, "lang string, drawn long, text string")
+    return cuts.orderBy("drawn", "lang", "text").limit(2 * size * max(1, counts.count())).select("lang", "text")
+
+
+def train(docs: DataFrame, learn: Column, size: int = SAMPLE, window: int = WINDOW) -> Chain | None:
+    """The model fitted on a sample of the rows that satisfy ``learn``, in one task of bounded size; None without labels."""
+
+    def fitted(frames):
+        rows = pd.concat([pd.DataFrame({"lang": [], "text": []}), *frames], ignore_index=True)
+        model = fit(rows)
+        if model is not None:
+            yield pd.DataFrame({"model": [pickle.dumps(model.parts())]})
+
+    found = sample(docs, learn, size, window).coalesce(1).mapInPandas(fitted, "model binary").first()
+    return Chain(*pickle.loads(found.model)) if found else None
 
 
 def identify(docs: DataFrame, model: Chain | None) -> DataFrame:

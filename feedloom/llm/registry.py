@@ -18,7 +18,7 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_chain_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = language.fit(language.sample(docs, remainder("doc_id", 5) != 0))
+    model = language.train(docs, remainder("doc_id", 5) != 0)
     held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
     return language.identify(docs, model).select("doc_id", held_out, "lang_pred", "score", "n_switches")
 
