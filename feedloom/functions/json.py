@@ -39,15 +39,13 @@ def mistyped() -> Column:
 
 
 def broken() -> Column:
-    """The text is not one JSON value.
+    """The text is not exactly one JSON value.
 
-    The decoder stops behind the first object, so texts that may hold more are looked through.
+    The decoders stop behind the first value. So every text is also counted as the only element of a list
+    and as the only field of an object in one; what follows a value shows in at least one of them.
     """
     raw = F.col("msg.raw")
-    longer = ~raw.endswith("}") | raw.contains("}{") | raw.contains("} {")
-    values = F.json_array_length(F.concat(F.lit("["), raw, F.lit("]")))
-    return (
-        F.when(mistyped(), F.try_parse_json("msg.raw").isNull())
-        .when(longer, F.coalesce(values != 1, F.lit(True)))
-        .otherwise(False)
-    )
+    alone = F.json_array_length(F.concat(F.lit("["), raw, F.lit("]"))) == 1
+    wrapped = F.json_array_length(F.concat(F.lit('[{"x":'), raw, F.lit("}]"))) == 1
+    single = F.coalesce(alone & wrapped, F.lit(False))
+    return ~single | (mistyped() & F.try_parse_json("msg.raw").isNull())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedloom.schemas import MAX_EMBED_CHARS, POST_COLLECTION, PROFILE_URL
+from feedloom.schemas import POST_COLLECTION, PROFILE_URL
 
 
 def post_uri(did: Column, rkey: Column) -> Column:
@@ -37,8 +37,8 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
-def embed_text(text: Column, max_chars: int | None = MAX_EMBED_CHARS) -> Column:
-    """The part of a post that is given to the encoder; ``None`` takes all of it."""
+def embed_text(text: Column, max_chars: int | None = None) -> Column:
+    """What the encoder is given of a post: all of it, or the first ``max_chars`` characters if a caller says so."""
     return text if max_chars is None else F.substring(text, 1, max_chars)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.text import embed_text
 from feedloom.operators.ranking import newest_rows
-from feedloom.schemas import MAX_EMBED_CHARS, MIN_TEXT_LENGTH, QUEUE_LIMIT
+from feedloom.schemas import MIN_TEXT_LENGTH
 
 
 def english_only(langs: Column) -> Column:
@@ -28,8 +28,12 @@ def without_vector(posts: DataFrame, vectors: DataFrame, key: str = "uri") -> Da
 
 
 def embedding_queue(
-    posts: DataFrame, limit: int = QUEUE_LIMIT, max_chars: int | None = MAX_EMBED_CHARS
+    posts: DataFrame, limit: int | None = None, max_chars: int | None = None
 ) -> DataFrame:
-    """The newest pending posts, with the text cut to what the encoder is given."""
-    queue = newest_rows(pending_posts(posts), limit)
+    """All pending posts, newest first; or the ``limit`` newest, with ``max_chars`` of their text, if a caller says so."""
+    pending = pending_posts(posts)
+    newest = [F.col("created_date").desc(), F.col("created_hour").desc()]
+    queue = (
+        pending.orderBy(*newest, F.md5("uri"), "uri") if limit is None else newest_rows(pending, limit)
+    )
     return queue.withColumn("text", embed_text(F.col("text"), max_chars))

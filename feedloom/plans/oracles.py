@@ -14,7 +14,7 @@ from feedloom.plans.registry import (
     QUEUE_ROWS,
     SEARCH_WORDS,
 )
-from feedloom.schemas import EMBEDDING_DIMS, QUEUE_LIMIT
+from feedloom.schemas import EMBEDDING_DIMS
 
 # A word is a run of anything but these blanks.
 WORD = r"[^ \t\n\r\f\v]+"
@@ -189,11 +189,11 @@ ORACLES: dict[str, str] = {
           CASE WHEN l.quality = 1 THEN 4 END AS bytes
         FROM flat LEFT JOIN labels l ON l.doc_id = flat.doc_id WHERE created_at <> ''""",
     "pending_queue": f"""WITH {WAITING} SELECT uri, created_date, created_hour,
-        substr(text, 1, 300) AS text FROM waiting
+        text FROM waiting
         ORDER BY created_date DESC, created_hour DESC, md5(uri), uri LIMIT {QUEUE_ROWS}""",
     "pending_all": f"""WITH {WAITING} SELECT uri, created_date, created_hour, text FROM waiting
-        ORDER BY created_date DESC, created_hour DESC, md5(uri), uri LIMIT {QUEUE_LIMIT}""",
-    "embed_input": "SELECT doc_id, substr(text, 1, 300) AS text FROM documents",
+        ORDER BY created_date DESC, created_hour DESC, md5(uri), uri""",
+    "embed_input": "SELECT doc_id, text FROM documents",
     "embedding_writeback": f"""WITH {FEED}, {OLDER} SELECT uri, text,
         CASE WHEN vec_id IS NOT NULL THEN 'y' END AS embedding,
         CAST(4 * len(e.embedding) AS INTEGER) AS bytes
@@ -251,7 +251,7 @@ ORACLES: dict[str, str] = {
     "tail_source": LANDED,
     "stream_older": f"""WITH {FEED}, {OLDER} SELECT uri, repo, rkey, created_at, created_date,
         created_hour, text, langs FROM older""",
-    "stream_embedding": f"""WITH {FEED}, {FLAT} SELECT uri, substr(text, 1, 300) AS text,
+    "stream_embedding": f"""WITH {FEED}, {FLAT} SELECT uri, text,
         {EMBEDDING_DIMS} AS dims FROM flat
         WHERE created_at <> '' AND array_to_string(langs, ',') = 'en' AND length(text) > 10""",
 }

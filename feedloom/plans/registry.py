@@ -304,13 +304,13 @@ def pending_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pending_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The queue at its usual size, with whole texts."""
-    queue = embedding_queue(_waiting(spark, sf_dir), max_chars=None)
+    """Every pending post."""
+    queue = embedding_queue(_waiting(spark, sf_dir))
     return queue.select("uri", "created_date", "created_hour", "text")
 
 
 def embed_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the encoder is given of every document: its first 300 characters."""
+    """What the encoder is given of every document: its whole text."""
     documents = fx.documents(spark, sf_dir)
     return documents.select("doc_id", embed_text(F.col("text")).alias("text"))
 

@@ -8,9 +8,7 @@ QUOTE_TYPES = ("app.bsky.embed.record", "app.bsky.embed.record#view")
 PROFILE_URL = "https://bsky.app/profile/"
 
 # --- fixed values: default operating parameters ---
-QUEUE_LIMIT = 30_000
 MIN_TEXT_LENGTH = 10
-MAX_EMBED_CHARS = 300
 ENCODE_BATCH = 128
 EMBEDDING_DIMS = 384
 EXPORT_CHUNK_ROWS = 10_000

@@ -13,7 +13,7 @@ from feedloom.operators.encode import Encoder, encode_texts, hashed_words
 from feedloom.operators.legacy import legacy_view
 from feedloom.operators.merge import merge_posts
 from feedloom.operators.pending import pending_posts, without_vector
-from feedloom.schemas import MAX_EMBED_CHARS, VECTORS
+from feedloom.schemas import VECTORS
 from feedloom.streaming.bronze import triggered
 from feedloom.streaming.posts import _days, _read, _write, imported, imported_posts
 
@@ -33,7 +33,7 @@ def embed_batch(
     run: str,
     batch: int,
     make_encoder: Callable[[], Encoder] = hashed_words,
-    max_chars: int | None = MAX_EMBED_CHARS,
+    max_chars: int | None = None,
 ) -> None:
     """Encode the pending posts that have no vector below ``path`` and append their vectors.
 

@@ -88,6 +88,15 @@ def test_verdict_of_broken_messages(spark):
     assert {r.reason for r in letters.collect()} == {"json", "message", "commit", "rkey"}
 
 
+def test_more_than_one_value_is_broken(spark):
+    one = message()
+    texts = [
+        one + "," + one, one + "\t" + one, one + "  " + one, one + " junk}", one + "}", one + "],[" + one, one + "]x",
+        one + "}, {" + one, one + "}{", one + " ", " " + one,
+    ]
+    assert verdicts(spark, texts) == ["dead:json"] * 9 + ["post"] * 2
+
+
 def test_every_message_has_one_fate(spark):
     texts = [message(), message(kind="x"), "{", message(commit={"rkey": DROP})]
     df = parsed(spark, texts)

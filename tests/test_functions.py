@@ -52,8 +52,8 @@ def test_strip_takes_all_white_space(spark):
 
 def test_embed_text_counts_characters(spark):
     inputs = ["é" * 301, "🙂" * 300, "short"]
-    assert values(spark, inputs, embed_text(F.col("x"))) == [v[:300] for v in inputs]
-    assert values(spark, inputs, embed_text(F.col("x"), None)) == inputs
+    assert values(spark, inputs, embed_text(F.col("x"), 300)) == [v[:300] for v in inputs]
+    assert values(spark, inputs, embed_text(F.col("x"))) == inputs
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])

@@ -87,9 +87,16 @@ def test_the_queue_takes_english_posts_without_vector(spark):
         ("h", "2024-01-02", 2, text, "en", None),
     ]
     queue = embedding_queue(spark.createDataFrame(data, schema)).collect()
-    assert [(r.uri, len(r.text)) for r in queue] == [("h", 300), ("b", 11), ("a", 300)]
-    whole = embedding_queue(spark.createDataFrame(data, schema), 1, None).collect()
-    assert [(r.uri, len(r.text)) for r in whole] == [("h", 400)]
+    assert [(r.uri, len(r.text)) for r in queue] == [("h", 400), ("b", 11), ("a", 400)]
+    asked = embedding_queue(spark.createDataFrame(data, schema), 1, 300).collect()
+    assert [(r.uri, len(r.text)) for r in asked] == [("h", 300)]
+
+
+def test_the_queue_has_no_limit_of_its_own(spark):
+    posts = spark.range(30_500).selectExpr(
+        "cast(id as string) uri", "'2024-01-01' created_date", "1 created_hour", "'long enough text' text", "'en' langs",
+        "cast(null as string) embedding")
+    assert embedding_queue(posts).count() == 30_500
 
 
 def test_posts_with_a_vector_leave_the_queue(spark):
