@@ -31,7 +31,8 @@ FEATURES = 1 << 16
 LEXICON = 400
 EPOCHS = 6
 BATCH_WORDS = 1 << 17
-MEMORY = 1 << 19
+MEMORY = 1 << 18
+NEW_WORDS = 1 << 12
 PIECE = 512
 MARGIN = 48
 
@@ -93,7 +94,9 @@ class Known(dict):
         split = [ascii_words(text) for text in texts]
         found = [np.fromiter(map(self.__getitem__, words), np.int64, len(words)) for words in split]
         if self.new:
-            self.table = np.concatenate([self.table, self.model.emissions(self.new)])
+            # A few words at a time: their features are lists.
+            parts = [self.model.emissions(self.new[i : i + NEW_WORDS]) for i in range(0, len(self.new), NEW_WORDS)]
+            self.table = np.concatenate([self.table, *parts])
             self.new = []
         return found
 
