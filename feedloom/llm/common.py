@@ -56,9 +56,12 @@ def lower_words(text: str | None) -> list[bytes]:
 
 def _count_words(batches):
     for batch in batches:
-        found = [lower_words(text) for text in batch["text"]]
-        yield {**batch, "n_words": [len(x) for x in found],
-               "words_md5": [hashlib.md5(b" ".join(x)).hexdigest() for x in found]}
+        counts, digests = [], []
+        for text in batch["text"]:
+            words = lower_words(text)
+            counts.append(len(words))
+            digests.append(hashlib.md5(b" ".join(words)).hexdigest())
+        yield {**batch, "n_words": counts, "words_md5": digests}
 
 
 def with_word_counts(docs: DataFrame) -> DataFrame:

@@ -91,8 +91,11 @@ class Known(dict):
         if len(self) > MEMORY:
             self.clear()
             self.new, self.table = [], self.table[:0]
-        split = [ascii_words(text) for text in texts]
-        found = [np.fromiter(map(self.__getitem__, words), np.int64, len(words)) for words in split]
+        found = []
+        for text in texts:
+            # The words of one text at a time: they take ten times the room of their numbers.
+            words = ascii_words(text)
+            found.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
         if self.new:
             # A few words at a time: their features are lists.
             parts = [self.model.emissions(self.new[i : i + NEW_WORDS]) for i in range(0, len(self.new), NEW_WORDS)]
