@@ -1,7 +1,9 @@
 """Exact nearest neighbours by squared Euclidean distance.
 
 Vectors are compared as matrices inside the tasks, which is several times faster than summing over
-array elements in expressions. A task passes on its k best per query, never the pairs.
+array elements in expressions. The matrix product only rules vectors out, with a margin for its rounding;
+those left are ranked by the sum of squared differences in double precision, unrounded, ties by key.
+A task passes on its k best per query, never the pairs.
 """
 
 from __future__ import annotations
@@ -20,11 +22,9 @@ from feedloom.functions.text import strip
 from feedloom.operators.encode import Encoder
 from feedloom.schemas import SEARCH_K
 
-# Distances are compared to 9 decimals, so equal vectors tie and the key decides.
-DISTANCE_DIGITS = 9
 MAX_QUERIES = 16_384  # query vectors a task holds: 50 MB at 384 dimensions
 SHARD_ROWS = 100_000
-MATRIX_CELLS = 4_000_000  # distances a task holds at a time
+MATRIX_CELLS = 4_000_000  # numbers a task holds at a time
 
 
 def squared_distance(vector: Column, query: Sequence[float]) -> Column:
@@ -50,42 +50,63 @@ def vector_shape(df: DataFrame, vector: str = "embedding") -> DataFrame:
     return df.groupBy(F.size(vector).alias("dims")).agg(F.count("*").alias("vectors"))
 
 
+def _distances(vectors: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Squared distance of each row to its target; the same numbers whatever rows are taken together."""
+    away = vectors.astype(np.float64) - targets
+    return (away * away).sum(axis=1)
+
+
+def _first_copies(vectors: np.ndarray, k: int) -> np.ndarray:
+    """Rows that are among the first ``k`` with just their vector: later ones are in no answer."""
+    if vectors.shape[1] == 0:
+        return np.arange(min(k, len(vectors)))
+    rows = np.ascontiguousarray(vectors)
+    texts = pa.array(rows.view(f"V{rows.itemsize * rows.shape[1]}").ravel().tolist(), pa.large_binary())
+    codes = pd.Series(texts.dictionary_encode().indices.to_numpy())
+    return np.flatnonzero(codes.groupby(codes).cumcount().to_numpy() < k)
+
+
 def _top_k(
     keys: pa.Array, vectors: np.ndarray, queries: np.ndarray, best: pd.DataFrame | None, k: int
 ) -> pd.DataFrame:
     """Best ``k`` keys per query among ``best`` and the given vectors, ties by key."""
     order = pc.sort_indices(keys)
-    keys, vectors = keys.take(order), vectors[order.to_numpy()]
+    order = order.to_numpy()[_first_copies(vectors[order.to_numpy()], k)]
+    keys, vectors = keys.take(pa.array(order)), vectors[order]
     queries = queries.astype(np.float64)
+    dims = queries.shape[1]
     norms = (queries * queries).sum(axis=1)[:, None]
+    # Rounding of a product of this length, by the norms of its sides, taken several times over.
+    unit = (dims + 8) * 8 * np.finfo(np.float64).eps
     found = [] if best is None else [best]
     bound = np.full(len(queries), np.inf)
     if best is not None:
         worst = best.groupby("query")["distance"].agg(["max", "size"])
         full = worst[worst["size"] >= k]
         bound[full.index.to_numpy()] = full["max"].to_numpy()
-    step = max(256, MATRIX_CELLS // len(queries))
+    step = max(1, MATRIX_CELLS // max(len(queries), dims, 1))
+    pairs = max(1, MATRIX_CELLS // max(dims, 1))
     for start in range(0, len(vectors), step):
         part = vectors[start : start + step].astype(np.float64)
-        table = norms + (part * part).sum(axis=1)[None, :] - 2.0 * (queries @ part.T)
-        table = np.round(np.maximum(table, 0.0), DISTANCE_DIGITS)
+        sizes = norms + (part * part).sum(axis=1)[None, :]
+        margin = unit * sizes
+        table = sizes - 2.0 * (queries @ part.T)
         if table.shape[1] > k:
-            bound = np.minimum(bound, np.partition(table, k - 1, axis=1)[:, k - 1])
-        near = table <= bound[:, None]
-        if np.count_nonzero(near) > 4 * k * len(queries):
-            # Many copies at the bound: rows are in key order, so the first k of them suffice.
-            ties = table == bound[:, None]
-            near &= ~ties | (np.cumsum(ties, axis=1, dtype=np.int32) <= k)
-        query, row = np.nonzero(near)
-        found.append(
-            pd.DataFrame(
-                {
-                    "query": query,
-                    "key": keys.take(pa.array(row + start)).to_pandas(),
-                    "distance": table[query, row],
-                }
+            bound = np.minimum(bound, np.partition(table + margin, k - 1, axis=1)[:, k - 1])
+        query, row = np.nonzero(table - margin <= bound[:, None])
+        for at in range(0, len(query), pairs):
+            asked, met = query[at : at + pairs], row[at : at + pairs]
+            distance = _distances(part[met], queries[asked])
+            near = distance <= bound[asked]
+            found.append(
+                pd.DataFrame(
+                    {
+                        "query": asked[near],
+                        "key": keys.take(pa.array(met[near] + start)).to_pandas(),
+                        "distance": distance[near],
+                    }
+                )
             )
-        )
     ranked = pd.concat(found, ignore_index=True).sort_values(["query", "distance", "key"])
     return ranked[ranked.groupby("query").cumcount() < k]
 
@@ -242,8 +263,7 @@ def search_vector(
         for records in batches:
             if not records.num_rows:
                 continue
-            away = _matrix(records.column(vector)) - target
-            distance = np.round((away * away).sum(axis=1), DISTANCE_DIGITS)
+            distance = _distances(_matrix(records.column(vector)), target)
             rows = pa.Table.from_batches([records]).drop_columns([vector])
             rows = rows.append_column("distance", pa.array(distance))
             if best is not None:

@@ -76,7 +76,7 @@ FROM flat LEFT JOIN l ON l.doc_id = flat.doc_id WHERE created_at <> ''"""
 
 PAIR_DISTANCE = "power(list_distance(c.embedding::DOUBLE[], q.embedding::DOUBLE[]), 2)"
 KNN_ALL = f"""WITH pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, round({PAIR_DISTANCE}, 9) AS d
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, {PAIR_DISTANCE} AS d
   FROM embeddings q, embeddings c),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) AS r FROM pairs)
 SELECT query_id, vec_id, round(d, 4) AS distance, CAST(r AS INTEGER) AS rank
@@ -134,9 +134,15 @@ DAMAGED = f"""WITH {FEED}, damaged AS (
 ORACLES: dict[str, str] = {
     "knn_top5": f"""SELECT c.vec_id, c.label, round({PAIR_DISTANCE}, 4) AS distance
         FROM embeddings c, embeddings q WHERE q.vec_id = 0
-        ORDER BY round({PAIR_DISTANCE}, 9), c.vec_id LIMIT 5""",
+        ORDER BY {PAIR_DISTANCE}, c.vec_id LIMIT 5""",
     "vector_distances": f"""SELECT c.vec_id, round({PAIR_DISTANCE}, 4) AS distance
         FROM embeddings c, embeddings q WHERE q.vec_id = 0""",
+    "knn_small_top5": f"""WITH small AS (
+          SELECT vec_id, [CAST(x AS DOUBLE) * 1e-5 FOR x IN embedding]::FLOAT[] AS embedding FROM embeddings),
+        pairs AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, {PAIR_DISTANCE} AS d FROM small q, small c),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) AS r FROM pairs)
+        SELECT query_id, vec_id, round(d * 1e10, 4) AS distance, CAST(r AS INTEGER) AS rank
+        FROM ranked WHERE r <= 5""",
     "knn_batch_top5": KNN_ALL,
     "knn_blocked_top5": KNN_ALL,
     "vector_shapes": """SELECT CAST(len(embedding) AS INTEGER) AS dims, count(*) AS vectors

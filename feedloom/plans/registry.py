@@ -104,6 +104,16 @@ def knn_batch_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(nearest(corpus, queries, 5, "vec_id"), "distance")
 
 
+def knn_small_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on vectors so small that all distances are below 1e-9."""
+    corpus, queries = _self_queries(spark, sf_dir)
+    small = F.transform("embedding", lambda x: (x.cast("double") * 1e-5).cast("float"))
+    found = nearest(
+        corpus.withColumn("embedding", small), queries.withColumn("embedding", small), 5, "vec_id"
+    )
+    return _rounded(found.withColumn("distance", F.col("distance") * 1e10), "distance")
+
+
 def knn_blocked_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same by the way taken for query sets too big to send out whole."""
     corpus, queries = _self_queries(spark, sf_dir)
@@ -531,7 +541,7 @@ def stream_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        knn_top5, vector_distances, knn_batch_top5, knn_blocked_top5, vector_shapes, vector_blob_roundtrip,
+        knn_top5, vector_distances, knn_batch_top5, knn_small_top5, knn_blocked_top5, vector_shapes, vector_blob_roundtrip,
         vector_table_build, feed_filter, feed_filter_legacy, feed_flatten, feed_verdicts,
         feed_from_cursor, hour_key_counts, cursor_max, hour_closed, import_valid, import_rejects,
         file_groups, file_rows, posts_upsert, posts_upsert_layers, posts_first_wins,

@@ -31,7 +31,7 @@ def queries(spark, matrix):
 
 
 def expected(matrix, query, k):
-    distance = ((matrix.astype(np.float64) - query.astype(np.float64)) ** 2).sum(axis=1).round(9)
+    distance = ((matrix.astype(np.float64) - query.astype(np.float64)) ** 2).sum(axis=1)
     order = sorted(range(len(matrix)), key=lambda i: (distance[i], f"u{i:05d}"))[:k]
     return [(f"u{i:05d}", round(float(distance[i]), 6)) for i in order]
 
@@ -61,6 +61,25 @@ def test_many_queries_equal_brute_force(spark, way):
     assert answers == {i: expected(matrix, v, 7) for i, v in enumerate(asked)}
 
 
+def test_small_vectors_are_ranked_by_unrounded_distances(spark):
+    matrix, asked = vectors(500, 16) * np.float32(1e-5), vectors(20, 16, seed=1) * np.float32(1e-5)
+    df, q = corpus(spark, matrix), queries(spark, asked)
+    names = lambda wanted: [u for u, _ in wanted]
+    answers = {}
+    for r in nearest(df, q, 5).orderBy("query_id", "rank").collect():
+        answers.setdefault(r.query_id, []).append(r.uri)
+    assert answers == {i: names(expected(matrix, v, 5)) for i, v in enumerate(asked)}
+    assert names(found(search_vector(df, asked[0].tolist(), 5))) == answers[0]
+
+
+def test_vectors_far_from_the_origin_are_ranked_by_differences(spark):
+    # The matrix product alone cannot tell these distances apart.
+    matrix = vectors(400).astype(np.float64) * 1e-3 + 1000
+    matrix = matrix.astype(np.float32)
+    got = [u for u, _ in found(nearest(corpus(spark, matrix), queries(spark, matrix[9:10]), 6).orderBy("rank"))]
+    assert got == [u for u, _ in expected(matrix, matrix[9], 6)]
+
+
 def test_a_query_set_too_big_to_send_takes_the_other_way(spark):
     matrix, asked = vectors(200), vectors(30, seed=1)
     df, q = corpus(spark, matrix), queries(spark, asked)
