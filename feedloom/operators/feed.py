@@ -47,19 +47,15 @@ def _empty_record() -> Column:
     return text.isNull() | text.isin("{}", "[]", "", "0", "0.0", "false")
 
 
-def verdict() -> Column:
-    """What becomes of a message: ``post``, ``skip``, or ``dead:`` and the defect.
+def _is_object() -> Column:
+    return ~mistyped() | again("", "map<string,variant>").isNotNull()
 
-    Skipped messages are other kinds of events. Dead ones cannot be read as what they claim to be.
-    """
-    integer_time = F.coalesce(F.schema_of_variant(field("time_us")) == "BIGINT", F.lit(False))
-    is_object = ~mistyped() | again("", "map<string,variant>").isNotNull()
+
+def _commit_verdict() -> Column:
     no_commit = field("commit").isNotNull() | again("commit").isNull()
     no_rkey = F.when(field("commit.rkey").isNull(), again("commit.rkey").isNull()).otherwise(False)
     return (
-        F.when(broken(), "dead:json")
-        .when(~integer_time, F.when(is_object, "skip").otherwise("dead:message"))
-        .when(~_is_commit(), "skip")
+        F.when(~_is_commit(), "skip")
         .when(~_is_new_post(), F.when(no_commit, "skip").otherwise("dead:commit"))
         .when(~_filled_record(), F.when(_empty_record(), "skip").otherwise("dead:record"))
         .when(no_rkey, "dead:rkey")
@@ -67,19 +63,52 @@ def verdict() -> Column:
     )
 
 
+def verdict() -> Column:
+    """What becomes of a message: ``post``, ``skip``, or ``dead:`` and the defect.
+
+    Skipped messages are other kinds of events. Dead ones cannot be read as what they claim to be.
+    """
+    integer_time = F.coalesce(F.schema_of_variant(field("time_us")) == "BIGINT", F.lit(False))
+    return (
+        F.when(broken(), "dead:json")
+        .when(~integer_time, F.when(_is_object(), "skip").otherwise("dead:message"))
+        .otherwise(_commit_verdict())
+    )
+
+
+def verdict_legacy() -> Column:
+    """The same for the older selection, which does not look at the event time.
+
+    Its posts have no later check of their author, and without author and key all posts of an author, or
+    of a key, would share one address.
+    """
+    outcome = _commit_verdict()
+    nameless = (outcome == "post") & field("did").isNull()
+    keyless = (outcome == "post") & field("commit.rkey").isNull()
+    return (
+        F.when(broken(), "dead:json")
+        .when(~_is_object(), "dead:message")
+        .when(nameless, "dead:did")
+        .when(keyless, "dead:rkey")
+        .otherwise(outcome)
+    )
+
+
 def keep_posts(messages: DataFrame) -> DataFrame:
     """Newly created posts with an integer event time and a filled record."""
     return messages.where(verdict() == "post")
 
 
 def keep_posts_legacy(messages: DataFrame) -> DataFrame:
-    """The older selection: the same without a look at the event time."""
-    return messages.where(_is_commit() & _is_new_post() & _filled_record() & ~broken())
+    """The older selection: the same without a look at the event time, of posts with author and key."""
+    return messages.where(verdict_legacy() == "post")
 
 
-def dead_letters(messages: DataFrame, column: str = "value") -> DataFrame:
-    """Unreadable messages with the defect found."""
-    outcome = verdict()
+def dead_letters(
+    messages: DataFrame, column: str = "value", outcome: Column | None = None
+) -> DataFrame:
+    """Unreadable messages with the defect found; ``outcome`` is ``verdict()`` unless given."""
+    outcome = verdict() if outcome is None else outcome
     return messages.where(outcome.startswith("dead:")).select(
         F.col(column).alias("value"), F.substring_index(outcome, ":", -1).alias("reason")
     )

@@ -78,12 +78,17 @@ def insert_or_ignore(
     return existing.unionByName(fresh.select(*existing.columns))
 
 
-def write_vectors(posts: DataFrame, vectors: DataFrame, key: str = "uri") -> DataFrame:
+def write_vectors(
+    posts: DataFrame, vectors: DataFrame, key: str = "uri", written: str | None = None
+) -> DataFrame:
     """Older-shape posts with ``embedding_blob`` set and ``embedding = 'y'`` where a vector came in.
 
-    ``vectors`` has the key and ``embedding_blob``; of several blobs for a key the largest counts.
+    ``vectors`` has the key and ``embedding_blob``; of several blobs for a key the one written last counts,
+    by the column ``written``. Among equals, and without that column, it is the largest.
     """
-    one_each = vectors.groupBy(key).agg(F.max("embedding_blob").alias("_blob"))
+    place = F.struct(*([written] if written else []), "embedding_blob")
+    filled = F.when(F.col("embedding_blob").isNotNull(), place)
+    one_each = vectors.groupBy(key).agg(F.max_by("embedding_blob", filled).alias("_blob"))
     arrived = F.col("_blob").isNotNull()
     return posts.join(one_each, key, "left").select(
         *[F.col(c) for c in posts.columns if c not in ("embedding", "embedding_blob")],

@@ -52,11 +52,13 @@ def read_lines(spark: SparkSession, path: str, day: str | None = None) -> DataFr
 
 
 def stream_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """The same as a stream over finished files. ``indexed_at`` is the start of the micro-batch,
+    """The same as a stream over closed files. ``indexed_at`` is the start of the micro-batch,
 
-    which Spark keeps in the offset log, so a repeated batch gets the same value.
+    which Spark keeps in the offset log, so a repeated batch gets the same value. This source reads a file
+    once, so open files (``.part``) are left to the reader of growing files, or to their closing.
     """
     text = spark.readStream.options(**options).option("recursiveFileLookup", "true").text(path)
+    text = text.where(~F.col("_metadata.file_path").endswith(".part"))
     indexed_at = F.unix_micros(F.current_timestamp()).alias("indexed_at")
     return _lines(text, indexed_at).withColumn("file_day", day_of_name(F.col("hour")))
 

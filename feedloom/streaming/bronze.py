@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -38,11 +38,15 @@ def start_bronze(
 
 
 def start_dead_letters(
-    messages: DataFrame, path: str, checkpoint: str, every: str | None = f"{FLUSH_SECONDS} seconds"
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = f"{FLUSH_SECONDS} seconds",
+    outcome: Column | None = None,
 ) -> StreamingQuery:
-    """Append unreadable messages with their defects."""
+    """Append unreadable messages with their defects; beside the older table give ``verdict_legacy()``."""
     writer = (
-        dead_letters(messages)
+        dead_letters(messages, outcome=outcome)
         .writeStream.format("json")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

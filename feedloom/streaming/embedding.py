@@ -22,8 +22,10 @@ SCHEMA = f"{VECTORS}, run STRING, batch STRING, file_day STRING"
 
 
 def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
-    """``uri, text, embedding`` written by all runs."""
-    return _read(spark, path, SCHEMA).select("uri", "text", "embedding")
+    """``uri, text, embedding`` of all runs: of a post with vectors on several days, that of the latest day."""
+    written = F.struct("file_day", "batch", "run", F.xxhash64("text"))
+    latest = F.max_by(F.struct("text", "embedding"), written).alias("latest")
+    return _read(spark, path, SCHEMA).groupBy("uri").agg(latest).select("uri", "latest.*")
 
 
 def embed_batch(

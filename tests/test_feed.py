@@ -10,6 +10,7 @@ from feedloom.operators.feed import (
     legacy_posts,
     parse_messages,
     verdict,
+    verdict_legacy,
 )
 from feedloom.sources.feed import from_cursor
 
@@ -175,6 +176,20 @@ def test_older_selection_does_not_look_at_the_time(spark):
     assert sorted(r.i for r in kept) == [0, 1]
 
 
+def test_older_posts_without_author_or_key_are_dead(spark):
+    texts = [
+        message(), message(commit={"rkey": DROP}), message(time_us="12", commit={"rkey": None}),
+        message(did=None), message(did=DROP), message(kind="x", did=DROP), "{bad", "[1]",
+    ]
+    messages = parsed(spark, texts)
+    kept = [r.i for r in keep_posts_legacy(messages).collect()]
+    dead = dead_letters(messages.withColumn("value", F.col("i").cast("string")), outcome=verdict_legacy())
+    assert kept == [0]
+    assert sorted((int(r.value), r.reason) for r in dead.collect()) == [
+        (1, "rkey"), (2, "rkey"), (3, "did"), (4, "did"), (6, "json"), (7, "message"),
+    ]
+
+
 def test_older_rows(spark):
     texts = [
         message(), message(record={"langs": "en"}), message(record={"langs": DROP}),

@@ -152,6 +152,15 @@ def test_vectors_are_written_back(spark):
     assert got == {"a": ("y", b"new"), "b": ("y", b"newer"), "c": ("y", b"keep")}
 
 
+def test_the_vector_written_last_counts(spark):
+    posts = spark.createDataFrame([("a", None, None)], "uri STRING, embedding STRING, embedding_blob BINARY")
+    vectors = spark.createDataFrame(
+        [("a", b"zz", 1), ("a", b"aa", 2), ("a", None, 3)], "uri STRING, embedding_blob BINARY, at INT"
+    )
+    (got,) = write_vectors(posts, vectors, written="at").collect()
+    assert (got.embedding, bytes(got.embedding_blob)) == ("y", b"aa")
+
+
 def test_merged_posts_in_the_older_shape(spark):
     rows = [row("u", 1, langs_json='["en","de"]', emb_vec=[1.0]), row("v", 2)]
     got = {r.uri: r for r in legacy_view(merge_posts(frame(spark, rows))).collect()}

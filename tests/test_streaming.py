@@ -142,7 +142,7 @@ def import_from(spark, lines, tmp_path, state="ckp"):
 def test_posts_are_merged_over_batches(spark, tmp_path):
     put(tmp_path / "h/2024-01-01T00.ndjson", [post(1), post(2), post(1, text="edited", cid="c2")])
     import_from(spark, stream_lines(spark, str(tmp_path / "h")), tmp_path)
-    put(tmp_path / "h/2024-01-01T01.ndjson.part", [post(2, text=None), post(3), "{half", post(4, did="")])
+    put(tmp_path / "h/2024-01-01T01.ndjson", [post(2, text=None), post(3), "{half", post(4, did="")])
     put(tmp_path / "h/2024-01-02T01.ndjson", [post(1, START + DAY)])
     put(tmp_path / "h/notes.txt", [post(77)])
     merged = import_from(spark, stream_lines(spark, str(tmp_path / "h")), tmp_path)
@@ -157,6 +157,15 @@ def test_posts_are_merged_over_batches(spark, tmp_path):
     assert rejects == ["did", "json"]
 
 
+def test_an_open_file_is_read_when_it_is_closed(spark, tmp_path):
+    put(tmp_path / "h/2024-01-01T00.ndjson", [post(9)])
+    put(tmp_path / "h/2024-01-01T01.ndjson.part", [post(1)])
+    assert keys(import_from(spark, stream_lines(spark, str(tmp_path / "h")), tmp_path)) == ["k9"]
+    put(tmp_path / "h/2024-01-01T01.ndjson", [post(1), post(2), post(3)])
+    merged = import_from(spark, stream_lines(spark, str(tmp_path / "h")), tmp_path)
+    assert keys(merged) == ["k1", "k2", "k3", "k9"]
+
+
 def test_the_last_line_of_a_file_wins(spark, tmp_path):
     put(tmp_path / "h/2024-01-01T00.ndjson", [post(1, text=f"v{i}", cid=f"c{i}") for i in range(500)])
     merged = import_from(spark, stream_lines(spark, str(tmp_path / "h")), tmp_path)
@@ -323,6 +332,15 @@ def test_embedding_stream_encodes_each_english_post_once(spark, tmp_path):
     assert found.uri.endswith("/k4") and found.distance == 0.0
 
 
+def test_a_post_on_two_days_has_one_vector(spark, tmp_path):
+    put(tmp_path / "h/2024-01-01T00.ndjson", [post(1)])
+    put(tmp_path / "h/2024-01-02T00.ndjson", [post(1, START + DAY, text="edited long enough")])
+    lines = stream_lines(spark, str(tmp_path / "h"))
+    start_embedding(lines, str(tmp_path / "v"), str(tmp_path / "ckv"), every=None).awaitTermination()
+    rows = read_embeddings(spark, str(tmp_path / "v")).collect()
+    assert [r.text for r in rows] == ["edited long enough"]
+
+
 class Session:
     """Stands for a session with some settings."""
 
