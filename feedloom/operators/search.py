@@ -88,12 +88,15 @@ def _top_k(
     pairs = max(1, MATRIX_CELLS // max(dims, 1))
     for start in range(0, len(vectors), step):
         part = vectors[start : start + step].astype(np.float64)
-        sizes = norms + (part * part).sum(axis=1)[None, :]
-        margin = unit * sizes
-        table = sizes - 2.0 * (queries @ part.T)
+        lengths = (part * part).sum(axis=1)
+        table = queries @ part.T
+        table *= -2.0
+        table += norms
+        table += lengths
+        margin = unit * (norms[:, 0] + lengths.max())
         if table.shape[1] > k:
-            bound = np.minimum(bound, np.partition(table + margin, k - 1, axis=1)[:, k - 1])
-        query, row = np.nonzero(table - margin <= bound[:, None])
+            bound = np.minimum(bound, np.partition(table, k - 1, axis=1)[:, k - 1] + margin)
+        query, row = np.nonzero(table <= (bound + margin)[:, None])
         for at in range(0, len(query), pairs):
             asked, met = query[at : at + pairs], row[at : at + pairs]
             distance = _distances(part[met], queries[asked])
