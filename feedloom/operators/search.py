@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from feedloom.functions.text import strip
 from feedloom.operators.encode import Encoder
 from feedloom.schemas import SEARCH_K
 
@@ -283,7 +282,6 @@ def search_vector(
 
 def search_text(corpus: DataFrame, text: str, encoder: Encoder, k: int = SEARCH_K) -> DataFrame:
     """Posts nearest to a text: ``uri, text, distance`` to 4 decimals, nearest first."""
-    row = corpus.sparkSession.range(1).select(strip(F.lit(text)).alias("text")).first()
-    query = encoder([row.text])[0]
+    query = encoder([text.strip()])[0]
     found = search_vector(corpus, query, k)
     return found.select("uri", "text", F.round("distance", 4).alias("distance"))
