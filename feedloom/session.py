@@ -55,6 +55,13 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, which for a bare path is the cluster's default one."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one, never used by another run."""
     return f"{shared_folder(spark)}/feedloom-{name}-{uuid.uuid4().hex}"

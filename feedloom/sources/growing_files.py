@@ -3,12 +3,18 @@
 Spark's own file source reads a file once and does not notice that it grew. This one keeps a
 byte position per file, always just behind a line end, so a half-written line waits for its rest.
 The driver looks at names, sizes and file ends only; the tasks read the byte ranges.
+
+The offset names only files that changed within ``keep_seconds`` of the newest change. A file that is older than
+that is read to its end and leaves the offset, which keeps just the time up to which files were read. Should such a
+file change after all, it is read from its start again, and so nothing is lost: the merge of posts takes repeated lines
+without effect.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -17,22 +23,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from feedloom.session import qualified
 from feedloom.sources.hour_files import HOUR_PATH, day_of_name, hour_of
 
 RANGE_BYTES = 64 * 1024 * 1024
 READ_BYTES = 4 * 1024 * 1024
 TAIL_BYTES = 64 * 1024
 OPEN_BYTES = 1024 * 1024
+KEEP_SECONDS = 7200
+OPENERS = 16
 
 
 @dataclass
 class ByteRange:
-    """Lines of a file that start in ``[start, stop)``; ``end`` is where complete lines end."""
+    """Lines of a file that start in ``[start, stop)``; ``end`` is where complete lines end.
+
+    ``changed`` is the file's time as the driver saw it, so that all ranges and repeated tasks give the same.
+    """
 
     path: str
     start: int
     stop: int
     end: int
+    changed: int
 
 
 @dataclass
@@ -43,7 +56,7 @@ class Ranges(InputPartition):
 
 
 class GrowingFiles(DataSource):
-    """Options: ``path``, and ``range_bytes`` for the most a task reads."""
+    """Options: ``path``, ``range_bytes`` for the most a task reads, and ``keep_seconds``."""
 
     @classmethod
     def name(cls) -> str:
@@ -54,14 +67,20 @@ class GrowingFiles(DataSource):
 
     def streamReader(self, schema) -> DataSourceStreamReader:
         return GrowingFilesReader(
-            self.options["path"], int(self.options.get("range_bytes", RANGE_BYTES))
+            self.options["path"],
+            int(self.options.get("range_bytes", RANGE_BYTES)),
+            float(self.options.get("keep_seconds", KEEP_SECONDS)),
         )
 
 
 class GrowingFilesReader(DataSourceStreamReader):
-    def __init__(self, path: str, range_bytes: int):
+    """Offsets are ``{"upto": time, "files": {path: [position, time]}}``, times in microseconds."""
+
+    def __init__(self, path: str, range_bytes: int, keep_seconds: float = KEEP_SECONDS):
         self.path = path
         self.range_bytes = range_bytes
+        self.keep = int(keep_seconds * 1_000_000)
+        self.upto = 0
         self.ends: dict[str, tuple[int, int]] = {}
 
     def _files(self) -> tuple[fs.FileSystem, str]:
@@ -69,29 +88,53 @@ class GrowingFilesReader(DataSourceStreamReader):
             return fs.FileSystem.from_uri(self.path)
         return fs.LocalFileSystem(), re.sub("^file:", "", self.path)
 
-    def initialOffset(self) -> dict:
-        return {}
-
-    def latestOffset(self) -> dict:
-        files, root = self._files()
-        chosen = [
-            info
+    def _listed(self, files: fs.FileSystem, root: str) -> list[tuple[str, int, int]]:
+        """Path, size and time of the hour files."""
+        return [
+            (info.path, info.size, (info.mtime_ns or 0) // 1_000)
             for info in files.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
             if info.type == fs.FileType.File
             and not info.base_name.startswith(("_", "."))
             and re.search(HOUR_PATH, info.path)
         ]
+
+    def initialOffset(self) -> dict:
+        return {"upto": 0, "files": {}}
+
+    def latestOffset(self) -> dict:
+        files, root = self._files()
+        listed = self._listed(files, root)
+        newest = max((changed for _, _, changed in listed), default=0)
+        self.upto = max(self.upto, newest - self.keep)
+        live = [entry for entry in listed if entry[2] >= self.upto]
         # Only files whose size changed since the last look are opened.
-        for info in chosen:
-            if self.ends.get(info.path, (-1, 0))[0] != info.size:
-                self.ends[info.path] = (info.size, _last_line_end(files, info.path, info.size))
-        return {info.path: self.ends[info.path][1] for info in chosen}
+        grown = [(path, size) for path, size, _ in live if self.ends.get(path, (-1, 0))[0] != size]
+        with ThreadPoolExecutor(OPENERS) as pool:
+            found = list(pool.map(lambda entry: _last_line_end(files, *entry), grown))
+        for (path, size), end in zip(grown, found):
+            self.ends[path] = (size, end)
+        self.ends = {path: self.ends[path] for path, _, _ in live}
+        # A file closed meanwhile is gone; its lines stand in the closed file.
+        return {
+            "upto": self.upto,
+            "files": {p: [self.ends[p][1], changed] for p, _, changed in live if self.ends[p][1] is not None},
+        }
 
     def partitions(self, start: dict, end: dict) -> Sequence[Ranges]:
+        known, live = start["files"], end["files"]
+        wanted = [(path, stop, changed) for path, (stop, changed) in live.items()]
+        if start["upto"] < end["upto"]:
+            # Files that changed last between the two times are finished and leave the offset. One that changes
+            # again before this list is made will be live, and read from its start, in a later batch.
+            files, root = self._files()
+            wanted += [
+                entry for entry in self._listed(files, root)
+                if start["upto"] <= entry[2] < end["upto"] and entry[0] not in live
+            ]
         tasks: list[Ranges] = []
         room = 0
-        for path, stop in sorted(end.items()):
-            begin = start.get(path, 0)
+        for path, stop, changed in sorted(wanted):
+            begin = known[path][0] if path in known else 0
             if stop < begin:  # a shorter file under the same name is a new file
                 begin = 0
             while begin < stop:
@@ -99,7 +142,7 @@ class GrowingFilesReader(DataSourceStreamReader):
                     tasks.append(Ranges([]))
                     room = self.range_bytes
                 upto = min(begin + room, stop)
-                tasks[-1].ranges.append(ByteRange(path, begin, upto, stop))
+                tasks[-1].ranges.append(ByteRange(path, begin, upto, stop, changed))
                 # Opening a file costs about as much as reading some of it.
                 room -= max(upto - begin, OPEN_BYTES)
                 begin = upto
@@ -108,10 +151,13 @@ class GrowingFilesReader(DataSourceStreamReader):
     def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         files, _ = self._files()
         for part in partition.ranges:
-            yield from self._read_range(files, part)
+            try:
+                yield from self._read_range(files, part)
+            except FileNotFoundError:
+                # An open file that was closed meanwhile: its lines come with the closed file, which is new.
+                continue
 
     def _read_range(self, files: fs.FileSystem, partition: ByteRange) -> Iterator[pa.RecordBatch]:
-        changed = files.get_file_info(partition.path).mtime_ns // 1_000
         with files.open_input_file(partition.path) as stream:
             position = partition.start
             if position:
@@ -124,6 +170,10 @@ class GrowingFilesReader(DataSourceStreamReader):
                 block = stream.read(min(READ_BYTES, partition.end - position - len(carry)))
                 lines = (carry + block).split(b"\n")
                 carry = lines.pop()
+                if carry and position + sum(map(len, lines)) + len(lines) + len(carry) >= partition.end:
+                    # A finished file may lack the last line end.
+                    lines.append(carry)
+                    carry = b""
                 places, values = [], []
                 for line in lines:
                     if position >= partition.stop:
@@ -137,7 +187,7 @@ class GrowingFilesReader(DataSourceStreamReader):
                         [
                             pa.array(values, pa.string()),
                             pa.array([partition.path] * len(values), pa.string()),
-                            pa.array([changed] * len(values), pa.int64()),
+                            pa.array([partition.changed] * len(values), pa.int64()),
                             pa.array(places, pa.int64()),
                         ],
                         ["value", "file_path", "file_time", "position"],
@@ -146,9 +196,13 @@ class GrowingFilesReader(DataSourceStreamReader):
                     break
 
 
-def _last_line_end(files: fs.FileSystem, path: str, size: int) -> int:
-    """Position behind the last line end; reads back from the end of the file only."""
-    with files.open_input_file(path) as stream:
+def _last_line_end(files: fs.FileSystem, path: str, size: int) -> int | None:
+    """Position behind the last line end, read back from the end of the file; None if the file is gone."""
+    try:
+        stream = files.open_input_file(path)
+    except FileNotFoundError:
+        return None
+    with stream:
         stop = size
         while stop > 0:
             start = max(0, stop - TAIL_BYTES)
@@ -178,7 +232,8 @@ def _rest_of_line(stream, limit: int) -> bytes:
 def stream_growing_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Lines of growing hour files, in the shape of ``hour_files.stream_lines``."""
     spark.dataSource.register(GrowingFiles)
-    lines = spark.readStream.format("growing_files").options(path=path, **options).load()
+    whole = qualified(spark, path)
+    lines = spark.readStream.format("growing_files").options(path=whole, **options).load()
     hour = hour_of(F.col("file_path"))
     return lines.select(
         "value",

@@ -1,4 +1,5 @@
 import json
+import os
 import time
 
 import pytest
@@ -290,7 +291,7 @@ def test_byte_ranges_cover_every_line_once(tmp_path, size):
     reader = GrowingFilesReader(str(tmp_path / "h"), size)
     end = reader.latestOffset()
     got = []
-    for part in reader.partitions({}, end):
+    for part in reader.partitions(reader.initialOffset(), end):
         for batch in reader.read(part):
             got += list(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), batch.column(0).to_pylist()))
     assert [value for _, _, value in sorted(got)] == lines + ["x"]
@@ -312,7 +313,64 @@ def test_small_files_share_a_task(tmp_path):
     for hour in range(24):
         put(tmp_path / f"h/2024-01-01T{hour:02d}.ndjson", ["x"])
     reader = GrowingFilesReader(str(tmp_path / "h"), 8 * 1024 * 1024)
-    assert len(reader.partitions({}, reader.latestOffset())) == 3
+    assert len(reader.partitions(reader.initialOffset(), reader.latestOffset())) == 3
+
+
+def read_ranges(reader, parts):
+    return [
+        tuple(column[i] for column in batch.to_pydict().values())
+        for part in parts for batch in reader.read(part) for i in range(batch.num_rows)
+    ]
+
+
+def test_an_append_between_two_range_reads_keeps_the_order(tmp_path):
+    path = tmp_path / "h/2024-01-01T00.ndjson.part"
+    put(path, [f"v{i}" for i in range(6)])
+    reader = GrowingFilesReader(str(tmp_path / "h"), 9)
+    parts = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    assert len(parts) > 1
+    last = read_ranges(reader, parts[1:])
+    put(path, ["v6"], "a")
+    os.utime(path, (2_000_000_000, 2_000_000_000))
+    rows = read_ranges(reader, parts[:1]) + last
+    assert len({time for _, _, time, _ in rows}) == 1
+    assert [v for v, *_ in sorted(rows, key=lambda r: r[2:])] == [f"v{i}" for i in range(6)]
+
+
+def test_untouched_files_leave_the_offset_and_come_back_when_they_change(tmp_path):
+    old, new = tmp_path / "h/2024-01-01T00.ndjson", tmp_path / "h/2024-01-01T05.ndjson.part"
+    put(old, ["a", "b"])
+    with open(old, "a") as out:
+        out.write("no line end")
+    put(new, ["n"])
+    os.utime(old, (1_000_000, 1_000_000))
+    os.utime(new, (1_010_000, 1_010_000))
+    reader = GrowingFilesReader(str(tmp_path / "h"), 1000)
+    first = reader.latestOffset()
+    assert list(first["files"]) == [str(new)]
+    values = lambda start, end, r: sorted(v for v, *_ in read_ranges(r, r.partitions(start, end)))
+    assert values(reader.initialOffset(), first, reader) == ["a", "b", "n", "no line end"]
+    assert values(first, GrowingFilesReader(str(tmp_path / "h"), 1000).latestOffset(), reader) == []
+    # Both change while the stream is down, one of them long before the other.
+    put(old, ["", "c"], "a")
+    os.utime(old, (1_020_000, 1_020_000))
+    put(new, ["m"], "a")
+    os.utime(new, (1_090_000, 1_090_000))
+    again = GrowingFilesReader(str(tmp_path / "h"), 1000)
+    second = again.latestOffset()
+    assert list(second["files"]) == [str(new)]
+    assert values(first, second, again) == ["a", "b", "c", "m", "no line end"]
+    assert values(second, again.latestOffset(), again) == []
+
+
+def test_a_file_closed_meanwhile_is_read_as_the_closed_one(tmp_path):
+    part, closed = tmp_path / "h/2024-01-01T00.ndjson.part", tmp_path / "h/2024-01-01T00.ndjson"
+    put(part, ["a", "b"])
+    reader = GrowingFilesReader(str(tmp_path / "h"), 1000)
+    first = reader.latestOffset()
+    part.rename(closed)
+    assert read_ranges(reader, reader.partitions(reader.initialOffset(), first)) == []
+    assert [v for v, *_ in read_ranges(reader, reader.partitions(first, reader.latestOffset()))] == ["a", "b"]
 
 
 def test_embedding_stream_encodes_each_english_post_once(spark, tmp_path):
