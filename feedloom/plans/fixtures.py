@@ -6,11 +6,14 @@ feed the message takes, so all rows of the table take part.
 
 from __future__ import annotations
 
+from itertools import groupby
+
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.codec import pack_vector
-from feedloom.functions.times import event_day, micros
+from feedloom.functions.times import event_day, hour_key, micros
 from feedloom.operators.feed import (
     flatten_posts,
     keep_posts,
@@ -20,7 +23,7 @@ from feedloom.operators.feed import (
 )
 from feedloom.operators.importing import parse_lines, valid_posts
 from feedloom.operators.merge import write_vectors
-from feedloom.session import spread
+from feedloom.session import qualified, spread
 
 # One row per message, in SQL that Spark and DuckDB read alike.
 FEED_SQL = """
@@ -83,7 +86,14 @@ def _object(*fields: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def edited_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with the posts of labelled documents edited."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.lit(" [edited]").alias("_mark"))
+    text = F.concat("text", F.coalesce("_mark", F.lit("")))
+    return feed(spark, sf_dir).join(labels, "doc_id", "left").withColumn("text", text).drop("_mark")
+
+
+def messages(spark: SparkSession, sf_dir: str, edited: bool = False) -> DataFrame:
     """``doc_id, lang, value``: the feed as JSON texts."""
     langs = (
         F.when(F.col("langs_form") == "string", _json(F.col("lang")))
@@ -132,11 +142,31 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _field("kind", _json(F.col("kind"))),
         _field("commit", commit),
     )
-    return feed(spark, sf_dir).select("doc_id", "lang", value.alias("value"))
+    rows = edited_feed(spark, sf_dir) if edited else feed(spark, sf_dir)
+    return rows.select("doc_id", "lang", value.alias("value"))
+
 
+def flat_posts(spark: SparkSession, sf_dir: str, edited: bool = False) -> DataFrame:
+    return flatten_posts(keep_posts(parse_messages(messages(spark, sf_dir, edited))))
 
-def flat_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_posts(keep_posts(parse_messages(messages(spark, sf_dir))))
+
+def grow_hour_files(posts: DataFrame, folder: str) -> None:
+    """Append (runs a job) flat posts to the open files of their hours; an hour's file grows in one task."""
+    place = qualified(posts.sparkSession, folder)
+
+    def append(rows) -> None:
+        files, root = (
+            fs.FileSystem.from_uri(place) if "://" in place
+            else (fs.LocalFileSystem(), place.removeprefix("file:"))
+        )
+        files.create_dir(root, recursive=True)
+        for hour, lines in groupby(rows, key=lambda row: row.hour):
+            with files.open_append_stream(f"{root}/{hour}.ndjson.part") as out:
+                for line in lines:
+                    out.write(line.value.encode() + b"\n")
+
+    lines = posts.select(F.to_json(F.struct(*posts.columns)).alias("value"), hour_key(F.col("time_us")).alias("hour"))
+    lines.repartition("hour").sortWithinPartitions("hour").foreachPartition(append)
 
 
 def older_posts(spark: SparkSession, sf_dir: str) -> DataFrame:

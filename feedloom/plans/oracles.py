@@ -11,6 +11,8 @@ from feedloom.plans.registry import (
     CHUNK_ROWS,
     EXPORT_END,
     GRID_END,
+    LANDED_DAY,
+    LANDED_HOUR,
     QUEUE_ROWS,
     SEARCH_WORDS,
 )
@@ -54,6 +56,13 @@ def _post(text: str = "text", has_embedding: str = "0") -> str:
 
 
 LANDED = f"WITH {FEED}, {FLAT} SELECT {_post()} FROM flat WHERE created_at <> ''"
+# The landed feed comes a second time with the posts of labelled documents edited.
+EDITED = """edited AS (
+  SELECT flat.* REPLACE (text || CASE WHEN l.doc_id IS NULL THEN '' ELSE ' [edited]' END AS text),
+    l.doc_id IS NOT NULL AS labelled
+  FROM flat LEFT JOIN labels l ON l.doc_id = flat.doc_id)"""
+LANDED_EDITED = f"WITH {FEED}, {FLAT}, {EDITED} SELECT {_post()} FROM edited WHERE created_at <> ''"
+EMBEDDED = "created_at <> '' AND array_to_string(langs, ',') = 'en' AND length(text) > 10"
 
 # Older shape: every readable date, whatever the event time.
 OLDER = f"""older AS (
@@ -96,15 +105,15 @@ def _bags(name: str, source: str, key: str) -> str:
   FROM {name}_n)"""
 
 
-def _text_search(queries: str, key: str, doc_key: str) -> str:
-    return f"""WITH q0 AS ({queries}), {_bags('d', 'documents', 'doc_id')}, {_bags('q', 'q0', key)},
+def _text_search(queries: str, key: str, doc_key: str, first: str = "", documents: str = "documents") -> str:
+    return f"""WITH {first} q0 AS ({queries}), {_bags('d', documents, 'doc_id')}, {_bags('q', 'q0', key)},
 dots AS (SELECT q.{key}, d.doc_id, sum(q.w * d.w) AS dot FROM q JOIN d USING (bucket) GROUP BY ALL),
 dn AS (SELECT doc_id, sum(w * w) AS dd FROM d GROUP BY ALL),
 qn AS (SELECT {key}, sum(w * w) AS qq FROM q GROUP BY ALL),
 pairs AS (
   SELECT q0.{key}, {doc_key} AS doc_key, t.text, round(greatest(
     coalesce(qq, 0) + coalesce(dd, 0) - 2 * coalesce(dot, 0), 0), 9) AS dist
-  FROM q0 CROSS JOIN documents t
+  FROM q0 CROSS JOIN {documents} t
   LEFT JOIN qn USING ({key}) LEFT JOIN dn ON dn.doc_id = t.doc_id
   LEFT JOIN dots ON dots.doc_id = t.doc_id AND dots.{key} = q0.{key}),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY dist, doc_key) AS r FROM pairs)"""
@@ -129,7 +138,8 @@ DAMAGED = f"""WITH {FEED}, damaged AS (
   UNION ALL SELECT 'half', 'dead:json' FROM feed
   UNION ALL SELECT 'no_key', CASE WHEN {KEPT} THEN 'dead:rkey' ELSE 'skip' END FROM feed
   UNION ALL SELECT 'no_commit', CASE WHEN time_us_form = 'int' AND kind = 'commit'
-    THEN 'dead:commit' ELSE 'skip' END FROM feed)"""
+    THEN 'dead:commit' ELSE 'skip' END FROM feed
+  UNION ALL SELECT unnest(['comma', 'tab', 'blanks', 'junk', 'brace', 'bracket']), 'dead:json' FROM feed)"""
 
 ORACLES: dict[str, str] = {
     "knn_top5": f"""SELECT c.vec_id, c.label, round({PAIR_DISTANCE}, 4) AS distance
@@ -166,8 +176,9 @@ ORACLES: dict[str, str] = {
         strftime(ts, '%Y-%m-%dT%H') <> '{AS_OF_HOUR}' AS closed FROM events GROUP BY ALL""",
     "import_valid": LANDED,
     "import_rejects": f"""WITH {FEED}, {FLAT},
-        gaps AS (SELECT unnest(['none', 'uri', 'did', 'rkey', 'created_at', 'time_us']) AS gap)
-        SELECT cid, CASE WHEN gap IN ('uri', 'did', 'rkey') THEN gap
+        gaps AS (SELECT unnest(['none', 'uri', 'did', 'rkey', 'created_at', 'time_us',
+          'json', 'json', 'json', 'json', 'json', 'json']) AS gap)
+        SELECT cid, CASE WHEN gap IN ('uri', 'did', 'rkey', 'json') THEN gap
           WHEN created_at = '' THEN 'created_at' ELSE gap END AS reason
         FROM flat, gaps WHERE gap <> 'none' OR created_at = ''""",
     "file_groups": f"""SELECT substr(file_name, 1, 10) AS file_day,
@@ -252,12 +263,36 @@ ORACLES: dict[str, str] = {
         CAST(CASE WHEN lang = 'en' THEN 2 ELSE 1 END AS BIGINT) AS n FROM flat""",
     "stream_dead": f"""{DAMAGED} SELECT split_part(verdict, ':', 2) AS reason, count(*) AS n
         FROM damaged WHERE verdict LIKE 'dead:%' GROUP BY 1""",
-    "stream_upsert": LANDED,
-    "stream_replay": LANDED,
-    "tail_source": LANDED,
+    "stream_upsert": LANDED_EDITED,
+    "stream_replay": LANDED_EDITED,
+    "tail_source": f"""WITH {FEED}, {FLAT}, {EDITED} SELECT {_post()}, labelled AS imported_again
+        FROM edited WHERE created_at <> ''""",
+    "landed_hours": f"""WITH {FEED}, {FLAT} SELECT {EVENT_HOUR} AS hour,
+        CAST(sum(CASE WHEN lang = 'en' THEN 2 ELSE 1 END) AS BIGINT) AS rows,
+        {EVENT_HOUR} <> '{LANDED_HOUR}' AS closed FROM flat WHERE created_at <> '' GROUP BY ALL""",
+    "landed_day": f"""WITH {FEED}, {FLAT}, {EDITED}, twice AS (
+          SELECT uri, time_us, text, created_at FROM edited
+          UNION ALL SELECT uri, time_us, text, created_at FROM flat WHERE lang = 'en')
+        SELECT uri, {EVENT_HOUR} AS hour, text FROM twice
+        WHERE created_at <> '' AND {EVENT_DAY} = '{LANDED_DAY}'""",
+    "export_hour": f"""SELECT uri, created_at, text FROM ({EVENT_POST})
+        WHERE created_date = '{LANDED_DAY}' AND created_hour = 7""",
+    "vector_table_stored": f"""WITH {FEED} SELECT uri, text,
+        round(list_sum(embedding::DOUBLE[]), 6) AS total FROM feed JOIN embeddings ON vec_id = doc_id""",
+    "describe_events": """SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name
+        FROM information_schema.columns WHERE table_name = 'events'""",
+    "feed_to_search": f"""{_text_search(
+        f"SELECT 1 AS one, '{SEARCH_WORDS.strip()}' AS text", 'one', 't.uri',
+        f"{FEED}, {FLAT}, {EDITED}, posts AS (SELECT * FROM edited WHERE {EMBEDDED}),", 'posts')}
+        SELECT doc_key AS uri, text, round(dist, 4) AS distance FROM ranked WHERE r <= 5""",
+    "feed_to_export": f"""WITH {FEED}, {FLAT}, {EDITED}
+        SELECT uri, substr(created_at, 1, 10) AS created_date,
+          CAST(substr(created_at, 12, 2) AS INTEGER) AS created_hour, text,
+          {EMBEDDING_DIMS} AS dims, {LINK} AS post_url
+        FROM edited WHERE {EMBEDDED} AND CAST(substr(created_at, 1, 10) AS DATE)
+          BETWEEN DATE '{EXPORT_END}' - INTERVAL 2 DAY AND DATE '{EXPORT_END}'""",
     "stream_older": f"""WITH {FEED}, {OLDER} SELECT uri, repo, rkey, created_at, created_date,
         created_hour, text, langs FROM older""",
-    "stream_embedding": f"""WITH {FEED}, {FLAT} SELECT uri, text,
-        {EMBEDDING_DIMS} AS dims FROM flat
-        WHERE created_at <> '' AND array_to_string(langs, ',') = 'en' AND length(text) > 10""",
+    "stream_embedding": f"""WITH {FEED}, {FLAT}, {EDITED} SELECT uri, text,
+        {EMBEDDING_DIMS} AS dims FROM edited WHERE {EMBEDDED}""",
 }

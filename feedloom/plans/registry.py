@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.codec import pack_vector, unpack_vector
@@ -47,9 +47,16 @@ from feedloom.sources.hour_files import (
     rows_per_file,
     stream_lines,
 )
-from feedloom.sources.tables import count_by_date, query_file, read_export
+from feedloom.sources.tables import (
+    count_by_date,
+    describe,
+    query_file,
+    read_export,
+    read_vectors,
+    write_vectors_table,
+)
 from feedloom.streaming.bronze import start_bronze, start_dead_letters
-from feedloom.streaming.embedding import read_embeddings, start_embedding
+from feedloom.streaming.embedding import fill_vectors, read_embeddings, start_embedding
 from feedloom.streaming.older import read_older, start_older
 from feedloom.streaming.posts import compact_posts, read_posts, start_posts
 
@@ -60,6 +67,8 @@ CHUNK_ROWS = 8
 EXPORT_END = "2024-01-05"
 GRID_END = "2024-01-31"
 AS_OF_HOUR = "2024-01-15T12"
+LANDED_DAY = "2024-01-03"
+LANDED_HOUR = "2024-01-05T07"
 FLAT_COLUMNS = (
     "kind", "uri", "cid", "did", "rkey", "created_at", "time_us", "text",
     "reply_parent", "reply_root", "quote_uri",
@@ -168,13 +177,26 @@ def feed_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _ends(value: Column) -> dict[str, Column]:
+    """What may follow a message on its line, where only one value may stand."""
+    return {
+        "comma": F.concat(F.lit(","), value),
+        "tab": F.concat(F.lit("\t"), value),
+        "blanks": F.concat(F.lit("  "), value),
+        "junk": F.lit(" junk}"),
+        "brace": F.lit("}"),
+        "bracket": F.concat(F.lit("],["), value),
+    }
+
+
 def _damaged(messages: DataFrame) -> DataFrame:
-    """Every message as it is, cut in half, without a record key, and with a null commit."""
+    """Every message as it is, cut in half, without a record key, with a null commit, and with more on its line."""
     value = F.col("value")
     half = F.substr(value, F.lit(1), F.floor(F.length(value) / 2).cast("int"))
     no_key = F.replace(value, F.lit('"rkey":'), F.lit('"rk":'))
     no_commit = F.concat(F.substring_index(value, ',"commit":', 1), F.lit(',"commit":null}'))
     forms = {"whole": value, "half": half, "no_key": no_key, "no_commit": no_commit}
+    forms |= {name: F.concat(value, end) for name, end in _ends(value).items()}
     shaped = F.array(*[F.struct(F.lit(n).alias("form"), v.alias("value")) for n, v in forms.items()])
     return messages.select(F.inline(shaped))
 
@@ -218,15 +240,16 @@ def import_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def import_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of whole posts and of posts that lack one field each."""
-    lines = _lines(spark, sf_dir)
+    """Lines of whole posts, of posts that lack one field each, and lines with more than a post."""
+    value = F.col("value")
     gaps = ("uri", "did", "rkey", "created_at", "time_us")
     without = [
-        lines.withColumn("value", F.regexp_replace("value", f'"{name}":("[^"]*"|[0-9]+)', f'"{name}":""'))
-        for name in gaps
+        F.regexp_replace(value, f'"{name}":("[^"]*"|[0-9]+)', f'"{name}":""') for name in gaps
     ]
-    kept = rejected_lines(parse_lines(reduce(DataFrame.unionAll, without, lines)))
-    return kept.select(F.get_json_object("value", "$.cid").alias("cid"), "reason")
+    longer = [F.concat(value, end) for end in _ends(value).values()]
+    forms = F.array(*[F.struct(v.alias("value")) for v in (value, *without, *longer)])
+    kept = rejected_lines(parse_lines(_lines(spark, sf_dir).select(F.inline(forms))))
+    return kept.select(F.regexp_extract("value", '"cid":"([^"]*)"', 1).alias("cid"), "reason")
 
 
 def _event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -458,10 +481,10 @@ def _write_messages(df: DataFrame, path: str) -> None:
 
 
 def _land(spark: SparkSession, sf_dir: str, folder: str) -> str:
-    """Land the feed in two runs of one stream: the English part, then the whole feed again."""
-    feed = fx.messages(spark, sf_dir)
+    """Land the feed in two runs of one stream: its English part, then the whole feed with labelled posts edited."""
+    first, second = fx.messages(spark, sf_dir), fx.messages(spark, sf_dir, edited=True)
     bronze = f"{folder}/bronze"
-    for drop in (feed.where("lang = 'en'"), feed):
+    for drop in (first.where("lang = 'en'"), second):
         _write_messages(drop, f"{folder}/messages")
         stream = stream_messages(spark, f"{folder}/messages", start_us=1)
         start_bronze(stream, bronze, f"{folder}/state/bronze", every=None).awaitTermination()
@@ -507,11 +530,74 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tail_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through the reader for growing files."""
+    """Open hour files that grow: all posts, an import, the labelled ones edited in the same files, an import."""
     folder = run_folder(spark, "tail")
-    lines = stream_growing_lines(spark, _land(spark, sf_dir, folder))
-    start_posts(lines, f"{folder}/posts", f"{folder}/state/posts", every=None).awaitTermination()
-    return read_posts(spark, f"{folder}/posts").select(*POST_COLUMNS)
+    for edited in (False, True):
+        posts = fx.flat_posts(spark, sf_dir, edited)
+        if edited:
+            posts = posts.where(F.col("text").endswith(" [edited]"))
+        fx.grow_hour_files(posts, f"{folder}/hours")
+        lines = stream_growing_lines(spark, f"{folder}/hours")
+        start_posts(lines, f"{folder}/posts", f"{folder}/state/posts", every=None).awaitTermination()
+    return read_posts(spark, f"{folder}/posts").select(
+        *POST_COLUMNS, (F.col("indexed_first") < F.col("indexed_last")).alias("imported_again")
+    )
+
+
+def landed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours of the landed feed with their accepted lines, and whether they are closed."""
+    lines = read_lines(spark, _land(spark, sf_dir, run_folder(spark, "hours")))
+    return hour_states(parse_lines(lines).where("outcome = 'post'"), LANDED_HOUR)
+
+
+def landed_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted lines of one landed day, without opening the files of others."""
+    lines = read_lines(spark, _land(spark, sf_dir, run_folder(spark, "day")), LANDED_DAY)
+    return parse_lines(lines).where("outcome = 'post'").select("uri", "hour", "text")
+
+
+def export_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exported posts of one day and hour."""
+    folder = run_folder(spark, "export-hour")
+    write_chunks(fx.event_posts(spark, sf_dir).withColumn("post_url", F.lit(None).cast("string")), folder)
+    rows = read_export(spark, folder).where((F.col("created_date") == LANDED_DAY) & (F.col("created_hour") == 7))
+    return rows.select("uri", "created_at", "text")
+
+
+def vector_table_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The searchable table written and loaded again."""
+    folder = run_folder(spark, "vectors")
+    write_vectors_table(fx.document_vectors(spark, sf_dir), folder)
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return read_vectors(spark, folder).select("uri", "text", F.round(total, 6).alias("total"))
+
+
+def describe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return describe(spark, fx.table(spark, sf_dir, "events")).select("position", "column_name")
+
+
+def _filled_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way: feed, hours, merged posts, vectors, and posts with their vectors."""
+    folder = run_folder(spark, "way")
+    bronze = _land(spark, sf_dir, folder)
+    lines = lambda: stream_lines(spark, bronze)
+    start_posts(lines(), f"{folder}/posts", f"{folder}/state/posts", every=None).awaitTermination()
+    start_embedding(lines(), f"{folder}/vectors", f"{folder}/state/vectors", every=None).awaitTermination()
+    return fill_vectors(read_posts(spark, f"{folder}/posts"), f"{folder}/vectors", "words")
+
+
+def feed_to_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the feed to the posts nearest to a text."""
+    posts = _filled_posts(spark, sf_dir).where("has_embedding = 1")
+    return search_text(posts.select("uri", "text", F.col("emb_vec").alias("embedding")), SEARCH_WORDS, hashed_words())
+
+
+def feed_to_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the feed to export rows of posts that got a vector."""
+    posts = legacy_view(_filled_posts(spark, sf_dir), "emb_vec", "emb_model", "emb_dims")
+    return export_rows(posts, EXPORT_END, vector="emb_vec").select(
+        "uri", "created_date", "created_hour", "text", F.size("embedding").alias("dims"), "post_url"
+    )
 
 
 def stream_older(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -550,5 +636,7 @@ QUERIES: dict[str, Query] = {
         consolidation_stale, consolidate_union, hash_encode, text_search_batch, text_search,
         row_count, sql_where, count_by_day, sample_limit, stream_bronze,
         stream_dead, stream_upsert, stream_replay, tail_source, stream_older, stream_embedding,
+        landed_hours, landed_day, export_hour, vector_table_stored, describe_events,
+        feed_to_search, feed_to_export,
     )
 }

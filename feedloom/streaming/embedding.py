@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from feedloom.functions.text import embed_text
 from feedloom.operators.encode import Encoder, encode_texts, hashed_words
 from feedloom.operators.legacy import legacy_view
-from feedloom.operators.merge import merge_posts
+from feedloom.operators.merge import merge_posts, with_vectors
 from feedloom.operators.pending import pending_posts, without_vector
 from feedloom.schemas import VECTORS
 from feedloom.streaming.bronze import triggered
@@ -28,6 +28,12 @@ def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, SCHEMA).groupBy("uri").agg(latest).select("uri", "latest.*")
 
 
+def fill_vectors(posts: DataFrame, path: str, model: str | None = None) -> DataFrame:
+    """Merged posts with the vectors below ``path`` written back; a filter on ``file_day`` reaches both tables."""
+    written = F.struct("batch", "run", F.xxhash64("text"))
+    return with_vectors(posts, _read(posts.sparkSession, path, SCHEMA), written, model)
+
+
 def embed_batch(
     posts: DataFrame,
     days: Sequence[str],
