@@ -63,10 +63,15 @@ def novelty(text: str, start: int, end: int) -> float:
 
 def novel_spans(text: str, taken: list[tuple[int, int, str]], threshold: float = THRESHOLD) -> list[tuple[int, int, str]]:
     found = []
+    # Both come in order of their starts: spans that end before a candidate are behind all later ones too.
+    ordered, at, reach = sorted(taken), 0, 0
     for m in CONTEXT.finditer(text):
         start, end = m.span(1)
         value = m[1]
-        if any(a < end and start < b for a, b, _ in taken):
+        while at < len(ordered) and ordered[at][0] < end:
+            reach = max(reach, ordered[at][1])
+            at += 1
+        if reach > start:
             continue
         if not any(c.isdigit() for c in value) or not any(c.isalpha() for c in value):
             continue
