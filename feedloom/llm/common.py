@@ -31,12 +31,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def few(df: DataFrame, row_bytes: int) -> DataFrame:
+def few(df: DataFrame, row_bytes: int, items: str | None = None) -> DataFrame:
     """A stored side of a join, with the hint to broadcast it if its counted rows stay below 32 MB.
 
-    Larger sides are joined by a shuffle; the result is the same.
+    ``items`` names a column of lists, whose entries count 8 bytes each. Larger sides are joined by a shuffle; the
+    result is the same.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+    held = F.coalesce(F.sum(F.size(items)), F.lit(0)) if items else F.lit(0)
+    rows, entries = df.agg(F.count("*"), held).first()
+    return F.broadcast(df) if rows * row_bytes + entries * 8 <= BROADCAST_BYTES else df
 
 
 def remainder(id_column: str, of: int) -> Column:

@@ -218,7 +218,7 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     pages_with = found.select("host", "subtree", "content").distinct().groupBy("host", "subtree").agg(F.count("*").alias("pages"))
     template = few(stored(pages_with.where(F.col("pages") >= min_pages).select("host", "subtree"), "template"), 32)
     removed = found.join(template, ["host", "subtree"]).groupBy("key").agg(F.collect_set("node").alias("removed"))
-    removed = few(stored(removed, "removed"), 200)
+    removed = few(stored(removed, "removed"), 64, "removed")
     return run_batches(
         named.join(removed, "key", "left").select("page_id", "url", "html", "removed"), _extracted,
         "page_id long, url string, text string, n_chars long, n_removed long")
