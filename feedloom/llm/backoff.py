@@ -133,21 +133,22 @@ def _requests(order: int, parts: int):
                 for kind, keys in lot.keys(order).items():
                     every, which = np.unique(keys, return_inverse=True)
                     counts = np.bincount(which[lot.train], minlength=len(every)).astype(np.uint32)
-                    cuts = np.searchsorted(every, _edges(parts))
-                    for part, (a, b) in enumerate(zip(np.append(0, cuts), np.append(cuts, len(every)))):
-                        if a < b:
-                            yield pa.RecordBatch.from_pydict({
-                                "kind": pa.array([kind], pa.int32()), "part": pa.array([part], pa.int64()),
-                                "lot": pa.array([row["lot"]], pa.int64()),
-                                "keys": pa.array([_packed(np.diff(every[a:b], prepend=np.uint64(0)))], pa.binary()),
-                                "counts": pa.array([_packed(counts[a:b])], pa.binary())})
+                    part = _part(every, parts)
+                    first = np.flatnonzero(np.diff(part, prepend=-1))
+                    # Only parts with a key are named, so the work follows the keys, however many parts there are.
+                    for a, b in zip(first, np.append(first[1:], len(every))):
+                        yield pa.RecordBatch.from_pydict({
+                            "kind": pa.array([kind], pa.int32()), "part": pa.array([part[a]], pa.int64()),
+                            "lot": pa.array([row["lot"]], pa.int64()),
+                            "keys": pa.array([_packed(np.diff(every[a:b], prepend=np.uint64(0)))], pa.binary()),
+                            "counts": pa.array([_packed(counts[a:b])], pa.binary())})
 
     return rows
 
 
-def _edges(parts: int) -> np.ndarray:
-    """Inner borders of equal parts of the 64-bit range."""
-    return np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+def _part(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Number of the part of the 64-bit range, cut into equal ones, that each key lies in."""
+    return (((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
 
 def _totals(rows: pd.DataFrame) -> pd.DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 
 import numpy as np
@@ -82,6 +83,28 @@ def test_scan_spans():
     assert random_key not in novelty.masked(noisy) and word_path in novelty.masked(noisy)
 
 
+def test_novel_spans_avoid_base_spans():
+    """The walk over spans in order says the same as a look at every span."""
+    rng = random.Random(3)
+    key = lambda n: "".join(rng.choice("abcdefghXYZ0123456789") for _ in range(n))
+    for _ in range(30):
+        parts = [f"{rng.choice(['password', 'private key', 'auth', 'token', 'note'])}{rng.choice([': ', '=', ' '])}{key(rng.randint(4, 40))}"
+                 for _ in range(20)]
+        text = rng.choice(["\n", " "]).join(parts)
+        base = novelty.base_spans(text)
+        found = novelty.novel_spans(text, base)
+        plain = [x for x in novelty.novel_spans(text, []) if not any(a < x[1] and x[0] < b for a, b, _ in base)]
+        assert found == plain
+
+
+def test_parts_cover_the_range_in_order():
+    keys = np.sort(np.random.default_rng(1).integers(0, 1 << 64, 5000, np.uint64, endpoint=False))
+    for parts in (1, 3, 1000, 1 << 20):
+        part = backoff._part(keys, parts)
+        assert (np.diff(part) >= 0).all() and part.min() >= 0 and part.max() < parts
+    assert backoff._part(np.array([0, (1 << 64) - 1], np.uint64), 7).tolist() == [0, 6]
+
+
 def test_language_held_out(spark, docs):
     model = language.train(docs, remainder("doc_id", 5) != 0)
     found = {r.doc_id: r.lang_pred for r in language.identify(docs, model).collect()}
