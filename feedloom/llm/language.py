@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import pickle
 import zlib
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,16 +38,31 @@ PIECE = 512
 MARGIN = 48
 
 
+class Names(dict):
+    """Names of features to their numbers, remembered up to ``MEMORY`` of them: most words share theirs."""
+
+    def __missing__(self, name: str) -> int:
+        if len(self) >= MEMORY:
+            self.clear()
+        number = self[name] = zlib.crc32(name.encode("utf-8", "replace")) % FEATURES
+        return number
+
+
+NUMBERS = Names()
+
+
 def features(word: str, lexicon: dict[str, list[int]]) -> list[int]:
     """Hashed features of a word: affixes, character n-grams with borders, lexicon entries; none without a letter."""
-    letters = "".join(c for c in word.lower() if c.isalpha())
-    if not letters:
-        return []
+    letters = word.lower()
+    if not letters.isalpha():
+        letters = "".join(filter(str.isalpha, letters))
+        if not letters:
+            return []
     edged = f"^{letters}$"
     names = [f"p{letters[:n]}" for n in (1, 2, 3)] + [f"s{letters[-n:]}" for n in (1, 2, 3, 4)]
     names += [edged[i : i + n] for n in (2, 3) for i in range(len(edged) - n + 1)]
-    found = [zlib.crc32(x.encode("utf-8", "replace")) % FEATURES for x in names]
-    return found + [FEATURES + x for x in lexicon.get(letters, ())]
+    found = list(map(NUMBERS.__getitem__, names))
+    return found + [FEATURES + x for x in lexicon[letters]] if letters in lexicon else found
 
 
 class Chain:
@@ -69,7 +85,7 @@ class Chain:
         rows = np.flatnonzero([bool(x) for x in listed])
         if len(rows):
             sizes = np.array([len(listed[i]) for i in rows])
-            flat = np.fromiter((x for i in rows for x in listed[i]), np.int64, int(sizes.sum()))
+            flat = np.fromiter(chain.from_iterable(listed), np.int64, int(sizes.sum()))
             out[rows, :-1] = np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes) / np.sqrt(sizes)[:, None]
             out[rows, -1] = 1
         return out
