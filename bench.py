@@ -20,9 +20,13 @@ HEADLINE = (
     "import_rejects", "posts_upsert", "posts_first_wins", "posts_legacy_view", "pending_queue",
     "embedding_writeback", "vector_blob_roundtrip", "export_posts", "export_chunks", "export_grid",
     "consolidate_union", "hour_key_counts", "count_by_day", "sql_where", "stream_bronze",
-    "stream_upsert", "tail_source",
+    "stream_upsert", "tail_source", "stream_replay", "stream_older", "stream_embedding", "stream_dead",
+    "feed_to_search",
+)
+STREAMS = (
+    "consolidate_union", "stream_bronze", "stream_upsert", "tail_source", "stream_replay", "stream_older",
+    "stream_embedding", "stream_dead", "feed_to_search",
 )
-STREAMS = ("consolidate_union", "stream_bronze", "stream_upsert", "tail_source")
 
 
 def run(spark, name: str, sf_dir: str) -> float:
