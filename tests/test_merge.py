@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from feedloom.operators.legacy import legacy_view
-from feedloom.operators.merge import first_per_key, insert_or_ignore, merge_posts, write_vectors
+from feedloom.operators.merge import first_per_key, insert_or_ignore, merge_posts, with_vectors, write_vectors
 from feedloom.schemas import POSTS
 
 COLUMNS = [c.split()[0] for c in POSTS.replace("\n", " ").split(",")]
@@ -167,3 +167,21 @@ def test_merged_posts_in_the_older_shape(spark):
     assert got["u"].langs == "en,de" and got["u"].embedding == "y" and len(got["u"].embedding_blob) == 4
     assert got["v"].langs == "" and got["v"].embedding is None and got["v"].embedding_blob is None
     assert (got["u"].created_date, got["u"].created_hour) == ("2024-01-01", 0)
+
+
+def test_vectors_are_written_back_by_day_and_address(spark):
+    posts = spark.createDataFrame(
+        [("d1", "a", 0, None, None, None), ("d2", "a", 0, None, None, None), ("d1", "b", 1, "old", 1, [9.0])],
+        "file_day string, uri string, has_embedding int, emb_model string, emb_dims int, emb_vec array<float>",
+    )
+    vectors = spark.createDataFrame(
+        [("d1", "a", [1.0, 2.0], 1), ("d1", "a", [0.0, 1.0], 2), ("d3", "a", [5.0], 3)],
+        "file_day string, uri string, embedding array<float>, n int",
+    )
+    filled = with_vectors(posts, vectors, F.col("n"), "m")
+    assert filled.columns == posts.columns
+    assert sorted(tuple(r) for r in filled.collect()) == [
+        ("d1", "a", 1, "m", 2, [0.0, 1.0]), ("d1", "b", 1, "old", 1, [9.0]), ("d2", "a", 0, None, None, None),
+    ]
+    again = with_vectors(filled, vectors, F.col("n"), "m")
+    assert sorted(map(str, again.collect())) == sorted(map(str, filled.collect()))
