@@ -13,7 +13,8 @@ another; every shard gives back at most k rows per query, and these are merged b
 Edge cases: vectors that are null, zero, empty, or hold null or non-finite components take no part; vectors of
 different lengths are compared only with their own length; a query with fewer candidates gets all of them; ties go to the smaller
 id; a repeated id is one row per occurrence, and no row with the query's own id is a candidate; an empty table gives an
-empty result. Equal vectors, however many, only fill leaves: a shard has a fixed number of rows.
+empty result. Equal vectors of a shard are one point with their ids in order, so copies, however many, share a leaf and are
+answered by the smallest ids.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ class Tree:
             own = points[rows]
             spread = own.max(0) - own.min(0)
             if len(rows) <= leaf or not spread.max():
-                # Equal points cannot be cut by value, but a leaf stays small.
+                # Different vectors with equal projections cannot be cut by value, but a leaf stays small.
                 self.leaves += [rows[i : i + leaf] for i in range(0, len(rows), leaf)]
                 continue
             side, half = int(spread.argmax()), len(rows) // 2
@@ -63,22 +64,56 @@ class Tree:
         return np.square(np.maximum(np.maximum(self.low - point, point - self.high), 0)).sum(1)
 
 
+class Points:
+    """Each distinct vector of a shard once, with the ids of its rows in order."""
+
+    def __init__(self, ids, vectors):
+        known: dict[bytes, int] = {}
+        # Adding 0 turns -0.0 into 0.0, which is the same number in other bytes.
+        group = np.array([known.setdefault(x.tobytes(), len(known)) for x in vectors + 0.0], np.int64)
+        order = np.lexsort((ids, group))
+        self.ids, self.sizes = ids[order], np.bincount(group, minlength=len(known))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.vectors = vectors[order[self.starts]]
+
+    def others(self, points, distances, name, k: int):
+        """(distance, id) of the rows of some points without the id ``name``: of each the k smallest ids."""
+        if (self.sizes[points] == 1).all():
+            ids = self.ids[self.starts[points]]
+            return distances[ids != name], ids[ids != name]
+        d, i = [], []
+        for point, distance in zip(points, distances):
+            own = self.ids[self.starts[point] : self.starts[point] + self.sizes[point]]
+            left, right = np.searchsorted(own, name, "left"), np.searchsorted(own, name, "right")
+            i.append(np.concatenate([own[: min(left, k)], own[right : right + k]])[:k])
+            d.append(np.full(len(i[-1]), distance))
+        return np.concatenate(d), np.concatenate(i)
+
+
 def search_shard(ids, vectors, queries, query_ids, k: int, sure: float, dims: int):
     """(query, id, distance) of up to k verified neighbours of each query within one shard."""
     matrix = projection(vectors.shape[1], dims)
-    tree, projected = Tree(vectors @ matrix), queries @ matrix
+    held = Points(ids, vectors)
+    tree, projected = Tree(held.vectors @ matrix), queries @ matrix
     limit = chi_square_quantile(sure, dims)
+    # Two projections of one vector can differ by rounding: up to this squared distance, by the query's squared length.
+    rounding = np.square(4 * np.finfo(np.float64).eps * len(matrix)) * np.square(matrix).sum()
     out = []
     for query, name, point in zip(queries, query_ids, projected):
-        away = tree.distances(point)
+        away, margin = tree.distances(point), rounding * np.square(query).sum()
         best_d, best_i = np.empty(0), np.empty(0, np.int64)
         for leaf in np.argsort(away, kind="stable"):
-            if len(best_d) == k and away[leaf] >= limit * best_d[-1]:
+            if len(best_d) == k and away[leaf] > max(limit * best_d[-1], margin):
                 break
             rows = tree.leaves[leaf]
-            rows = rows[ids[rows] != name]
-            apart = np.square(vectors[rows] - query).sum(1)
-            d, i = np.append(best_d, apart), np.append(best_i, ids[rows])
+            apart = np.square(held.vectors[rows] - query).sum(1)
+            if len(best_d) == k:
+                near = apart <= best_d[-1]
+                rows, apart = rows[near], apart[near]
+            if not len(rows):
+                continue
+            apart, others = held.others(rows, apart, name, k)
+            d, i = np.append(best_d, apart), np.append(best_i, others)
             order = np.lexsort((i, d))[:k]
             best_d, best_i = d[order], i[order]
         out += [(name, int(i), math.sqrt(d)) for i, d in zip(best_i, best_d)]

@@ -150,6 +150,23 @@ def test_neighbours_recall(spark):
     assert [(r["rank"], r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 5, 0.0), (2, 6, 2.0)]
 
 
+def test_neighbours_of_many_copies(spark):
+    """Copies are answered by the smallest ids, in whichever leaf or shard they lie."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(5)
+    copy, near = rng.normal(size=16), rng.normal(size=16)
+    rows = [(int(i), (copy if i % 2 else near).tolist()) for i in rng.permutation(2000)]
+    rows += [(5000 + i, rng.normal(size=16).tolist()) for i in range(600)] + [(7, copy.tolist()), (9, copy.tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    wanted = [1, 3, 5, 7, 7, 9, 9, 11, 13, 15, 17, 19]
+    for shard_rows in (300, 700, 1 << 15):
+        found = neighbours.nearest(frame, F.col("vec_id").isin(1, 9, 1999), k=10, shard_rows=shard_rows).collect()
+        for query in (1, 9, 1999):
+            got = sorted((r["rank"], r.vec_id, r.score) for r in found if r.query_id == query)
+            assert got == [(n, i, 0.0) for n, i in enumerate([x for x in wanted if x != query][:10], 1)]
+
+
 def test_targets_and_knapsack(spark, docs):
     mixed = budget.mix(docs).collect()
     size = {}
