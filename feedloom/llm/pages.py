@@ -5,8 +5,13 @@ text). Spark counts per host in how many pages of different main text each subtr
 ``min_pages`` or more are the site's template and are deleted. Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments are removed by their element, role, class or id as well, since a
 site may fill them with other words on each page. The text of the article (else of the main element, else of the
-body) remains: one line per block, character references decoded, white space joined. Paragraphs and
-headings of an article are never taken for a template, as copies of an article repeat them.
+body) remains: one line per block, character references decoded, white space joined.
+
+A class or id names a page part if all its words do (``sidebar``, ``site-footer``); one with other words (``has-sidebar``,
+``comments-open``) is left to the count. No element goes by its name that holds most of the page's text, or an article or
+main element with more text than stands outside of named parts; only comments beside another article do.
+
+Paragraphs and headings of an article are never taken for a template, as copies of an article repeat them.
 
 Edge cases: a null or empty html has an empty text; broken markup is read as far as it goes (missing
 end tags are implied, stray ones ignored); a null url is a host of its own; repeated rows get equal results and
@@ -50,11 +55,25 @@ NAMES = frozenset(
     "related recommended breadcrumb breadcrumbs newsletter subscribe subscription pagination pager masthead toolbar widget "
     "skip login signup".split())
 HEADERS = frozenset({"header", "masthead"})
+COMMENTS = frozenset("comment comments disqus respond".split())
+# Words that may stand beside one of the names in the class or id of the same page part.
+PLAIN = frozenset(
+    "area bar block body bottom box button buttons center col column container content footer global group header holder icon "
+    "icons inner item items left link links list main media message middle outer page panel placeholder post posts primary right "
+    "row secondary section site slot text thread title top unit web wrap wrapper".split())
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-PARTS = re.compile(r"[\s_-]+")
+PARTS = re.compile(r"[_-]+")
+
+
+def named_part(token: str, names: frozenset) -> int:
+    """2 if a class or id says with all its words that it is one of ``names``, 1 if with some, 0 if with none."""
+    words = [x for x in PARTS.split(token) if x]
+    if names.isdisjoint(words):
+        return 0
+    return 2 if all(x in names or x in PLAIN or x.isdigit() for x in words) else 1
 
 
 class Page:
@@ -62,6 +81,8 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.drop, self.name = ["#"], [-1], [False], [""]
+        # By class or id: 0 no page part, 1 perhaps one, 2 one, 3 comments.
+        self.called = [0]
         self.hash: list[int] = [0]
         self.blocks: list[list[tuple[int, str]]] = [[]]
         self._parts: list[list[str]] = [[]]
@@ -88,6 +109,37 @@ class Page:
                 self._pop()
         while len(self._stack) > 1:
             self._pop()
+        if 2 in self.called or 3 in self.called:
+            self._drop_named()
+
+    def _drop_named(self) -> None:
+        """Drop the elements whose class or id says so, but none with the article or most of the text."""
+        size, beside = [0] * len(self.tag), 0
+        named, comments = [x > 1 for x in self.called], [x == 3 for x in self.called]
+        for node in range(1, len(self.tag)):
+            named[node] = named[node] or named[self.parent[node]]
+            comments[node] = comments[node] or comments[self.parent[node]]
+        for block in self.blocks:
+            for node, text in block:
+                if not self.drop[node]:
+                    size[node] += len("".join(text.split()))
+                    beside += 0 if named[node] else len("".join(text.split()))
+        for node in range(len(self.tag) - 1, 0, -1):
+            size[self.parent[node]] += size[node]
+        spared, other = set(), False
+        for wanted in ("article", "main"):
+            found = [x for x, tag in enumerate(self.tag) if tag == wanted and not self.drop[x] and not comments[x]]
+            at = max(found, key=size.__getitem__, default=0)
+            other = other or size[at] > 0 and at > 0
+            if at and (not named[at] or size[at] >= beside):
+                while at:
+                    spared.add(at)
+                    at = self.parent[at]
+        for node in range(1, len(self.tag)):
+            if self.called[node] > 1 and node not in spared:
+                most = 2 * size[node] > size[0] and not (self.called[node] == 3 and other)
+                self.drop[node] = self.drop[node] or not most
+            self.drop[node] = self.drop[node] or self.drop[self.parent[node]]
 
     def _break(self) -> None:
         if self.blocks[-1]:
@@ -121,14 +173,17 @@ class Page:
         if attributes:
             for m in ATTRIBUTE.finditer(attributes):
                 named.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
-        parts = {x for key in ("class", "id") for x in PARTS.split(named.get(key, "").lower()) if x}
         inside = any(self.tag[x] in ("article", "main") for x in self._stack)
-        header = not inside and (tag == "header" or bool(parts & HEADERS))
-        drop = tag in DROPPED or header or bool(parts & NAMES) and tag not in ("html", "body", "main")
-        drop = drop or named.get("role", "").lower() in ROLES
+        drop = tag in DROPPED or tag == "header" and not inside or named.get("role", "").lower() in ROLES
+        called = 0
+        if tag not in ("html", "body", "main"):
+            tokens = {x for key in ("class", "id") for x in named.get(key, "").lower().split()}
+            called = max((named_part(x, NAMES if inside else NAMES | HEADERS) for x in tokens), default=0)
+            called = 3 if any(named_part(x, COMMENTS) == 2 for x in tokens) else called
         self.tag.append("main" if named.get("role", "").lower() == "main" else tag)
         self.parent.append(self._stack[-1])
         self.drop.append(drop or self.drop[self._stack[-1]])
+        self.called.append(called)
         self.name.append(f"<{tag} {named.get('class', '')} {named.get('id', '')}>")
         self.hash.append(0)
         self._parts.append([])
@@ -186,7 +241,7 @@ class Page:
         return [
             (node, self.hash[node]) for node in range(1, len(self.tag))
             if self.hash[node] and self.tag[node] not in INLINE and self.tag[node] not in ("html", "body", "head", "article", "main", "title")
-            and (whole or not held[node] or self.tag[node] not in PROSE)
+            and (whole or not held[node] or self.tag[node] not in PROSE or self.called[node])
         ]
 
 

@@ -266,6 +266,26 @@ def test_page_text(spark):
     assert got == [(i, f"text {i}") for i in range(12)] + [(20, ""), (20, "")]
 
 
+def test_page_parts_by_name():
+    """A name alone never costs a page its article or most of its text."""
+    article = "<article><h1>Head</h1><p>All the words of this article</p></article>"
+    text = "Head\nAll the words of this article"
+    for open_tag in ('<div class="layout has-sidebar">', '<div id="with-sidebar">', '<div class="sidebar">', '<div class="widget banner">',
+                     '<div class="with-header">', '<div class="page-header">'):
+        assert pages.Page(f"<body><div class='menu'>m</div>{open_tag}{article}<div class='share'>s</div></div></body>").text() == text
+    for name in ("post comments-open", "related", "notice"):
+        assert pages.Page(f"<body>{article.replace('<article', f'<article class={chr(34)}{name}{chr(34)}')}</body>").text() == text
+    assert pages.Page("<body><div class='page has-sidebar'><p>Words</p></div><div class='sidebar'>x</div></body>").text() == "Words"
+    assert pages.Page("<body><div class='widget'><p>Most of the words</p></div><p>few</p></body>").text() == "Most of the words\nfew"
+    # Parts that are not the article still go, also with articles of their own and more text.
+    teaser = "<div class='related-posts'><article>Other</article></div>"
+    reply = f"<div class='comments-area'><article class='comment-body'>{'reply ' * 30}</article></div>"
+    for other in (teaser, reply):
+        assert pages.Page(f"<body><main>{article}{other}</main></body>").text() == text
+        assert pages.Page(f"<body>{article.replace('</article>', other + '</article>')}</body>").text() == text
+    assert pages.Page(f"<body><div><p>The text of a page without article</p></div>{teaser}</body>").text() == "The text of a page without article"
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_scores_against_counts(spark, order):
     rows = [(i, t) for i, t in enumerate(["a b a b c", "A b", "", None, "c c c a b d", "b a z"])]
