@@ -1,17 +1,19 @@
 """Main text of web pages: site templates found by counting element subtrees per host, then removed.
 
 A page is read into a tree of elements. Every container with text has a hash of its subtree (tags, class, id and
-text). Spark counts per host in how many pages of different main text each subtree stands; subtrees in
-``min_pages`` or more are the site's template and are deleted. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments are removed by their element, role, class or id as well, since a
-site may fill them with other words on each page. The text of the article (else of the main element, else of the
-body) remains: one line per block, character references decoded, white space joined.
+text). Spark counts per host in how many pages of different main text each subtree stands; subtrees in a ``share`` of
+the host's pages of different main text, and in ``min_pages`` at least, are the site's template and are deleted. Menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are removed by their element, role,
+class or id as well, since a site may fill them with other words on each page. The text of the article (else of the main
+element, else of the body) remains: one line per block, character references decoded, white space joined.
 
 A class or id names a page part if all its words do (``sidebar``, ``site-footer``); one with other words (``has-sidebar``,
 ``comments-open``) is left to the count. No element goes by its name that holds most of the page's text, or an article or
 main element with more text than stands outside of named parts; only comments beside another article do.
 
-Paragraphs and headings of an article are never taken for a template, as copies of an article repeat them.
+Paragraphs and headings of an article are never taken for a template, as copies of an article repeat them. Other
+parts of an article are only if the pages that share them keep half of their text without them, and if the longest and
+the second longest line of what they keep differ in as many pages as a template needs.
 
 Edge cases: a null or empty html has an empty text; broken markup is read as far as it goes (missing
 end tags are implied, stray ones ignored); a null url is a host of its own; repeated rows get equal results and
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import few, run_batches, stored
 
-MIN_PAGES = 10
+MIN_PAGES = 3
+SHARE = 0.1
 
 # --- fixed values: elements of the markup language and usual names of page parts ---
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -235,24 +238,45 @@ class Page:
                 lines.append(line)
         return "\n".join(lines)
 
-    def candidates(self) -> list[tuple[int, int]]:
-        """(element, hash) of the containers that may be part of a template."""
+    def candidates(self) -> list[tuple[int, int, bool]]:
+        """(element, hash, whether inside the article) of the containers that may be part of a template."""
         held, whole = self.scope(), "article" not in self.tag and "main" not in self.tag
         return [
-            (node, self.hash[node]) for node in range(1, len(self.tag))
+            (node, self.hash[node], held[node] and not held[0]) for node in range(1, len(self.tag))
             if self.hash[node] and self.tag[node] not in INLINE and self.tag[node] not in ("html", "body", "head", "article", "main", "title")
             and (whole or not held[node] or self.tag[node] not in PROSE or self.called[node])
         ]
 
+    def rest(self, removed) -> tuple[int, int] | None:
+        """Hashes of the longest and second longest line without some elements; None if less than half the text is left."""
+        left = self.text(removed)
+        if not left or 2 * len(left) < len(self.text()):
+            return None
+        lines = sorted(left.split("\n"), key=len, reverse=True)[:2]
+        hashes = [xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) >> 1 for x in lines]
+        return hashes[0], hashes[-1]
+
 
 def _subtrees(batches):
     for batch in batches:
-        out = {"key": [], "host": [], "content": [], "node": [], "subtree": []}
+        out = {"key": [], "host": [], "content": [], "node": [], "subtree": [], "inside": []}
         for key, host, source in zip(batch["key"], batch["host"], batch["html"]):
             page = Page(source or "")
             content = xxhash.xxh3_64_intdigest(page.text().encode("utf-8", "replace")) >> 1
-            for node, subtree in page.candidates():
-                for name, value in zip(out, (key, host, content, node, subtree)):
+            # Subtree 0 stands for the page itself.
+            for node, subtree, inside in [(0, 0, False), *page.candidates()]:
+                for name, value in zip(out, (key, host, content, node, subtree, inside)):
+                    out[name].append(value)
+        yield out
+
+
+def _rests(batches):
+    for batch in batches:
+        out = {"key": [], "first": [], "second": []}
+        for key, source, nodes in zip(batch["key"], batch["html"], batch["nodes"]):
+            left = Page(source or "").rest(nodes)
+            if left:
+                for name, value in zip(out, (key, *left)):
                     out[name].append(value)
         yield out
 
@@ -264,15 +288,33 @@ def _extracted(batches):
                "n_removed": [len(x or ()) for x in batch["removed"]]}
 
 
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
     """``page_id, url, text, n_chars, n_removed`` for every row ``page_id, url, html``."""
     host = F.lower(F.coalesce(F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1), F.lit("")))
     named = pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("key"), F.xxhash64(host).alias("host"))
     found = stored(run_batches(named.select("key", "host", "html"), _subtrees,
-                               "key long, host long, content long, node int, subtree long"), "subtrees")
-    pages_with = found.select("host", "subtree", "content").distinct().groupBy("host", "subtree").agg(F.count("*").alias("pages"))
-    template = few(stored(pages_with.where(F.col("pages") >= min_pages).select("host", "subtree"), "template"), 32)
-    removed = found.join(template, ["host", "subtree"]).groupBy("key").agg(F.collect_set("node").alias("removed"))
+                               "key long, host long, content long, node int, subtree long, inside boolean"), "subtrees")
+    part = ["host", "subtree", "inside"]
+    pages_with = stored(found.select(*part, "content").distinct().groupBy(part).agg(F.count("*").alias("pages"))
+                        .where((F.col("pages") >= min_pages) | (F.col("subtree") == 0)), "pages-with")
+    needed = F.greatest(F.lit(min_pages), F.ceil(F.col("pages") * share)).alias("needed")
+    hosts = few(pages_with.where("subtree = 0").select("host", needed), 32)
+    often = stored(pages_with.where("subtree <> 0").join(hosts, "host").where("pages >= needed").select(*part, "needed"), "often")
+    # Inside an article, count the pages again by the lines they keep without all that is often there.
+    inner = found.where("inside").join(few(often.where("inside"), 40), part)
+    inner = stored(inner.select("key", "node", "host", "subtree", "needed"), "inner")
+    nodes = few(stored(inner.groupBy("key").agg(F.collect_set("node").alias("nodes")), "nodes"), 64, "nodes")
+    rests = stored(run_batches(named.select("key", "html").join(nodes, "key"), _rests,
+                               "key long, first long, second long").distinct(), "rests")
+    lines = inner.select("key", "host", "subtree", "needed").distinct().join(few(rests, 40), "key").select(
+        "host", "subtree", "needed", F.inline(F.array(
+            F.struct(F.lit(1).alias("line"), F.col("first").alias("hash")),
+            F.struct(F.lit(2).alias("line"), F.col("second").alias("hash")))))
+    differ = lines.distinct().groupBy("host", "subtree", "needed", "line").agg(F.count("*").alias("pages")).where("pages >= needed")
+    differ = differ.groupBy("host", "subtree").agg(F.count("*").alias("lines")).where("lines = 2")
+    template = often.where("not inside").select(part).union(differ.select("host", "subtree", F.lit(True)))
+    template = few(stored(template, "template"), 40)
+    removed = found.join(template, part).groupBy("key").agg(F.collect_set("node").alias("removed"))
     removed = few(stored(removed, "removed"), 64, "removed")
     return run_batches(
         named.join(removed, "key", "left").select("page_id", "url", "html", "removed"), _extracted,

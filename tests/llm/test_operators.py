@@ -286,6 +286,24 @@ def test_page_parts_by_name():
     assert pages.Page(f"<body><div><p>The text of a page without article</p></div>{teaser}</body>").text() == "The text of a page without article"
 
 
+def test_templates_by_share_of_host(spark):
+    other = lambda i: f"<p>{' '.join(f'w{i}x{j}' for j in range(30))}</p><p>{' '.join(f'v{i}x{j}' for j in range(20))}</p>"
+    note, body = "<div><b>Read our terms</b></div>", "<div class='body'>The body of an article that was printed again and again</div>"
+    halves = "<div>One part of a text in several boxes</div><div>And the other part of that text</div><p>And a paragraph</p>"
+    page = lambda inner: f"<body><article>{inner}</article></body>"
+    rows = [(i, f"http://small/{i}", page(note + other(i))) for i in range(4)]
+    rows += [(100 + i, f"http://big/{i}", page(other(i) + ("<div>Sold out</div>" if i < 10 else ""))) for i in range(150)]
+    rows += [(300 + i, f"http://copies/{i}", page(f"<h1>Head {i}</h1>" + body)) for i in range(12)]
+    rows += [(400 + i, f"http://boxes/{i}", page(f"<h1>Head {i}</h1>" + halves)) for i in range(12)]
+    rows += [(500 + i, f"http://named/{i}", page(f"<p class='my-notice'>Mind the step</p><p class='a-notice'>n{i}</p>" + other(i))) for i in range(5)]
+    text = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert not any("Read our terms" in text[i] for i in range(4)) and all(f"w{i}x0" in text[i] for i in range(4))
+    assert all("Sold out" in text[100 + i] for i in range(10))
+    assert all(text[300 + i].startswith(f"Head {i}\nThe body") for i in range(12))
+    assert all(text[400 + i].count("\n") == 3 for i in range(12))
+    assert all(text[500 + i].startswith(f"n{i}\nw{i}x0") for i in range(5))
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_scores_against_counts(spark, order):
     rows = [(i, t) for i, t in enumerate(["a b a b c", "A b", "", None, "c c c a b d", "b a z"])]
