@@ -1,11 +1,13 @@
 """Secrets in text: fixed patterns, and strings in a sensitive context that a primed compressor cannot shorten.
 
 The base patterns (assigned secrets, access keys, long hex runs) are found leftmost and without overlap per kind in the whole
-text. Beyond them a candidate is a run of key-like characters with a digit and a letter that follows a
-sensitive word on the same line. A zstandard compressor is primed with a dictionary of common
+text. Beyond them a candidate is any run of 16 or more key-like characters with a digit and a letter on a line with a
+sensitive word, wherever the word stands; a name and ``=`` before a value are no part of it, and the host name of a mail
+address is none. A zstandard compressor is primed with a dictionary of common
 identifiers and with the text around the candidate; the bytes the candidate adds to its output, by
 its length, are its novelty. Candidates at or above the threshold are reported as ``novel``: names, paths and
-repeated values are cheap to say with the dictionary, random strings are not.
+repeated values are cheap to say with the dictionary, random strings are not. Of a candidate that meets base spans the parts
+beside them are reported.
 
 Edge cases: a null text is empty; an empty text has no spans; overlaps are possible between kinds but not between a
 candidate and a base span; repeated rows and ties give equal rows. Every row is judged by itself, so no
@@ -40,9 +42,11 @@ IDENTIFIERS = (
     "authorization bearer basic session cookie signature credential database host port name value example test sample "
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 XXXXXXXX 00000000"
 ).encode()
-CONTEXT = re.compile(
-    r"(?:" + "|".join(sorted(SENSITIVE, key=len, reverse=True)) + r")[A-Za-z_]{0,16}[^\nA-Za-z0-9]{1,8}"
-    r"(?:[A-Za-z]{1,12}[ :=\"']{1,4})?([A-Za-z0-9+/_=-]{16,})", re.A | re.I)
+ANNOUNCED = re.compile("|".join(sorted(SENSITIVE, key=len, reverse=True)), re.A | re.I)
+RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}+")
+NAME = re.compile(r"[A-Za-z_.-]+[0-9]{0,4}")
+HOST = re.compile(r"(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}")
+LEAST = 16
 AROUND = 512
 THRESHOLD = 0.7
 
@@ -61,22 +65,47 @@ def novelty(text: str, start: int, end: int) -> float:
     return (len(pack.compress(text[start:end].encode())) - len(pack.compress(b""))) / (end - start)
 
 
+def candidates(text: str):
+    """(start, end) of the key-like runs on lines with a sensitive word."""
+    line_end, announced = -1, False
+    for m in RUN.finditer(text):
+        start, end = m.span()
+        value = m[0].rstrip(".")
+        end -= len(m[0]) - len(value)
+        # What stands before an equals sign inside the run is the name of the value, not padding.
+        while (cut := value.find("=")) >= 0 and value[cut:].strip("=") and (
+                not cut or NAME.fullmatch(value[:cut]) or ANNOUNCED.search(value[:cut])):
+            value = value[cut:].lstrip("=")
+        start = end - len(value)
+        if len(value) < LEAST or not any(c.isdigit() for c in value) or not any(c.isalpha() for c in value):
+            continue
+        if text[start - 1 : start] == "@" and HOST.fullmatch(value):
+            continue
+        if m.end() > line_end:
+            line_end = text.find("\n", m.end())
+            line_end = len(text) if line_end < 0 else line_end
+            announced = ANNOUNCED.search(text, text.rfind("\n", 0, m.start()) + 1, line_end) is not None
+        if announced:
+            yield start, end
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, str]], threshold: float = THRESHOLD) -> list[tuple[int, int, str]]:
     found = []
-    # Both come in order of their starts: spans that end before a candidate are behind all later ones too.
+    # Both come in order of their starts: spans that start before the end of a candidate cannot start in a later one.
     ordered, at, reach = sorted(taken), 0, 0
-    for m in CONTEXT.finditer(text):
-        start, end = m.span(1)
-        value = m[1]
+    for start, end in candidates(text):
+        parts, free = [], max(start, reach)
         while at < len(ordered) and ordered[at][0] < end:
+            if ordered[at][0] > free:
+                parts.append((free, ordered[at][0]))
             reach = max(reach, ordered[at][1])
+            free = max(free, reach)
             at += 1
-        if reach > start:
-            continue
-        if not any(c.isdigit() for c in value) or not any(c.isalpha() for c in value):
-            continue
-        if novelty(text, start, end) >= threshold:
-            found.append((start, end, "novel"))
+        if free < end:
+            parts.append((free, end))
+        parts = [x for x in parts if any(c.isalnum() for c in text[x[0] : x[1]])]
+        if parts and novelty(text, start, end) >= threshold:
+            found += [(a, b, "novel") for a, b in parts]
     return found
 
 

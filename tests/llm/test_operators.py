@@ -97,6 +97,22 @@ def test_novel_spans_avoid_base_spans():
         assert found == plain
 
 
+def test_scan_takes_whole_keys_anywhere_on_the_line():
+    rng = random.Random(8)
+    key = lambda n=28: "a1" + "".join(rng.choice("abcdefghijkmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    jwt, a, b, c = f"{key()}.{key(60)}.{key(40)}", key(), key(), key()
+    assert novelty.masked(f"Authorization: Bearer {jwt}.\n") == "Authorization: Bearer [secret].\n"
+    assert novelty.masked(f"auth_keys = ['{a}', '{b}']") == "auth_keys = ['[secret]', '[secret]']"
+    assert novelty.masked(f"client_key2 = '{a}'; client_key2={b}") == "client_key2 = '[secret]'; client_key2=[secret]"
+    assert novelty.masked(f"private_key{' ' * 30}= '{a}'") == f"private_key{' ' * 30}= '[secret]'"
+    assert novelty.masked(f"{a} is the signature, not {b}==\nand {c}") == f"[secret] is the signature, not [secret]\nand {c}"
+    # What a base span leaves of a key is masked as well, and no span covers another.
+    text = f"private: Zq9{a}G{'0a' * 12}G{b}"
+    spans = sorted(x[:2] for x in novelty.base_spans(text) + novelty.novel_spans(text, novelty.base_spans(text)))
+    assert len(spans) == 3 and [x[1] for x in spans[:2]] == [x[0] for x in spans[1:]] and set(novelty.masked(text)[9:]) == set("[secret]")
+    assert novelty.novel_spans("my key contact is someone@mail9.example.com", []) == []
+
+
 def test_parts_cover_the_range_in_order():
     keys = np.sort(np.random.default_rng(1).integers(0, 1 << 64, 5000, np.uint64, endpoint=False))
     for parts in (1, 3, 1000, 1 << 20):
