@@ -8,6 +8,11 @@ The model is fitted on a bounded sample: about ``SAMPLE`` labelled documents per
 the id, and ``WINDOW`` words from a place in each chosen by the same hash. Its sequences join pieces from documents of different
 languages, so that the transitions learn to switch. Everything else covers all rows and whole texts.
 
+Shares add up to one over the learned languages, so they cannot tell a text in none of them. For that every word has a
+proof: the mean log frequency of its features in the language where it stands out least, against that language's own
+words in documents left out of the count. ``keep_spoken`` wants the mean proof of a text to be no lower than that of the
+training documents by ``SPREADS`` standard deviations, for as many different words as the text has.
+
 Edge cases: a null text, and one without a letter, is ``und`` with score 0; words without a letter have no
 features of their own and take no part in the score; null labels are not learned; without any labelled text all
 texts are ``und``; repeated rows and ties give equal rows, and of equal sums the label first by name wins.
@@ -36,6 +41,8 @@ MEMORY = 1 << 18
 NEW_WORDS = 1 << 12
 PIECE = 512
 MARGIN = 48
+SPREADS = 5.5
+WORD_SPREADS = 3.0
 
 
 class Names(dict):
@@ -66,28 +73,44 @@ def features(word: str, lexicon: dict[str, list[int]]) -> list[int]:
 
 
 class Chain:
-    """A fitted model: ``labels``, ``lexicon``, feature weights and transitions."""
+    """A fitted model: ``labels``, ``lexicon``, feature weights and transitions; feature proofs and their spread in documents."""
 
-    def __init__(self, labels: list[str], lexicon: dict[str, list[int]], weights: np.ndarray, steps: np.ndarray, first: np.ndarray):
+    def __init__(self, labels: list[str], lexicon: dict[str, list[int]], weights: np.ndarray, steps: np.ndarray, first: np.ndarray,
+                 proofs: np.ndarray | None = None, spread: tuple[float, float, float] = (0.0, 0.0, 0.0)):
         self.labels, self.lexicon, self.weights, self.steps, self.first = labels, lexicon, weights, steps, first
+        self.proofs, self.spread = proofs, spread
 
-    def parts(self) -> tuple:
+    def parts(self, proofs: bool = True) -> tuple:
         """Plain values, which a broadcast can carry to workers that have not loaded this module yet."""
-        return self.labels, self.lexicon, self.weights, self.steps, self.first
+        return (self.labels, self.lexicon, self.weights, self.steps, self.first) + ((self.proofs, self.spread) if proofs else ())
+
+    def width(self) -> int:
+        return len(self.labels) + 1 + (self.proofs is not None)
+
+    def least_proof(self, words: int) -> float:
+        """The least mean proof of a text with so many different words in a learned language."""
+        usual, between, within = self.spread
+        return usual - SPREADS * np.sqrt(between**2 + within**2 / words)
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        """One row per word: label scores, then 1 if the word has a letter.
+        """One row per word: label scores, then 1 if the word has a letter, then its proof if the model has proofs.
 
         Scores are divided by the root of the number of features, so long words do not drown the chain.
         """
         listed = [features(word, self.lexicon) for word in words]
-        out = np.zeros((len(words), len(self.labels) + 1))
+        labels = len(self.labels)
+        out = np.zeros((len(words), self.width()))
         rows = np.flatnonzero([bool(x) for x in listed])
         if len(rows):
             sizes = np.array([len(listed[i]) for i in rows])
             flat = np.fromiter(chain.from_iterable(listed), np.int64, int(sizes.sum()))
-            out[rows, :-1] = np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes) / np.sqrt(sizes)[:, None]
-            out[rows, -1] = 1
+            starts = np.cumsum(sizes) - sizes
+            out[rows, :labels] = np.add.reduceat(self.weights[flat], starts) / np.sqrt(sizes)[:, None]
+            out[rows, labels] = 1
+            if self.proofs is not None:
+                # One key or number among words says little: no word is further off than this.
+                floor = self.spread[0] - WORD_SPREADS * self.spread[2]
+                out[rows, -1] = np.maximum((np.add.reduceat(self.proofs[flat], starts) / sizes[:, None]).max(1), floor)
         return out
 
 
@@ -96,7 +119,7 @@ class Known(dict):
 
     def __init__(self, model: Chain):
         super().__init__()
-        self.model, self.new, self.table = model, [], np.zeros((0, len(model.labels) + 1))
+        self.model, self.new, self.table = model, [], np.zeros((0, model.width()))
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
@@ -144,6 +167,46 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, steps: np.ndarray, first:
     return both / np.maximum(both.sum(2, keepdims=True), 1e-300), ahead, back * local
 
 
+def prove(pieces: list[tuple[int, list[str]]], lexicon: dict[str, list[int]], labels: int) -> tuple[np.ndarray, tuple[float, float, float]]:
+    """Proofs of the features, and the mean proof, its deviation between documents and that of words, without each document's own counts."""
+    counts, listed = np.zeros((FEATURES + labels, labels)), {}
+    documents = []
+    for label, words in pieces:
+        own = []
+        for word in words:
+            if word not in listed:
+                listed[word] = np.array(features(word, lexicon), np.int32)
+            if len(listed[word]):
+                own.append(listed[word])
+        if own:
+            documents.append((label, own))
+            counts[:, label] += np.bincount(np.concatenate(own), minlength=len(counts))
+    totals = counts.sum(0) + 0.5 * len(counts)
+    proofs = np.log((counts + 0.5) / totals)
+    scored = []
+    for label, own in documents:
+        flat, sizes = np.concatenate(own), np.array([len(x) for x in own])
+        starts, found = np.cumsum(sizes) - sizes, proofs[flat]
+        names, place, mine = np.unique(flat, return_inverse=True, return_counts=True)
+        found[:, label] = np.log((counts[names, label] - mine + 0.5) / (totals[label] - len(flat)))[place]
+        scored.append((label, np.add.reduceat(found, starts) / sizes[:, None]))
+    usual = np.zeros(labels)
+    for label in range(labels):
+        own = [x[:, label].mean() for y, x in scored if y == label]
+        usual[label] = np.median(own) if own else 0.0
+    # Medians and quantiles: some labelled documents are junk.
+    words = [(x - usual).max(1) for _, x in scored]
+    if not words:
+        return proofs - usual, (0.0, 0.0, 0.0)
+    means = np.array([x.mean() for x in words])
+    within = float(np.sqrt(np.median([x.var() for x in words if len(x) > 1] or [0.0])))
+    middle = float(np.median(means))
+    # Half of those below the middle of a normal distribution are more than 0.6745 deviations off.
+    off = middle - means[means < middle]
+    between = float(np.median(off) / 0.6745) if len(off) else 0.0
+    return proofs - usual, (middle, between, within)
+
+
 def fit(sample: pd.DataFrame, epochs: int = EPOCHS, seed: int = 7) -> Chain | None:
     """Fit on rows ``text, lang`` by adaptive gradient steps on the log likelihood of the label sequences."""
     sample = sample.sort_values(["lang", "text"])
@@ -167,6 +230,7 @@ def fit(sample: pd.DataFrame, epochs: int = EPOCHS, seed: int = 7) -> Chain | No
         for w, k in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:LEXICON]:
             if k > 1:
                 lexicon.setdefault(w, []).append(label)
+    proofs, spread = prove(pieces, lexicon, len(labels))
     # Sequences of one to three parts from different documents.
     parts = []
     for label, words in pieces:
@@ -223,11 +287,11 @@ def fit(sample: pd.DataFrame, epochs: int = EPOCHS, seed: int = 7) -> Chain | No
             for value, own, total in ((weights, gradient, sums[0]), (steps, step_gradient, sums[1]), (first, first_gradient, sums[2])):
                 total += own * own
                 value += 0.3 * own / np.sqrt(total)
-    return Chain(labels, lexicon, weights[:nothing], steps, first)
+    return Chain(labels, lexicon, weights[:nothing], steps, first, proofs.astype(np.float32), spread)
 
 
-def predict(known: Known, texts: list[str | None]) -> list[tuple[str, float, int]]:
-    """(label, share of the words with a letter, changes of label) of each text.
+def predict(known: Known, texts: list[str | None]) -> list[tuple[str, float, int, bool]]:
+    """(label, share of the words with a letter, changes of label, whether proven to be in a learned language) of each text.
 
     Texts are walked side by side in pieces of ``PIECE`` words. A piece of a longer text takes ``MARGIN`` words on
     both sides along as context, which the chain has forgotten by then, and keeps the marginals of its own words.
@@ -240,7 +304,10 @@ def predict(known: Known, texts: list[str | None]) -> list[tuple[str, float, int
             pieces.append((i, max(0, a - MARGIN), min(len(words), b + MARGIN), a, b))
     order = sorted(range(len(pieces)), key=lambda p: pieces[p][1] - pieces[p][2])
     shares = np.zeros((len(texts), len(model.labels)))
-    spoken_words = np.zeros(len(texts))
+    spoken_words, proof = np.zeros(len(texts)), np.zeros(len(texts))
+    # Words that repeat are no further proof.
+    proven = model.proofs is not None
+    kinds = [max(1, len(np.unique(words))) for words in numbers] if proven else []
     labels: list[np.ndarray] = [np.zeros(0, int)] * len(pieces)
     at = 0
     while at < len(order):
@@ -253,11 +320,13 @@ def predict(known: Known, texts: list[str | None]) -> list[tuple[str, float, int
         for row, (i, a, b, _, _) in enumerate(spans.tolist()):
             index[row, : b - a] = numbers[i][a:b]
         told = known.table[index]
-        found, _, _ = marginals(told[:, :, :-1], lengths, model.steps, model.first)
+        found, _, _ = marginals(told[:, :, : len(model.labels)], lengths, model.steps, model.first)
         place = np.arange(longest)[None] + spans[:, 1:2]
-        own = (place >= spans[:, 3:4]) & (place < spans[:, 4:5]) & (told[:, :, -1] > 0)
+        own = (place >= spans[:, 3:4]) & (place < spans[:, 4:5]) & (told[:, :, len(model.labels)] > 0)
         np.add.at(shares, spans[:, 0], (found * own[:, :, None]).sum(1))
         np.add.at(spoken_words, spans[:, 0], own.sum(1))
+        if proven:
+            np.add.at(proof, spans[:, 0], (told[:, :, -1] * own).sum(1))
         best = found.argmax(2)
         for row, p in enumerate(block):
             labels[p] = best[row, own[row]]
@@ -267,10 +336,11 @@ def predict(known: Known, texts: list[str | None]) -> list[tuple[str, float, int
     out = []
     for i, total in enumerate(spoken_words):
         if not total:
-            out.append(("und", 0.0, 0))
+            out.append(("und", 0.0, 0, False))
             continue
         label, walk = int(shares[i].argmax()), np.concatenate(walks[i])
-        out.append((model.labels[label], min(1.0, float(shares[i, label] / total)), int((walk[1:] != walk[:-1]).sum())))
+        out.append((model.labels[label], min(1.0, float(shares[i, label] / total)), int((walk[1:] != walk[:-1]).sum()),
+                    proven and bool(proof[i] / total >= model.least_proof(kinds[i]))))
     return out
 
 
@@ -309,7 +379,7 @@ def train(docs: DataFrame, learn: Column, size: int = SAMPLE, window: int = WIND
 
 def identify(docs: DataFrame, model: Chain | None) -> DataFrame:
     """``docs`` rows ``doc_id`` with ``lang_pred``, ``score`` and ``n_switches``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model.parts() if model else None)
+    sent = docs.sparkSession.sparkContext.broadcast(model.parts(proofs=False) if model else None)
 
     def rows(batches):
         known = Known(Chain(*sent.value)) if sent.value else None
@@ -324,7 +394,7 @@ def identify(docs: DataFrame, model: Chain | None) -> DataFrame:
 
 
 def keep_spoken(docs: DataFrame, model: Chain | None, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` with a language whose share is at least ``least``; columns stay as they are."""
+    """The rows of ``docs`` in learned languages, with one whose share is at least ``least``; columns stay as they are."""
     sent = docs.sparkSession.sparkContext.broadcast(model.parts() if model else None)
     place, schema = docs.columns.index("text"), docs.schema
 
@@ -334,7 +404,7 @@ def keep_spoken(docs: DataFrame, model: Chain | None, least: float = 0.3) -> Dat
         known = Known(Chain(*sent.value)) if sent.value else None
         for batch in batches:
             texts = batch.column(place).to_pylist()
-            found = predict(known, texts) if known is not None else [("und", 0.0, 0)] * len(texts)
-            yield batch.filter(pa.array([x[0] != "und" and x[1] >= least for x in found], pa.bool_()))
+            found = predict(known, texts) if known is not None else [("und", 0.0, 0, False)] * len(texts)
+            yield batch.filter(pa.array([x[0] != "und" and x[1] >= least and x[3] for x in found], pa.bool_()))
 
     return docs.mapInArrow(rows, schema)

@@ -136,6 +136,26 @@ def test_language_held_out(spark, docs):
         language.PIECE = language_piece
 
 
+def test_unlearned_languages_go(spark, docs):
+    """Texts in no learned language go, however their words are shared out; clean and mixed ones stay."""
+    model = language.train(docs, remainder("doc_id", 5) != 0)
+    rows = [r for r in docs.collect() if r.text and len(r.text.split()) >= 20]
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    by_language = {r.lang: r.text for r in held}
+    mixed = [f"{a[:400]} {b[:400]}" for x, a in by_language.items() for y, b in by_language.items() if x != y]
+    rng = np.random.default_rng(4)
+    junk = [" ".join("".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(n)) for n in (12, 40, 2000)]
+    strange = junk + [
+        "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita e quanto a dir qual era",
+        "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto"]
+    texts = [r.text for r in held] + mixed + [by_language["de"].split()[0], by_language["en"] + ' token = "b64b244acde2e3b0aa8f051af1ec018"']
+    frame = spark.createDataFrame(list(enumerate(texts + strange)), "doc_id long, text string")
+    kept = {r.doc_id for r in language.keep_spoken(frame, model).collect()}
+    assert len(by_language) > 2 and kept == set(range(len(texts)))
+    shares = [language.predict(language.Known(model), [x])[0][1] for x in strange]
+    assert max(shares) >= 0.3  # the share alone would keep them
+
+
 def test_marginals_sum_over_paths():
     rng = np.random.default_rng(1)
     scores, steps, first = rng.normal(size=(1, 4, 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
