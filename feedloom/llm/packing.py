@@ -10,7 +10,8 @@ from one residual to the next until it finds a compatible bin, and opens a new o
 Edge cases: a null or empty text has no words and is in no bin (``bin`` null, ``n_words`` 0); equal
 texts, and rows with the same cluster, never share a bin; a null source conflicts with nothing; repeated
 rows are pieces of their own; an empty table gives an empty result. Shards have about ``shard_words``
-words, so no task grows with the table; a hot source or cluster is dealt over all shards.
+words and ``MAX_PIECES`` pieces at most on average, so no task grows with the table; a hot source or cluster is dealt over
+all shards. All pieces of a shard meet the same open bins.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from feedloom.llm.common import stored, with_word_counts
 
 CAPACITY = 2048
 SHARD_WORDS = 1 << 20
-MAX_PIECES = 1 << 14  # pieces packed together; more of one shard are packed one lot after another
+MAX_PIECES = 1 << 14  # pieces of a shard on average: short texts make more shards
 
 
 def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int, distinct_sources: bool = True) -> list[tuple[int, int]]:
@@ -68,15 +69,11 @@ def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int, dis
 def _pack_shard(capacity: int, distinct_sources: bool):
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["size", "cluster", "doc_id"], ascending=[False, True, True], na_position="last")
-        names, offsets = [], []
-        for lot, start in enumerate(range(0, len(rows), MAX_PIECES)):
-            part = rows.iloc[start : start + MAX_PIECES]
-            sources = [None if pd.isna(x) else x for x in part["source"]]
-            clusters = [None if pd.isna(x) else x for x in part["cluster"]]
-            for at, offset in best_fit(part["size"].tolist(), sources, clusters, capacity, distinct_sources):
-                names.append(f"{part['shard'].iloc[0]}-{lot}-{at}")
-                offsets.append(offset)
-        return rows.assign(bin=names, bin_offset=offsets).drop(columns="shard")
+        sources = [None if pd.isna(x) else x for x in rows["source"]]
+        clusters = [None if pd.isna(x) else x for x in rows["cluster"]]
+        placed = best_fit(rows["size"].tolist(), sources, clusters, capacity, distinct_sources)
+        names = [f"{shard}-{at}" for shard, (at, _) in zip(rows["shard"], placed)]
+        return rows.assign(bin=names, bin_offset=[offset for _, offset in placed]).drop(columns="shard")
 
     return pack
 
@@ -92,8 +89,9 @@ def pack(
     counted = stored(with_word_counts(docs).select(
         F.col("doc_id").cast("string"), "source", "n_words", F.col("words_md5").alias("cluster"),
         F.monotonically_increasing_id().alias("row")), "counted")
-    words = counted.agg(F.coalesce(F.sum(F.col("n_words") % capacity), F.lit(0))).first()[0]
-    shards = max(1, -(-words // shard_words))
+    left = F.col("n_words") % capacity
+    words, pieces = counted.agg(F.coalesce(F.sum(left), F.lit(0)), F.count(F.when(left > 0, 1))).first()
+    shards = max(1, -(-words // shard_words), -(-pieces // MAX_PIECES))
 
     whole = counted.where(f"n_words >= {capacity}").select(
         "doc_id", "source", "n_words", F.explode(F.expr(f"sequence(0L, n_words div {capacity} - 1)")).alias("piece"),

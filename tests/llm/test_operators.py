@@ -291,6 +291,26 @@ def test_packing_rules(spark, docs):
     assert packing.best_fit([12, 11, 7, 7], ["a", "b", "c", "c"], [1, 2, 3, 4], 20) == [(0, 0), (1, 0), (0, 12), (1, 11)]
 
 
+def test_short_pieces_meet_all_open_bins(spark, monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(packing, "MAX_PIECES", 8)
+    sizes = sorted([i % 5 + 1 for i in range(60)], reverse=True)
+    shard = pd.DataFrame({"doc_id": [f"{i:02}" for i in range(60)], "source": None, "cluster": [f"{i:02}" for i in range(60)], "size": sizes, "shard": 3})
+    found = packing._pack_shard(20, True)(shard)
+    assert found["size"].tolist() == sizes and found["bin"].nunique() == sum(sizes) // 20 == 9
+    rows = [(i, "a" if i % 7 else None, " ".join(f"w{i}" for _ in range(i % 5 + 1))) for i in range(60)]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, source string, text string"), capacity=20).collect()
+    shards = {}
+    for r in pieces:
+        shards.setdefault(r.bin.split("-")[0], []).append(r)
+    assert len(pieces) == 60 and len(shards) > 4
+    for own in shards.values():
+        own.sort(key=lambda r: (-r.size, r.cluster, str(r.doc_id)))
+        plain = packing.best_fit([r.size for r in own], [r.source for r in own], [r.cluster for r in own], 20)
+        assert [(int(r.bin.split("-")[1]), r.bin_offset) for r in own] == plain
+
+
 def test_page_text(spark):
     article = "<article><h1>T&eacute;</h1><p>one  <b>two<br>x</p><div class='share'>tweet</div><p>three<script>a<p></script></article>"
     page = "<html><head><title>t</title></head><body><nav>n</nav><header>h</header>" + article + "<div id='comments'><p>c</p></div><footer>f</footer>"
