@@ -4,8 +4,8 @@ Training texts give counts of words and of n-grams up to ``order``. The probabil
 towards the shorter history, ``(c(h w) + k P(w | h')) / (c(h) + k)``, down to add-one word probabilities; it sums to
 one over the known words and one unknown. As an automaton: a history is a state, an n-gram seen in training is an arc
 with its log probability, and every state has a failure arc with weight ``log(k / (c(h) + k))`` to the state of
-the shorter history. Scoring goes once through a text from left to right, carries the state and
-adds the weights of the failure arcs and of the arc it takes.
+the shorter history. No table of states is built and none is carried along: the history of every position is hashed, and the
+weights of its failure arcs and of the arc it takes are looked up for all positions of a lot at once, order by order.
 
 The automaton grows with the corpus, so no task holds all of it. Texts are read once into lots of about ``LOT_WORDS``
 words, in which words are numbers of a local list. A lot asks for the distinct n-grams it contains, with its own
