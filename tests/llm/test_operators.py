@@ -426,3 +426,68 @@ def test_pipeline_groups_against_all_pairs(spark, docs):
     kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()}
     found = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs, 5, 80).collect()}
     assert kept == {min(i for i in found if found[i] == c) for c in set(found.values())} and len(kept) < len(rows)
+
+
+def test_pipeline_near_duplicates_against_all_pairs(spark, docs):
+    """The stage's five words and 80%, held against all pairs."""
+    import corpus_pipeline
+
+    rows = docs.collect()
+    sets = []
+    for r in rows:
+        w = lower_words(r.text)
+        k = min(5, len(w))
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set())
+    label = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both and 100 * both >= 80 * (len(a) + len(sets[j]) - both):
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    least = {}
+    for r, x in zip(rows, label):
+        least[x] = min(least.get(x, r.doc_id), r.doc_id)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()) == sorted(least.values())
+
+
+def test_pipeline_stages_against_plain_versions(spark, docs):
+    """Secrets masked letter by letter, copies counted per source, bins checked on the mixed rows."""
+    import re
+    from collections import Counter
+
+    import corpus_pipeline
+
+    by_id = {r.doc_id: r.spans for r in novelty.scan(docs).collect()}
+    before = {r.doc_id: r.text or "" for r in docs.collect()}
+    masked = stored(corpus_pipeline.secret_scan(spark, docs, SF), "test")
+    for r in masked.collect():
+        text = before[r.doc_id]
+        found = [x.split(":") for x in by_id[r.doc_id].split(",") if x]
+        groups = []
+        for start, end in sorted((int(a), int(b)) for _, a, b in found):
+            if groups and start < groups[-1][1]:
+                groups[-1][1] = max(groups[-1][1], end)
+            else:
+                groups.append([start, end])
+        for start, end in reversed(groups):
+            text = text[:start] + "[secret]" + text[end:]
+        assert (r.text or "") == text and r.n_chars == len(text)
+        assert not re.search(r"[0-9a-f]{24}|AKIA[A-Z0-9]{16}", text)
+
+    taken = {}
+    for r in budget.mix(masked).collect():
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    mixed = stored(corpus_pipeline.mix_sources(spark, masked, SF), "test")
+    words = Counter()
+    for r in mixed.collect():
+        words[r.source] += len((r.text or "").encode().split())
+    assert {s: n for s, n in words.items() if n} == {s: n for s, n in taken.items() if n}
+
+    bins = {}
+    for r in corpus_pipeline.pack_rows(spark, mixed, SF).collect():
+        if r.bin:
+            bins.setdefault(r.bin, []).append(r)
+    assert sum(r.size for pieces in bins.values() for r in pieces) == sum(words.values())
+    for pieces in bins.values():
+        assert sum(r.size for r in pieces) <= 2048 and len({r.cluster for r in pieces}) == len(pieces)
