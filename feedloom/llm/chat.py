@@ -201,12 +201,11 @@ def sequences(conversations: DataFrame, vocabulary: Vocabulary | None = None) ->
         F.col("conv_id").cast("long"), F.col("turn").cast("long"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
+    # The text is left behind but for its digest, which settles the order in a turn.
     encoded = run_batches(
-        turns, _encode(held),
-        "conv_id long, turn long, role string, text string, ids binary, begins int, ends int",
+        turns.withColumn("digest", F.md5("text")), _encode(held),
+        "conv_id long, turn long, role string, digest string, ids binary, begins int, ends int",
     )
-    # The text is left behind but for its digest, which settles the order in a turn.
-    encoded = encoded.select("conv_id", "turn", "role", F.md5("text").alias("digest"), "ids", "begins", "ends")
     in_order = encoded.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "digest")
     return in_order.mapInArrow(_assemble(vocabulary.tables()[2]), SEQUENCES)
 
