@@ -114,12 +114,12 @@ def dead_letters(
     )
 
 
-def flatten_posts(messages: DataFrame, *keep: str) -> DataFrame:
-    """The 12 fields of a post, and the columns named in ``keep``."""
+def flat_fields() -> list[Column]:
+    """The 12 fields of a post."""
     did = first_filled(field("did"), field("repo"))
     rkey = field("commit.rkey")
     quoted = field("commit.record.embed.`$type`").isin(*QUOTE_TYPES)
-    return messages.select(
+    return [
         F.lit("post").alias("kind"),
         post_uri(did, rkey).alias("uri"),
         field("commit.cid").alias("cid"),
@@ -132,8 +132,12 @@ def flatten_posts(messages: DataFrame, *keep: str) -> DataFrame:
         field("commit.record.reply.root.uri").alias("reply_root"),
         F.when(quoted, field("commit.record.embed.record.uri")).alias("quote_uri"),
         variant_langs(field("commit.record.langs")).alias("langs"),
-        *keep,
-    )
+    ]
+
+
+def flatten_posts(messages: DataFrame, *keep: str) -> DataFrame:
+    """The fields of a post, and the columns named in ``keep``."""
+    return messages.select(*flat_fields(), *keep)
 
 
 def _text_or_empty(path: str) -> Column:

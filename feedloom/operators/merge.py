@@ -97,16 +97,17 @@ def write_vectors(
     )
 
 
-def with_vectors(posts: DataFrame, vectors: DataFrame, written: Column, model: str | None = None) -> DataFrame:
+def with_vectors(posts: DataFrame, vectors: DataFrame, written: Column) -> DataFrame:
     """Merged posts with the vectors of their day and address; of several the one written last counts.
 
-    ``vectors`` has ``file_day, uri, embedding``. Merged posts lie by these two keys already, so the join moves
+    ``vectors`` has ``file_day, uri, emb_vec, emb_model``. Merged posts lie by these two keys already, so the join moves
     the vectors only. Posts without a vector among them stay as they are.
     """
-    latest = vectors.groupBy("file_day", "uri").agg(F.max_by("embedding", written).alias("_vec"))
-    arrived = F.col("_vec").isNotNull()
+    latest = vectors.groupBy("file_day", "uri").agg(F.max_by(F.struct("emb_vec", "emb_model"), written).alias("_new"))
+    arrived = F.col("_new").isNotNull()
     new = {
-        "has_embedding": F.lit(1), "emb_model": F.lit(model).cast("string"), "emb_dims": F.size("_vec"), "emb_vec": F.col("_vec"),
+        "has_embedding": F.lit(1), "emb_model": F.col("_new.emb_model"),
+        "emb_dims": F.size("_new.emb_vec"), "emb_vec": F.col("_new.emb_vec"),
     }
     return posts.join(latest, ["file_day", "uri"], "left").select(
         *[F.when(arrived, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in posts.columns]

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from itertools import groupby
 
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +22,8 @@ from feedloom.operators.feed import (
 )
 from feedloom.operators.importing import parse_lines, valid_posts
 from feedloom.operators.merge import write_vectors
-from feedloom.session import qualified, spread
+from feedloom.session import qualified
+from feedloom.sources.files import file_system
 
 # One row per message, in SQL that Spark and DuckDB read alike.
 FEED_SQL = """
@@ -56,6 +56,9 @@ SELECT doc_id,
 FROM {documents}
 """
 
+FOLDER_US = 6 * 3_600_000_000  # the recorder closes a folder every six hours
+LATER_US = 10 * 86_400_000_000
+
 INDEXED = {1: 1706000060000000, 2: 1706000120000000, 3: 1706000180000000}
 
 
@@ -64,7 +67,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"))
+    """The documents as many recorders would have them."""
+    return table(spark, sf_dir, "documents").repartition("doc_id")
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +98,7 @@ def edited_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str, edited: bool = False) -> DataFrame:
-    """``doc_id, lang, value``: the feed as JSON texts."""
+    """``doc_id, lang, time_us, value``: the feed as JSON texts."""
     langs = (
         F.when(F.col("langs_form") == "string", _json(F.col("lang")))
         .when(F.col("langs_form") == "null", "null")
@@ -143,30 +147,45 @@ def messages(spark: SparkSession, sf_dir: str, edited: bool = False) -> DataFram
         _field("commit", commit),
     )
     rows = edited_feed(spark, sf_dir) if edited else feed(spark, sf_dir)
-    return rows.select("doc_id", "lang", value.alias("value"))
+    return rows.select("doc_id", "lang", "time_us", value.alias("value"))
+
+
+def record(messages: DataFrame, path: str, later_us: int = 0) -> None:
+    """Append (runs a job) messages to the folders that a recorder closes behind them, some time later if told."""
+    closed = (F.floor(F.col("time_us") / FOLDER_US) + 1) * FOLDER_US + later_us
+    rows = messages.select("value", closed.cast("bigint").alias("taken_us")).hint("rebalance", "taken_us")
+    rows.write.mode("append").partitionBy("taken_us").text(path)
 
 
 def flat_posts(spark: SparkSession, sf_dir: str, edited: bool = False) -> DataFrame:
     return flatten_posts(keep_posts(parse_messages(messages(spark, sf_dir, edited))))
 
 
-def grow_hour_files(posts: DataFrame, folder: str) -> None:
-    """Append (runs a job) flat posts to the open files of their hours; an hour's file grows in one task."""
+def grow_hour_files(posts: DataFrame, folder: str, ending: str = ".ndjson.part") -> None:
+    """Append (runs a job) flat posts to the files of their hours; an hour's file grows in one task."""
     place = qualified(posts.sparkSession, folder)
 
     def append(rows) -> None:
-        files, root = (
-            fs.FileSystem.from_uri(place) if "://" in place
-            else (fs.LocalFileSystem(), place.removeprefix("file:"))
-        )
+        files, root = file_system(place)
         files.create_dir(root, recursive=True)
         for hour, lines in groupby(rows, key=lambda row: row.hour):
-            with files.open_append_stream(f"{root}/{hour}.ndjson.part") as out:
+            with files.open_append_stream(f"{root}/{hour}{ending}") as out:
                 for line in lines:
                     out.write(line.value.encode() + b"\n")
 
-    lines = posts.select(F.to_json(F.struct(*posts.columns)).alias("value"), hour_key(F.col("time_us")).alias("hour"))
-    lines.repartition("hour").sortWithinPartitions("hour").foreachPartition(append)
+    fields = [c for c in posts.columns if c != "order"]
+    lines = posts.select(F.to_json(F.struct(*fields)).alias("value"), hour_key(F.col("time_us")).alias("hour"), "order")
+    lines.repartition("hour").sortWithinPartitions("hour", "order").foreachPartition(append)
+
+
+def set_file_times(spark: SparkSession, folder: str, ending: str, seconds: int) -> None:
+    """Give the files with a name that ends so another time of change."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(place):
+        if status.getPath().getName().endswith(ending):
+            files.setTimes(status.getPath(), seconds * 1000, -1)
 
 
 def older_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,3 +270,17 @@ def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("time_us", micros(F.col("ts")))
+
+
+def write_flat_chunks(rows: DataFrame, folder: str) -> None:
+    """Write (runs a job) exported rows as files ``posts-DAY-*.parquet`` in one folder, a file per day."""
+    spark = rows.sparkSession
+    days = f"{folder}-days"
+    rows.repartition("created_date").write.partitionBy("created_date").parquet(days)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(folder))
+    for status in files.globStatus(path(f"{days}/created_date=*/*.parquet")):
+        day = status.getPath().getParent().getName().removeprefix("created_date=")
+        files.rename(status.getPath(), path(f"{folder}/posts-{day}-{status.getPath().getName()}"))

@@ -12,7 +12,9 @@ from feedloom.plans.registry import (
     EXPORT_END,
     GRID_END,
     LANDED_DAY,
-    LANDED_HOUR,
+    LATE_HOUR,
+    LISTED,
+    MIDDLE_HOUR,
     QUEUE_ROWS,
     SEARCH_WORDS,
 )
@@ -128,9 +130,10 @@ EVENT_POST = """SELECT
   strftime(ts, '%Y-%m-%dT%H:%M:%S') AS created_at, strftime(ts, '%Y-%m-%d') AS created_date,
   CAST(hour(ts) AS INTEGER) AS created_hour, props AS text, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value
 FROM events"""
-EVENT_FILE = """SELECT strftime(ts, '%Y-%m-%dT%H') || CASE event_type
-  WHEN 'error' THEN '.ndjson.part' WHEN 'click' THEN '.ndjson' ELSE '.json' END AS file_name
-FROM events"""
+HOUR_FILES = f"""files AS (SELECT {EVENT_HOUR} || '.ndjson.part' AS file_name FROM flat
+  UNION ALL SELECT {EVENT_HOUR} || '.ndjson' FROM flat WHERE {EVENT_DAY} = '2024-01-01')"""
+LANDED_TWICE = f"""twice AS (SELECT {EVENT_HOUR} AS hour, uri, created_at, time_us FROM flat
+  UNION ALL SELECT {EVENT_HOUR}, uri, created_at, time_us FROM flat WHERE lang = 'en')"""
 LINK = "'https://bsky.app/profile/' || split_part(uri, '/', 3) || '/post/' || split_part(uri, '/', 5)"
 
 DAMAGED = f"""WITH {FEED}, damaged AS (
@@ -181,11 +184,11 @@ ORACLES: dict[str, str] = {
         SELECT cid, CASE WHEN gap IN ('uri', 'did', 'rkey', 'json') THEN gap
           WHEN created_at = '' THEN 'created_at' ELSE gap END AS reason
         FROM flat, gaps WHERE gap <> 'none' OR created_at = ''""",
-    "file_groups": f"""SELECT substr(file_name, 1, 10) AS file_day,
-        CAST(count(DISTINCT file_name) AS INTEGER) AS n,
-        string_agg(DISTINCT file_name, ',' ORDER BY file_name) AS files
-        FROM ({EVENT_FILE}) WHERE file_name LIKE '%.ndjson%' GROUP BY 1""",
-    "file_rows": f"SELECT file_name, count(*) AS rows FROM ({EVENT_FILE}) GROUP BY 1",
+    "file_groups": f"""WITH {FEED}, {FLAT}, {HOUR_FILES}
+        SELECT substr(file_name, 1, 10) AS file_day, CAST(count(DISTINCT file_name) AS INTEGER) AS n,
+        string_agg(DISTINCT file_name, ',' ORDER BY file_name) AS files FROM files GROUP BY 1""",
+    "file_rows": f"""WITH {FEED}, {FLAT}, {HOUR_FILES}
+        SELECT file_name, count(*) AS rows FROM files GROUP BY 1""",
     "posts_upsert": MERGED,
     "posts_upsert_layers": MERGED,
     "posts_first_wins": f"""WITH {FEED}, {FLAT}
@@ -265,11 +268,36 @@ ORACLES: dict[str, str] = {
         FROM damaged WHERE verdict LIKE 'dead:%' GROUP BY 1""",
     "stream_upsert": LANDED_EDITED,
     "stream_replay": LANDED_EDITED,
-    "tail_source": f"""WITH {FEED}, {FLAT}, {EDITED} SELECT {_post()}, labelled AS imported_again
+    "tail_source": f"""WITH {FEED}, {FLAT}, {EDITED} SELECT {_post()},
+        labelled AND NOT ends_with({EVENT_HOUR}, '{LATE_HOUR}') AS imported_again
         FROM edited WHERE created_at <> ''""",
-    "landed_hours": f"""WITH {FEED}, {FLAT} SELECT {EVENT_HOUR} AS hour,
-        CAST(sum(CASE WHEN lang = 'en' THEN 2 ELSE 1 END) AS BIGINT) AS rows,
-        {EVENT_HOUR} <> '{LANDED_HOUR}' AS closed FROM flat WHERE created_at <> '' GROUP BY ALL""",
+    "import_ledger": f"""WITH {FEED}, {FLAT}, {EDITED}, lines AS (
+          SELECT {EVENT_HOUR} AS hour, created_at, 1 AS step FROM edited
+          UNION ALL SELECT {EVENT_HOUR}, created_at, 2 FROM edited WHERE labelled)
+        SELECT hour || CASE WHEN ends_with(hour, '{LATE_HOUR}') THEN '.ndjson' ELSE '.ndjson.part' END AS file,
+          CASE WHEN ends_with(hour, '{LATE_HOUR}') THEN 1 ELSE count(DISTINCT step) END AS imports,
+          count_if(created_at <> '')::BIGINT AS accepted, 0::BIGINT AS ignored,
+          count_if(created_at = '')::BIGINT AS rejected FROM lines GROUP BY hour""",
+    "landed_hours": f"""WITH {FEED}, {FLAT}, hours AS (
+          SELECT {EVENT_HOUR} AS hour, count_if(lang = 'en') AS en,
+            count_if(created_at <> '') + count_if(created_at <> '' AND lang = 'en') AS rows
+          FROM flat GROUP BY 1),
+        ends AS (SELECT max(hour) FILTER (en > 0) AS first, max(hour) AS last FROM hours)
+        SELECT hour, 1 + (en > 0)::BIGINT AS came, (en > 0 AND hour < first)::BIGINT + (hour < last)::BIGINT AS closed,
+          hour >= last AS is_open, nullif(rows, 0)::BIGINT AS rows FROM hours, ends""",
+    "closed_hours": f"""{LANDED_EDITED} AND {EVENT_HOUR} < (SELECT max({EVENT_HOUR}) FROM flat)""",
+    "stream_from_cursor": f"""WITH {FEED}, {FLAT}, {LANDED_TWICE}
+        SELECT hour, uri, count(*) AS n FROM twice
+        WHERE time_us >= (SELECT max(time_us) FROM twice WHERE hour < '{MIDDLE_HOUR}') GROUP BY ALL""",
+    "stream_latest": f"WITH {FEED}, {FLAT} SELECT {EVENT_HOUR} AS hour, uri FROM flat",
+    "stream_cursor_zero": f"WITH {FEED}, {FLAT} SELECT {EVENT_HOUR} AS hour, uri FROM flat",
+    "stream_stopped": f"""WITH {FEED}, {FLAT}
+        SELECT {EVENT_HOUR} AS hour, uri, 1::BIGINT AS n FROM flat""",
+    "export_glob": f"""SELECT uri, created_at, created_hour, text FROM ({EVENT_POST})
+        WHERE created_date = '{LANDED_DAY}'""",
+    "table_listing": " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS rows FROM {name}" for name in LISTED
+    ),
     "landed_day": f"""WITH {FEED}, {FLAT}, {EDITED}, twice AS (
           SELECT uri, time_us, text, created_at FROM edited
           UNION ALL SELECT uri, time_us, text, created_at FROM flat WHERE lang = 'en')

@@ -37,28 +37,30 @@ from feedloom.operators.search import (
 )
 from feedloom.plans import fixtures as fx
 from feedloom.session import run_folder
-from feedloom.sources.feed import from_cursor, saved_cursor, stream_messages
-from feedloom.sources.growing_files import stream_growing_lines
+from feedloom.sources.feed import from_cursor, saved_cursor, stream_feed
+from feedloom.sources.growing_files import stream_growing
 from feedloom.sources.hour_files import (
     cursor,
     files_by_day,
     hour_states,
     read_lines,
     rows_per_file,
-    stream_lines,
 )
 from feedloom.sources.tables import (
     count_by_date,
     describe,
     query_file,
+    list_files,
     read_export,
+    read_export_files,
     read_vectors,
+    table_names,
     write_vectors_table,
 )
-from feedloom.streaming.bronze import start_bronze, start_dead_letters
-from feedloom.streaming.embedding import fill_vectors, read_embeddings, start_embedding
+from feedloom.streaming.embedding import read_embeddings, start_embedding
+from feedloom.streaming.landing import read_dead, read_hours, read_landed, start_landing, stream_landed
 from feedloom.streaming.older import read_older, start_older
-from feedloom.streaming.posts import compact_posts, read_posts, start_posts
+from feedloom.streaming.posts import compact_posts, read_ledger, read_posts, start_posts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,7 +70,9 @@ EXPORT_END = "2024-01-05"
 GRID_END = "2024-01-31"
 AS_OF_HOUR = "2024-01-15T12"
 LANDED_DAY = "2024-01-03"
-LANDED_HOUR = "2024-01-05T07"
+FIRST_DAY_END = 1_704_153_600_000_000
+MIDDLE_HOUR = "2024-01-03T12"
+LATE_HOUR, AHEAD_HOUR = "T05", "T04"
 FLAT_COLUMNS = (
     "kind", "uri", "cid", "did", "rkey", "created_at", "time_us", "text",
     "reply_parent", "reply_root", "quote_uri",
@@ -198,7 +202,7 @@ def _damaged(messages: DataFrame) -> DataFrame:
     forms = {"whole": value, "half": half, "no_key": no_key, "no_commit": no_commit}
     forms |= {name: F.concat(value, end) for name, end in _ends(value).items()}
     shaped = F.array(*[F.struct(F.lit(n).alias("form"), v.alias("value")) for n, v in forms.items()])
-    return messages.select(F.inline(shaped))
+    return messages.select("time_us", F.inline(shaped))
 
 
 def feed_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,23 +256,26 @@ def import_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.regexp_extract("value", '"cid":"([^"]*)"', 1).alias("cid"), "reason")
 
 
-def _event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ending = F.when(F.col("event_type") == "error", ".ndjson.part").when(
-        F.col("event_type") == "click", ".ndjson"
-    ).otherwise(".json")
-    return fx.event_times(spark, sf_dir).select(
-        F.concat(hour_key(F.col("time_us")), ending).alias("file_name")
-    )
+def _hour_files(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The feed in open hour files, and the hours of the first day once more in closed ones."""
+    folder = run_folder(spark, name)
+    posts = fx.flat_posts(spark, sf_dir).withColumn("order", F.col("rkey"))
+    fx.grow_hour_files(posts, folder)
+    fx.grow_hour_files(posts.where(F.col("time_us") < FIRST_DAY_END), folder, ".ndjson")
+    return folder
 
 
 def file_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files_by_day(_event_files(spark, sf_dir)).select(
+    files = list_files(spark, _hour_files(spark, sf_dir, "groups"))
+    names = files.select(F.substring_index("path", "/", -1).alias("file_name"))
+    return files_by_day(names).select(
         "file_day", F.size("files").alias("n"), F.array_join("files", ",").alias("files")
     )
 
 
 def file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows_per_file(_event_files(spark, sf_dir))
+    lines = read_lines(spark, _hour_files(spark, sf_dir, "rows"))
+    return rows_per_file(lines.withColumn("file_name", F.substring_index("file_path", "/", -1)))
 
 
 def _merged_view(merged: DataFrame) -> DataFrame:
@@ -476,83 +483,157 @@ def sample_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ---
 
 
-def _write_messages(df: DataFrame, path: str) -> None:
-    df.select("value").write.mode("append").text(path)
+def _done(query) -> None:
+    query.awaitTermination()
+
+
+def _run_landing(spark: SparkSession, folder: str, start_us: int | None = 1) -> None:
+    """Land what the recorder has put below ``folder`` since the last run."""
+    feed = stream_feed(spark, f"{folder}/messages", f"{folder}/state/start", start_us)
+    _done(start_landing(feed, f"{folder}/bronze", f"{folder}/state/bronze", every=None))
 
 
 def _land(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """Land the feed in two runs of one stream: its English part, then the whole feed with labelled posts edited."""
-    first, second = fx.messages(spark, sf_dir), fx.messages(spark, sf_dir, edited=True)
-    bronze = f"{folder}/bronze"
-    for drop in (first.where("lang = 'en'"), second):
-        _write_messages(drop, f"{folder}/messages")
-        stream = stream_messages(spark, f"{folder}/messages", start_us=1)
-        start_bronze(stream, bronze, f"{folder}/state/bronze", every=None).awaitTermination()
-    return bronze
+    first = fx.messages(spark, sf_dir).where("lang = 'en'")
+    for drop, later in ((first, 0), (fx.messages(spark, sf_dir, edited=True), fx.LATER_US)):
+        fx.record(drop, f"{folder}/messages", later)
+        _run_landing(spark, folder)
+    return f"{folder}/bronze"
+
+
+def _landed_uris(lines: DataFrame) -> DataFrame:
+    return lines.select("hour", F.get_json_object("value", "$.uri").alias("uri"))
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per hour and post: English posts were delivered twice."""
-    bronze = _land(spark, sf_dir, run_folder(spark, "bronze"))
-    lines = read_lines(spark, bronze)
-    uri = F.get_json_object("value", "$.uri").alias("uri")
-    return lines.groupBy("hour", uri).agg(F.count("*").alias("n"))
+    lines = read_landed(spark, _land(spark, sf_dir, run_folder(spark, "bronze")))
+    return _landed_uris(lines).groupBy("hour", "uri").agg(F.count("*").alias("n"))
 
 
 def stream_dead(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark, "dead")
-    _write_messages(_damaged(fx.messages(spark, sf_dir)), f"{folder}/messages")
-    stream = stream_messages(spark, f"{folder}/messages", start_us=1)
-    start_dead_letters(stream, f"{folder}/dead", f"{folder}/state", every=None).awaitTermination()
-    dead = spark.read.schema("value STRING, reason STRING").json(f"{folder}/dead")
-    return dead.groupBy("reason").agg(F.count("*").alias("n"))
+    fx.record(_damaged(fx.messages(spark, sf_dir)), f"{folder}/messages")
+    _run_landing(spark, folder)
+    return read_dead(spark, f"{folder}/bronze").groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def stream_from_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing lost its checkpoint: a new one goes on at the cursor of the posts landed up to the middle."""
+    folder = run_folder(spark, "cursor")
+    bronze = _land(spark, sf_dir, folder)
+    landed = read_landed(spark, bronze).where(F.col("hour") < MIDDLE_HOUR)
+    times = landed.select(F.get_json_object("value", "$.time_us").cast("bigint").alias("time_us"))
+    feed = stream_feed(spark, f"{folder}/messages", f"{folder}/state/again", saved_cursor(times))
+    _done(start_landing(feed, f"{folder}/more", f"{folder}/state/more", every=None))
+    return _landed_uris(read_landed(spark, f"{folder}/more")).groupBy("hour", "uri").agg(F.count("*").alias("n"))
+
+
+def _landed_later(spark: SparkSession, sf_dir: str, start_us: int | None) -> DataFrame:
+    """The English part is there before the first start, the whole feed comes after it."""
+    folder = run_folder(spark, "latest")
+    fx.record(fx.messages(spark, sf_dir).where("lang = 'en'"), f"{folder}/messages")
+    _run_landing(spark, folder, start_us)
+    fx.record(fx.messages(spark, sf_dir, edited=True), f"{folder}/messages", fx.LATER_US)
+    _run_landing(spark, folder, start_us)
+    return _landed_uris(read_landed(spark, f"{folder}/bronze"))
+
+
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a cursor only what comes after the first start counts."""
+    return _landed_later(spark, sf_dir, None)
+
+
+def stream_cursor_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cursor of 0 is none."""
+    return _landed_later(spark, sf_dir, 0)
+
+
+def stream_stopped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing at its usual pace, stopped while it runs and started again: nothing is lost and nothing comes twice."""
+    folder = run_folder(spark, "stopped")
+    rest = fx.messages(spark, sf_dir)
+    for drop, later in ((rest.where("lang = 'en'"), 0), (rest.where("lang <> 'en' OR lang IS NULL"), fx.LATER_US)):
+        fx.record(drop, f"{folder}/messages", later)
+        feed = stream_feed(spark, f"{folder}/messages", f"{folder}/state/start", 1)
+        query = start_landing(feed, f"{folder}/bronze", f"{folder}/state/bronze")
+        query.processAllAvailable()
+        query.stop()
+    lines = _landed_uris(read_landed(spark, f"{folder}/bronze"))
+    return lines.groupBy("hour", "uri").agg(F.count("*").alias("n"))
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed posts imported by a stream and merged."""
     folder = run_folder(spark, "upsert")
-    lines = stream_lines(spark, _land(spark, sf_dir, folder))
-    start_posts(lines, f"{folder}/posts", f"{folder}/state/posts", every=None).awaitTermination()
+    lines = stream_landed(spark, _land(spark, sf_dir, folder))
+    _done(start_posts(lines, f"{folder}/posts", f"{folder}/state/posts", every=None))
     return read_posts(spark, f"{folder}/posts").select(*POST_COLUMNS)
 
 
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same after a full second import on top of the compacted first one."""
+    """The same after a full second import, with a compaction behind each."""
     folder = run_folder(spark, "replay")
-    bronze = _land(spark, sf_dir, folder)
-    posts, base = f"{folder}/posts", f"{folder}/base"
+    lines = stream_landed(spark, _land(spark, sf_dir, folder))
     for state in ("first", "second"):
-        lines = stream_lines(spark, bronze)
-        start_posts(lines, posts, f"{folder}/state/{state}", every=None).awaitTermination()
-        if state == "first":
-            compact_posts(spark, posts, base)
-    return read_posts(spark, posts, [base]).select(*POST_COLUMNS)
+        _done(start_posts(lines, f"{folder}/posts", f"{folder}/state/{state}", every=None))
+        compact_posts(spark, f"{folder}/posts")
+    return read_posts(spark, f"{folder}/posts").select(*POST_COLUMNS)
+
+
+def _tail(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Two imports of hour files that grow: all posts, then the labelled ones edited in the same files.
+
+    Files of one hour of the day come only with the second, closed and with a very old time; files of another have a
+    time far ahead from the start.
+    """
+    late = F.date_format(F.timestamp_micros("time_us"), "'T'HH") == LATE_HOUR
+    posts = fx.flat_posts(spark, sf_dir).withColumn("order", F.lit(0))
+    edited = fx.flat_posts(spark, sf_dir, edited=True).where(F.col("text").endswith(" [edited]")).withColumn("order", F.lit(1))
+    for step in (1, 2):
+        if step == 1:
+            fx.grow_hour_files(posts.where(~late), f"{folder}/hours")
+        else:
+            fx.grow_hour_files(edited.where(~late), f"{folder}/hours")
+            fx.grow_hour_files(posts.where(late).unionByName(edited.where(late)), f"{folder}/hours", ".ndjson")
+            fx.set_file_times(spark, f"{folder}/hours", f"{LATE_HOUR}.ndjson", 86_400)
+        fx.set_file_times(spark, f"{folder}/hours", f"{AHEAD_HOUR}.ndjson.part", 4_000_000_000)
+        lines = stream_growing(spark, f"{folder}/hours")
+        _done(start_posts(lines, f"{folder}/posts", f"{folder}/state/posts", every=None))
+    return f"{folder}/posts"
 
 
 def tail_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Open hour files that grow: all posts, an import, the labelled ones edited in the same files, an import."""
-    folder = run_folder(spark, "tail")
-    for edited in (False, True):
-        posts = fx.flat_posts(spark, sf_dir, edited)
-        if edited:
-            posts = posts.where(F.col("text").endswith(" [edited]"))
-        fx.grow_hour_files(posts, f"{folder}/hours")
-        lines = stream_growing_lines(spark, f"{folder}/hours")
-        start_posts(lines, f"{folder}/posts", f"{folder}/state/posts", every=None).awaitTermination()
-    return read_posts(spark, f"{folder}/posts").select(
-        *POST_COLUMNS, (F.col("indexed_first") < F.col("indexed_last")).alias("imported_again")
-    )
+    """Posts of growing hour files, and whether they came in both imports."""
+    posts = read_posts(spark, _tail(spark, sf_dir, run_folder(spark, "tail")))
+    return posts.select(*POST_COLUMNS, (F.col("indexed_first") < F.col("indexed_last")).alias("imported_again"))
+
+
+def import_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines accepted, ignored and rejected of each growing file, over its imports."""
+    return read_ledger(spark, _tail(spark, sf_dir, run_folder(spark, "ledger")))
 
 
 def landed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hours of the landed feed with their accepted lines, and whether they are closed."""
-    lines = read_lines(spark, _land(spark, sf_dir, run_folder(spark, "hours")))
-    return hour_states(parse_lines(lines).where("outcome = 'post'"), LANDED_HOUR)
+    """Hours of the landed feed: accepted lines, how often messages came and the hour was closed, and its state."""
+    bronze = _land(spark, sf_dir, run_folder(spark, "hours"))
+    accepted = parse_lines(read_landed(spark, bronze)).where("outcome = 'post'")
+    rows = accepted.groupBy("hour").agg(F.count("*").alias("rows"))
+    return read_hours(spark, bronze).join(rows, "hour", "left")
+
+
+def closed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts imported by a stream that takes hours when they are closed."""
+    folder = run_folder(spark, "closed")
+    lines = stream_landed(spark, _land(spark, sf_dir, folder), "closed")
+    _done(start_posts(lines, f"{folder}/posts", f"{folder}/state/posts", every=None))
+    return read_posts(spark, f"{folder}/posts").select(*POST_COLUMNS)
 
 
 def landed_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted lines of one landed day, without opening the files of others."""
-    lines = read_lines(spark, _land(spark, sf_dir, run_folder(spark, "day")), LANDED_DAY)
+    """Accepted lines of one landed day, without listing the folders of others."""
+    lines = read_landed(spark, _land(spark, sf_dir, run_folder(spark, "day")), day=LANDED_DAY)
     return parse_lines(lines).where("outcome = 'post'").select("uri", "hour", "text")
 
 
@@ -576,25 +657,28 @@ def describe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe(spark, fx.table(spark, sf_dir, "events")).select("position", "column_name")
 
 
-def _filled_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole way: feed, hours, merged posts, vectors, and posts with their vectors."""
-    folder = run_folder(spark, "way")
-    bronze = _land(spark, sf_dir, folder)
-    lines = lambda: stream_lines(spark, bronze)
-    start_posts(lines(), f"{folder}/posts", f"{folder}/state/posts", every=None).awaitTermination()
-    start_embedding(lines(), f"{folder}/vectors", f"{folder}/state/vectors", every=None).awaitTermination()
-    return fill_vectors(read_posts(spark, f"{folder}/posts"), f"{folder}/vectors", "words")
+def _embedded(spark: SparkSession, sf_dir: str, name: str, compacted: bool = True) -> str:
+    """The whole way: feed, hours, merged posts, vectors written back, and all of it compacted."""
+    folder = run_folder(spark, name)
+    lines = stream_landed(spark, _land(spark, sf_dir, folder))
+    posts = f"{folder}/posts"
+    _done(start_posts(lines, posts, f"{folder}/state/posts", every=None))
+    _done(start_embedding(spark, posts, f"{folder}/state/vectors", every=None))
+    if compacted:
+        compact_posts(spark, posts)
+    return posts
 
 
 def feed_to_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the feed to the posts nearest to a text."""
-    posts = _filled_posts(spark, sf_dir).where("has_embedding = 1")
+    posts = read_posts(spark, _embedded(spark, sf_dir, "search")).where("has_embedding = 1")
     return search_text(posts.select("uri", "text", F.col("emb_vec").alias("embedding")), SEARCH_WORDS, hashed_words())
 
 
 def feed_to_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the feed to export rows of posts that got a vector."""
-    posts = legacy_view(_filled_posts(spark, sf_dir), "emb_vec", "emb_model", "emb_dims")
+    stored = read_posts(spark, _embedded(spark, sf_dir, "way"))
+    posts = legacy_view(stored, "emb_vec", "emb_model", "emb_dims")
     return export_rows(posts, EXPORT_END, vector="emb_vec").select(
         "uri", "created_date", "created_hour", "text", F.size("embedding").alias("dims"), "post_url"
     )
@@ -603,11 +687,12 @@ def feed_to_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_older(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed, its English part twice, stored in the older shape."""
     folder = run_folder(spark, "older")
-    feed = fx.messages(spark, sf_dir)
-    for drop in (feed.where("lang = 'en'"), feed):
-        _write_messages(drop, f"{folder}/messages")
-        stream = stream_messages(spark, f"{folder}/messages", start_us=1)
-        start_older(stream, f"{folder}/posts", f"{folder}/state", every=None).awaitTermination()
+    messages = fx.messages(spark, sf_dir)
+    for drop, later in ((messages.where("lang = 'en'"), 0), (messages, fx.LATER_US)):
+        fx.record(drop, f"{folder}/messages", later)
+        feed = stream_feed(spark, f"{folder}/messages", f"{folder}/state/start", 1)
+        # Messages without a readable event time count for the older table.
+        _done(start_older(feed, f"{folder}/posts", f"{folder}/state/posts", every=None))
     return read_older(spark, f"{folder}/posts").select(
         "uri", "repo", "rkey", "created_at", "created_date", "created_hour", "text", "langs"
     )
@@ -615,15 +700,33 @@ def stream_older(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English posts among the landed ones, encoded by a stream."""
-    folder = run_folder(spark, "embedding")
-    lines = stream_lines(spark, _land(spark, sf_dir, folder))
-    start_embedding(
-        lines, f"{folder}/vectors", f"{folder}/state/vectors", every=None
-    ).awaitTermination()
-    vectors = read_embeddings(spark, f"{folder}/vectors")
+    vectors = read_embeddings(spark, _embedded(spark, sf_dir, "embedding", compacted=False))
     return vectors.select("uri", "text", F.size("embedding").alias("dims"))
 
 
+def export_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exported posts of one day, found by the names of its files among those of all days."""
+    folder = run_folder(spark, "glob")
+    rows = fx.event_posts(spark, sf_dir).withColumn("post_url", F.lit(None).cast("string"))
+    fx.write_flat_chunks(rows, folder)
+    return read_export_files(spark, folder, LANDED_DAY).select("uri", "created_at", "created_hour", "text")
+
+
+LISTED = ("events", "orders", "documents", "labels")
+
+
+def table_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of the session that stand for given files, with their rows."""
+    views = {f"listed_{name}": name for name in LISTED}
+    for view, name in views.items():
+        fx.table(spark, sf_dir, name).createOrReplaceTempView(view)
+    counts = [
+        spark.table(view).agg(F.count("*").alias("rows")).select(F.lit(views[view]).alias("name"), "rows")
+        for view in table_names(spark) if view in views
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -635,7 +738,8 @@ QUERIES: dict[str, Query] = {
         embed_input, embedding_writeback, export_posts, export_merged, export_chunks, export_grid,
         consolidation_stale, consolidate_union, hash_encode, text_search_batch, text_search,
         row_count, sql_where, count_by_day, sample_limit, stream_bronze,
-        stream_dead, stream_upsert, stream_replay, tail_source, stream_older, stream_embedding,
+        stream_from_cursor, stream_latest, stream_cursor_zero, stream_stopped, import_ledger, closed_hours,
+        export_glob, table_listing, stream_dead, stream_upsert, stream_replay, tail_source, stream_older, stream_embedding,
         landed_hours, landed_day, export_hour, vector_table_stored, describe_events,
         feed_to_search, feed_to_export,
     )

@@ -45,6 +45,9 @@ POSTS = """
     emb_model STRING, emb_dims INT, emb_vec ARRAY<FLOAT>
 """
 
+# A vector for a post of a day.
+POST_VECTORS = "file_day STRING, uri STRING, emb_vec ARRAY<FLOAT>, emb_model STRING"
+
 # One post in the older shape.
 OLDER_POSTS = """
     uri STRING, repo STRING, rkey STRING, created_at STRING, created_date STRING, created_hour INT,

@@ -1,17 +1,18 @@
-"""Stream source for hour files that are still being appended to.
+"""Stream source for folders of hour files that are still being appended to.
 
-Spark's own file source reads a file once and does not notice that it grew. This one keeps a
-byte position per file, always just behind a line end, so a half-written line waits for its rest.
-The driver looks at names, sizes and file ends only; the tasks read the byte ranges.
+Spark's own file source reads a file once and does not notice that it grew. This source plans which bytes are new;
+whole closed files are then read by Spark's text scan, and only the new end of a file that grew by a task of its own.
 
-The offset names only files that changed within ``keep_seconds`` of the newest change. A file that is older than
-that is read to its end and leaves the offset, which keeps just the time up to which files were read. Should such a
-file change after all, it is read from its start again, and so nothing is lost: the merge of posts takes repeated lines
-without effect.
+An offset holds positions for the files of running days: the two latest days by name, and every day with an open file
+(``.part``). Of any other day it holds one mark, a digest of the names and sizes of its files. A day whose mark differs is
+read again from its start, whatever the times of its files say: the merge of posts takes repeated lines without effect, so
+a file that comes late, or is restored with an old time or one ahead of time, costs its day but is never lost. Positions of
+running days stand behind the last line end, so a half-written line waits for its rest.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -24,176 +25,112 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from feedloom.session import qualified
-from feedloom.sources.hour_files import HOUR_PATH, day_of_name, hour_of
+from feedloom.sources.files import file_system
+from feedloom.sources.hour_files import HOUR_PATH, LINES, day_of_name, hour_lines, hour_of
 
-RANGE_BYTES = 64 * 1024 * 1024
 READ_BYTES = 4 * 1024 * 1024
 TAIL_BYTES = 64 * 1024
-OPEN_BYTES = 1024 * 1024
-KEEP_SECONDS = 7200
 OPENERS = 16
+RUNNING_DAYS = 2
 
 
 @dataclass
-class ByteRange:
-    """Lines of a file that start in ``[start, stop)``; ``end`` is where complete lines end.
-
-    ``changed`` is the file's time as the driver saw it, so that all ranges and repeated tasks give the same.
-    """
+class Piece(InputPartition):
+    """Bytes of a file that are new; ``size`` and ``changed`` as the driver saw them."""
 
     path: str
     start: int
     stop: int
-    end: int
+    size: int
     changed: int
 
 
 @dataclass
-class Ranges(InputPartition):
-    """What one task reads."""
-
-    ranges: list[ByteRange]
+class Pieces(InputPartition):
+    pieces: list[Piece]
 
 
 class GrowingFiles(DataSource):
-    """Options: ``path``, ``range_bytes`` for the most a task reads, and ``keep_seconds``."""
+    """New bytes of the hour files below ``path``."""
 
     @classmethod
     def name(cls) -> str:
         return "growing_files"
 
     def schema(self) -> str:
-        return "value STRING, file_path STRING, file_time BIGINT, position BIGINT"
+        return "file_path STRING, start BIGINT, stop BIGINT, size BIGINT, file_time BIGINT"
 
     def streamReader(self, schema) -> DataSourceStreamReader:
-        return GrowingFilesReader(
-            self.options["path"],
-            int(self.options.get("range_bytes", RANGE_BYTES)),
-            float(self.options.get("keep_seconds", KEEP_SECONDS)),
-        )
+        return GrowingFilesReader(self.options["path"])
 
 
 class GrowingFilesReader(DataSourceStreamReader):
-    """Offsets are ``{"upto": time, "files": {path: [position, time]}}``, times in microseconds."""
+    """Offsets are ``{"files": {path: position}, "days": {day: mark}}``."""
 
-    def __init__(self, path: str, range_bytes: int, keep_seconds: float = KEEP_SECONDS):
+    def __init__(self, path: str):
         self.path = path
-        self.range_bytes = range_bytes
-        self.keep = int(keep_seconds * 1_000_000)
-        self.upto = 0
         self.ends: dict[str, tuple[int, int]] = {}
 
-    def _files(self) -> tuple[fs.FileSystem, str]:
-        if "://" in self.path:
-            return fs.FileSystem.from_uri(self.path)
-        return fs.LocalFileSystem(), re.sub("^file:", "", self.path)
-
-    def _listed(self, files: fs.FileSystem, root: str) -> list[tuple[str, int, int]]:
-        """Path, size and time of the hour files."""
-        return [
-            (info.path, info.size, (info.mtime_ns or 0) // 1_000)
-            for info in files.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
-            if info.type == fs.FileType.File
-            and not info.base_name.startswith(("_", "."))
-            and re.search(HOUR_PATH, info.path)
-        ]
+    def _listed(self) -> dict[str, list[tuple[str, int, int]]]:
+        """Path below the root, size and time of the hour files of each day."""
+        files, root = file_system(self.path)
+        days: dict[str, list[tuple[str, int, int]]] = {}
+        for info in files.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True)):
+            found = re.search(HOUR_PATH, info.path)
+            if info.type == fs.FileType.File and found and not info.base_name.startswith(("_", ".")):
+                name = info.path[len(root.rstrip("/")) :]
+                days.setdefault(found[1][:10], []).append((name, info.size, (info.mtime_ns or 0) // 1_000))
+        return {day: sorted(entries) for day, entries in sorted(days.items())}
 
     def initialOffset(self) -> dict:
-        return {"upto": 0, "files": {}}
+        return {"files": {}, "days": {}}
 
     def latestOffset(self) -> dict:
-        files, root = self._files()
-        listed = self._listed(files, root)
-        newest = max((changed for _, _, changed in listed), default=0)
-        self.upto = max(self.upto, newest - self.keep)
-        live = [entry for entry in listed if entry[2] >= self.upto]
+        days = self._listed()
+        running = set(list(days)[-RUNNING_DAYS:])
+        running |= {day for day, entries in days.items() if any(path.endswith(".part") for path, _, _ in entries)}
+        live = [entry for day in sorted(running) for entry in days[day]]
         # Only files whose size changed since the last look are opened.
         grown = [(path, size) for path, size, _ in live if self.ends.get(path, (-1, 0))[0] != size]
+        files, root = file_system(self.path)
         with ThreadPoolExecutor(OPENERS) as pool:
-            found = list(pool.map(lambda entry: _last_line_end(files, *entry), grown))
-        for (path, size), end in zip(grown, found):
-            self.ends[path] = (size, end)
-        self.ends = {path: self.ends[path] for path, _, _ in live}
-        # A file closed meanwhile is gone; its lines stand in the closed file.
+            ends = list(pool.map(lambda entry: _last_line_end(files, root + entry[0], entry[1]), grown))
+        self.ends = {path: self.ends[path] for path, _, _ in live if path in self.ends}
+        self.ends |= {path: (size, end) for (path, size), end in zip(grown, ends) if end is not None}
         return {
-            "upto": self.upto,
-            "files": {p: [self.ends[p][1], changed] for p, _, changed in live if self.ends[p][1] is not None},
+            "files": {path: self.ends[path][1] for path, _, _ in live if path in self.ends},
+            "days": {day: _mark(entries) for day, entries in days.items() if day not in running},
         }
 
-    def partitions(self, start: dict, end: dict) -> Sequence[Ranges]:
-        known, live = start["files"], end["files"]
-        wanted = [(path, stop, changed) for path, (stop, changed) in live.items()]
-        if start["upto"] < end["upto"]:
-            # Files that changed last between the two times are finished and leave the offset. One that changes
-            # again before this list is made will be live, and read from its start, in a later batch.
-            files, root = self._files()
-            wanted += [
-                entry for entry in self._listed(files, root)
-                if start["upto"] <= entry[2] < end["upto"] and entry[0] not in live
-            ]
-        tasks: list[Ranges] = []
-        room = 0
-        for path, stop, changed in sorted(wanted):
-            begin = known[path][0] if path in known else 0
-            if stop < begin:  # a shorter file under the same name is a new file
-                begin = 0
-            while begin < stop:
-                if room <= 0:
-                    tasks.append(Ranges([]))
-                    room = self.range_bytes
-                upto = min(begin + room, stop)
-                tasks[-1].ranges.append(ByteRange(path, begin, upto, stop, changed))
-                # Opening a file costs about as much as reading some of it.
-                room -= max(upto - begin, OPEN_BYTES)
-                begin = upto
-        return tasks
-
-    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
-        files, _ = self._files()
-        for part in partition.ranges:
-            try:
-                yield from self._read_range(files, part)
-            except FileNotFoundError:
-                # An open file that was closed meanwhile: its lines come with the closed file, which is new.
-                continue
-
-    def _read_range(self, files: fs.FileSystem, partition: ByteRange) -> Iterator[pa.RecordBatch]:
-        with files.open_input_file(partition.path) as stream:
-            position = partition.start
-            if position:
-                # A line that started before this range belongs to the range before it.
-                stream.seek(position - 1)
-                position += len(_rest_of_line(stream, partition.end - position + 1)) - 1
-            stream.seek(position)
-            carry = b""
-            while position < partition.stop:
-                block = stream.read(min(READ_BYTES, partition.end - position - len(carry)))
-                lines = (carry + block).split(b"\n")
-                carry = lines.pop()
-                if carry and position + sum(map(len, lines)) + len(lines) + len(carry) >= partition.end:
-                    # A finished file may lack the last line end.
-                    lines.append(carry)
-                    carry = b""
-                places, values = [], []
-                for line in lines:
-                    if position >= partition.stop:
-                        break
-                    if line:
-                        places.append(position)
-                        values.append(line.decode("utf-8", "replace"))
-                    position += len(line) + 1
-                if values:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(values, pa.string()),
-                            pa.array([partition.path] * len(values), pa.string()),
-                            pa.array([partition.changed] * len(values), pa.int64()),
-                            pa.array(places, pa.int64()),
-                        ],
-                        ["value", "file_path", "file_time", "position"],
-                    )
-                if not block:
-                    break
+    def partitions(self, start: dict, end: dict) -> Sequence[Pieces]:
+        pieces = []
+        for day, entries in self._listed().items():
+            for path, size, changed in entries:
+                if day in end["days"]:
+                    # A day that ends keeps what was read of it; the last line of a file may lack its end.
+                    if start["days"].get(day) == end["days"][day]:
+                        continue
+                    stop = size
+                elif path in end["files"]:
+                    stop = end["files"][path]
+                else:
+                    continue  # came after the offset was made
+                begin = start["files"].get(path, 0)
+                if stop < begin:  # a shorter file under the same name is a new file
+                    begin = 0
+                if begin < stop:
+                    pieces.append(Piece(path, begin, stop, size, changed))
+        return [Pieces(pieces)] if pieces else []
+
+    def read(self, partition: Pieces) -> Iterator[pa.RecordBatch]:
+        rows = [(p.path, p.start, p.stop, p.size, p.changed) for p in partition.pieces]
+        names = ["file_path", "start", "stop", "size", "file_time"]
+        yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*rows)], names)
+
+
+def _mark(entries: list[tuple[str, int, int]]) -> str:
+    """Digest of names and sizes."""
+    return hashlib.md5("\n".join(f"{path}\t{size}" for path, size, _ in entries).encode()).hexdigest()
 
 
 def _last_line_end(files: fs.FileSystem, path: str, size: int) -> int | None:
@@ -214,33 +151,79 @@ def _last_line_end(files: fs.FileSystem, path: str, size: int) -> int | None:
     return 0
 
 
-def _rest_of_line(stream, limit: int) -> bytes:
-    """Bytes up to and with the next line end."""
-    rest = b""
-    while limit > 0:
-        block = stream.read(min(TAIL_BYTES, limit))
-        if not block:
-            break
-        found = block.find(b"\n")
-        if found >= 0:
-            return rest + block[: found + 1]
-        rest += block
-        limit -= len(block)
-    return rest
+def new_lines(files: fs.FileSystem, path: str, start: int, stop: int) -> Iterator[tuple[int, bytes]]:
+    """Lines between two positions, with their own; a file that is gone has none."""
+    try:
+        stream = files.open_input_file(path)
+    except FileNotFoundError:
+        return  # An open file that was closed meanwhile: its lines come with the closed file, which is new.
+    with stream:
+        stream.seek(start)
+        position, carry = start, b""
+        while block := stream.read(min(READ_BYTES, max(stop - position - len(carry), 0))):
+            *lines, carry = (carry + block).split(b"\n")
+            for line in lines:
+                yield position, line
+                position += len(line) + 1
+        yield position, carry
+
+
+def _tails(place: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = file_system(place)
+        for batch in batches:
+            for path, start, stop, _, changed in zip(*batch.to_pydict().values()):
+                rows: list[tuple] = []
+                held = 0
+                for position, line in new_lines(files, root + path, start, stop):
+                    if line:
+                        rows.append((line.decode("utf-8", "replace"), place + path, changed, position))
+                        held += len(line)
+                    if held > READ_BYTES:
+                        yield _rows(rows)
+                        rows, held = [], 0
+                if rows:
+                    yield _rows(rows)
+
+    return run
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column) for column in zip(*rows)], ["value", "file_path", "file_time", "block_start"]
+    )
+
+
+@dataclass(frozen=True)
+class Growing:
+    """A stream of new pieces of files, and how those of a micro-batch are read."""
 
+    pieces: DataFrame
+    path: str
 
-def stream_growing_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Lines of growing hour files, in the shape of ``hour_files.stream_lines``."""
+    def lines(self, batch: DataFrame) -> DataFrame:
+        """Lines of the pieces; the driver gets their names and positions."""
+        spark = batch.sparkSession
+        rows = batch.collect()
+        at = F.lit(rows[0].indexed_at if rows else None).cast("bigint")
+        lines = spark.createDataFrame([], f"{LINES}, file_day STRING")
+        whole = [row.file_path for row in rows if row.start == 0 and row.stop == row.size and not row.file_path.endswith(".part")]
+        if whole:
+            lines = lines.unionByName(hour_lines(spark.read.text([self.path + path for path in whole])))
+        tails = [tuple(row)[:5] for row in rows if row.file_path not in set(whole)]
+        if tails:
+            shape = "file_path STRING, start BIGINT, stop BIGINT, size BIGINT, file_time BIGINT"
+            found = spark.createDataFrame(tails, shape).repartition(len(tails)).mapInArrow(
+                _tails(self.path), "value STRING, file_path STRING, file_time BIGINT, block_start BIGINT"
+            )
+            hour = hour_of(F.col("file_path"))
+            lines = lines.unionByName(found.withColumns({"hour": hour, "file_day": day_of_name(hour)}))
+        return lines.withColumn("indexed_at", at)
+
+
+def stream_growing(spark: SparkSession, path: str) -> Growing:
+    """Lines of growing hour files as they come, in the shape of ``hour_files.stream_lines``."""
     spark.dataSource.register(GrowingFiles)
-    whole = qualified(spark, path)
-    lines = spark.readStream.format("growing_files").options(path=whole, **options).load()
-    hour = hour_of(F.col("file_path"))
-    return lines.select(
-        "value",
-        "file_path",
-        "file_time",
-        hour.alias("hour"),
-        F.col("position").alias("block_start"),
-        F.unix_micros(F.current_timestamp()).alias("indexed_at"),
-        day_of_name(hour).alias("file_day"),
-    )
+    whole = qualified(spark, path).rstrip("/")
+    pieces = spark.readStream.format("growing_files").options(path=whole).load()
+    return Growing(pieces.withColumn("indexed_at", F.unix_micros(F.current_timestamp())), whole)

@@ -30,9 +30,13 @@ def hour_of(path: Column) -> Column:
     return F.regexp_extract(path, HOUR_PATH, 1)
 
 
-def _lines(text: DataFrame, *extra: Column) -> DataFrame:
+LINES = "value STRING, file_path STRING, file_time BIGINT, hour STRING, block_start BIGINT"
+
+
+def hour_lines(text: DataFrame, *extra: Column) -> DataFrame:
+    """Lines of the hour files among text files, with file, hour and day."""
     path = F.col("_metadata.file_path")
-    return text.where((hour_of(path) != "") & (F.col("value") != "")).select(
+    lines = text.where((hour_of(path) != "") & (F.col("value") != "")).select(
         "value",
         path.alias("file_path"),
         F.unix_micros("_metadata.file_modification_time").alias("file_time"),
@@ -40,6 +44,7 @@ def _lines(text: DataFrame, *extra: Column) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block_start"),
         *extra,
     )
+    return lines.withColumn("file_day", day_of_name(F.col("hour")))
 
 
 def read_lines(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
@@ -48,7 +53,7 @@ def read_lines(spark: SparkSession, path: str, day: str | None = None) -> DataFr
     if day is not None:
         # A filter on paths alone: files of other days are not opened.
         text = text.where(day_of_name(hour_of(F.col("_metadata.file_path"))) == day)
-    return _lines(text).withColumn("file_day", day_of_name(F.col("hour")))
+    return hour_lines(text)
 
 
 def stream_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
@@ -60,7 +65,7 @@ def stream_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
     text = spark.readStream.options(**options).option("recursiveFileLookup", "true").text(path)
     text = text.where(~F.col("_metadata.file_path").endswith(".part"))
     indexed_at = F.unix_micros(F.current_timestamp()).alias("indexed_at")
-    return _lines(text, indexed_at).withColumn("file_day", day_of_name(F.col("hour")))
+    return hour_lines(text, indexed_at)
 
 
 def arrival() -> Column:

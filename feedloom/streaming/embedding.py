@@ -1,8 +1,8 @@
-"""Vectors for posts that have none, as batch runs or as a stream."""
+"""Vectors for posts that have none, written back to the posts table by a stream that follows its commits."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,71 +11,87 @@ from pyspark.sql.streaming import StreamingQuery
 from feedloom.functions.text import embed_text
 from feedloom.operators.encode import Encoder, encode_texts, hashed_words
 from feedloom.operators.legacy import legacy_view
-from feedloom.operators.merge import merge_posts, with_vectors
-from feedloom.operators.pending import pending_posts, without_vector
-from feedloom.schemas import VECTORS
-from feedloom.streaming.bronze import triggered
-from feedloom.streaming.posts import _days, _read, _write, imported, imported_posts
+from feedloom.operators.merge import merge_posts
+from feedloom.operators.pending import pending_posts
+from feedloom.sources.commits import CommitLog
+from feedloom.streaming.landing import query_id, triggered
+from feedloom.streaming.posts import (
+    as_oldest, base_posts, batch_folder, days_in, days_of, is_done, layer_posts, layer_vectors, read_posts, write_parts,
+)
 
-
-SCHEMA = f"{VECTORS}, run STRING, batch STRING, file_day STRING"
+COMMIT = "added ARRAY<STRUCT<folder STRING, days ARRAY<STRING>>>"
 
 
 def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
-    """``uri, text, embedding`` of all runs: of a post with vectors on several days, that of the latest day."""
-    written = F.struct("file_day", "batch", "run", F.xxhash64("text"))
-    latest = F.max_by(F.struct("text", "embedding"), written).alias("latest")
-    return _read(spark, path, SCHEMA).groupBy("uri").agg(latest).select("uri", "latest.*")
-
-
-def fill_vectors(posts: DataFrame, path: str, model: str | None = None) -> DataFrame:
-    """Merged posts with the vectors below ``path`` written back; a filter on ``file_day`` reaches both tables."""
-    written = F.struct("batch", "run", F.xxhash64("text"))
-    return with_vectors(posts, _read(posts.sparkSession, path, SCHEMA), written, model)
+    """``uri, text, embedding`` of the posts that have a vector: of a post on several days, that of the latest day."""
+    posts = read_posts(spark, path).where("has_embedding = 1")
+    latest = F.max_by(F.struct("text", F.col("emb_vec").alias("embedding")), "file_day").alias("latest")
+    return posts.groupBy("uri").agg(latest).select("uri", "latest.*")
 
 
-def embed_batch(
-    posts: DataFrame,
-    days: Sequence[str],
-    path: str,
-    run: str,
-    batch: int,
-    make_encoder: Callable[[], Encoder] = hashed_words,
-    max_chars: int | None = None,
-) -> None:
-    """Encode the pending posts that have no vector below ``path`` and append their vectors.
+def waiting_posts(spark: SparkSession, path: str, added: list) -> DataFrame:
+    """Posts of the layers named in commits that wait for a vector.
 
-    ``posts`` are of the given days, and only vectors of these days are looked up. The batch's own
-    folder is not, so a repeated batch writes the same rows again.
+    A layer still on top is walked alone; of one folded since, the days are. Whether a post has a vector is asked of
+    the flags and vectors of these days only.
     """
-    queue = pending_posts(posts).select(
-        "uri", embed_text(F.col("text"), max_chars).alias("text"), "file_day"
+    state = CommitLog(spark, path).latest()
+    live = {layer["folder"] for layer in state.get("layers", [])}
+    layers = [{"folder": part.folder, "days": part.days} for part in added]
+    days = sorted(days_of(layers))
+    folded = sorted(days_of([layer for layer in layers if layer["folder"] not in live]))
+    base = base_posts(spark, path, state, folded).where("has_embedding = 0")
+    rows = as_oldest(base).unionByName(
+        layer_posts(spark, path, [layer for layer in layers if layer["folder"] in live])
     )
-    own = (F.col("run") == run) & (F.col("batch") == f"{batch:012d}")
-    done = _read(posts.sparkSession, path, SCHEMA).where(
-        F.col("file_day").isin(list(days)) & ~own
-    )
-    encoded = encode_texts(without_vector(queue, done), "text", make_encoder)
-    _write(encoded, f"{path}/run={run}/batch={batch:012d}", "file_day")
+    waiting = pending_posts(legacy_view(merge_posts(rows), "file_day"))
+    vectors = [part for part in state.get("vectors", []) if set(part["days"]) & set(days)]
+    filled = base_posts(spark, path, state, days).where("has_embedding = 1").select("file_day", "uri")
+    done = filled.unionByName(layer_vectors(spark, path, vectors).where(F.col("file_day").isin(days)).select("file_day", "uri"))
+    return waiting.join(done, ["file_day", "uri"], "left_anti")
+
+
+def embed_added(
+    spark: SparkSession, path: str, added: list, run: str, batch: int,
+    make_encoder: Callable[[], Encoder] = hashed_words, model: str = "words", max_chars: int | None = None,
+) -> None:
+    """Encode the waiting posts of the layers ``added`` and commit their vectors to the posts table."""
+    log = CommitLog(spark, path)
+    if not added or is_done(log.latest(), run, batch):
+        return
+    queue = waiting_posts(spark, path, added).select("file_day", "uri", embed_text(F.col("text"), max_chars).alias("text"))
+    encoded = encode_texts(queue, "text", make_encoder, keep=["file_day", "uri"])
+    rows = encoded.select("file_day", "uri", F.col("embedding").alias("emb_vec"), F.lit(model).alias("emb_model"))
+    folder = batch_folder(run, batch)
+    write_parts(rows.hint("rebalance", "file_day"), f"{path}/vectors/{folder}", "file_day")
+    days = days_in(spark, f"{path}/vectors/{folder}")
+
+    def change(state: dict) -> dict | None:
+        if is_done(state, run, batch):
+            return None
+        part = [{"folder": folder, "days": days}] if days else []
+        return {
+            **state, "kind": "vectors", "added": [], "vectors": [*state.get("vectors", []), *part],
+            "done": {**state.get("done", {}), run: batch},
+        }
+
+    log.commit(change)
 
 
 def start_embedding(
-    lines: DataFrame,
+    spark: SparkSession,
     path: str,
     checkpoint: str,
     make_encoder: Callable[[], Encoder] = hashed_words,
     every: str | None = "1 minute",
+    model: str = "words",
 ) -> StreamingQuery:
-    """Encode the English posts among new lines of hour files."""
-
-    def encode_batch(batch: DataFrame, number: int) -> None:
-        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        posts = legacy_view(merge_posts(imported_posts(imported(batch))), "file_day")
-        # Days come from file names; no line is decoded for them.
-        embed_batch(posts, _days(batch), path, run, number, make_encoder)
-
-    # An empty write makes the folder, so that the first batch finds a table to look into.
-    none = lines.sparkSession.createDataFrame([], SCHEMA)
-    none.write.mode("append").partitionBy("run", "batch", "file_day").parquet(path)
-    writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(encode_batch)
+    """Encode English posts of the posts table at ``path`` as its commits come."""
+
+    def embed_batch(batch: DataFrame, number: int) -> None:
+        added = batch.select(F.inline("added")).collect()
+        embed_added(batch.sparkSession, path, added, query_id(batch), number, make_encoder, model)
+
+    commits = spark.readStream.schema(COMMIT).json(CommitLog(spark, path).ensure())
+    writer = commits.writeStream.option("checkpointLocation", checkpoint).foreachBatch(embed_batch)
     return triggered(writer, every).start()

@@ -1,30 +1,35 @@
 """Hour files to the merged post table.
 
-Each micro-batch is merged on its own and appended as one more layer; readers merge the layers.
-The cost of a batch thus follows its own size, not that of the days it touches. ``compact_posts``
-folds the layers into a table with one folder per day, for the days they touch. Later layers
-go on top of such tables, and days without a later layer are read as they lie. Merging a layer
-twice changes nothing, so a layer may stay after it was folded in.
+The table at a path is what its commits name (``sources/commits.py``): for each day one base folder, on top of it
+layers, one per micro-batch, and vectors. A batch merges its own lines, appends them as a layer and commits; its cost
+follows its own size, not that of the days it touches. ``compact_posts`` folds layers and vectors into new base
+folders of the days they touch and swaps them in one commit, so later reads list the live folders only. A day without
+layers is read as it lies.
+
+With the layer a batch commits its rejects and its ledger: how many lines of each file were accepted, ignored and
+rejected. All three come from one decode of the lines.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from feedloom.operators.importing import is_reject, parse_lines, rejected_lines, valid_posts
-from feedloom.operators.merge import merge_posts
-from feedloom.schemas import POSTS
+from feedloom.operators.merge import merge_posts, with_vectors
+from feedloom.schemas import POSTS, POST_VECTORS
+from feedloom.sources.commits import CommitLog, folders_in
 from feedloom.sources.hour_files import arrival
-from feedloom.sources.tables import list_files
-from feedloom.streaming.bronze import triggered
+from feedloom.streaming.landing import query_id, triggered
 
-LAYERS = "layers"
-REJECTS = "rejects"
+PLACE = "run STRING, batch STRING"
+REJECTS = "value STRING, reason STRING"
+LEDGER = "file STRING, accepted BIGINT, ignored BIGINT, rejected BIGINT"
 
 
 def imported(lines: DataFrame) -> DataFrame:
@@ -36,115 +41,195 @@ def imported_posts(parsed: DataFrame) -> DataFrame:
     return valid_posts(parsed, F.col("indexed_at"), F.col("file_day"), F.col("arrival"))
 
 
-def _write(df: DataFrame, path: str, *parts: str) -> None:
-    # A repeated batch replaces all of its own folder.
+def file_counts(parsed: DataFrame) -> DataFrame:
+    """Accepted, ignored and rejected lines of each file."""
+    count = lambda condition, name: F.count_if(condition).alias(name)
+    return parsed.groupBy(F.substring_index("file_path", "/", -1).alias("file")).agg(
+        count(F.col("outcome") == "post", "accepted"),
+        count(F.col("outcome") == "ignored", "ignored"),
+        count(is_reject(), "rejected"),
+    )
+
+
+def write_parts(df: DataFrame, path: str, *parts: str) -> None:
+    """Write (runs a job) a folder anew; a repeated batch replaces all of its own."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(*parts).parquet(path)
 
 
+def days_in(spark: SparkSession, path: str) -> list[str]:
+    """The days of a folder just written."""
+    return [name.removeprefix("file_day=") for name in folders_in(spark, path)]
+
+
+def batch_folder(run: str, batch: int) -> str:
+    return f"run={run}/batch={batch:012d}"
+
+
+def is_done(state: dict, run: str, batch: int) -> bool:
+    return state.get("done", {}).get(run, -1) >= batch
+
+
 def append_layer(lines: DataFrame, path: str, run: str, batch: int) -> None:
-    """Write the merged posts and the rejects of one batch below ``path``."""
-    folder = f"run={run}/batch={batch:012d}"
-    parsed = imported(lines)
-    # Rejects are counted on the way; most batches have none and are read only once.
-    seen = Observation()
-    posts = imported_posts(parsed.observe(seen, F.count_if(is_reject()).alias("rejects")))
-    merged = merge_posts(posts).hint("rebalance", "file_day")
-    _write(merged, f"{path}/{LAYERS}/{folder}", "file_day")
-    if seen.get["rejects"]:
-        _write(rejected_lines(parsed), f"{path}/{REJECTS}/{folder}")
-
-
-def start_posts(
-    lines: DataFrame, path: str, checkpoint: str, every: str | None = "1 minute"
-) -> StreamingQuery:
-    """Import new lines every minute, or with ``every=None`` once."""
+    """Write and commit the merged posts, the rejects and the ledger of one batch below ``path``."""
+    spark = lines.sparkSession
+    log = CommitLog(spark, path)
+    if is_done(log.latest(), run, batch):
+        return
+    folder = batch_folder(run, batch)
+    # Decoded once, for the three tables made of it.
+    parsed = imported(lines).persist()
+    try:
+        merged = merge_posts(imported_posts(parsed)).hint("rebalance", "file_day")
+        write_parts(merged, f"{path}/layers/{folder}", "file_day")
+        seen = Observation()
+        counts = file_counts(parsed).observe(seen, F.sum("rejected").alias("rejected"))
+        write_parts(counts.coalesce(1), f"{path}/ledger/{folder}")
+        if seen.get["rejected"]:
+            write_parts(rejected_lines(parsed), f"{path}/rejects/{folder}")
+    finally:
+        parsed.unpersist()
+    days = days_in(spark, f"{path}/layers/{folder}")
+
+    def change(state: dict) -> dict | None:
+        if is_done(state, run, batch):
+            return None
+        added = [{"folder": folder, "days": days}] if days else []
+        return {
+            **state, "kind": "import", "added": added, "layers": [*state.get("layers", []), *added],
+            "done": {**state.get("done", {}), run: batch},
+        }
+
+    log.commit(change)
+
+
+def start_posts(lines, path: str, checkpoint: str, every: str | None = "1 minute") -> StreamingQuery:
+    """Import new lines every minute, or with ``every=None`` once.
+
+    ``lines`` is a stream of lines, or one of names with a way to read them (``stream_landed``, ``stream_growing``).
+    """
+    pieces, read = (lines, lambda batch: batch) if isinstance(lines, DataFrame) else (lines.pieces, lines.lines)
 
     def import_batch(batch: DataFrame, number: int) -> None:
         # The query's own id lives in its checkpoint; another checkpoint is another run.
-        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        append_layer(batch, path, run, number)
+        append_layer(read(batch), path, query_id(batch), number)
 
-    writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(import_batch)
+    writer = pieces.writeStream.option("checkpointLocation", checkpoint).foreachBatch(import_batch)
     return triggered(writer, every).start()
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+def _parts(spark: SparkSession, root: str, names: Iterable[str], schema: str) -> DataFrame:
+    """The named folders below ``root``, with the columns of ``schema``; nothing else there is listed."""
+    paths = [f"{root}/{name}" for name in names]
+    if not paths:
         return spark.createDataFrame([], schema)
+    columns = StructType.fromDDL(schema).names
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths).select(*columns)
+
 
+def layer_posts(spark: SparkSession, path: str, layers: Sequence[dict]) -> DataFrame:
+    """Posts of layers, with a place that puts them behind any base and in their order."""
+    rows = _parts(spark, f"{path}/layers", (layer["folder"] for layer in layers), f"{POSTS}, {PLACE}")
+    place = F.struct(F.lit(1).alias("layer"), "indexed_last", "run", "batch")
+    return rows.withColumn("arrival", place).drop("run", "batch")
 
-def _days(df: DataFrame) -> list[str]:
-    """The days among the rows: a list as long as the calendar."""
-    return sorted(r.file_day for r in df.select("file_day").distinct().collect())
 
+def layer_vectors(spark: SparkSession, path: str, vectors: Sequence[dict]) -> DataFrame:
+    return _parts(spark, f"{path}/vectors", (part["folder"] for part in vectors), f"{POST_VECTORS}, {PLACE}")
 
-def _table_days(spark: SparkSession, path: str) -> list[str]:
-    """The days of a table, from the names of its files; no file is opened."""
-    day = F.regexp_extract("path", "/file_day=([^/]+)/", 1).alias("file_day")
-    return _days(list_files(spark, path, "*.parquet").select(day))
 
+def base_posts(spark: SparkSession, path: str, state: dict, days: Iterable[str] | None = None) -> DataFrame:
+    """Posts of the base folders, of all days or of those given."""
+    bases = state.get("bases", {})
+    wanted = bases if days is None else [day for day in days if day in bases]
+    folders = [f"id={bases[day]}/file_day={day}" for day in wanted]
+    return _parts(spark, f"{path}/base", folders, f"{POSTS}, id STRING").drop("id")
 
-def _layers(spark: SparkSession, path: str) -> DataFrame:
-    layers = _read(spark, f"{path}/{LAYERS}", f"{POSTS}, run STRING, batch STRING")
-    place = F.struct(F.lit(1).alias("layer"), "indexed_last", "run", "batch")
-    return layers.withColumn("arrival", place).drop("run", "batch")
-
-
-def _base(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
-    """Each day from the first table that has it."""
-    rows = spark.createDataFrame([], POSTS)
-    found: set[str] = set()
-    for table in tables:
-        posts = _read(spark, table, POSTS)
-        if len(tables) > 1:
-            days = [day for day in _table_days(spark, table) if day not in found]
-            found.update(days)
-            posts = posts.where(F.col("file_day").isin(days))
-        rows = rows.unionByName(posts)
+
+def as_oldest(base: DataFrame) -> DataFrame:
+    """Base posts with a place before any layer."""
+    none = F.lit("")
+    place = F.struct(F.lit(0).alias("layer"), "indexed_last", none.alias("run"), none.alias("batch"))
+    return base.withColumn("arrival", place)
+
+
+def days_of(parts: Sequence[dict]) -> set[str]:
+    return {day for part in parts for day in part["days"]}
+
+
+def _written() -> Column:
+    return F.struct("run", "batch", F.xxhash64("emb_vec"))
+
+
+def _folded(spark: SparkSession, path: str, state: dict) -> DataFrame | None:
+    """The days with layers or vectors, merged; None if there are none."""
+    layers, vectors = state.get("layers", []), state.get("vectors", [])
+    layered = days_of(layers)
+    filled = sorted(days_of(vectors) - layered)
+    if not layered and not filled:
+        return None
+    rows = base_posts(spark, path, state, filled)
+    if layered:
+        base = as_oldest(base_posts(spark, path, state, sorted(layered)))
+        rows = rows.unionByName(merge_posts(base.unionByName(layer_posts(spark, path, layers))))
+    if vectors:
+        rows = with_vectors(rows, layer_vectors(spark, path, vectors), _written())
     return rows
 
 
-def _on_base(layers: DataFrame, base: DataFrame) -> DataFrame:
-    oldest = F.struct(
-        F.lit(0).alias("layer"), "indexed_last", F.lit("").alias("run"), F.lit("").alias("batch")
-    )
-    return merge_posts(base.withColumn("arrival", oldest).unionByName(layers))
+def read_posts(spark: SparkSession, path: str) -> DataFrame:
+    """The merged posts. Only days that have layers are merged; a filter on ``file_day`` reaches the folders."""
+    state = CommitLog(spark, path).latest()
+    folded = _folded(spark, path, state)
+    if folded is None:
+        return base_posts(spark, path, state)
+    touched = days_of(state.get("layers", [])) | days_of(state.get("vectors", []))
+    rest = [day for day in state.get("bases", {}) if day not in touched]
+    return folded.unionByName(base_posts(spark, path, state, rest)) if rest else folded
 
 
-def read_posts(spark: SparkSession, path: str, base: Sequence[str] = ()) -> DataFrame:
-    """Merged posts from the layers below ``path`` on top of compacted tables, newest first.
+def compact_posts(spark: SparkSession, path: str) -> None:
+    """Fold (runs a job) all layers and vectors that there are into new base folders, swapped in one commit.
 
-    Only the days that have layers are merged. A filter on ``file_day`` reaches the folders.
+    What a stream appends meanwhile stays on top. Old folders are left to readers that still use them.
     """
-    layers = _layers(spark, path)
-    if not base:
-        return merge_posts(layers)
-    posts = _base(spark, base)
-    touched = F.col("file_day").isin(_table_days(spark, f"{path}/{LAYERS}"))
-    return _on_base(layers, posts.where(touched)).unionByName(posts.where(~touched))
+    log = CommitLog(spark, path)
+    state = log.latest()
+    folded = _folded(spark, path, state)
+    if folded is None:
+        return
+    name = uuid.uuid4().hex
+    folder = f"{path}/base/id={name}"
+    write_parts(folded.hint("rebalance", "file_day"), folder, "file_day")
+    days = days_in(spark, folder)
+    gone = {kind: {part["folder"] for part in state.get(kind, [])} for kind in ("layers", "vectors")}
+
+    def change(now: dict) -> dict:
+        kept = {kind: [part for part in now.get(kind, []) if part["folder"] not in gone[kind]] for kind in gone}
+        return {**now, **kept, "kind": "compact", "added": [], "bases": {**now.get("bases", {}), **dict.fromkeys(days, name)}}
+
+    log.commit(change)
+
+
+def _committed(spark: SparkSession, path: str, kind: str, schema: str) -> DataFrame:
+    """Rows of all committed batches of a table kept whole."""
+    done = CommitLog(spark, path).latest().get("done", {})
+    if not folders_in(spark, f"{path}/{kind}"):
+        return spark.createDataFrame([], f"{schema}, {PLACE}")
+    rows = spark.read.schema(f"{schema}, {PLACE}").parquet(f"{path}/{kind}")
+    within = F.lit(False)
+    for run, batch in done.items():
+        within = within | ((F.col("run") == run) & (F.col("batch") <= f"{batch:012d}"))
+    return rows.where(within)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    rejects = _read(
-        spark, f"{path}/{REJECTS}", "value STRING, reason STRING, run STRING, batch STRING"
-    )
-    return rejects.select("value", "reason")
-
+    """Rejected lines with the reason."""
+    return _committed(spark, path, "rejects", REJECTS).select("value", "reason")
 
-def compact_posts(
-    spark: SparkSession, path: str, target: str, base: Sequence[str] = ()
-) -> None:
-    """Write (runs a job) the days that have layers, merged, to the new table ``target``.
 
-    ``target`` then goes to the front of ``base``. Nothing is overwritten, so a run that
-    fails leaves all data as it was. New layers should go to a new ``path``.
-    """
-    layers = _layers(spark, path)
-    touched = F.col("file_day").isin(_table_days(spark, f"{path}/{LAYERS}"))
-    posts = _base(spark, base).where(touched)
-    _write(_on_base(layers, posts).hint("rebalance", "file_day"), target, "file_day")
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """``file, imports, accepted, ignored, rejected``: the lines submitted from each file over all its imports."""
+    counts = [F.sum(name).alias(name) for name in ("accepted", "ignored", "rejected")]
+    rows = _committed(spark, path, "ledger", LEDGER)
+    return rows.groupBy("file").agg(F.count("*").alias("imports"), *counts)

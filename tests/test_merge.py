@@ -175,13 +175,13 @@ def test_vectors_are_written_back_by_day_and_address(spark):
         "file_day string, uri string, has_embedding int, emb_model string, emb_dims int, emb_vec array<float>",
     )
     vectors = spark.createDataFrame(
-        [("d1", "a", [1.0, 2.0], 1), ("d1", "a", [0.0, 1.0], 2), ("d3", "a", [5.0], 3)],
-        "file_day string, uri string, embedding array<float>, n int",
+        [("d1", "a", [1.0, 2.0], "l", 1), ("d1", "a", [0.0, 1.0], "m", 2), ("d3", "a", [5.0], "m", 3)],
+        "file_day string, uri string, emb_vec array<float>, emb_model string, n int",
     )
-    filled = with_vectors(posts, vectors, F.col("n"), "m")
+    filled = with_vectors(posts, vectors, F.col("n"))
     assert filled.columns == posts.columns
     assert sorted(tuple(r) for r in filled.collect()) == [
         ("d1", "a", 1, "m", 2, [0.0, 1.0]), ("d1", "b", 1, "old", 1, [9.0]), ("d2", "a", 0, None, None, None),
     ]
-    again = with_vectors(filled, vectors, F.col("n"), "m")
+    again = with_vectors(filled, vectors, F.col("n"))
     assert sorted(map(str, again.collect())) == sorted(map(str, filled.collect()))
