@@ -19,16 +19,15 @@ from feedloom.schemas import EMBEDDING_DIMS, ENCODE_BATCH
 
 Encoder = Callable[[list[str]], np.ndarray]
 
+
 class _Buckets(dict):
-    """Bucket of a word, remembered for the first 200,000 words to bound a task's memory."""
+    """Bucket of each word of a batch."""
 
     def __init__(self, dims: int):
         self.dims = dims
 
     def __missing__(self, word: bytes) -> int:
-        bucket = int(hashlib.md5(word).hexdigest()[:8], 16) % self.dims
-        if len(self) < 200_000:
-            self[word] = bucket
+        bucket = self[word] = int(hashlib.md5(word).hexdigest()[:8], 16) % self.dims
         return bucket
 
 
@@ -38,9 +37,9 @@ def hashed_words(dims: int = EMBEDDING_DIMS) -> Encoder:
     Words are lower-cased and divided by ASCII white space. The bucket is the first 8 hexadecimal
     digits of the word's md5, modulo ``dims``.
     """
-    buckets = _Buckets(dims)
 
     def encode(texts: list[str]) -> np.ndarray:
+        buckets = _Buckets(dims)
         words = [text.lower().encode().split() for text in texts]
         sizes = [len(w) for w in words]
         places = np.fromiter(map(buckets.__getitem__, chain.from_iterable(words)), np.intp, sum(sizes))

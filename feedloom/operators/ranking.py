@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_DIGITS = 3  # hexadecimal: 4,096 buckets per group
-MAX_BROADCAST_HOURS = 100_000
+SHARES = 64
 
 
 def _bucket(key: Column) -> Column:
@@ -58,39 +58,12 @@ def newest_rows(
 ) -> DataFrame:
     """The ``limit`` newest rows by date and hour, then by ``md5(key), key``.
 
-    A plain top-n keeps ``limit`` rows in every task and brings all of them to one. Here the
-    counts per hour say which hours are needed, and the counts per bucket which part of
-    the oldest of them; only those rows are sorted.
+    The input is evaluated once. Rows are dealt over ``SHARES`` by their key, and only ``limit`` rows of each share count:
+    Spark drops the others in the task that made them, and again behind the shuffle, so that no task is left with
+    ``limit`` rows of every other.
     """
-    newest = [F.col(date).desc(), F.col(hour).desc()]
-    # One row per hour: broadcast only while the limit keeps them few.
-    held = F.broadcast if limit <= MAX_BROADCAST_HOURS else lambda hours: hours
-    run = lambda *order: Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    # At most `limit` hours can be needed, as no counted hour is empty.
-    hours = (
-        df.groupBy(date, hour)
-        .agg(F.count("*").alias("_n"))
-        .orderBy(*newest)
-        .limit(limit)
-        .withColumn("_before", F.coalesce(F.sum("_n").over(run(*newest)), F.lit(0)))
-        .where(F.col("_before") < limit)
-        .withColumn("_partial", F.col("_before") + F.col("_n") > limit)
-    )
-    # The one hour that is needed in part, cut into buckets (at most 4,096).
-    buckets = (
-        df.join(held(hours.where("_partial").drop("_n", "_partial")), [date, hour])
-        .groupBy("_before", _bucket(F.col(key)).alias("_b"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_skip", F.col("_before") + F.coalesce(F.sum("_n").over(run("_b")), F.lit(0)))
-        .where(F.col("_skip") < limit)
-        .select("_b")
-    )
-    rows = df.join(held(hours.select(date, hour, "_partial")), [date, hour])
-    needed = rows.join(F.broadcast(buckets), _bucket(F.col(key)) == F.col("_b"), "left").where(
-        ~F.col("_partial") | F.col("_b").isNotNull()
-    )
-    return (
-        needed.select(*df.columns)
-        .orderBy(*newest, *_digest_order(F.col(key)))
-        .limit(limit)
-    )
+    order = [F.col(date).desc(), F.col(hour).desc(), F.col("_digest"), F.col(key)]
+    shares = df.withColumns({"_share": F.pmod(F.xxhash64(key), F.lit(SHARES)), "_digest": F.md5(F.col(key).cast("string"))})
+    rank = F.row_number().over(Window.partitionBy("_share").orderBy(*order))
+    newest = shares.withColumn("_rank", rank).where(F.col("_rank") <= limit)
+    return newest.orderBy(*order).limit(limit).select(*df.columns)

@@ -3,7 +3,7 @@
 Vectors are compared as matrices inside the tasks, which is several times faster than summing over
 array elements in expressions. The matrix product only rules vectors out, with a margin for its rounding;
 those left are ranked by the sum of squared differences in double precision, unrounded, ties by key.
-A task passes on its k best per query, never the pairs.
+A task passes on its k best per query, never the pairs. One way serves any number of queries.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from feedloom.operators.encode import Encoder
 from feedloom.schemas import SEARCH_K
+from feedloom.session import run_folder
+from feedloom.sources.commits import folders_in
 
-MAX_QUERIES = 16_384  # query vectors a task holds: 50 MB at 384 dimensions
-SHARD_ROWS = 100_000
+BLOCK_BYTES = 8 << 20  # of query vectors in a round
 MATRIX_CELLS = 4_000_000  # numbers a task holds at a time
 
 
@@ -114,6 +115,8 @@ def _top_k(
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:
+    if not len(lists):
+        return np.zeros((0, 0))
     sizes = pc.min_max(pc.list_value_length(lists)).as_py()
     values = lists.flatten().to_numpy(zero_copy_only=False)
     if lists.null_count or sizes["min"] != sizes["max"]:
@@ -134,23 +137,49 @@ def nearest(
     key: str = "uri",
     query_key: str = "query_id",
     vector: str = "embedding",
-    max_queries: int = MAX_QUERIES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest corpus rows of every query: ``query_key, key, distance, rank``.
 
-    Runs a job that fetches at most ``max_queries + 1`` queries. If that is all of them, they are
-    sent to all tasks and the corpus is not shuffled; otherwise see ``nearest_by_blocks``.
+    The queries go round in blocks of ``block_bytes``, each sent to all tasks, while the corpus stays where it is; a
+    task passes on its ``k`` best per query. Answers of all rounds but the last are written to the shared folder as they
+    come, so one block is held at a time. Runs a job that counts the queries, and one or more per round.
+
     All queries have one dimension; corpus vectors of another one are no neighbours of them, and a
     query without a vector has none.
     """
-    sent = _columns(queries, query_key, vector).limit(max_queries + 1).toArrow()
-    if sent.num_rows > max_queries:
-        return nearest_by_blocks(corpus, queries, k, key, query_key, vector)
-    names = sent.column(query_key).combine_chunks()
-    targets = _matrix(sent.column(vector).combine_chunks()) if sent.num_rows else np.zeros((0, 0))
-    corpus = corpus.where(F.size(vector) == targets.shape[1])
-    held = corpus.sparkSession.sparkContext.broadcast((names, targets))
+    spark = corpus.sparkSession
+    asked = _columns(queries, query_key, vector)
+    size = F.size(vector)
+    rows, least, most = asked.agg(F.count("*"), F.min(size), F.max(size)).first()
+    if least != most:
+        raise ValueError("vectors of different dimensions")
+    corpus = _columns(corpus.where(size == (most or 0)), key, vector)
+    shape = _found_schema(corpus, queries, key, query_key)
+    blocks = max(1, -(-rows * (most or 0) * 4 // block_bytes))
+    rounds = [asked]
+    if blocks > 1:
+        # Dealt evenly once and kept, so that every query is in one block.
+        folder = run_folder(spark, "queries")
+        number = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
+        asked.withColumn("block", number).write.partitionBy("block").parquet(f"{folder}/asked")
+        names = folders_in(spark, f"{folder}/asked")
+        rounds = [spark.read.schema(asked.schema).parquet(f"{folder}/asked/{name}") for name in names]
+    done: list[str] = []
+    for part in rounds:
+        sent = part.toArrow()
+        held = spark.sparkContext.broadcast(
+            (sent.column(query_key).combine_chunks(), _matrix(sent.column(vector).combine_chunks()))
+        )
+        found = _ranked(corpus.mapInArrow(_round(held, k), shape), k, key, query_key)
+        if part is not rounds[-1]:
+            done.append(f"{folder}/found/{len(done)}")
+            found.write.parquet(done[-1])
+            held.destroy()
+    return spark.read.schema(found.schema).parquet(*done).unionByName(found) if done else found
 
+
+def _round(held, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, targets = held.value
         best = None
@@ -160,56 +189,7 @@ def nearest(
         if best is not None:
             yield _result(names, best)
 
-    found = _columns(corpus, key, vector).mapInArrow(run, _found_schema(corpus, queries, key, query_key))
-    return _ranked(found, k, key, query_key)
-
-
-def nearest_by_blocks(
-    corpus: DataFrame,
-    queries: DataFrame,
-    k: int = SEARCH_K,
-    key: str = "uri",
-    query_key: str = "query_id",
-    vector: str = "embedding",
-    block_queries: int = MAX_QUERIES,
-    shard_rows: int = SHARD_ROWS,
-) -> DataFrame:
-    """The same for a query set of any size: blocks of queries meet shards of the corpus.
-
-    Both keys must be unique, so blocks and shards are even. A task holds one block and one shard.
-    """
-    asked = queries.where(F.size(vector) > 0).agg(F.count("*"), F.max(F.size(vector))).first()
-    corpus = corpus.where(F.size(vector) == (asked[1] or 0))
-    blocks = -(-asked[0] // block_queries) or 1
-    shards = -(-corpus.count() // shard_rows) or 1
-    number = lambda column, n: F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = _columns(corpus, key, vector).select(
-        "*", number(key, shards).alias("shard"), every(blocks).alias("block")
-    )
-    right = _columns(queries, query_key, vector).select(
-        "*", number(query_key, blocks).alias("block"), every(shards).alias("shard")
-    )
-
-    def run(shard: pa.Table, block: pa.Table) -> pa.Table:
-        names = block.column(query_key).combine_chunks()
-        if not shard.num_rows or not block.num_rows:
-            return _result(names.slice(0, 0), None, shard.column(key).type)
-        best = _top_k(
-            shard.column(key).combine_chunks(),
-            _matrix(shard.column(vector).combine_chunks()),
-            _matrix(block.column(vector).combine_chunks()),
-            None,
-            k,
-        )
-        return pa.Table.from_batches([_result(names, best)])
-
-    found = (
-        left.groupBy("shard", "block")
-        .cogroup(right.groupBy("shard", "block"))
-        .applyInArrow(run, _found_schema(corpus, queries, key, query_key))
-    )
-    return _ranked(found, k, key, query_key)
+    return run
 
 
 def _found_schema(corpus: DataFrame, queries: DataFrame, key: str, query_key: str) -> str:
@@ -219,11 +199,7 @@ def _found_schema(corpus: DataFrame, queries: DataFrame, key: str, query_key: st
     )
 
 
-def _result(names: pa.Array, best: pd.DataFrame | None, kind: pa.DataType | None = None):
-    if best is None:
-        return pa.table(
-            [names, pa.array([], kind), pa.array([], pa.float64())], ["query", "key", "distance"]
-        )
+def _result(names: pa.Array, best: pd.DataFrame) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             names.take(pa.array(best["query"].to_numpy())),
@@ -280,8 +256,18 @@ def search_vector(
     return found.orderBy("distance", key).limit(k)
 
 
-def search_text(corpus: DataFrame, text: str, encoder: Encoder, k: int = SEARCH_K) -> DataFrame:
-    """Posts nearest to a text: ``uri, text, distance`` to 4 decimals, nearest first."""
+def search_text(vectors: DataFrame, texts: DataFrame, text: str, encoder: Encoder, k: int = SEARCH_K) -> DataFrame:
+    """Posts nearest to a text: ``uri, text, distance`` to 4 decimals, nearest first.
+
+    ``vectors`` has ``uri, embedding`` and is ranked first (runs a job); ``texts`` has ``uri, text`` and is read for the ``k``
+    addresses found, which reach its files as a filter. Addresses are unique in both.
+    """
     query = encoder([text.strip()])[0]
-    found = search_vector(corpus, query, k)
-    return found.select("uri", "text", F.round("distance", 4).alias("distance"))
+    found = search_vector(vectors.select("uri", "embedding"), query, k).collect()
+    near = vectors.sparkSession.createDataFrame([tuple(row) for row in found], "uri STRING, distance DOUBLE")
+    wanted = texts.where(F.col("uri").isin([row.uri for row in found])).select("uri", "text")
+    return (
+        wanted.join(F.broadcast(near), "uri")
+        .orderBy("distance", "uri")
+        .select("uri", "text", F.round("distance", 4).alias("distance"))
+    )

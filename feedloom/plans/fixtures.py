@@ -245,11 +245,13 @@ def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts.join(vectors, posts.doc_id == vectors.vec_id).select("uri", "text", "embedding")
 
 
+def document_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = document_vectors(spark, sf_dir)
+    return vectors.select("uri", pack_vector(F.col("embedding")).alias("embedding_blob"))
+
+
 def posts_with_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blobs = document_vectors(spark, sf_dir).select(
-        "uri", pack_vector(F.col("embedding")).alias("embedding_blob")
-    )
-    return write_vectors(older_posts(spark, sf_dir).drop("doc_id"), blobs)
+    return write_vectors(older_posts(spark, sf_dir).drop("doc_id"), document_blobs(spark, sf_dir))
 
 
 def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,11 +24,10 @@ from feedloom.operators.feed import (
 )
 from feedloom.operators.importing import parse_lines, rejected_lines
 from feedloom.operators.legacy import legacy_view
-from feedloom.operators.merge import first_per_key, insert_or_ignore, merge_posts
+from feedloom.operators.merge import first_per_key, insert_or_ignore, merge_posts, write_vectors
 from feedloom.operators.pending import embedding_queue, without_vector
 from feedloom.operators.search import (
     nearest,
-    nearest_by_blocks,
     search_text,
     search_vector,
     squared_distance,
@@ -49,6 +48,7 @@ from feedloom.sources.hour_files import (
 from feedloom.sources.tables import (
     count_by_date,
     describe,
+    kept_by_key,
     query_file,
     list_files,
     read_export,
@@ -128,10 +128,9 @@ def knn_small_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def knn_blocked_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by the way taken for query sets too big to send out whole."""
+    """The same in several rounds of queries."""
     corpus, queries = _self_queries(spark, sf_dir)
-    found = nearest_by_blocks(corpus, queries, 5, "vec_id", block_queries=512, shard_rows=512)
-    return _rounded(found, "distance")
+    return _rounded(nearest(corpus, queries, 5, "vec_id", block_bytes=1 << 19), "distance")
 
 
 def vector_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,7 +355,9 @@ def embed_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedding_writeback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.posts_with_vectors(spark, sf_dir).select(
+    """Vectors written back to posts that lie in buckets by address: only the vectors move."""
+    posts = kept_by_key(fx.older_posts(spark, sf_dir).drop("doc_id"), run_folder(spark, "by-key"))
+    return write_vectors(posts, fx.document_blobs(spark, sf_dir)).select(
         "uri", "text", "embedding", F.length("embedding_blob").alias("bytes")
     )
 
@@ -449,7 +450,7 @@ def text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = fx.documents(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("uri"), "text"
     )
-    return search_text(encode_texts(documents), SEARCH_WORDS, hashed_words())
+    return search_text(encode_texts(documents, keep=["uri"]), documents, SEARCH_WORDS, hashed_words())
 
 
 # --- ad-hoc SQL ---
@@ -672,7 +673,8 @@ def _embedded(spark: SparkSession, sf_dir: str, name: str, compacted: bool = Tru
 def feed_to_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the feed to the posts nearest to a text."""
     posts = read_posts(spark, _embedded(spark, sf_dir, "search")).where("has_embedding = 1")
-    return search_text(posts.select("uri", "text", F.col("emb_vec").alias("embedding")), SEARCH_WORDS, hashed_words())
+    vectors = posts.select("uri", F.col("emb_vec").alias("embedding"))
+    return search_text(vectors, posts, SEARCH_WORDS, hashed_words())
 
 
 def feed_to_export(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +58,22 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(VECTORS).parquet(path)
 
 
+def kept_by_key(df: DataFrame, path: str, key: str = "uri", buckets: int | None = None) -> DataFrame:
+    """Write (runs a job) rows in buckets by a key and read them back: joins on that key leave them where they lie.
+
+    There are as many buckets as shuffle partitions unless told otherwise.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"feedloom_{uuid.uuid4().hex}"
+    # The buckets are known to the session's catalog; the entry goes once the table is read.
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    rows = spark.table(name)
+    rows.schema  # noqa: B018  (resolved while the entry is there)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 def query_file(spark: SparkSession, path: str, query: str) -> DataFrame:
     """Run SQL over a Parquet file; ``{file}`` in the query stands for it."""
     quoted = "parquet.`" + path.replace("`", "``") + "`"

@@ -185,3 +185,19 @@ def test_vectors_are_written_back_by_day_and_address(spark):
     ]
     again = with_vectors(filled, vectors, F.col("n"))
     assert sorted(map(str, again.collect())) == sorted(map(str, filled.collect()))
+
+
+def test_posts_in_buckets_stay_where_they_lie(spark, folder):
+    from feedloom.sources.tables import kept_by_key
+
+    schema = "uri string, text string, embedding string, embedding_blob binary"
+    posts = spark.createDataFrame([(f"u{i}", "t", None, None) for i in range(100)], schema)
+    kept = kept_by_key(posts, folder + "/posts", buckets=16)
+    vectors = spark.createDataFrame([(f"u{i}", bytearray(b"abcd")) for i in range(0, 400, 3)], "uri string, embedding_blob binary")
+    joined = write_vectors(kept, vectors.hint("shuffle_merge"))
+    assert joined.where("embedding = 'y'").count() == 34 and joined.count() == 100
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    run = joined._jdf.queryExecution().executedPlan().toString()
+    # Only the vectors are dealt by key.
+    assert "Bucketed: true" in run and run.count("Exchange hashpartitioning(uri") <= 2, run
+    assert spark.catalog.listTables() == [t for t in spark.catalog.listTables() if not t.name.startswith("feedloom_")]

@@ -111,3 +111,11 @@ def test_no_step_takes_an_unbounded_group(spark, folder):
     for plan in (number_rows(df, ("created_date", "created_hour"), "uri"), newest_rows(df, 100)):
         text = plan._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_the_newest_rows_are_found_in_one_pass(spark, folder):
+    spark.createDataFrame(rows(), SCHEMA).write.parquet(folder + "/posts")
+    plan = newest_rows(spark.read.parquet(folder + "/posts"), 100)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    # Rows past the limit go before they are shuffled.
+    assert plan.count("WindowGroupLimit") == 2 and "TakeOrderedAndProject(limit=100" in plan

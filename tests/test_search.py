@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from feedloom.operators.encode import encode_texts, hashed_words
 from feedloom.operators.search import (
     nearest,
-    nearest_by_blocks,
     search_text,
     search_vector,
     vector_shape,
@@ -47,14 +46,11 @@ def test_one_query_equals_brute_force(spark):
     assert got[0] == ("u00003", 0.0)
 
 
-@pytest.mark.parametrize("way", ["sent", "blocks"])
-def test_many_queries_equal_brute_force(spark, way):
-    matrix, asked = vectors(700), vectors(60, seed=1)
+@pytest.mark.parametrize("block_bytes", [1 << 20, 13 * 32, 1])
+def test_many_queries_equal_brute_force(spark, block_bytes):
+    matrix, asked = vectors(700), vectors(60 if block_bytes > 1 else 3, seed=1)
     df, q = corpus(spark, matrix), queries(spark, asked)
-    if way == "sent":
-        got = nearest(df, q, 7)
-    else:
-        got = nearest_by_blocks(df, q, 7, block_queries=13, shard_rows=90)
+    got = nearest(df, q, 7, block_bytes=block_bytes)
     answers = {}
     for r in got.orderBy("query_id", "rank").collect():
         answers.setdefault(r.query_id, []).append((r.uri, round(r.distance, 6)))
@@ -80,13 +76,6 @@ def test_vectors_far_from_the_origin_are_ranked_by_differences(spark):
     assert got == [u for u, _ in expected(matrix, matrix[9], 6)]
 
 
-def test_a_query_set_too_big_to_send_takes_the_other_way(spark):
-    matrix, asked = vectors(200), vectors(30, seed=1)
-    df, q = corpus(spark, matrix), queries(spark, asked)
-    small = nearest(df, q, 3).orderBy("query_id", "rank").collect()
-    assert nearest(df, q, 3, max_queries=29).orderBy("query_id", "rank").collect() == small
-
-
 def test_copies_tie_by_key(spark):
     matrix = vectors(300)
     matrix[50:150] = matrix[7]  # a third of all rows are copies
@@ -102,7 +91,7 @@ def test_many_copies_for_many_queries(spark):
     asked[::2] = matrix[0]
     df, q = corpus(spark, matrix), queries(spark, asked)
     wanted = {i: expected(matrix, v, 4) for i, v in enumerate(asked)}
-    for got in (nearest(df, q, 4), nearest_by_blocks(df, q, 4, block_queries=9, shard_rows=100)):
+    for got in (nearest(df, q, 4), nearest(df, q, 4, block_bytes=9 * 32)):
         answers = {}
         for r in got.orderBy("query_id", "rank").collect():
             answers.setdefault(r.query_id, []).append((r.uri, round(r.distance, 6)))
@@ -113,14 +102,14 @@ def test_fewer_rows_than_asked_for(spark):
     matrix = vectors(3)
     assert len(found(search_vector(corpus(spark, matrix), matrix[0].tolist(), 5))) == 3
     assert nearest(corpus(spark, matrix), queries(spark, matrix), 5).count() == 9
-    assert nearest_by_blocks(corpus(spark, matrix), queries(spark, matrix), 5).count() == 9
+    assert nearest(corpus(spark, matrix), queries(spark, matrix), 5, block_bytes=32).count() == 9
 
 
 def test_nothing_to_search(spark):
     matrix = vectors(4)
     assert nearest(corpus(spark, matrix).limit(0), queries(spark, matrix), 5).count() == 0
     assert nearest(corpus(spark, matrix), queries(spark, matrix).limit(0), 5).count() == 0
-    assert nearest_by_blocks(corpus(spark, matrix).limit(0), queries(spark, matrix), 5).count() == 0
+    assert nearest(corpus(spark, matrix).limit(0), queries(spark, matrix), 5, block_bytes=32).count() == 0
     assert search_vector(corpus(spark, matrix).limit(0), [0.0] * 8, 5).count() == 0
 
 
@@ -131,7 +120,7 @@ def test_vectors_that_do_not_fit_are_no_neighbours(spark):
     asked = queries(spark, matrix[:3]).unionByName(
         spark.createDataFrame([(9, None), (8, [])], "query_id INT, embedding ARRAY<FLOAT>")
     )
-    for got in (nearest(df, asked, 30), nearest_by_blocks(df, asked, 30, block_queries=2, shard_rows=8)):
+    for got in (nearest(df, asked, 30), nearest(df, asked, 30, block_bytes=64)):
         counts = {r.query_id: r["count"] for r in got.groupBy("query_id").count().collect()}
         assert counts == {0: 20, 1: 20, 2: 20}
     assert search_vector(df, matrix[0].tolist(), 30).count() == 20
@@ -192,6 +181,34 @@ def test_encoder_sees_whole_texts_in_batches(spark):
 def test_text_search(spark):
     texts = ["the cat sat", "a dog ran", "the cat ran", "birds"]
     df = spark.createDataFrame([(f"u{i}", t) for i, t in enumerate(texts)], "uri STRING, text STRING")
-    got = search_text(encode_texts(df), "  The cat sat\n", hashed_words(), 2).collect()
+    got = search_text(encode_texts(df, keep=["uri"]), df, "  The cat sat\n", hashed_words(), 2).collect()
     assert [(r.uri, r.text) for r in got] == [("u0", "the cat sat"), ("u2", "the cat ran")]
     assert got[0].distance == 0.0 and got[1].distance == round(got[1].distance, 4) > 0
+
+
+def test_texts_are_read_for_what_was_found(spark, folder):
+    df = spark.createDataFrame([(f"u{i}", f"word {i}") for i in range(50)], "uri STRING, text STRING")
+    df.write.parquet(folder + "/posts")
+    posts = spark.read.parquet(folder + "/posts")
+    found = search_text(encode_texts(posts, keep=["uri"]), posts, "word 7", hashed_words(), 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "PushedFilters: [In(uri" in plan
+    assert "u7" in {r.uri for r in found.collect()} and found.count() == 3
+    assert search_text(encode_texts(posts.limit(0), keep=["uri"]), posts, "x", hashed_words()).count() == 0
+
+
+def test_queries_of_a_round_bound_what_is_held(spark):
+    matrix = vectors(40)
+    sizes = []
+    broadcast = spark.sparkContext.broadcast
+
+    def seen(value):
+        sizes.append(len(value[1]))
+        return broadcast(value)
+
+    spark.sparkContext.broadcast = seen
+    try:
+        assert nearest(corpus(spark, matrix), queries(spark, matrix), 2, block_bytes=10 * 32).count() == 80
+    finally:
+        del spark.sparkContext.broadcast
+    assert len(sizes) > 2 and sum(sizes) == 40 and max(sizes) < 25
