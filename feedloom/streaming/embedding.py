@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedloom.functions.text import embed_text
-from feedloom.operators.encode import Encoder, encode_texts, hashed_words
+from feedloom.operators.encode import Encoder, encode_texts
 from feedloom.operators.legacy import legacy_view
 from feedloom.operators.merge import merge_posts
 from feedloom.operators.pending import pending_posts
@@ -53,7 +53,7 @@ def waiting_posts(spark: SparkSession, path: str, added: list) -> DataFrame:
 
 def embed_added(
     spark: SparkSession, path: str, added: list, run: str, batch: int,
-    make_encoder: Callable[[], Encoder] = hashed_words, model: str = "words", max_chars: int | None = None,
+    make_encoder: Callable[[], Encoder] | None = None, model: str = "words", max_chars: int | None = None,
 ) -> None:
     """Encode the waiting posts of the layers ``added`` and commit their vectors to the posts table."""
     log = CommitLog(spark, path)
@@ -82,7 +82,7 @@ def start_embedding(
     spark: SparkSession,
     path: str,
     checkpoint: str,
-    make_encoder: Callable[[], Encoder] = hashed_words,
+    make_encoder: Callable[[], Encoder] | None = None,
     every: str | None = "1 minute",
     model: str = "words",
 ) -> StreamingQuery:

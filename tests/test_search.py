@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.operators.encode import encode_texts, hashed_words
+from feedloom.operators.encode import encode_texts, hashed_words, word_counts, word_vectors
 from feedloom.operators.search import (
     nearest,
     search_text,
@@ -212,3 +212,17 @@ def test_queries_of_a_round_bound_what_is_held(spark):
     finally:
         del spark.sparkContext.broadcast
     assert len(sizes) > 2 and sum(sizes) == 40 and max(sizes) < 25
+
+
+def test_word_vectors_equal_the_encoder(spark):
+    texts = ["a b a", "A  B\nA", "", None, " \t\x0b\f\r\n", "ünï\u00a0x é", "w " * 3000 + "z", " ".join(f"w{i % 97}" for i in range(5000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "n INT, text STRING")
+    for dims in (1, 64, 384):
+        wanted = hashed_words(dims)([t or "" for t in texts])
+        found = df.select("n", word_vectors(F.col("text"), dims).alias("v"))
+        for row in found.collect():
+            assert np.array_equal(np.array(row.v, np.float32), wanted[row.n]), (dims, texts[row.n])
+    counts = df.select(word_counts(F.col("text"), 7).alias("c")).collect()
+    assert sum(c.n for c in counts[0].c) == 3 and counts[2].c == [] and counts[3].c is None
+    plan = encode_texts(df, keep=["n"])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapInArrow" not in plan
