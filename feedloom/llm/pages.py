@@ -12,8 +12,9 @@ A class or id names a page part if all its words do (``sidebar``, ``site-footer`
 main element with more text than stands outside of named parts; only comments beside another article do.
 
 Paragraphs and headings of an article are never taken for a template, as copies of an article repeat them. Other
-parts of an article are only if the pages that share them keep half of their text without them, and if the longest and
-the second longest line of what they keep differ in as many pages as a template needs.
+parts of an article are only if the pages that share them keep half of their text without them (a quarter where no article or
+main element is marked, and the whole body counts), and if the longest and the second longest line of what they keep differ in as many
+pages as a template needs. The reader of the markup goes through a page once, whatever is left open in it.
 
 Edge cases: a null or empty html has an empty text; broken markup is read as far as it goes (missing
 end tags are implied, stray ones ignored); a null url is a host of its own; repeated rows get equal results and
@@ -66,7 +67,7 @@ PLAIN = frozenset(
     "row secondary section site slot text thread title top unit web wrap wrapper".split())
 
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>", re.S)
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 PARTS = re.compile(r"[_-]+")
 
@@ -90,15 +91,22 @@ class Page:
         self.blocks: list[list[tuple[int, str]]] = [[]]
         self._parts: list[list[str]] = [[]]
         self._stack = [0]
-        at, end = 0, len(source)
+        # Depths of the open elements by tag, and of those that hold blocks, so that no end tag walks the stack.
+        self._depths: dict[str, list[int]] = {}
+        self._blocks_at, self._holders_at = [0], [0]
+        at, end, last = 0, len(source), source.rfind(">")
         while at < end:
-            m = MARKUP.search(source, at)
+            # Behind the last end of a tag there is text, or a comment that never ends.
+            m = MARKUP.search(source, at, last + 1) if at <= last else None
             if m is None:
-                self._text(source[at:])
+                comment = source.find("<!--", at)
+                self._text(source[at:] if comment < 0 else source[at:comment])
                 break
             if m.start() > at:
                 self._text(source[at : m.start()])
             at = m.end()
+            if source.startswith("<!--", m.start()) and not m[0].endswith("-->"):
+                break
             if m[2] is None:
                 continue
             tag = m[2].lower()
@@ -163,20 +171,13 @@ class Page:
             return
         if tag not in INLINE:
             self._break()
-            for i in range(len(self._stack) - 1, 0, -1):
-                # A block ends an open paragraph, an item the item before it.
-                over = self.tag[self._stack[i]]
-                if over == "p" or over in CLOSES.get(tag, ()):
-                    while len(self._stack) > i:
-                        self._pop()
-                    break
-                if over in HOLDS:
-                    break
+            # A block ends an open paragraph, an item the item before it.
+            self._end(max(self._deepest(x) for x in ("p", *CLOSES.get(tag, ()))), self._holders_at[-1])
         named = {}
         if attributes:
             for m in ATTRIBUTE.finditer(attributes):
                 named.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
-        inside = any(self.tag[x] in ("article", "main") for x in self._stack)
+        inside = self._deepest("article") > 0 or self._deepest("main") > 0
         drop = tag in DROPPED or tag == "header" and not inside or named.get("role", "").lower() in ROLES
         called = 0
         if tag not in ("html", "body", "main"):
@@ -190,11 +191,32 @@ class Page:
         self.name.append(f"<{tag} {named.get('class', '')} {named.get('id', '')}>")
         self.hash.append(0)
         self._parts.append([])
+        depth, kind = len(self._stack), self.tag[-1]
+        self._depths.setdefault(kind, []).append(depth)
+        if kind not in INLINE:
+            self._blocks_at.append(depth)
+        if kind in HOLDS:
+            self._holders_at.append(depth)
         self._stack.append(len(self.tag) - 1)
 
+    def _deepest(self, tag: str) -> int:
+        """Depth of the innermost open element of a tag; 0 for none."""
+        depths = self._depths.get(tag)
+        return depths[-1] if depths else 0
+
+    def _end(self, depth: int, above: int) -> None:
+        """End the element at a depth and all in it, if it lies deeper than ``above``."""
+        if depth > above:
+            while len(self._stack) > depth:
+                self._pop()
+
     def _pop(self) -> None:
         node = self._stack.pop()
+        self._depths[self.tag[node]].pop()
+        if self.tag[node] in HOLDS:
+            self._holders_at.pop()
         if self.tag[node] not in INLINE:
+            self._blocks_at.pop()
             self._break()
         parts = self._parts[node]
         if parts:
@@ -206,13 +228,8 @@ class Page:
     def _close(self, tag: str) -> None:
         if tag not in INLINE:
             self._break()
-        for i in range(len(self._stack) - 1, 0, -1):
-            if self.tag[self._stack[i]] == tag:
-                while len(self._stack) > i:
-                    self._pop()
-                return
-            if tag in INLINE and self.tag[self._stack[i]] not in INLINE:
-                return
+        # A stray end tag of text inside a block ends nothing around the block.
+        self._end(self._deepest(tag), self._blocks_at[-1] if tag in INLINE else 0)
 
     def scope(self) -> list[bool]:
         """For every element, whether the main text lies in it or around it."""
@@ -239,18 +256,21 @@ class Page:
         return "\n".join(lines)
 
     def candidates(self) -> list[tuple[int, int, bool]]:
-        """(element, hash, whether inside the article) of the containers that may be part of a template."""
+        """(element, hash, whether inside the main text's scope) of the containers that may be part of a template."""
         held, whole = self.scope(), "article" not in self.tag and "main" not in self.tag
         return [
-            (node, self.hash[node], held[node] and not held[0]) for node in range(1, len(self.tag))
+            (node, self.hash[node], held[node]) for node in range(1, len(self.tag))
             if self.hash[node] and self.tag[node] not in INLINE and self.tag[node] not in ("html", "body", "head", "article", "main", "title")
             and (whole or not held[node] or self.tag[node] not in PROSE or self.called[node])
         ]
 
     def rest(self, removed) -> tuple[int, int] | None:
-        """Hashes of the longest and second longest line without some elements; None if less than half the text is left."""
-        left = self.text(removed)
-        if not left or 2 * len(left) < len(self.text()):
+        """Hashes of the longest and second longest line without some elements.
+
+        None if less than half the text is left, or less than a quarter where nothing marks the article.
+        """
+        left, marked = self.text(removed), not self.scope()[0]
+        if not left or (2 if marked else 4) * len(left) < len(self.text()):
             return None
         lines = sorted(left.split("\n"), key=len, reverse=True)[:2]
         hashes = [xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) >> 1 for x in lines]

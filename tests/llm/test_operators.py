@@ -360,6 +360,88 @@ def test_templates_by_share_of_host(spark):
     assert all(text[500 + i].startswith(f"n{i}\nw{i}x0") for i in range(5))
 
 
+def plain_page_text(source, removed=()):
+    return pages.Page(source).text(removed)
+
+
+def test_a_story_shared_by_pages_without_article_stays(spark):
+    story = "".join(f"<p>Sentence number {i} of a story that all of these pages tell.</p>" for i in range(5))
+    rows = [(i, f"http://h/{i}", f"<body><div class=c>{story}</div><div>n{i}</div></body>") for i in range(8)]
+    found = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r.text.count("Sentence") == 5 and r.text.endswith(f"n{r.page_id}") for r in found)
+    # A menu beside stories of their own goes, with or without an article around the story.
+    menu = "<div class=x><div>Home</div><div>About us</div><div>Contact</div></div>"
+    for around in ("{}", "<article>{}</article>", "<main>{}</main>"):
+        own = lambda i: "".join(f"<p>Page {i} says its own sentence {j * i + j}, which is long enough.</p>" for j in range(4))
+        rows = [(i, f"http://g/{i}", "<body>" + around.format(menu + own(i)) + "</body>") for i in range(1, 9)]
+        found = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        assert all("About" not in r.text and r.text.count("own sentence") == 4 for r in found), around
+
+
+def plain_templates(rows, share=pages.SHARE, least=pages.MIN_PAGES):
+    """Texts with the template count done in plain loops."""
+    read = {page_id: (url.split("/")[2], pages.Page(source)) for page_id, url, source in rows}
+    contents = {}
+    for host, page in read.values():
+        contents.setdefault(host, set()).add(page.text())
+    needed = {host: max(least, math.ceil(len(found) * share)) for host, found in contents.items()}
+    shared = {}
+    for host, page in read.values():
+        for _, subtree, inside in page.candidates():
+            shared.setdefault((host, subtree, inside), set()).add(page.text())
+    often = {key for key, found in shared.items() if len(found) >= needed[key[0]]}
+    lines = {}
+    for host, page in read.values():
+        own = [(node, subtree) for node, subtree, inside in page.candidates() if inside and (host, subtree, True) in often]
+        left = page.rest({node for node, _ in own}) if own else None
+        if left:
+            for _, subtree in own:
+                for i in (0, 1):
+                    lines.setdefault((host, subtree, i), set()).add(left[i])
+    template = {key for key in often if not key[2]} | {
+        key for key in often if key[2] and all(len(lines.get((key[0], key[1], i), ())) >= needed[key[0]] for i in (0, 1))
+    }
+    return {
+        page_id: page.text({node for node, subtree, inside in page.candidates() if (host, subtree, inside) in template})
+        for page_id, (host, page) in read.items()
+    }
+
+
+def test_template_count_against_plain_loops(spark):
+    rng = random.Random(5)
+    parts = [f"<div class=a{i}><div>part {i}</div><ul><li>item {i}</li><li>more</li></ul></div>" for i in range(6)]
+    rows = []
+    for i in range(60):
+        own = "".join(f"<p>{rng.random()} words of the page {rng.randint(0, 9)}.</p>" for _ in range(rng.randint(0, 4)))
+        body = "".join(rng.sample(parts, rng.randint(0, 4)))
+        kind = rng.choice(("{0}{1}", "<article>{0}{1}</article>", "{0}<main>{1}</main>", "<div>{1}</div>{0}"))
+        rows.append((i, f"http://host{i % 3}/{i}", f"<html><body>{kind.format(body, own)}</body></html>"))
+    found = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    wanted = plain_templates(rows)
+    assert {r.page_id: r.text for r in found} == wanted
+    assert sum(wanted[i] != pages.Page(source).text() for i, _, source in rows) > 5
+
+
+def test_broken_markup_is_read_in_one_pass():
+    import time
+
+    broken = [
+        "<font>" * 250_000, "<b>x" * 200_000 + "</div>" * 100_000, "<div>" + "<b>" * 200_000 + "</i>" * 200_000,
+        "<p><font>" * 120_000, "<a " * 400_000, '<a ">"' * 200_000, "<i><div>" + "<b>y" * 100_000 + "</i>" * 100_000,
+        "<li><em>" * 100_000, "<td>" * 200_000, "<!--" * 300_000, "<" * 1_000_000, "<article>" * 100_000 + "end",
+    ]
+    for source in broken:
+        start = time.perf_counter()
+        pages.Page(source).text()
+        assert time.perf_counter() - start < 8, source[:20]
+    # What stood open or stray before is read as it was.
+    assert plain_page_text("<p>a<p>b<b>c</p>d</i>e") == "a\nbc\nde"
+    assert plain_page_text("<ul><li>a<li>b<div>c<li>d</div>e</ul>f") == "a\nb\nc\nd\ne\nf"
+    assert plain_page_text("<div>a<b>b<div>c</b>d</div>e</div>f") == "ab\ncd\ne\nf"
+    assert plain_page_text("a <!-- b > c") == "a" and plain_page_text("a < b > c <d") == "a < b > c <d"
+    assert plain_page_text('<p title="x > y < z">a</p>') == "a"
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_scores_against_counts(spark, order):
     rows = [(i, t) for i, t in enumerate(["a b a b c", "A b", "", None, "c c c a b d", "b a z"])]
