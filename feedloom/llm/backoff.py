@@ -2,16 +2,17 @@
 
 Training texts give counts of words and of n-grams up to ``order``. The probability of a word after a history is smoothed
 towards the shorter history, ``(c(h w) + k P(w | h')) / (c(h) + k)``, down to add-one word probabilities; it sums to
-one over the known words and one unknown. As an automaton: a history is a state, an n-gram seen in training is an arc
-with its log probability, and every state has a failure arc with weight ``log(k / (c(h) + k))`` to the state of
-the shorter history. No table of states is built and none is carried along: the history of every position is hashed, and the
-weights of its failure arcs and of the arc it takes are looked up for all positions of a lot at once, order by order.
+one over the known words and one unknown. As an automaton: a history seen in training is a state, an n-gram seen in
+training is an arc from the state of its history, with its log probability, to the state of the longest history it ends
+with; every state has a failure arc with weight ``log(k / (c(h) + k))`` to the state of the shorter history. The empty
+history has an arc for every word. A text is scored in one traversal from left to right that carries the state: at each
+word it follows failure arcs until the state has an arc for the word, takes it, and adds up the weights.
 
 The automaton grows with the corpus, so no task holds all of it. Texts are read once into lots of about ``LOT_WORDS``
 words, in which words are numbers of a local list. A lot asks for the distinct n-grams it contains, with its own
 counts; requests meet in parts of the hash range, where the counts of all lots add up, and the totals go back in
-the order of the request. So a lot has just the states and arcs its texts can reach, with counts over the whole
-corpus. An n-gram that all texts share is one number per lot and part; no key gathers rows of the corpus.
+the order of the request. So a lot builds just the states and arcs its texts can reach, with counts over the whole
+corpus, and walks its texts. An n-gram that all texts share is one number per lot and part; no key gathers rows of the corpus.
 
 Edge cases: a null or empty text is its end mark only; a null id is neither held out nor left out of
 training; without training texts every count is 0; repeated rows count as often as they occur; an empty table gives an
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import lower_words, mix, run_batches, stored
 
-LOT_WORDS = 3 << 19
+LOT_WORDS = 1 << 20
 PART_WORDS = 1 << 21
 ORDER = 2
 STRENGTH = 4.0  # k
@@ -165,6 +166,80 @@ def _totals(rows: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
+class Automaton:
+    """States, arcs and failure arcs that the texts of a lot can reach.
+
+    State 0 is the empty history. ``arcs`` maps ``state * words + word`` to an arc; ``weights`` and ``targets`` belong to
+    arcs, ``fail_weights``, ``fail_targets`` and ``levels`` (tokens of the history) to states; ``start`` is the state
+    before a text.
+    """
+
+    def __init__(self, lot: Lot, count: dict[int, np.ndarray], order: int, strength: float, base: np.ndarray):
+        size = len(lot.tokens)
+        names, self.word = np.unique(lot.tokens, return_inverse=True)
+        self.words = len(names)
+        # The state of each position's history of n tokens; -1 where training has not seen it.
+        state = [np.zeros(size, np.int64)]
+        fail_weights, fail_targets = [np.zeros(1)], [np.zeros(1, np.int64)]
+        known, levels = 1, [np.zeros(1, np.int64)]
+        for n in range(1, order):
+            _, first, which = np.unique(lot.history(n), return_index=True, return_inverse=True)
+            seen = count[order + n][first]
+            number = np.where(seen > 0, np.cumsum(seen > 0) - 1 + known, -1)
+            state.append(number[which])
+            fail_weights.append(np.log10(strength / (seen[seen > 0] + strength)))
+            fail_targets.append(state[n - 1][first[seen > 0]])
+            levels.append(np.full(int((seen > 0).sum()), n))
+            known += len(levels[-1])
+        self.levels = np.concatenate(levels)
+        self.fail_weights, self.fail_targets = np.concatenate(fail_weights), np.concatenate(fail_targets)
+        # Behind a token its text goes on in the next position, with the longest history seen of at most n tokens.
+        longest = [state[0]]
+        for n in range(1, order):
+            longest.append(np.where(state[n] >= 0, state[n], longest[-1]))
+        after = [np.append(found[1:], 0) for found in longest]
+        keys, weights, targets = [], [], []
+        weight = base
+        for n in range(1, order + 1):
+            if n > 1:
+                total = count[order + n - 1] + strength
+                arc = np.log10(np.maximum(count[n] + strength * 10.0**weight, 1e-300) / total)
+                taken = count[n] > 0
+                weight = np.where(taken, arc, weight + np.log10(strength / total))
+            else:
+                taken = np.ones(size, bool)
+            key = state[n - 1][taken] * self.words + self.word[taken]
+            every, first = np.unique(key, return_index=True)
+            keys.append(every)
+            weights.append(weight[taken][first])
+            targets.append(after[min(n, order - 1)][taken][first])
+        self.keys = np.concatenate(keys)
+        self.weights, self.targets = np.concatenate(weights), np.concatenate(targets)
+        self.start = int(longest[-1][0]) if size else 0
+
+    def walk(self, starts: np.ndarray, lengths: np.ndarray, path: list[int] | None = None) -> np.ndarray:
+        """Log probability of each text; ``path`` gets the state in which each word was read."""
+        arcs = dict(zip(self.keys.tolist(), range(len(self.keys))))
+        weights, targets = self.weights.tolist(), self.targets.tolist()
+        fail_weights, fail_targets = self.fail_weights.tolist(), self.fail_targets.tolist()
+        words, number, get = self.words, self.word.tolist(), arcs.get
+        scores = []
+        for start, length in zip(starts.tolist(), lengths.tolist()):
+            state, score = self.start, 0.0
+            for word in number[start : start + length]:
+                arc = get(state * words + word)
+                while arc is None:
+                    score += fail_weights[state]
+                    state = fail_targets[state]
+                    arc = get(state * words + word)
+                if path is not None:
+                    path.append(state)
+                score += weights[arc]
+                state = targets[arc]
+            scores.append(score)
+        return np.array(scores, np.float64)
+
+
 def _score(order: int, strength: float, train_tokens: int, vocabulary: int):
     def score(lots: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -178,18 +253,12 @@ def _score(order: int, strength: float, train_tokens: int, vocabulary: int):
                     raise ValueError(f"lot {row['lot']}: {len(totals)} answers for {len(every)} keys")
                 count[kind] = totals[which].astype(np.float64)
             base = np.log10((count[1] + 1) / (train_tokens + vocabulary + 1))
-            # Failure arcs to the shorter histories add up; the arc is taken in the longest state that has it.
-            weight = base.copy()
-            for n in range(2, order + 1):
-                state = count[order + n - 1] + strength
-                failed = weight + np.log10(strength / state)
-                arc = np.log10(np.maximum(count[n] + strength * 10.0**weight, 1e-300) / state)
-                weight = np.where(count[n] > 0, arc, failed)
+            scores = Automaton(lot, count, order, strength, base).walk(lot.starts, lot.lengths)
             add = lambda x: np.add.reduceat(x, lot.starts)
             out.append(pd.DataFrame({
                 "doc_id": pd.array(list(row["ids"]), "Int64"), "held_out": lot.held, "n_tokens": lot.lengths,
                 "n_known": add((count[1] > 0).astype(np.int64)), "train_tokens": train_tokens,
-                "base_score": add(base), "score": add(weight)}))
+                "base_score": add(base), "score": scores}))
         return pd.concat(out, ignore_index=True)
 
     return score

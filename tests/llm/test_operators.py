@@ -472,6 +472,41 @@ def test_scores_against_counts(spark, order):
         assert r.score == pytest.approx(sum(math.log10(p(w, x, order - 1)) for x in at))
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_states_of_the_walk(monkeypatch, order):
+    """Every word is read in the state of the longest history behind which training has seen it."""
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(backoff, "TaskContext", Task)
+    rng = random.Random(order)
+    texts = [" ".join(rng.choices("abc", k=rng.randint(0, 12))) for _ in range(40)]
+    held = [i % 3 == 0 for i in range(40)]
+    batch = {"doc_id": list(range(40)), "held_out": held, "text": texts}
+    (found,) = backoff._lots(1 << 30)(iter([batch]))
+    lot, count = backoff.Lot({k: v[0] for k, v in found.items()}), {}
+    for kind, keys in lot.keys(order).items():
+        every, which = np.unique(keys, return_inverse=True)
+        count[kind] = np.bincount(which[lot.train], minlength=len(every))[which].astype(float)
+    base = np.log10((count[1] + 1) / (count[1].sum() + 1))
+    automaton, path = backoff.Automaton(lot, count, order, 4.0, base), []
+    automaton.walk(lot.starts, lot.lengths, path)
+    words = [["<"] * (order - 1) + t.split() + [">"] for t in texts]
+    seen = {
+        tuple(w[at - n : at + 1]) for w, h in zip(words, held) if not h for at in range(order - 1, len(w)) for n in range(order)
+    }
+    wanted = [
+        max(n for n in range(order) if n == 0 or tuple(w[at - n : at + 1]) in seen)
+        for w in words for at in range(order - 1, len(w))
+    ]
+    assert automaton.levels[path].tolist() == wanted
+    # One state per history that training has seen followed by a word, and one for none.
+    assert len(automaton.levels) == 1 + len({g[:-1] for g in seen if len(g) > 1} & {
+        tuple(w[at - n : at]) for w in words for at in range(order - 1, len(w)) for n in range(1, order)})
+    assert (automaton.levels[automaton.fail_targets] == np.maximum(automaton.levels - 1, 0)).all()
+
+
 def test_odd_rows_and_empty_tables(spark, odd, empty):
     import corpus_pipeline
     from pyspark.sql import functions as F
