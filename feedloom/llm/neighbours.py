@@ -2,23 +2,26 @@
 
 Vectors are projected to ``DIMS`` numbers by a seeded matrix of normal (2-stable) entries. For a vector at distance d the
 squared projected distance by d^2 is chi-square distributed with ``DIMS`` degrees of freedom. The
-rows of a task form shards with a kd-tree over the projections. A query visits leaves in the order of
-their projected distance and verifies the members by their exact distance, until the chance that a
-vector beyond the next leaf is nearer than the k-th found, by the chi-square distribution, is
-below ``1 - sure``. So each true neighbour is found with at least that chance, in every shard by itself.
+rows of a task form shards with a kd-tree over the projections. A query descends the tree from the root with a heap, nearest
+box first, and takes the members of a leaf in the order of their projected distance. Each next one is verified by its exact
+distance until the chance that one this far off in projection is nearer than the k-th found is below
+``1 - sure`` by the chi-square distribution; then neither the rest of the leaf nor any farther box is looked at. So each
+true neighbour is found with at least that chance, in every shard by itself.
 
 The corpus stays where it lies. Queries go out in blocks of at most ``BLOCK_BYTES``, one block after
 another; every shard gives back at most k rows per query, and these are merged by query.
 
 Edge cases: vectors that are null, zero, empty, or hold null or non-finite components take no part; vectors of
 different lengths are compared only with their own length; a query with fewer candidates gets all of them; ties go to the smaller
-id; a repeated id is one row per occurrence, and no row with the query's own id is a candidate; an empty table gives an
+id; a repeated id is one row per occurrence, and no row with the query's own id is a candidate; query rows of one id with
+different vectors are queries of their own, each with its ranks, and equal ones are one query; an empty table gives an
 empty result. Equal vectors of a shard are one point with their ids in order, so copies, however many, share a leaf and are
 answered by the smallest ids.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 
 import numpy as np
@@ -31,9 +34,10 @@ from feedloom.llm.common import chi_square_quantile, stored
 DIMS = 8
 SURE = 0.97
 LEAF = 256
+STEP = 16
 SHARD_ROWS = 1 << 15
 BLOCK_BYTES = 16 << 20
-SCHEMA = "query_id long, vec_id long, score double"
+SCHEMA = "query_id long, place long, vec_id long, score double"
 
 
 def projection(length: int, dims: int, seed: int = 11) -> np.ndarray:
@@ -41,27 +45,35 @@ def projection(length: int, dims: int, seed: int = 11) -> np.ndarray:
 
 
 class Tree:
-    """Leaves of a kd-tree: cut at the median of the widest side until a leaf is small."""
+    """A kd-tree: nodes are cut at the median of their widest side until a leaf is small.
+
+    Node 0 is the root; ``children`` of a leaf are empty and ``rows`` are its points.
+    """
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
-        self.leaves, todo = [], [np.arange(len(points))]
+        self.low, self.high, self.children, self.rows = [], [], [], []
+        todo = [(np.arange(len(points)), -1)] if len(points) else []
         while todo:
-            rows = todo.pop()
-            own = points[rows]
-            spread = own.max(0) - own.min(0)
-            if len(rows) <= leaf or not spread.max():
-                # Different vectors with equal projections cannot be cut by value, but a leaf stays small.
-                self.leaves += [rows[i : i + leaf] for i in range(0, len(rows), leaf)]
-                continue
-            side, half = int(spread.argmax()), len(rows) // 2
-            order = np.argpartition(own[:, side], half)
-            todo += [rows[order[:half]], rows[order[half:]]]
-        self.low = np.array([points[x].min(0) for x in self.leaves])
-        self.high = np.array([points[x].max(0) for x in self.leaves])
-
-    def distances(self, point: np.ndarray) -> np.ndarray:
-        """Least squared distance of a point to each leaf's box."""
-        return np.square(np.maximum(np.maximum(self.low - point, point - self.high), 0)).sum(1)
+            rows, parent = todo.pop()
+            own, node = points[rows], len(self.rows)
+            if parent >= 0:
+                self.children[parent].append(node)
+            low, high = own.min(0), own.max(0)
+            self.low.append(low)
+            self.high.append(high)
+            self.children.append([])
+            self.rows.append(rows)
+            if len(rows) > leaf:
+                # Different vectors with equal projections are cut anywhere, so a leaf stays small.
+                side, half = int((high - low).argmax()), len(rows) // 2
+                order = np.argpartition(own[:, side], half)
+                self.rows[node] = rows[:0]
+                todo += [(rows[order[:half]], node), (rows[order[half:]], node)]
+        self.low, self.high = np.array(self.low), np.array(self.high)
+
+    def boxes(self, point: np.ndarray, nodes: list[int]) -> np.ndarray:
+        """Least squared distance of a point to the boxes of some nodes."""
+        return np.square(np.maximum(np.maximum(self.low[nodes] - point, point - self.high[nodes]), 0)).sum(1)
 
 
 class Points:
@@ -90,33 +102,57 @@ class Points:
         return np.concatenate(d), np.concatenate(i)
 
 
-def search_shard(ids, vectors, queries, query_ids, k: int, sure: float, dims: int):
-    """(query, id, distance) of up to k verified neighbours of each query within one shard."""
+def search_shard(ids, vectors, queries, query_ids, k: int, sure: float, dims: int, verified: list | None = None):
+    """(place of the query, id, distance) of up to k verified neighbours of each query within one shard.
+
+    ``verified`` gets the share of the shard's vectors that each query verified.
+    """
     matrix = projection(vectors.shape[1], dims)
     held = Points(ids, vectors)
-    tree, projected = Tree(held.vectors @ matrix), queries @ matrix
+    points, projected = held.vectors @ matrix, queries @ matrix
+    tree = Tree(points)
     limit = chi_square_quantile(sure, dims)
     # Two projections of one vector can differ by rounding: up to this squared distance, by the query's squared length.
     rounding = np.square(4 * np.finfo(np.float64).eps * len(matrix)) * np.square(matrix).sum()
     out = []
-    for query, name, point in zip(queries, query_ids, projected):
-        away, margin = tree.distances(point), rounding * np.square(query).sum()
+    for place, (query, name, point) in enumerate(zip(queries, query_ids, projected)):
+        margin, reach, count = rounding * np.square(query).sum(), np.inf, 0
         best_d, best_i = np.empty(0), np.empty(0, np.int64)
-        for leaf in np.argsort(away, kind="stable"):
-            if len(best_d) == k and away[leaf] > max(limit * best_d[-1], margin):
+        heap = [(0.0, 0)] if len(points) else []
+        while heap:
+            away, node = heapq.heappop(heap)
+            if away > reach:
                 break
-            rows = tree.leaves[leaf]
-            apart = np.square(held.vectors[rows] - query).sum(1)
-            if len(best_d) == k:
-                near = apart <= best_d[-1]
-                rows, apart = rows[near], apart[near]
-            if not len(rows):
+            if tree.children[node]:
+                for near, child in zip(tree.boxes(point, tree.children[node]).tolist(), tree.children[node]):
+                    if near <= reach:
+                        heapq.heappush(heap, (near, child))
                 continue
-            apart, others = held.others(rows, apart, name, k)
-            d, i = np.append(best_d, apart), np.append(best_i, others)
-            order = np.lexsort((i, d))[:k]
-            best_d, best_i = d[order], i[order]
-        out += [(name, int(i), math.sqrt(d)) for i, d in zip(best_i, best_d)]
+            rows = tree.rows[node]
+            apart = np.square(points[rows] - point).sum(1)
+            order = np.argsort(apart, kind="stable")
+            rows, apart = rows[order], apart[order]
+            at = 0
+            while at < len(rows) and apart[at] <= reach:
+                # The next nearest in projection, a few at a time.
+                next_ = rows[at : min(at + STEP, int(np.searchsorted(apart, reach, "right")))]
+                at += len(next_)
+                count += len(next_)
+                exact = np.square(held.vectors[next_] - query).sum(1)
+                if len(best_d) == k:
+                    near = exact <= best_d[-1]
+                    next_, exact = next_[near], exact[near]
+                if not len(next_):
+                    continue
+                exact, others = held.others(next_, exact, name, k)
+                d, i = np.append(best_d, exact), np.append(best_i, others)
+                order = np.lexsort((i, d))[:k]
+                best_d, best_i = d[order], i[order]
+                if len(best_d) == k:
+                    reach = max(limit * best_d[-1], margin)
+        if verified is not None:
+            verified.append(count / max(len(points), 1))
+        out += [(place, int(i), math.sqrt(d)) for i, d in zip(best_i, best_d)]
     return out
 
 
@@ -139,20 +175,24 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, sure: float = SURE
     for block in range(blocks):
         own = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).toPandas()
         sent = spark.sparkContext.broadcast({
-            length: (part["vec_id"].to_numpy(np.int64), np.array(part["embedding"].tolist(), np.float64))
-            for length, part in own.sort_values("vec_id").groupby("length")})
+            length: (part["vec_id"].to_numpy(np.int64), np.array(part["embedding"].tolist(), np.float64), part.index.to_numpy())
+            for length, part in own.groupby("length")})
 
         def rows(batches, sent=sent):
             waiting: dict[int, list] = {}
 
             def search(length):
-                names, queries = sent.value[length]
+                names, queries, places = sent.value[length]
                 parts = waiting.pop(length)
                 ids, matrix = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
                 hits = search_shard(ids, matrix, queries, names, k, sure, dims)
+                asked = np.array([x[0] for x in hits], np.int64)
                 return pa.RecordBatch.from_arrays(
-                    [pa.array([x[j] for x in hits], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.float64()))],
-                    names=["query_id", "vec_id", "score"])
+                    [
+                        pa.array(names[asked]), pa.array(places[asked]), pa.array([x[1] for x in hits], pa.int64()),
+                        pa.array([x[2] for x in hits], pa.float64()),
+                    ],
+                    names=["query_id", "place", "vec_id", "score"])
 
             for batch in batches:
                 ids, lists = batch.column("vec_id").to_numpy(), batch.column("embedding")
@@ -167,8 +207,9 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, sure: float = SURE
             for length in list(waiting):
                 yield search(length)
 
+        # The place in the block tells queries of one id apart; they are in one block.
         hits = sound.mapInArrow(rows, SCHEMA)
         hits = stored(hits, "hits") if blocks > 1 else hits
         found = hits if found is None else found.union(hits)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "place").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

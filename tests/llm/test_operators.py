@@ -203,6 +203,32 @@ def test_neighbours_of_many_copies(spark):
             assert got == [(n, i, 0.0) for n, i in enumerate([x for x in wanted if x != query][:10], 1)]
 
 
+@pytest.mark.parametrize("count, clustered", [(2000, False), (30_000, True)])
+def test_neighbours_verify_a_part(count, clustered):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(count, 64))
+    if clustered:
+        vectors = rng.normal(size=(300, 64))[rng.integers(0, 300, count)] * 3 + vectors * 0.3
+    ids, asked, share = np.arange(count), np.arange(0, count, count // 50), []
+    found = neighbours.search_shard(ids, vectors, vectors[asked], asked, 10, neighbours.SURE, neighbours.DIMS, share)
+    hits = 0
+    for place, query in enumerate(asked):
+        apart = np.square(vectors - vectors[query]).sum(1)
+        apart[query] = np.inf
+        hits += len(set(np.argsort(apart)[:10].tolist()) & {i for p, i, _ in found if p == place})
+    print(f"{count} vectors: recall {hits / len(asked) / 10}, verified {np.mean(share)}")
+    assert hits >= 0.93 * 10 * len(asked) and np.mean(share) < (0.2 if clustered else 0.95)
+
+
+def test_queries_of_one_id(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 9.0]), (0, [1.0, 0.0]), (0, [5.0]), (1, [1.0, 1.0]), (2, [0.0, 8.0]), (3, [4.0]), (4, [7.0])]
+    found = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 0, k=2)
+    assert sorted((r["rank"], r.vec_id, round(r.score, 6)) for r in found.collect()) == sorted([
+        (1, 1, 1.0), (2, 2, round(65**0.5, 6)), (1, 2, 1.0), (2, 1, round(65**0.5, 6)), (1, 3, 1.0), (2, 4, 2.0)])
+
+
 def test_targets_and_knapsack(spark, docs):
     mixed = budget.mix(docs).collect()
     size = {}
