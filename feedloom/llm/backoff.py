@@ -36,6 +36,7 @@ LOT_WORDS = 1 << 20
 PART_WORDS = 1 << 21
 ORDER = 2
 STRENGTH = 4.0  # k
+SIDE_BY_SIDE = 32  # texts that are worth a step together
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line feed
 START = np.uint64(xxhash.xxh3_64_intdigest(b"\n\n"))
 
@@ -94,7 +95,8 @@ class Lot:
         self.lengths = np.asarray(row["lengths"], np.int64)
         self.held = np.asarray([bool(x) for x in row["held"]])
         words = np.cumsum(_unpacked(row["words"], np.uint64), dtype=np.uint64)
-        self.tokens = words[_unpacked(row["tokens"], np.uint32)]
+        self.word, self.words = _unpacked(row["tokens"], np.uint32).astype(np.int64), len(words)
+        self.tokens = words[self.word]
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.train = np.repeat(~self.held, self.lengths)
         self.inside = np.arange(len(self.tokens)) - np.repeat(self.starts, self.lengths)
@@ -166,99 +168,139 @@ def _totals(rows: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
+class Grams:
+    """Distinct keys of a kind in a lot: their first place, the key of each place, and training counts."""
+
+    def __init__(self, keys: np.ndarray):
+        every, self.first, self.which = np.unique(keys, return_index=True, return_inverse=True)
+        self.totals = np.zeros(len(every))
+
+
 class Automaton:
     """States, arcs and failure arcs that the texts of a lot can reach.
 
-    State 0 is the empty history. ``arcs`` maps ``state * words + word`` to an arc; ``weights`` and ``targets`` belong to
-    arcs, ``fail_weights``, ``fail_targets`` and ``levels`` (tokens of the history) to states; ``start`` is the state
+    State 0 is the empty history. ``keys`` are the arcs as ``state * words + word`` in order; ``weights`` and ``targets`` belong to
+    them, ``fail_weights``, ``fail_targets`` and ``levels`` (tokens of the history) to states; ``start`` is the state
     before a text.
     """
 
-    def __init__(self, lot: Lot, count: dict[int, np.ndarray], order: int, strength: float, base: np.ndarray):
-        size = len(lot.tokens)
-        names, self.word = np.unique(lot.tokens, return_inverse=True)
-        self.words = len(names)
+    def __init__(self, lot: Lot, grams: dict[int, Grams], order: int, strength: float, base: np.ndarray):
+        size, self.words, self.word = len(lot.tokens), lot.words, lot.word
         # The state of each position's history of n tokens; -1 where training has not seen it.
         state = [np.zeros(size, np.int64)]
-        fail_weights, fail_targets = [np.zeros(1)], [np.zeros(1, np.int64)]
-        known, levels = 1, [np.zeros(1, np.int64)]
+        fail_weights, fail_targets, levels, known = [np.zeros(1)], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], 1
         for n in range(1, order):
-            _, first, which = np.unique(lot.history(n), return_index=True, return_inverse=True)
-            seen = count[order + n][first]
-            number = np.where(seen > 0, np.cumsum(seen > 0) - 1 + known, -1)
-            state.append(number[which])
-            fail_weights.append(np.log10(strength / (seen[seen > 0] + strength)))
-            fail_targets.append(state[n - 1][first[seen > 0]])
-            levels.append(np.full(int((seen > 0).sum()), n))
+            own = grams[order + n]
+            seen = own.totals > 0
+            state.append(np.where(seen, np.cumsum(seen) - 1 + known, -1)[own.which])
+            fail_weights.append(np.log10(strength / (own.totals[seen] + strength)))
+            fail_targets.append(state[n - 1][own.first[seen]])
+            levels.append(np.full(int(seen.sum()), n))
             known += len(levels[-1])
-        self.levels = np.concatenate(levels)
         self.fail_weights, self.fail_targets = np.concatenate(fail_weights), np.concatenate(fail_targets)
-        # Behind a token its text goes on in the next position, with the longest history seen of at most n tokens.
+        self.levels = np.concatenate(levels)
+        # The longest history seen, of at most n tokens.
         longest = [state[0]]
         for n in range(1, order):
             longest.append(np.where(state[n] >= 0, state[n], longest[-1]))
-        after = [np.append(found[1:], 0) for found in longest]
-        keys, weights, targets = [], [], []
-        weight = base
+        self.start = int(longest[-1][0]) if size else 0
+        keys, weights, targets, weight = [], [], [], base
         for n in range(1, order + 1):
+            own = grams[n]
+            taken = np.ones(len(own.first), bool)
             if n > 1:
-                total = count[order + n - 1] + strength
-                arc = np.log10(np.maximum(count[n] + strength * 10.0**weight, 1e-300) / total)
-                taken = count[n] > 0
-                weight = np.where(taken, arc, weight + np.log10(strength / total))
-            else:
-                taken = np.ones(size, bool)
-            key = state[n - 1][taken] * self.words + self.word[taken]
-            every, first = np.unique(key, return_index=True)
-            keys.append(every)
-            weights.append(weight[taken][first])
-            targets.append(after[min(n, order - 1)][taken][first])
-        self.keys = np.concatenate(keys)
-        self.weights, self.targets = np.concatenate(weights), np.concatenate(targets)
-        self.start = int(longest[-1][0]) if size else 0
-
-    def walk(self, starts: np.ndarray, lengths: np.ndarray, path: list[int] | None = None) -> np.ndarray:
-        """Log probability of each text; ``path`` gets the state in which each word was read."""
+                # What the shorter history gives the word, and what this one has seen.
+                shorter = weight[grams[n - 1].which[own.first]]
+                history = grams[order + n - 1]
+                total = history.totals[history.which[own.first]] + strength
+                taken = own.totals > 0
+                arc = np.log10(np.maximum(own.totals + strength * 10.0**shorter, 1e-300) / total)
+                weight = np.where(taken, arc, shorter + np.log10(strength / total))
+            at = own.first[taken]
+            keys.append(state[n - 1][at] * self.words + self.word[at])
+            weights.append(weight[taken])
+            # A text goes on in the next position; its last arc, at the end mark, leads nowhere.
+            targets.append(longest[min(n, order - 1)][np.minimum(at + 1, size - 1)])
+        keys = np.concatenate(keys)
+        order_ = np.argsort(keys)
+        self.keys, self.weights, self.targets = keys[order_], np.concatenate(weights)[order_], np.concatenate(targets)[order_]
+
+    def walk(self, starts: np.ndarray, lengths: np.ndarray, path: np.ndarray | None = None) -> np.ndarray:
+        """Log probability of each text; ``path`` gets the state in which each word was read.
+
+        Texts are walked side by side, one word of each at a time; the last few long ones go on by themselves.
+        """
+        scores, states = np.zeros(len(starts)), np.full(len(starts), self.start, np.int64)
+        longest_first = np.argsort(-lengths, kind="stable")
+        # How many texts have a word left at each step.
+        left = np.searchsorted(-lengths[longest_first], -np.arange(1, (lengths.max() if len(lengths) else 0) + 1), "right")
+        step = 0
+        while step < len(left) and left[step] >= SIDE_BY_SIDE:
+            texts = longest_first[: left[step]]
+            at = starts[texts] + step
+            word, state = self.word[at], states[texts]
+            arc, found = self._arcs(state, word)
+            lost = np.flatnonzero(~found)
+            while len(lost):
+                scores[texts[lost]] += self.fail_weights[state[lost]]
+                state[lost] = self.fail_targets[state[lost]]
+                arc[lost], found = self._arcs(state[lost], word[lost])
+                lost = lost[~found]
+            if path is not None:
+                path[at] = state
+            scores[texts] += self.weights[arc]
+            states[texts] = self.targets[arc]
+            step += 1
+        if step < len(left):
+            self._walk_alone(longest_first[: left[step]], starts + step, lengths - step, scores, states, path)
+        return scores
+
+    def _arcs(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Arc of each state for its word, and whether there is one."""
+        wanted = state * self.words + word
+        arc = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return arc, self.keys[arc] == wanted
+
+    def _walk_alone(self, texts, starts, lengths, scores, states, path) -> None:
         arcs = dict(zip(self.keys.tolist(), range(len(self.keys))))
-        weights, targets = self.weights.tolist(), self.targets.tolist()
-        fail_weights, fail_targets = self.fail_weights.tolist(), self.fail_targets.tolist()
-        words, number, get = self.words, self.word.tolist(), arcs.get
-        scores = []
-        for start, length in zip(starts.tolist(), lengths.tolist()):
-            state, score = self.start, 0.0
-            for word in number[start : start + length]:
+        words, get = self.words, arcs.get
+        for text in texts.tolist():
+            state, score, start = int(states[text]), 0.0, int(starts[text])
+            for at, word in enumerate(self.word[start : start + int(lengths[text])].tolist(), start):
                 arc = get(state * words + word)
                 while arc is None:
-                    score += fail_weights[state]
-                    state = fail_targets[state]
+                    score += self.fail_weights[state]
+                    state = int(self.fail_targets[state])
                     arc = get(state * words + word)
                 if path is not None:
-                    path.append(state)
-                score += weights[arc]
-                state = targets[arc]
-            scores.append(score)
-        return np.array(scores, np.float64)
+                    path[at] = state
+                score += self.weights[arc]
+                state = int(self.targets[arc])
+            scores[text] += score
 
 
 def _score(order: int, strength: float, train_tokens: int, vocabulary: int):
     def score(lots: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in lots.to_dict("records"):
-            lot, count = Lot(row), {}
+            lot, grams = Lot(row), {}
             for kind, keys in lot.keys(order).items():
+                grams[kind] = Grams(keys)
                 own = answers[answers["kind"] == kind].sort_values("part")
-                every, which = np.unique(keys, return_inverse=True)
                 totals = np.concatenate([_unpacked(x, np.uint64) for x in own["totals"]]) if len(own) else np.zeros(0, np.uint64)
-                if len(totals) != len(every):
-                    raise ValueError(f"lot {row['lot']}: {len(totals)} answers for {len(every)} keys")
-                count[kind] = totals[which].astype(np.float64)
-            base = np.log10((count[1] + 1) / (train_tokens + vocabulary + 1))
-            scores = Automaton(lot, count, order, strength, base).walk(lot.starts, lot.lengths)
+                if len(totals) != len(grams[kind].first):
+                    raise ValueError(f"lot {row['lot']}: {len(totals)} answers for {len(grams[kind].first)} keys")
+                grams[kind].totals = totals.astype(np.float64)
+            count, place = grams[1].totals, grams[1].which
+            base = np.log10((count + 1) / (train_tokens + vocabulary + 1))
+            automaton = Automaton(lot, grams, order, strength, base)
+            del grams
+            scores = automaton.walk(lot.starts, lot.lengths)
             add = lambda x: np.add.reduceat(x, lot.starts)
             out.append(pd.DataFrame({
                 "doc_id": pd.array(list(row["ids"]), "Int64"), "held_out": lot.held, "n_tokens": lot.lengths,
-                "n_known": add((count[1] > 0).astype(np.int64)), "train_tokens": train_tokens,
-                "base_score": add(base), "score": scores}))
+                "n_known": add((count > 0).astype(np.int64)[place]), "train_tokens": train_tokens,
+                "base_score": add(base[place]), "score": scores}))
         return pd.concat(out, ignore_index=True)
 
     return score

@@ -498,8 +498,8 @@ def test_scores_against_counts(spark, order):
         assert r.score == pytest.approx(sum(math.log10(p(w, x, order - 1)) for x in at))
 
 
-@pytest.mark.parametrize("order", [1, 2, 3, 4])
-def test_states_of_the_walk(monkeypatch, order):
+@pytest.mark.parametrize("order, together", [(1, 2), (2, 1), (2, 7), (3, 1), (3, 9), (4, 100)])
+def test_states_of_the_walk(monkeypatch, order, together):
     """Every word is read in the state of the longest history behind which training has seen it."""
     class Task:
         get = staticmethod(lambda: Task)
@@ -511,12 +511,13 @@ def test_states_of_the_walk(monkeypatch, order):
     held = [i % 3 == 0 for i in range(40)]
     batch = {"doc_id": list(range(40)), "held_out": held, "text": texts}
     (found,) = backoff._lots(1 << 30)(iter([batch]))
-    lot, count = backoff.Lot({k: v[0] for k, v in found.items()}), {}
+    lot, grams = backoff.Lot({k: v[0] for k, v in found.items()}), {}
     for kind, keys in lot.keys(order).items():
-        every, which = np.unique(keys, return_inverse=True)
-        count[kind] = np.bincount(which[lot.train], minlength=len(every))[which].astype(float)
-    base = np.log10((count[1] + 1) / (count[1].sum() + 1))
-    automaton, path = backoff.Automaton(lot, count, order, 4.0, base), []
+        own = grams[kind] = backoff.Grams(keys)
+        own.totals = np.bincount(own.which[lot.train], minlength=len(own.first)).astype(float)
+    base = np.log10((grams[1].totals + 1) / (grams[1].totals.sum() + 1))
+    automaton, path = backoff.Automaton(lot, grams, order, 4.0, base), np.zeros(len(lot.tokens), np.int64)
+    monkeypatch.setattr(backoff, "SIDE_BY_SIDE", together)
     automaton.walk(lot.starts, lot.lengths, path)
     words = [["<"] * (order - 1) + t.split() + [">"] for t in texts]
     seen = {
