@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import stored, with_word_counts
+from feedloom.llm.common import as_row, stored, with_word_counts
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -151,16 +151,13 @@ def take(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     kinds = ["doc_id", "source", "text_key"]
     shares = mixed.groupBy(*kinds).agg(
         F.min("copies").alias("times"), F.max("copies").alias("most"), F.count("*").alias("alike"), F.sum("copies").alias("all"))
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text")).alias("d")
+    keyed = docs.select(as_row(docs), "doc_id", "source", F.xxhash64("doc_id", "text").alias("text_key")).alias("d")
     s = shares.where("most > 0").alias("s")
-    met = keyed.join(s, F.expr("d._key = s.text_key and d.doc_id <=> s.doc_id and d.source <=> s.source"))
-    single = met.where("alike = 1").select("d.*", F.col("times").alias("_copies"))
+    met = keyed.join(s, F.expr("d.text_key = s.text_key and d.doc_id <=> s.doc_id and d.source <=> s.source"))
+    single = met.where("alike = 1").select("row", F.col("times").alias("copies"))
     # Rows that look alike to the mix share its choice by number.
-    turn = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
-    several = met.where("alike > 1").withColumn("_turn", turn).select(
-        "d.*", F.expr("times + if(_turn <= all - times * alike, 1, 0)").alias("_copies"))
-    return (
-        single.union(several)
-        .withColumn("_copy", F.explode(F.expr("if(_copies > 0, sequence(1L, _copies), array())")))
-        .select(*docs.columns)
-    )
+    turn = F.row_number().over(Window.partitionBy("d.text_key").orderBy("d.text_key"))
+    several = met.where("alike > 1").withColumn("turn", turn).select(
+        "row", F.expr("times + if(turn <= all - times * alike, 1, 0)").alias("copies"))
+    every = F.explode(F.expr("if(copies > 0, sequence(1L, copies), array())")).alias("copy")
+    return single.union(several).select("row", every).select("row.*")

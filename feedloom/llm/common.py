@@ -42,6 +42,11 @@ def few(df: DataFrame, row_bytes: int, items: str | None = None) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes + entries * 8 <= BROADCAST_BYTES else df
 
 
+def as_row(df: DataFrame) -> Column:
+    """All columns of a table as one struct ``row``, so that its names cannot clash with a helper's."""
+    return F.struct(*[df[f"`{name}`"] for name in df.columns]).alias("row")
+
+
 def remainder(id_column: str, of: int) -> Column:
     """crc32 of the id as text modulo ``of``; null for a null id."""
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % of

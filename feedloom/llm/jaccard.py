@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import (
-    WordHashes, components, few, lower_words, run_batches, stored, windows_hash,
+    WordHashes, as_row, components, few, lower_words, run_batches, stored, windows_hash,
 )
 
 COUNTED = np.uint64(1 << 62)  # a quarter of the number range
@@ -288,9 +288,9 @@ def drop_near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) ->
     keys = marked.groupBy("doc_id", "text_key").agg(F.max("stays").alias("stays"), F.count("*").alias("rows"))
     acted = few(stored(keys.where("not stays or rows > 1").select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "stays"), "acted"), 80)
-    named = docs.withColumn("_text_key", F.md5("text"))
-    same = named["doc_id"].eqNullSafe(acted["_id"]) & (named["_text_key"] == acted["_key"])
-    untouched = named.join(acted, same, "left_anti").select(docs.columns)
+    named = docs.select(as_row(docs), "doc_id", F.md5("text").alias("text_key"))
+    same = named["doc_id"].eqNullSafe(acted["_id"]) & (named["text_key"] == acted["_key"])
+    untouched = named.join(acted, same, "left_anti").select("row.*")
     alike = named.join(acted.where("stays"), same, "left_semi")
-    one = alike.dropDuplicates(["doc_id", "_text_key"]).select(docs.columns)
+    one = alike.dropDuplicates(["doc_id", "text_key"]).select("row.*")
     return untouched.union(one)

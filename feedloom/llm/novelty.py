@@ -1,26 +1,33 @@
 """Secrets in text: fixed patterns, and strings in a sensitive context that a primed compressor cannot shorten.
 
 The base patterns (assigned secrets, access keys, long hex runs) are found leftmost and without overlap per kind in the whole
-text. Beyond them a candidate is any run of 16 or more key-like characters with a digit and a letter on a line with a
-sensitive word, wherever the word stands; a name and ``=`` before a value are no part of it, and the host name of a mail
-address is none. A zstandard compressor is primed with a dictionary of common
-identifiers and with the text around the candidate; the bytes the candidate adds to its output, by
-its length, are its novelty. Candidates at or above the threshold are reported as ``novel``: names, paths and
+text. Beyond them a candidate is any run of 16 or more key-like characters with a digit and a letter on an announced line: one
+with a sensitive word, wherever the word stands, or one behind a line that ends with such a name, with the lines of nothing
+but such runs that follow. A name and ``=`` before a value are no part of it, the host name of a mail address is none, and of
+an address on the web the parts between slashes are judged one by one. A run whose parts are words and short numbers is a
+name.
+
+A zstandard compressor is primed with identifiers and with the text around the candidate; the bytes the candidate adds to
+its output, by its length, are its novelty. The identifiers are a short list of common ones and the ``LEARNED`` names that
+stand in most documents of the table, counted over all of them; names with digits are not learned, so a key that
+is repeated often stays new. Candidates at or above the threshold are reported as ``novel``: names, paths and
 repeated values are cheap to say with the dictionary, random strings are not. Of a candidate that meets base spans the parts
 beside them are reported.
 
 Edge cases: a null text is empty; an empty text has no spans; overlaps are possible between kinds but not between a
-candidate and a base span; repeated rows and ties give equal rows. Every row is judged by itself, so no
-group of copies meets in a task.
+candidate and a base span; repeated rows and ties give equal rows; an empty table learns no names. The driver holds the
+learned names (``LEARNED`` of at most 24 letters); every row is judged by itself, so no group of copies meets in a task.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from feedloom.llm.common import run_batches
 
@@ -42,12 +49,20 @@ IDENTIFIERS = (
     "authorization bearer basic session cookie signature credential database host port name value example test sample "
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 XXXXXXXX 00000000"
 ).encode()
-ANNOUNCED = re.compile("|".join(sorted(SENSITIVE, key=len, reverse=True)), re.A | re.I)
+_WORDS = "|".join(sorted(SENSITIVE, key=len, reverse=True))
+ANNOUNCED = re.compile(_WORDS, re.A | re.I)
+# A line that ends with the name of a value, or with the head of a block.
+LEADS = re.compile(rf"(?:{_WORDS})[A-Za-z0-9_ \"'-]{{0,24}}[:=>]?[ \t]*\Z", re.A | re.I)
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}+")
 NAME = re.compile(r"[A-Za-z_.-]+[0-9]{0,4}")
+NAMED = re.compile(r"[A-Za-z_]{4,24}(?![A-Za-z_0-9])")
 HOST = re.compile(r"(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}")
+PARTED = re.compile("[_./+=-]+")
+WORD_PART = re.compile("[A-Za-z]{1,24}[0-9]{0,4}|[0-9]{1,4}[A-Za-z]{0,2}")
 LEAST = 16
 AROUND = 512
+LEARNED = 400
+MOST_NAMES = 1 << 17  # counts that a task holds before it passes them on
 THRESHOLD = 0.7
 
 
@@ -57,39 +72,94 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
-def novelty(text: str, start: int, end: int) -> float:
+def _names(batches):
+    counts: Counter[str] = Counter()
+
+    def rows():
+        found = {"name": list(counts), "n": list(counts.values())}
+        counts.clear()
+        return found
+
+    for batch in batches:
+        for text in batch["text"]:
+            counts.update(set(NAMED.findall(text or "")))
+            if len(counts) > MOST_NAMES:
+                yield rows()
+    yield rows()
+
+
+def learn(docs: DataFrame, names: int = LEARNED) -> bytes:
+    """The compressor's identifiers: the common ones, and those in most documents of ``docs``, the most frequent last."""
+    counted = run_batches(docs.select("text"), _names, "name string, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    found = counted.orderBy(F.col("n").desc(), "name").limit(names).collect()
+    return " ".join([row.name for row in reversed(found)] + [IDENTIFIERS.decode()]).encode()
+
+
+def novelty(text: str, start: int, end: int, identifiers: bytes = IDENTIFIERS) -> float:
     """Bytes that the candidate adds to the primed compressor's output, by its length."""
-    around = IDENTIFIERS + text[max(0, start - AROUND) : start].encode() + b"\n" + text[end : end + AROUND].encode()
+    around = identifiers + text[max(0, start - AROUND) : start].encode() + b"\n" + text[end : end + AROUND].encode()
     primed = zstandard.ZstdCompressionDict(around, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     pack = zstandard.ZstdCompressor(level=19, dict_data=primed, write_checksum=False, write_content_size=False, write_dict_id=False)
     return (len(pack.compress(text[start:end].encode())) - len(pack.compress(b""))) / (end - start)
 
 
+def _value(text: str, start: int, end: int) -> tuple[int, int]:
+    """A run without dots behind it and without the names that stand before equals signs in it."""
+    while end > start and text[end - 1] == ".":
+        end -= 1
+    padding = end
+    while padding > start and text[padding - 1] == "=":
+        padding -= 1
+    while (cut := text.find("=", start, padding)) >= 0:
+        name = text[start:cut]
+        if name and not NAME.fullmatch(name) and not ANNOUNCED.search(name):
+            break
+        start = cut
+        while text[start] == "=":
+            start += 1
+    return start, end
+
+
+def _key_like(value: str) -> bool:
+    """Long enough, with letters and digits, and more than words and short numbers put together."""
+    if len(value) < LEAST or not any(c.isdigit() for c in value) or not any(c.isalpha() for c in value):
+        return False
+    return not all(WORD_PART.fullmatch(x) for x in PARTED.split(value) if x)
+
+
 def candidates(text: str):
-    """(start, end) of the key-like runs on lines with a sensitive word."""
-    line_end, announced = -1, False
+    """(start, end) of the key-like runs on announced lines."""
+    line_start, line_end, announced, alone = -1, -1, False, False
     for m in RUN.finditer(text):
-        start, end = m.span()
-        value = m[0].rstrip(".")
-        end -= len(m[0]) - len(value)
-        # What stands before an equals sign inside the run is the name of the value, not padding.
-        while (cut := value.find("=")) >= 0 and value[cut:].strip("=") and (
-                not cut or NAME.fullmatch(value[:cut]) or ANNOUNCED.search(value[:cut])):
-            value = value[cut:].lstrip("=")
-        start = end - len(value)
-        if len(value) < LEAST or not any(c.isdigit() for c in value) or not any(c.isalpha() for c in value):
-            continue
-        if text[start - 1 : start] == "@" and HOST.fullmatch(value):
-            continue
         if m.end() > line_end:
+            # A new line: the one before it may lead to it, or be one of nothing but a run in an announced block.
+            before, was = line_end, announced and alone
+            line_start = text.rfind("\n", 0, m.start()) + 1
             line_end = text.find("\n", m.end())
             line_end = len(text) if line_end < 0 else line_end
-            announced = ANNOUNCED.search(text, text.rfind("\n", 0, m.start()) + 1, line_end) is not None
-        if announced:
+            alone = not text[line_start : m.start()].strip() and not text[m.end() : line_end].strip()
+            announced = ANNOUNCED.search(text, line_start, line_end) is not None or was and alone and before + 1 == line_start
+            if not announced and line_start:
+                above = max(text.rfind("\n", 0, line_start - 1) + 1, line_start - 120)
+                announced = LEADS.search(text[above : line_start - 1]) is not None
+        if not announced:
+            continue
+        start, end = _value(text, *m.span())
+        if text[start - 1 : start] == "@" and HOST.fullmatch(text, start, end):
+            continue
+        if text.startswith("//", start) and text[start - 1 : start] in (":", ""):
+            at = start
+            for part in text[start:end].split("/"):
+                if _key_like(part):
+                    yield at, at + len(part)
+                at += len(part) + 1
+        elif _key_like(text[start:end]):
             yield start, end
 
 
-def novel_spans(text: str, taken: list[tuple[int, int, str]], threshold: float = THRESHOLD) -> list[tuple[int, int, str]]:
+def novel_spans(
+    text: str, taken: list[tuple[int, int, str]], threshold: float = THRESHOLD, identifiers: bytes = IDENTIFIERS
+) -> list[tuple[int, int, str]]:
     found = []
     # Both come in order of their starts: spans that start before the end of a candidate cannot start in a later one.
     ordered, at, reach = sorted(taken), 0, 0
@@ -104,7 +174,7 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]], threshold: float =
         if free < end:
             parts.append((free, end))
         parts = [x for x in parts if any(c.isalnum() for c in text[x[0] : x[1]])]
-        if parts and novelty(text, start, end) >= threshold:
+        if parts and novelty(text, start, end, identifiers) >= threshold:
             found += [(a, b, "novel") for a, b in parts]
     return found
 
@@ -114,14 +184,14 @@ def _joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in ordered)
 
 
-def _scan(threshold: float):
+def _scan(threshold: float, identifiers: bytes):
     def rows(batches):
         for batch in batches:
             out = {"doc_id": batch["doc_id"], **{f"n_{k}": [] for k in KINDS}, "base_sha256": [], "spans": []}
             for text in batch["text"]:
                 text = text or ""
                 base = base_spans(text)
-                every = base + novel_spans(text, base, threshold)
+                every = base + novel_spans(text, base, threshold, identifiers)
                 for kind in KINDS:
                     out[f"n_{kind}"].append(sum(x[2] == kind for x in every))
                 out["base_sha256"].append(hashlib.sha256(_joined(base).encode()).hexdigest())
@@ -136,16 +206,18 @@ SHAPE = "doc_id long, n_assign long, n_access long, n_hex long, n_novel long, ba
 
 def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document with its spans as ``kind:start:end`` in code points, by start, end exclusive."""
-    return run_batches(docs.select("doc_id", "text"), _scan(threshold), SHAPE)
+    return run_batches(docs.select("doc_id", "text"), _scan(threshold, learn(docs)), SHAPE)
 
 
-def masked(text: str | None, threshold: float = THRESHOLD, mask: str = "[secret]") -> str | None:
+def masked(
+    text: str | None, threshold: float = THRESHOLD, mask: str = "[secret]", identifiers: bytes = IDENTIFIERS
+) -> str | None:
     """The text with every span replaced; overlapping spans become one mask."""
     if not text:
         return text
     base = base_spans(text)
     out, at = [], 0
-    for start, end, _ in sorted(base + novel_spans(text, base, threshold)):
+    for start, end, _ in sorted(base + novel_spans(text, base, threshold, identifiers)):
         if start >= at:
             out += [text[at:start], mask]
         at = max(at, end)
@@ -154,14 +226,14 @@ def masked(text: str | None, threshold: float = THRESHOLD, mask: str = "[secret]
 
 def mask_secrets(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with all columns as they are but ``text``, where secrets are masked."""
-    schema = docs.schema
+    schema, identifiers = docs.schema, learn(docs)
     place = docs.columns.index("text")
 
     def rows(batches):
         import pyarrow as pa
 
         for batch in batches:
-            texts = pa.array([masked(x, threshold) for x in batch.column(place).to_pylist()], batch.schema.field(place).type)
+            texts = pa.array([masked(x, threshold, identifiers=identifiers) for x in batch.column(place).to_pylist()], batch.schema.field(place).type)
             yield batch.set_column(place, batch.schema.field(place), texts)
 
     return docs.mapInArrow(rows, schema)
