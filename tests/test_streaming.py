@@ -567,7 +567,7 @@ def test_embedding_stream_encodes_each_english_post_once(spark, tmp_path, compac
     assert keys(table) == ["k1", "k4"]
     # Two posts were encoded in all: the edited one keeps its vector.
     assert spark.read.parquet(f"{posts}/vectors").count() == 2
-    found = search_text(table, "some text number 4", hashed_words(), 1).first()
+    found = search_text(table, table, "some text number 4", hashed_words(), 1).first()
     assert found.uri.endswith("/k4") and found.distance == 0.0
 
 
