@@ -32,23 +32,17 @@ def word_counts(text: Column, dims: int = EMBEDDING_DIMS) -> Column:
     """
     words = F.filter(F.split(F.lower(text), BLANKS), lambda word: word != "")
     bucket = lambda word: (F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint") % dims).cast("int")
-    # Equal buckets stand side by side, so their places tell their number.
-    return _with(
-        F.sort_array(F.transform(words, bucket)),
-        lambda sorted_: _with(
-            F.struct(sorted_.alias("all"), F.array_distinct(sorted_).alias("kinds")),
-            lambda s: _with(
-                F.transform(s["kinds"], lambda kind: F.array_position(s["all"], kind)),
-                lambda starts: F.transform(
-                    s["kinds"],
-                    lambda kind, i: F.struct(
-                        kind.alias("bucket"),
-                        (F.coalesce(F.get(starts, i + 1), F.size(s["all"]) + 1) - F.get(starts, i)).cast("int").alias("n"),
-                    ),
-                ),
-            ),
+    # Equal buckets stand side by side, so the places where one begins tell their number.
+    begins = lambda found: F.array_compact(
+        F.transform(found, lambda x, i: F.when((i == 0) | (F.get(found, i - 1) != x), i))
+    )
+    counted = lambda found, starts: F.transform(
+        starts,
+        lambda at, i: F.struct(
+            F.get(found, at).alias("bucket"), (F.coalesce(F.get(starts, i + 1), F.size(found)) - at).alias("n")
         ),
     )
+    return _with(F.sort_array(F.transform(words, bucket)), lambda found: _with(begins(found), lambda at: counted(found, at)))
 
 
 def _with(value: Column, use: Callable[[Column], Column]) -> Column:
