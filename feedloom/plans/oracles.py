@@ -307,7 +307,9 @@ ORACLES: dict[str, str] = {
         WHERE created_date = '{LANDED_DAY}' AND created_hour = 7""",
     "vector_table_stored": f"""WITH {FEED} SELECT uri, text,
         round(list_sum(embedding::DOUBLE[]), 6) AS total FROM feed JOIN embeddings ON vec_id = doc_id""",
-    "describe_events": """SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name
+    "describe_events": """SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name,
+        CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+          ELSE lower(data_type) END AS column_type
         FROM information_schema.columns WHERE table_name = 'events'""",
     "feed_to_search": f"""{_text_search(
         f"SELECT 1 AS one, '{SEARCH_WORDS.strip()}' AS text", 'one', 't.uri',
