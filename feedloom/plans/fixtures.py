@@ -22,9 +22,13 @@ from feedloom.operators.feed import (
 )
 from feedloom.operators.importing import parse_lines, valid_posts
 from feedloom.operators.merge import write_vectors
+from feedloom.schemas import PACKED
 from feedloom.session import qualified
 from feedloom.sources.files import file_system
 
+TIME_US = """1704067200000000 + (doc_id % 5) * 86400000000 + ((doc_id * 7) % 24) * 3600000000
+    + (doc_id % 60) * 60000000 + doc_id % 1000"""
+
 # One row per message, in SQL that Spark and DuckDB read alike.
 FEED_SQL = """
 SELECT doc_id,
@@ -37,8 +41,7 @@ SELECT doc_id,
   CASE WHEN doc_id % 10 = 7 THEN 'app.bsky.feed.like' ELSE 'app.bsky.feed.post' END AS collection,
   CASE WHEN doc_id % 40 = 6 THEN 1 ELSE 0 END AS record_empty,
   CASE WHEN doc_id % 50 = 5 THEN 'string' WHEN doc_id % 50 = 15 THEN 'missing' ELSE 'int' END AS time_us_form,
-  1704067200000000 + (doc_id % 5) * 86400000000 + ((doc_id * 7) % 24) * 3600000000
-    + (doc_id % 60) * 60000000 + doc_id % 1000 AS time_us,
+  {time_us} AS time_us,
   CASE WHEN doc_id % 25 = 3 THEN ''
        WHEN doc_id % 20 = 0 THEN '2023-12-31T23:30:00-05:00'
        ELSE '2024-01-0' || CAST(1 + doc_id % 5 AS STRING) || 'T'
@@ -54,7 +57,7 @@ SELECT doc_id,
   CASE doc_id % 11 WHEN 2 THEN 'record' WHEN 3 THEN 'record#view'
                    WHEN 4 THEN 'recordWithMedia' WHEN 5 THEN 'record_is_string' ELSE 'none' END AS embed_form
 FROM {documents}
-"""
+""".replace("{time_us}", TIME_US)
 
 FOLDER_US = 6 * 3_600_000_000  # the recorder closes a folder every six hours
 LATER_US = 10 * 86_400_000_000
@@ -90,15 +93,38 @@ def _object(*fields: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
 
 
+def _edited(rows: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents or posts with the texts of labelled documents edited."""
+    labels = table(rows.sparkSession, sf_dir, "labels").select("doc_id", F.lit(" [edited]").alias("_mark"))
+    text = F.concat("text", F.coalesce("_mark", F.lit("")))
+    return rows.join(labels, "doc_id", "left").withColumn("text", text).drop("_mark")
+
+
 def edited_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed with the posts of labelled documents edited."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.lit(" [edited]").alias("_mark"))
-    text = F.concat("text", F.coalesce("_mark", F.lit("")))
-    return feed(spark, sf_dir).join(labels, "doc_id", "left").withColumn("text", text).drop("_mark")
+    return _edited(feed(spark, sf_dir), sf_dir)
+
+
+def _closed(time_us: Column) -> Column:
+    """When the recorder closes the folder of an event time."""
+    return (F.floor(time_us / FOLDER_US) + 1) * FOLDER_US
+
+
+def recorded(spark: SparkSession, sf_dir: str, edited: bool = False) -> DataFrame:
+    """The messages for ``record``: documents go to the folder of their message before anything longer is made of them."""
+    documents = table(spark, sf_dir, "documents")
+    documents = _edited(documents, sf_dir) if edited else documents
+    dealt = documents.withColumn("_folder", _closed(F.expr(TIME_US))).hint("rebalance", "_folder")
+    return as_messages(spark.sql(FEED_SQL, documents=dealt))
 
 
 def messages(spark: SparkSession, sf_dir: str, edited: bool = False) -> DataFrame:
     """``doc_id, lang, time_us, value``: the feed as JSON texts."""
+    return as_messages(edited_feed(spark, sf_dir) if edited else feed(spark, sf_dir))
+
+
+def as_messages(rows: DataFrame) -> DataFrame:
+    """The rows of a feed as JSON texts."""
     langs = (
         F.when(F.col("langs_form") == "string", _json(F.col("lang")))
         .when(F.col("langs_form") == "null", "null")
@@ -146,15 +172,17 @@ def messages(spark: SparkSession, sf_dir: str, edited: bool = False) -> DataFram
         _field("kind", _json(F.col("kind"))),
         _field("commit", commit),
     )
-    rows = edited_feed(spark, sf_dir) if edited else feed(spark, sf_dir)
     return rows.select("doc_id", "lang", "time_us", value.alias("value"))
 
 
 def record(messages: DataFrame, path: str, later_us: int = 0) -> None:
-    """Append (runs a job) messages to the folders that a recorder closes behind them, some time later if told."""
-    closed = (F.floor(F.col("time_us") / FOLDER_US) + 1) * FOLDER_US + later_us
-    rows = messages.select("value", closed.cast("bigint").alias("taken_us")).hint("rebalance", "taken_us")
-    rows.write.mode("append").partitionBy("taken_us").text(path)
+    """Append (runs a job) messages to the folders that a recorder closes behind them, some time later if told.
+
+    Messages are written by the tasks that make them; those of ``recorded`` lie by folder already.
+    """
+    closed = _closed(F.col("time_us")) + later_us
+    rows = messages.select("value", closed.cast("bigint").alias("taken_us"))
+    rows.write.mode("append").options(**PACKED).partitionBy("taken_us").text(path)
 
 
 def flat_posts(spark: SparkSession, sf_dir: str, edited: bool = False) -> DataFrame:

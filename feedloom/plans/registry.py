@@ -496,8 +496,8 @@ def _run_landing(spark: SparkSession, folder: str, start_us: int | None = 1) ->
 
 def _land(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """Land the feed in two runs of one stream: its English part, then the whole feed with labelled posts edited."""
-    first = fx.messages(spark, sf_dir).where("lang = 'en'")
-    for drop, later in ((first, 0), (fx.messages(spark, sf_dir, edited=True), fx.LATER_US)):
+    first = fx.recorded(spark, sf_dir).where("lang = 'en'")
+    for drop, later in ((first, 0), (fx.recorded(spark, sf_dir, edited=True), fx.LATER_US)):
         fx.record(drop, f"{folder}/messages", later)
         _run_landing(spark, folder)
     return f"{folder}/bronze"
@@ -515,7 +515,7 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dead(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark, "dead")
-    fx.record(_damaged(fx.messages(spark, sf_dir)), f"{folder}/messages")
+    fx.record(_damaged(fx.recorded(spark, sf_dir)), f"{folder}/messages")
     _run_landing(spark, folder)
     return read_dead(spark, f"{folder}/bronze").groupBy("reason").agg(F.count("*").alias("n"))
 
@@ -534,9 +534,9 @@ def stream_from_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed_later(spark: SparkSession, sf_dir: str, start_us: int | None) -> DataFrame:
     """The English part is there before the first start, the whole feed comes after it."""
     folder = run_folder(spark, "latest")
-    fx.record(fx.messages(spark, sf_dir).where("lang = 'en'"), f"{folder}/messages")
+    fx.record(fx.recorded(spark, sf_dir).where("lang = 'en'"), f"{folder}/messages")
     _run_landing(spark, folder, start_us)
-    fx.record(fx.messages(spark, sf_dir, edited=True), f"{folder}/messages", fx.LATER_US)
+    fx.record(fx.recorded(spark, sf_dir, edited=True), f"{folder}/messages", fx.LATER_US)
     _run_landing(spark, folder, start_us)
     return _landed_uris(read_landed(spark, f"{folder}/bronze"))
 
@@ -554,7 +554,7 @@ def stream_cursor_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_stopped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landing at its usual pace, stopped while it runs and started again: nothing is lost and nothing comes twice."""
     folder = run_folder(spark, "stopped")
-    rest = fx.messages(spark, sf_dir)
+    rest = fx.recorded(spark, sf_dir)
     for drop, later in ((rest.where("lang = 'en'"), 0), (rest.where("lang <> 'en' OR lang IS NULL"), fx.LATER_US)):
         fx.record(drop, f"{folder}/messages", later)
         feed = stream_feed(spark, f"{folder}/messages", f"{folder}/state/start", 1)
@@ -689,7 +689,7 @@ def feed_to_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_older(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed, its English part twice, stored in the older shape."""
     folder = run_folder(spark, "older")
-    messages = fx.messages(spark, sf_dir)
+    messages = fx.recorded(spark, sf_dir)
     for drop, later in ((messages.where("lang = 'en'"), 0), (messages, fx.LATER_US)):
         fx.record(drop, f"{folder}/messages", later)
         feed = stream_feed(spark, f"{folder}/messages", f"{folder}/state/start", 1)

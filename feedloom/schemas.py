@@ -16,6 +16,9 @@ EXPORT_DAYS = 3
 SEARCH_K = 5
 FLUSH_SECONDS = 3
 
+# How recorded and landed texts are written.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
 # One feed message. A variant is a field whose type is looked at.
 MESSAGE = """
     did STRING, repo STRING, time_us VARIANT, kind STRING,

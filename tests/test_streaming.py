@@ -618,3 +618,24 @@ def test_shared_folder_comes_from_the_session(tmp_path):
     local = Session("local[2]", {})
     assert shared_folder(local) == shared_folder(local) == local.checkpoints
     assert shared_folder(Session("local[2]", {}, str(tmp_path))) == str(tmp_path)
+
+
+def test_recorded_and_landed_texts_are_packed_and_move_once(spark, tmp_path):
+    from feedloom.plans import fixtures as fx
+
+    rows = [(i, f"words of document {i} " * 200, "en" if i % 2 else "de", f"src{i % 3}", 0) for i in range(60)]
+    documents = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+    spark.createDataFrame(rows, documents).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(3, 1, 0), (4, 0, 0)], "doc_id BIGINT, quality INT, toxic INT").write.parquet(str(tmp_path / "labels.parquet"))
+    for edited in (False, True):
+        made = fx.recorded(spark, str(tmp_path), edited)
+        plain = fx.messages(spark, str(tmp_path), edited)
+        assert sorted(made.collect()) == sorted(plain.collect())
+    # Documents are dealt by folder before they become messages, and nothing moves once more for the write.
+    fx.record(fx.recorded(spark, str(tmp_path)), str(tmp_path / "in"))
+    bronze = land_all(spark, tmp_path)
+    texts = sum(len(r.value) for r in fx.messages(spark, str(tmp_path)).collect())
+    for place in ("in", "bronze"):
+        files = [f for f in glob.glob(f"{tmp_path}/{place}/**/part-*", recursive=True) if os.path.isfile(f)]
+        assert files and sum(map(os.path.getsize, files)) < texts / 4
+    assert read_landed(spark, bronze).count() == keep_posts(parse_messages(fx.messages(spark, str(tmp_path)))).count()
