@@ -3,7 +3,8 @@
 Vectors are compared as matrices inside the tasks, which is several times faster than summing over
 array elements in expressions. The matrix product only rules vectors out, with a margin for its rounding;
 those left are ranked by the sum of squared differences in double precision, unrounded, ties by key.
-A task passes on its k best per query, never the pairs. One way serves any number of queries.
+A task holds a block of queries, their best so far and a table of ``MATRIX_CELLS`` numbers, and passes on its k best
+per query, never the pairs. One way serves any number of queries.
 """
 
 from __future__ import annotations
@@ -66,52 +67,101 @@ def _first_copies(vectors: np.ndarray, k: int) -> np.ndarray:
     return np.flatnonzero(codes.groupby(codes).cumcount().to_numpy() < k)
 
 
-def _top_k(
-    keys: pa.Array, vectors: np.ndarray, queries: np.ndarray, best: pd.DataFrame | None, k: int
-) -> pd.DataFrame:
-    """Best ``k`` keys per query among ``best`` and the given vectors, ties by key."""
-    order = pc.sort_indices(keys)
-    order = order.to_numpy()[_first_copies(vectors[order.to_numpy()], k)]
-    keys, vectors = keys.take(pa.array(order)), vectors[order]
-    queries = queries.astype(np.float64)
-    dims = queries.shape[1]
-    norms = (queries * queries).sum(axis=1)[:, None]
-    # Rounding of a product of this length, by the norms of its sides, taken several times over.
-    unit = (dims + 8) * 8 * np.finfo(np.float64).eps
-    found = [] if best is None else [best]
-    bound = np.full(len(queries), np.inf)
-    if best is not None:
-        worst = best.groupby("query")["distance"].agg(["max", "size"])
-        full = worst[worst["size"] >= k]
-        bound[full.index.to_numpy()] = full["max"].to_numpy()
-    step = max(1, MATRIX_CELLS // max(len(queries), dims, 1))
-    pairs = max(1, MATRIX_CELLS // max(dims, 1))
-    for start in range(0, len(vectors), step):
-        part = vectors[start : start + step].astype(np.float64)
-        lengths = (part * part).sum(axis=1)
-        table = queries @ part.T
+class _Best:
+    """The ``k`` best keys per query so far, as arrays: distances, and places in a list of the keys still held."""
+
+    def __init__(self, queries: np.ndarray, k: int):
+        self.queries, self.k = queries, k
+        self.distance = np.full((len(queries), k), np.inf)
+        self.place = np.full((len(queries), k), -1, np.int64)
+        self.keys: pa.Array | None = None
+
+    def add(self, keys: pa.Array, vectors: np.ndarray) -> None:
+        """Take in more rows, ties by key; queries go in parts, so that a part's table with all rows is all that is held."""
+        order = pc.sort_indices(keys).to_numpy()
+        order = order[_first_copies(vectors[order], self.k)]
+        keys, vectors = keys.take(pa.array(order)), vectors[order].astype(np.float64)
+        self._renumber(keys)
+        lengths = (vectors * vectors).sum(axis=1)
+        step = max(1, MATRIX_CELLS // max(len(vectors), self.queries.shape[1], 1))
+        for start in range(0, len(self.queries), step):
+            self._part(slice(start, start + step), vectors, lengths)
+        self._forget()
+
+    def _renumber(self, keys: pa.Array) -> None:
+        """Let places follow the order of the keys, of those held and of new ones."""
+        held = 0 if self.keys is None else len(self.keys)
+        together = keys if self.keys is None else pa.concat_arrays([self.keys, keys])
+        order = pc.sort_indices(together).to_numpy()
+        places = np.empty(len(order) + 1, np.int64)
+        places[order] = np.arange(len(order))
+        places[-1] = -1
+        self.place = places[self.place]
+        self.fresh = places[held:-1]
+        self.keys = together.take(pa.array(order))
+
+    def _forget(self) -> None:
+        """Drop keys that are no query's any more."""
+        used = np.zeros(len(self.keys), bool)
+        used[self.place[self.place >= 0]] = True
+        places = np.append(np.cumsum(used) - 1, -1)
+        self.place = places[self.place]
+        self.keys = self.keys.filter(pa.array(used))
+
+    def _part(self, part: slice, vectors: np.ndarray, lengths: np.ndarray) -> None:
+        """Meet some queries with the rows."""
+        queries, k = self.queries[part].astype(np.float64), self.k
+        dims = queries.shape[1]
+        norms = (queries * queries).sum(axis=1)
+        # Rounding of a product of this length, by the norms of its sides, taken several times over.
+        longest = lengths[np.isfinite(lengths)].max(initial=0.0)
+        margin = (dims + 8) * 8 * np.finfo(np.float64).eps * (norms + longest)
+        table = queries @ vectors.T
         table *= -2.0
-        table += norms
+        table += norms[:, None]
         table += lengths
-        margin = unit * (norms[:, 0] + lengths.max())
+        bound = self.distance[part, -1].copy()
         if table.shape[1] > k:
             bound = np.minimum(bound, np.partition(table, k - 1, axis=1)[:, k - 1] + margin)
         query, row = np.nonzero(table <= (bound + margin)[:, None])
+        del table
+        pairs = max(1, MATRIX_CELLS // max(dims, 1))
         for at in range(0, len(query), pairs):
             asked, met = query[at : at + pairs], row[at : at + pairs]
-            distance = _distances(part[met], queries[asked])
+            distance = _distances(vectors[met], queries[asked])
             near = distance <= bound[asked]
-            found.append(
-                pd.DataFrame(
-                    {
-                        "query": asked[near],
-                        "key": keys.take(pa.array(met[near] + start)).to_pandas(),
-                        "distance": distance[near],
-                    }
-                )
-            )
-    ranked = pd.concat(found, ignore_index=True).sort_values(["query", "distance", "key"])
-    return ranked[ranked.groupby("query").cumcount() < k]
+            self._keep(part.start, asked[near], distance[near], self.fresh[met[near]])
+
+    def _keep(self, start: int, query: np.ndarray, distance: np.ndarray, place: np.ndarray) -> None:
+        """Rank rows met by queries, which are in order, with the best of these queries."""
+        if not len(query):
+            return
+        asked, group = np.unique(query, return_inverse=True)
+        rows, k = asked + start, self.k
+        group = np.concatenate([np.repeat(np.arange(len(asked)), k), group])
+        distance = np.concatenate([self.distance[rows].ravel(), distance])
+        place = np.concatenate([self.place[rows].ravel(), place])
+        real = place >= 0
+        group, distance, place = group[real], distance[real], place[real]
+        order = np.lexsort((place, distance, group))
+        group, distance, place = group[order], distance[order], place[order]
+        sizes = np.bincount(group, minlength=len(asked))
+        rank = np.arange(len(group)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        kept = rank < k
+        best = np.full((len(asked), k), np.inf), np.full((len(asked), k), -1, np.int64)
+        best[0][group[kept], rank[kept]], best[1][group[kept], rank[kept]] = distance[kept], place[kept]
+        self.distance[rows], self.place[rows] = best
+
+    def result(self, names: pa.Array) -> pa.RecordBatch:
+        query, rank = np.nonzero(self.place >= 0)
+        return pa.RecordBatch.from_arrays(
+            [
+                names.take(pa.array(query)),
+                self.keys.take(pa.array(self.place[query, rank])),
+                pa.array(self.distance[query, rank]),
+            ],
+            ["query", "key", "distance"],
+        )
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:
@@ -182,12 +232,12 @@ def nearest(
 def _round(held, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, targets = held.value
-        best = None
+        best = _Best(targets, k)
         for records in batches:
             if records.num_rows and len(targets):
-                best = _top_k(records.column(0), _matrix(records.column(1)), targets, best, k)
-        if best is not None:
-            yield _result(names, best)
+                best.add(records.column(0), _matrix(records.column(1)))
+        if best.keys is not None:
+            yield best.result(names)
 
     return run
 
@@ -199,17 +249,6 @@ def _found_schema(corpus: DataFrame, queries: DataFrame, key: str, query_key: st
     )
 
 
-def _result(names: pa.Array, best: pd.DataFrame) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            names.take(pa.array(best["query"].to_numpy())),
-            pa.array(best["key"]),
-            pa.array(best["distance"].to_numpy()),
-        ],
-        ["query", "key", "distance"],
-    )
-
-
 def _ranked(found: DataFrame, k: int, key: str, query_key: str) -> DataFrame:
     order = Window.partitionBy("query").orderBy("distance", "key")
     return (

@@ -226,3 +226,45 @@ def test_word_vectors_equal_the_encoder(spark):
     assert sum(c.n for c in counts[0].c) == 3 and counts[2].c == [] and counts[3].c is None
     plan = encode_texts(df, keep=["n"])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "MapInArrow" not in plan
+
+
+def test_a_task_holds_little_beside_its_queries(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from feedloom.operators import search
+
+    matrix, asked = vectors(4000, 16), vectors(8000, 16, seed=1)
+    keys = pa.array(np.arange(len(matrix)))
+    lists = pa.FixedSizeListArray.from_arrays(pa.array(matrix.ravel()), 16).cast(pa.list_(pa.float32()))
+    batches = [
+        pa.RecordBatch.from_arrays([keys.slice(at, 1000), lists.slice(at, 1000)], ["key", "embedding"])
+        for at in range(0, len(matrix), 1000)
+    ]
+
+    class Held:
+        value = pa.array(np.arange(len(asked))), asked
+
+    monkeypatch.setattr(search, "MATRIX_CELLS", 100_000)
+    tracemalloc.start()
+    try:
+        (result,) = search._round(Held, 5)(iter(batches))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert result.num_rows == 5 * len(asked)
+    assert peak < 12_000_000
+    rows = result.to_pandas()
+    for number in (0, 4321, 7999):
+        distance = ((matrix.astype(np.float64) - asked[number].astype(np.float64)) ** 2).sum(axis=1)
+        got = rows[rows["query"] == number].sort_values(["distance", "key"])["key"].tolist()
+        assert got == np.argsort(distance, kind="stable")[:5].tolist()
+
+
+def test_a_vector_that_is_no_number_hides_no_others(spark):
+    matrix = vectors(50)
+    spoiled = spark.createDataFrame([("zz", "t", [float("nan")] * 8)], SCHEMA)
+    df = corpus(spark, matrix).unionByName(spoiled).coalesce(1)
+    got = found(nearest(df, queries(spark, matrix[:1]), 5).orderBy("rank"))
+    assert got == expected(matrix, matrix[0], 5)
