@@ -84,13 +84,14 @@ def write_vectors(
     """Older-shape posts with ``embedding_blob`` set and ``embedding = 'y'`` where a vector came in.
 
     ``vectors`` has the key and ``embedding_blob``; of several blobs for a key the one written last counts,
-    by the column ``written``. Among equals, and without that column, it is the largest.
+    by the column ``written``. Among equals, and without that column, it is the largest. Both sides meet by a
+    sort: sizes of decoded texts and of packed vectors are guessed far too small, and neither may go through the driver.
     """
     place = F.struct(*([written] if written else []), "embedding_blob")
     filled = F.when(F.col("embedding_blob").isNotNull(), place)
     one_each = vectors.groupBy(key).agg(F.max_by("embedding_blob", filled).alias("_blob"))
     arrived = F.col("_blob").isNotNull()
-    return posts.join(one_each, key, "left").select(
+    return posts.join(one_each.hint("merge"), key, "left").select(
         *[F.col(c) for c in posts.columns if c not in ("embedding", "embedding_blob")],
         F.when(arrived, "y").otherwise(F.col("embedding")).alias("embedding"),
         F.coalesce("_blob", "embedding_blob").alias("embedding_blob"),
@@ -100,7 +101,7 @@ def write_vectors(
 def with_vectors(posts: DataFrame, vectors: DataFrame, written: Column) -> DataFrame:
     """Merged posts with the vectors of their day and address; of several the one written last counts.
 
-    ``vectors`` has ``file_day, uri, emb_vec, emb_model``. Merged posts lie by these two keys already, so the join moves
+    ``vectors`` has ``file_day, uri, emb_vec, emb_model``. Posts just merged lie by these two keys already, so the join moves
     the vectors only. Posts without a vector among them stay as they are.
     """
     latest = vectors.groupBy("file_day", "uri").agg(F.max_by(F.struct("emb_vec", "emb_model"), written).alias("_new"))

@@ -201,3 +201,22 @@ def test_posts_in_buckets_stay_where_they_lie(spark, folder):
     # Only the vectors are dealt by key.
     assert "Bucketed: true" in run and run.count("Exchange hashpartitioning(uri") <= 2, run
     assert spark.catalog.listTables() == [t for t in spark.catalog.listTables() if not t.name.startswith("feedloom_")]
+
+
+def test_texts_of_posts_do_not_go_through_the_driver(spark):
+    # Decoded texts are guessed small, so that the posts would be sent to all tasks for the few vectors.
+    lines = spark.range(40).select(F.to_json(F.struct(F.col("id").cast("string").alias("did"))).alias("value"))
+    read = F.from_json("value", "did STRING, record STRUCT<text STRING>")
+    posts = lines.select(F.inline(F.array(F.struct(read.alias("m"))))).select(
+        F.concat(F.lit("u"), "m.did").alias("uri"), F.col("m.record.text").alias("text"),
+        F.lit(None).cast("string").alias("embedding"), F.lit(None).cast("binary").alias("embedding_blob"),
+    )
+    vectors = spark.range(0, 40, 4).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("uri"),
+                                           F.lit(b"1234").alias("embedding_blob"))
+    written = write_vectors(posts, vectors)
+    filled = written.where("embedding_blob IS NOT NULL")
+    assert filled.count() == 10 and written.count() == 40
+    for df in (written, filled):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan
