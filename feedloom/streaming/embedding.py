@@ -11,12 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 from feedloom.functions.text import embed_text
 from feedloom.operators.encode import Encoder, encode_texts
 from feedloom.operators.legacy import legacy_view
-from feedloom.operators.merge import merge_posts
 from feedloom.operators.pending import pending_posts
 from feedloom.sources.commits import CommitLog
 from feedloom.streaming.landing import query_id, triggered
 from feedloom.streaming.posts import (
-    as_oldest, base_posts, batch_folder, days_in, days_of, is_done, layer_posts, layer_vectors, read_posts, write_parts,
+    base_posts, batch_folder, days_in, days_of, is_done, layer_vectors, merged_days, read_posts, write_days,
 )
 
 COMMIT = "added ARRAY<STRUCT<folder STRING, days ARRAY<STRING>>>"
@@ -40,12 +39,16 @@ def waiting_posts(spark: SparkSession, path: str, added: list) -> DataFrame:
     layers = [{"folder": part.folder, "days": part.days} for part in added]
     days = sorted(days_of(layers))
     folded = sorted(days_of([layer for layer in layers if layer["folder"] not in live]))
-    base = base_posts(spark, path, state, folded).where("has_embedding = 0")
-    rows = as_oldest(base).unionByName(
-        layer_posts(spark, path, [layer for layer in layers if layer["folder"] in live])
+    bases = state.get("bases", {}).keys()
+    rows = merged_days(
+        spark, path, [layer for layer in layers if layer["folder"] in live], bases & folded,
+        lambda some: base_posts(spark, path, state, some).where("has_embedding = 0"),
     )
-    waiting = pending_posts(legacy_view(merge_posts(rows), "file_day"))
+    rows = base_posts(spark, path, {}) if rows is None else rows
+    waiting = pending_posts(legacy_view(rows, "file_day"))
     vectors = [part for part in state.get("vectors", []) if set(part["days"]) & set(days)]
+    if not vectors and not bases & set(days):
+        return waiting
     filled = base_posts(spark, path, state, days).where("has_embedding = 1").select("file_day", "uri")
     done = filled.unionByName(layer_vectors(spark, path, vectors).where(F.col("file_day").isin(days)).select("file_day", "uri"))
     return waiting.join(done, ["file_day", "uri"], "left_anti")
@@ -63,7 +66,7 @@ def embed_added(
     encoded = encode_texts(queue, "text", make_encoder, keep=["file_day", "uri"])
     rows = encoded.select("file_day", "uri", F.col("embedding").alias("emb_vec"), F.lit(model).alias("emb_model"))
     folder = batch_folder(run, batch)
-    write_parts(rows.hint("rebalance", "file_day"), f"{path}/vectors/{folder}", "file_day")
+    write_days(rows, f"{path}/vectors/{folder}", len({day for part in added for day in part.days}))
     days = days_in(spark, f"{path}/vectors/{folder}")
 
     def change(state: dict) -> dict | None:

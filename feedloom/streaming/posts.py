@@ -13,7 +13,9 @@ rejected. All three come from one decode of the lines.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections import Counter
+from collections.abc import Callable, Collection, Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,7 @@ from feedloom.streaming.landing import query_id, triggered
 PLACE = "run STRING, batch STRING"
 REJECTS = "value STRING, reason STRING"
 LEDGER = "file STRING, accepted BIGINT, ignored BIGINT, rejected BIGINT"
+FEW_DAYS = 8
 
 
 def imported(lines: DataFrame) -> DataFrame:
@@ -53,10 +56,19 @@ def file_counts(parsed: DataFrame) -> DataFrame:
 
 def write_parts(df: DataFrame, path: str, *parts: str) -> None:
     """Write (runs a job) a folder anew; a repeated batch replaces all of its own."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
     writer.partitionBy(*parts).parquet(path)
 
 
+def write_days(df: DataFrame, path: str, days: int) -> None:
+    """Write (runs a job) a folder by day, about so many days in all.
+
+    Of few days each task writes its own files, at most ``FEW_DAYS`` of them; only rows of more days are brought
+    together first, so that files stay large.
+    """
+    write_parts(df if days <= FEW_DAYS else df.hint("rebalance", "file_day"), path, "file_day")
+
+
 def days_in(spark: SparkSession, path: str) -> list[str]:
     """The days of a folder just written."""
     return [name.removeprefix("file_day=") for name in folders_in(spark, path)]
@@ -80,11 +92,11 @@ def append_layer(lines: DataFrame, path: str, run: str, batch: int) -> None:
     # Decoded once, for the three tables made of it.
     parsed = imported(lines).persist()
     try:
-        merged = merge_posts(imported_posts(parsed)).hint("rebalance", "file_day")
-        write_parts(merged, f"{path}/layers/{folder}", "file_day")
         seen = Observation()
-        counts = file_counts(parsed).observe(seen, F.sum("rejected").alias("rejected"))
+        days_seen = F.size(F.collect_set("file_day")).alias("days")
+        counts = file_counts(parsed.observe(seen, F.count_if(is_reject()).alias("rejected"), days_seen))
         write_parts(counts.coalesce(1), f"{path}/ledger/{folder}")
+        write_days(merge_posts(imported_posts(parsed)), f"{path}/layers/{folder}", seen.get["days"])
         if seen.get["rejected"]:
             write_parts(rejected_lines(parsed), f"{path}/rejects/{folder}")
     finally:
@@ -127,9 +139,12 @@ def _parts(spark: SparkSession, root: str, names: Iterable[str], schema: str) ->
     return spark.read.schema(schema).option("basePath", root).parquet(*paths).select(*columns)
 
 
-def layer_posts(spark: SparkSession, path: str, layers: Sequence[dict]) -> DataFrame:
-    """Posts of layers, with a place that puts them behind any base and in their order."""
-    rows = _parts(spark, f"{path}/layers", (layer["folder"] for layer in layers), f"{POSTS}, {PLACE}")
+def layer_posts(spark: SparkSession, path: str, layers: Sequence[dict], days: Collection[str]) -> DataFrame:
+    """Posts of some days of layers, with a place that puts them behind any base and in their order."""
+    by_day = lambda layer: [f"{layer['folder']}/file_day={day}" for day in layer["days"] if day in days]
+    whole = lambda layer: set(layer["days"]) <= set(days)
+    folders = [name for layer in layers for name in ([layer["folder"]] if whole(layer) else by_day(layer))]
+    rows = _parts(spark, f"{path}/layers", folders, f"{POSTS}, {PLACE}")
     place = F.struct(F.lit(1).alias("layer"), "indexed_last", "run", "batch")
     return rows.withColumn("arrival", place).drop("run", "batch")
 
@@ -153,6 +168,31 @@ def as_oldest(base: DataFrame) -> DataFrame:
     return base.withColumn("arrival", place)
 
 
+def merged_days(
+    spark: SparkSession, path: str, layers: Sequence[dict], base_days: Iterable[str],
+    base: Callable[[Sequence[str]], DataFrame],
+) -> DataFrame | None:
+    """The days of layers and those of a base, merged; None if there are none. ``base`` gives its posts of some days.
+
+    A layer and a base each hold a post of a day once, so a day that lies in one of them alone is taken as it lies.
+    """
+    parts = Counter([*base_days, *(day for layer in layers for day in layer["days"])])
+    alone = {day for day, n in parts.items() if n == 1}
+    several = parts.keys() - alone
+    in_layers, in_base = days_of(layers), set(base_days)
+    found = []
+    if alone & in_base:
+        found.append(base(sorted(alone & in_base)))
+    if alone & in_layers:
+        found.append(layer_posts(spark, path, layers, alone).drop("arrival"))
+    if several:
+        rows = layer_posts(spark, path, layers, several)
+        if several & in_base:
+            rows = as_oldest(base(sorted(several & in_base))).unionByName(rows)
+        found.append(merge_posts(rows))
+    return reduce(DataFrame.unionByName, found) if found else None
+
+
 def days_of(parts: Sequence[dict]) -> set[str]:
     return {day for part in parts for day in part["days"]}
 
@@ -164,15 +204,10 @@ def _written() -> Column:
 def _folded(spark: SparkSession, path: str, state: dict) -> DataFrame | None:
     """The days with layers or vectors, merged; None if there are none."""
     layers, vectors = state.get("layers", []), state.get("vectors", [])
-    layered = days_of(layers)
-    filled = sorted(days_of(vectors) - layered)
-    if not layered and not filled:
-        return None
-    rows = base_posts(spark, path, state, filled)
-    if layered:
-        base = as_oldest(base_posts(spark, path, state, sorted(layered)))
-        rows = rows.unionByName(merge_posts(base.unionByName(layer_posts(spark, path, layers))))
-    if vectors:
+    touched = days_of(layers) | days_of(vectors)
+    base_days = touched & state.get("bases", {}).keys()
+    rows = merged_days(spark, path, layers, base_days, lambda days: base_posts(spark, path, state, days))
+    if rows is not None and vectors:
         rows = with_vectors(rows, layer_vectors(spark, path, vectors), _written())
     return rows
 
@@ -200,7 +235,7 @@ def compact_posts(spark: SparkSession, path: str) -> None:
         return
     name = uuid.uuid4().hex
     folder = f"{path}/base/id={name}"
-    write_parts(folded.hint("rebalance", "file_day"), folder, "file_day")
+    write_days(folded, folder, len(days_of(state.get("layers", [])) | days_of(state.get("vectors", []))))
     days = days_in(spark, folder)
     gone = {kind: {part["folder"] for part in state.get(kind, [])} for kind in ("layers", "vectors")}
 

@@ -639,3 +639,41 @@ def test_recorded_and_landed_texts_are_packed_and_move_once(spark, tmp_path):
         files = [f for f in glob.glob(f"{tmp_path}/{place}/**/part-*", recursive=True) if os.path.isfile(f)]
         assert files and sum(map(os.path.getsize, files)) < texts / 4
     assert read_landed(spark, bronze).count() == keep_posts(parse_messages(fx.messages(spark, str(tmp_path)))).count()
+
+
+def test_few_days_are_merged_and_written_with_one_shuffle(spark, tmp_path, monkeypatch):
+    from feedloom.streaming import posts as table
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    shuffles, write = {}, table.write_parts
+
+    def seen(df, path, *parts):
+        if parts:
+            shuffles.setdefault(path.split("/")[-2 if "/base/" in path else -3], []).append(plan(df).count("Exchange"))
+        write(df, path, *parts)
+
+    monkeypatch.setattr(table, "write_parts", seen)
+    posts, where = str(tmp_path / "posts"), str(tmp_path / "h")
+    lines = lambda stamp: read_lines(spark, where).withColumn("indexed_at", F.lit(stamp).cast("long"))
+    put(tmp_path / "h/2024-01-01T00.ndjson", [post(1), post(1, text="later"), post(2)])
+    put(tmp_path / "h/2024-01-02T00.ndjson", [post(3, START + DAY)])
+    append_layer(lines(5), posts, "r", 0)
+    rows = sorted(tuple(r) for r in read_posts(spark, posts).drop("emb_vec").na.fill("-").collect())
+    assert [(r[0], r[3], r[9]) for r in rows] == [
+        ("2024-01-01", "k1", "later"), ("2024-01-01", "k2", "some text number 2"), ("2024-01-02", "k3", "some text number 3")]
+    # Each day lies in one layer: it is read, and compacted, as it lies.
+    assert "Exchange" not in plan(read_posts(spark, posts))
+    compact_posts(spark, posts)
+    assert shuffles == {"layers": [1], "base": [0]}
+    assert sorted(tuple(r) for r in read_posts(spark, posts).drop("emb_vec").na.fill("-").collect()) == rows
+    # A day that a layer touches again is merged, another is not.
+    append_layer(lines(6).where("hour < '2024-01-02'"), posts, "r", 1)
+    again = {r.rkey: (r.indexed_first, r.indexed_last, r.text) for r in read_posts(spark, posts).collect()}
+    assert again == {"k1": (5, 6, "later"), "k2": (5, 6, "some text number 2"), "k3": (5, 5, "some text number 3")}
+    compact_posts(spark, posts)
+    assert shuffles == {"layers": [1, 1], "base": [0, 1]}
+    # Of many days the rows are brought together, so that no task writes a file of each.
+    for day in range(3, 13):
+        put(tmp_path / f"h/2024-01-{day:02}T00.ndjson", [post(day + 10, START + (day - 1) * DAY)])
+    append_layer(lines(7), posts, "r", 2)
+    assert shuffles["layers"] == [1, 1, 2] and read_posts(spark, posts).count() == 13
