@@ -22,9 +22,9 @@ from feedloom.operators.feed import (
 )
 from feedloom.operators.importing import parse_lines, valid_posts
 from feedloom.operators.merge import write_vectors
-from feedloom.schemas import PACKED
 from feedloom.session import qualified
 from feedloom.sources.files import file_system
+from feedloom.sources.tables import write_texts
 
 TIME_US = """1704067200000000 + (doc_id % 5) * 86400000000 + ((doc_id * 7) % 24) * 3600000000
     + (doc_id % 60) * 60000000 + doc_id % 1000"""
@@ -181,8 +181,7 @@ def record(messages: DataFrame, path: str, later_us: int = 0) -> None:
     Messages are written by the tasks that make them; those of ``recorded`` lie by folder already.
     """
     closed = _closed(F.col("time_us")) + later_us
-    rows = messages.select("value", closed.cast("bigint").alias("taken_us"))
-    rows.write.mode("append").options(**PACKED).partitionBy("taken_us").text(path)
+    write_texts(messages.select("value", closed.cast("bigint").alias("taken_us")), path, "append", "taken_us")
 
 
 def flat_posts(spark: SparkSession, sf_dir: str, edited: bool = False) -> DataFrame:

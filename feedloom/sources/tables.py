@@ -8,7 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.schemas import EXPORT, EXPORT_COLUMNS, POSTS, VECTORS
+from feedloom.schemas import EXPORT, EXPORT_COLUMNS, PACKED, POSTS, VECTORS
+
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -58,6 +60,21 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(VECTORS).parquet(path)
 
 
+def write_texts(rows: DataFrame, path: str, mode: str, *parts: str, open_files: int = 64) -> None:
+    """Write (runs a job) packed texts in folders; a task holds a file open in each of its folders.
+
+    So rows are not sorted by folder first; only those of a task with more than ``open_files`` folders are.
+    """
+    conf = rows.sparkSession.conf
+    before = conf.get(OPEN_FILES)
+    conf.set(OPEN_FILES, open_files)
+    try:
+        writer = rows.write.mode(mode).option("partitionOverwriteMode", "static")
+        writer.options(**PACKED).partitionBy(*parts).text(path)
+    finally:
+        conf.set(OPEN_FILES, before)
+
+
 def kept_by_key(df: DataFrame, path: str, key: str = "uri", buckets: int | None = None) -> DataFrame:
     """Write (runs a job) rows in buckets by a key and read them back: joins on that key leave them where they lie.
 

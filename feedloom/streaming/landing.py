@@ -21,10 +21,11 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from feedloom.functions.times import hour_key
 from feedloom.operators.feed import event_time, flat_fields, verdict
-from feedloom.schemas import FLUSH_SECONDS, PACKED
+from feedloom.schemas import FLUSH_SECONDS
 from feedloom.sources.commits import CommitLog, folders_in
 from feedloom.sources.feed import Feed
 from feedloom.sources.hour_files import LINES, hour_lines
+from feedloom.sources.tables import write_texts
 
 POSTS, DEAD, NO_HOUR = "outcome=post", "outcome=dead", "none"
 PIECES = "array<struct<hour STRING, folder STRING>>"
@@ -65,8 +66,7 @@ def land(messages: DataFrame, path: str, run: str, batch: int, outcome: Column |
     spark = messages.sparkSession
     folder = f"run={run}/batch={batch:012d}"
     # A folder of the recorder spans few hours, so what a task reads lies by hour already and no message is moved.
-    writer = landed_rows(messages, outcome).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.options(**PACKED).partitionBy("outcome", "hour").text(f"{path}/{folder}")
+    write_texts(landed_rows(messages, outcome), f"{path}/{folder}", "overwrite", "outcome", "hour")
     # The hours stand in the names of the folders just written.
     hours = [name.removeprefix("hour=") for name in folders_in(spark, f"{path}/{folder}/{POSTS}")]
     dead = bool(folders_in(spark, f"{path}/{folder}/{DEAD}"))

@@ -677,3 +677,18 @@ def test_few_days_are_merged_and_written_with_one_shuffle(spark, tmp_path, monke
         put(tmp_path / f"h/2024-01-{day:02}T00.ndjson", [post(day + 10, START + (day - 1) * DAY)])
     append_layer(lines(7), posts, "r", 2)
     assert shuffles["layers"] == [1, 1, 2] and read_posts(spark, posts).count() == 13
+
+
+@pytest.mark.parametrize("open_files", [64, 2])
+def test_texts_are_written_without_a_sort(spark, tmp_path, open_files):
+    from feedloom.sources.tables import OPEN_FILES, write_texts
+
+    before = spark.conf.get(OPEN_FILES)
+    rows = spark.range(500).select(F.col("id").cast("string").alias("value"), (F.col("id") % 7).alias("part")).coalesce(2)
+    for _ in range(2):
+        write_texts(rows, str(tmp_path / "texts"), "overwrite", "part", open_files=open_files)
+    assert spark.conf.get(OPEN_FILES) == before
+    got = sorted((int(r.value), int(r.part)) for r in spark.read.text(str(tmp_path / "texts")).collect())
+    assert got == [(i, i % 7) for i in range(500)]
+    # One file for each folder of a task, whether or not all of them can be open.
+    assert len(glob.glob(f"{tmp_path}/texts/part=*/part-*.txt.gz")) == 14
