@@ -579,6 +579,77 @@ def test_states_of_the_walk(monkeypatch, order, together):
     assert (automaton.levels[automaton.fail_targets] == np.maximum(automaton.levels - 1, 0)).all()
 
 
+def one_lot(monkeypatch, texts, held):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(backoff, "TaskContext", Task)
+    batch = {"doc_id": list(range(len(texts))), "held_out": held, "text": texts}
+    (found,) = backoff._lots(1 << 30)(iter([batch]))
+    return {k: v[0] for k, v in found.items()}
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_long_texts_are_walked_in_pieces(monkeypatch, order):
+    """A text of any length takes about as many steps as its share of the pieces; states and scores are those of one walk."""
+    rng = random.Random(order)
+    texts = [" ".join(rng.choices("abcdefgh", k=k)) for k in (20_000, 3, 0, 1, 2, 500)]
+    held = [False, True, False, False, True, True]
+    lot = backoff.Lot(one_lot(monkeypatch, texts, held))
+    grams = lot.grams(order)
+    for own in grams.values():
+        own.totals = np.bincount(own.which[lot.train], minlength=len(own.first)).astype(float)
+    base = np.log10((grams[1].totals + 1) / (grams[1].totals.sum() + len(lot.words) + 1))
+    automaton, found, steps = backoff.Automaton(lot, grams, order, 4.0, base), {}, []
+    read = backoff.Automaton._read
+    monkeypatch.setattr(backoff.Automaton, "_read", lambda *a: steps.append(1) or read(*a))
+    for pieces in (1, 50, 1000, 1 << 20):
+        monkeypatch.setattr(backoff, "SIDE_BY_SIDE", pieces)
+        path = np.full(len(lot.tokens), -1)
+        steps.clear()
+        found[pieces] = automaton.walk(lot.starts, lot.lengths, path), path
+        assert len(steps) <= -(-len(lot.tokens) // pieces) + order - 1
+    for scores, path in found.values():
+        assert scores == pytest.approx(found[1][0], rel=1e-12)
+        assert path.tolist() == found[1][1].tolist()
+
+
+def test_lots_ask_for_ngrams_only(monkeypatch):
+    """A history occurs as often as the n-gram it is, so it is not asked for; texts begin as often as they end."""
+    from collections import Counter
+
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(["a", "B", "b", "c"], k=rng.randint(0, 9))) for _ in range(30)]
+    held = [i % 4 == 0 for i in range(30)]
+    row = one_lot(monkeypatch, texts, held)
+    asked = [r for b in backoff._requests(3, 5)(iter([pa.RecordBatch.from_pylist([row])])) for r in b.to_pylist()]
+    assert {r["kind"] for r in asked} == {1, 2, 3}
+    for n in (1, 2, 3):
+        own = [r for r in asked if r["kind"] == n]
+        counts = np.concatenate([backoff._unpacked(r["counts"], np.uint32) for r in own])
+        words = [["<"] * (n - 1) + t.lower().split() + [">"] for t in texts]
+        every = {tuple(w[at : at + n]) for w in words for at in range(len(w) - n + 1)}
+        wanted = Counter(tuple(w[at : at + n]) for w, h in zip(words, held) if not h for at in range(len(w) - n + 1))
+        assert sorted(counts) == sorted(wanted[g] for g in every)
+
+
+def test_distinct_keys_as_by_a_plain_sort():
+    rng = np.random.default_rng(3)
+    top = (1 << 64) - 1
+    for keys in (
+        [], [7], [top], [5] * 9, [0, top, 0, top, 1], rng.integers(0, top, 5000, np.uint64),
+        rng.choice(rng.integers(0, top, 300, np.uint64), 5000), rng.integers(top - 40, top, 1000, np.uint64),
+        # Upper bits that are equal for many keys do not order them.
+        rng.choice(np.array([0, 1, 2, 3, top - 1, top], np.uint64), 4000),
+    ):
+        keys = np.asarray(keys, np.uint64)
+        for found, wanted in zip(backoff.distinct(keys), np.unique(keys, return_index=True, return_inverse=True)):
+            assert found.dtype == wanted.dtype and found.tolist() == wanted.tolist()
+
+
 def test_odd_rows_and_empty_tables(spark, odd, empty):
     import corpus_pipeline
     from pyspark.sql import functions as F
